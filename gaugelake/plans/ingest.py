@@ -47,23 +47,29 @@ def _run(
         data = landed.filter(F.col("run_id") == run_id)
     else:
         data = spark.createDataFrame([], target.schema)
-    failures = spark.createDataFrame(
-        [(run_id, None, failure)], "run_id string, unhandled_error string, write_error string"
-    )
-    summary = run_summary(
-        data, outcomes(), failures, target.time_column, "station_id" if by_station else "openaq_sensor_id"
-    )
+    unit = "station_id" if by_station else "openaq_sensor_id"
     start, end = window or (None, None)
-    row = run_log_row(
-        summary,
-        source,
-        moment(started, _INSTANT),
-        moment(datetime.now(UTC), _INSTANT),
-        window_start=None if start is None else moment(start, _INSTANT),
-        window_end=None if end is None else moment(end, _INSTANT),
-        by_station=by_station,
-    )
-    fetched = row.first()
+
+    def account(requests: DataFrame, problem: str | None):
+        failures = spark.createDataFrame(
+            [(run_id, None, problem)], "run_id string, unhandled_error string, write_error string"
+        )
+        return run_log_row(
+            run_summary(data, requests, failures, target.time_column, unit),
+            source,
+            moment(started, _INSTANT),
+            moment(datetime.now(UTC), _INSTANT),
+            window_start=None if start is None else moment(start, _INSTANT),
+            window_end=None if end is None else moment(end, _INSTANT),
+            by_station=by_station,
+        ).first()
+
+    try:
+        fetched = account(outcomes(), failure)
+    except Exception as problem:
+        # The payloads themselves cannot be read: the run is still logged.
+        none = spark.createDataFrame([], f"run_id string, {unit} string, ok boolean")
+        fetched = account(none, failure or f"{type(problem).__name__}: {problem}")
     append_run_log(spark.createDataFrame([fetched], RUN_LOG), run_log)
     return fetched.asDict()
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from gaugelake.functions.clock import Moment, moment, moment_like
-from gaugelake.schemas import FORECASTS, READINGS, RUN_LOG
+from gaugelake.schemas import FORECASTS, READINGS, RUN_LOG, conform
 
 log = logging.getLogger(__name__)
 
@@ -52,13 +52,13 @@ def _laid_out(df: DataFrame, table: TableSpec) -> DataFrame:
 
 
 def append(df: DataFrame, table: TableSpec) -> dict:
-    """Append rows; returns the row count and the range of their time column.
+    """Append rows under the table's schema; returns their count and the range of their time.
 
     An empty frame adds no file and counts 0.
     """
     seen = Observation()
     ts = F.col(table.time_column)
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first"), F.max(ts).alias("last"))
+    counted = conform(df, table.schema).observe(seen, F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first"), F.max(ts).alias("last"))
     _laid_out(counted, table).write.mode("append").partitionBy(PARTITION).parquet(table.path)
     return seen.get
 

@@ -85,13 +85,18 @@ def start_ingest(
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        append(batch, raw)
-        if latest is not None:
+        if latest is None:
+            append(batch, raw)
+            return
+        batch.persist()
+        try:
+            append(batch, raw)
             touched = batch.select(F.to_date(raw.time_column).alias("day")).distinct()
             # A date per touched day reaches the driver, nothing else.
             days = [row.day for row in touched.toLocalIterator() if row.day is not None]
-            refresh_latest(spark, raw, latest, days, dedup)
+        finally:
+            batch.unpersist()
+        refresh_latest(batch.sparkSession, raw, latest, days, dedup)
 
     return (
         rows.writeStream.foreachBatch(write)
