@@ -79,11 +79,11 @@ class _Inputs:
 
     @property
     def reading_pages(self) -> DataFrame:
-        return bindings.reading_pages_of(self.table("events"))
+        return bindings.reading_pages_of(bindings.spread_small(self.table("events")))
 
     @property
     def forecast_batches(self) -> DataFrame:
-        return bindings.forecast_batches_of(self.table("lineitem"))
+        return bindings.forecast_batches_of(bindings.spread_small(self.table("lineitem")))
 
     def scratch(self) -> str:
         return f"{shared_folder(self.spark)}/gaugelake-{uuid.uuid4().hex}"

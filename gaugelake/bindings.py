@@ -20,6 +20,7 @@ EVENT_POLLUTANTS = (
     ("signup", 4, "o3", "µg/m³"),
     ("error", 5, "so2", "ppm"),
 )
+ONE_SPLIT_BYTES = 128 * 1024 * 1024
 EPOCH = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"
 
 
@@ -27,6 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a table that fits in one scan split over the cores.
+
+    JSON work is heavy per row, and such a table would be read by a single task. Larger
+    tables come in many splits and are left as they are, so no more than one split is
+    ever moved.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < ONE_SPLIT_BYTES else df
+
+
 def _by_event(position: int) -> Column:
     choice = F.lit(None)
     for entry in EVENT_POLLUTANTS:

@@ -120,6 +120,16 @@ def _forecast_results(payload: Column) -> Column:
     return F.from_json(listed, FORECAST_BATCH)
 
 
+def _matching_results(payload: Column, stations: Column) -> Column:
+    """The results if there is one per station, else NULL.
+
+    A separate filter on their number would be pushed below the projection and parse the
+    JSON again; the lambda parameter holds the parsed value, so it is parsed once.
+    """
+    results = F.array(_forecast_results(payload))
+    return F.transform(results, lambda r: F.when(F.size(r) == F.size(stations), r))[0]
+
+
 def forecast_outcomes(payloads: DataFrame, run_id: str | Column) -> DataFrame:
     """One row per requested station: the batch was answered with readable JSON or not."""
     ok = _forecast_results(F.col("payload")).isNotNull()
@@ -136,14 +146,11 @@ def flatten_forecast_batch(payloads: DataFrame, ingested_at: Moment, run_id: str
     batch with another number of results gives no rows. A value array shorter than the
     times, or absent, gives NULLs; a longer one adds nothing.
     """
-    batches = payloads.select(
+    located = payloads.select(
         "stations",
         moment(ingested_at, _INSTANT).alias("ingested_at"),
         _text(run_id).alias("run_id"),
-        _forecast_results(F.col("payload")).alias("results"),
-    ).filter(F.size("results") == F.size("stations"))
-    located = batches.select(
-        "stations", "ingested_at", "run_id", F.posexplode("results").alias("place", "result")
+        F.posexplode(_matching_results(F.col("payload"), F.col("stations"))).alias("place", "result"),
     ).select(
         F.get("stations", F.col("place")).alias("station"),
         "ingested_at",
