@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugelake.operators.joins import estimated_bytes
 from gaugelake.schemas import FORECAST_VARIABLES
 
 # Event types as pollutants: (event type, code, pollutant, unit).
@@ -35,8 +36,9 @@ def spread_small(df: DataFrame) -> DataFrame:
     tables come in many splits and are left as they are, so no more than one split is
     ever moved.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < ONE_SPLIT_BYTES else df
+    if estimated_bytes(df) >= ONE_SPLIT_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _by_event(position: int) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugelake.functions.clock import Moment, moment, parse_utc
 from gaugelake.functions.labels import has_all_tokens
+from gaugelake.operators.joins import spread_join
 from gaugelake.operators.latest import dedup_latest
 from gaugelake.schemas import (
     REQUIRED_POLLUTANTS,
@@ -68,7 +69,7 @@ def sensor_worklist(
     for name in dict.fromkeys(required):
         has_all = has_all & F.bool_or(F.col("parameter_name") == name)
     complete = wanted.groupBy("station_id").agg(has_all.alias("complete")).filter("complete")
-    work = wanted.join(complete, "station_id", "left_semi")
+    work = spread_join(wanted, complete, ["station_id"], "left_semi")
     if station_ids:
         work = work.filter(F.col("station_id").isin(*station_ids))
     work = work.select(

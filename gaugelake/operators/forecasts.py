@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugelake.functions import scores
 from gaugelake.functions.clock import Moment, hour_slot, moment_like, shift
+from gaugelake.operators.joins import broadcast_if_small
 from gaugelake.operators.latest import dedup_latest
 from gaugelake.operators.readings import station_hour_values, station_latest_pollutants
 from gaugelake.schemas import FORECAST_VARIABLES, REQUIRED_POLLUTANTS
@@ -42,13 +43,13 @@ def station_hourly_combined(
 ) -> DataFrame:
     """Pollutants per station, location and hour with the forecast of the same station-hour.
 
-    Both sides arrive laid out by station and hour, so the join itself shuffles nothing.
+    Both sides arrive laid out by hour and station, so the join itself shuffles nothing.
     Two locations of a station give two rows, although the location is not an output.
     """
     weather_columns = [c for c in FORECAST_VARIABLES if c != "surface_pressure"]
     weather = _current(forecasts, weather_columns).withColumnRenamed("valid_time", "hour_utc")
     values = station_hour_values(readings, pollutants, stable_key)
-    return values.join(weather, ["station_id", "hour_utc"], "left").select(
+    return values.join(weather, ["hour_utc", "station_id"], "left").select(
         "station_id", "hour_utc", *[f"{p}_value" for p in pollutants], *weather_columns
     )
 
@@ -68,8 +69,9 @@ def forecast_window(forecasts: DataFrame, horizon_hours: int = 3) -> DataFrame:
     A station without a forecast in the window stays, with NULL aggregates and 0 hours.
 
     The window is spelled out as clock hours, so the match is an equality join on
-    (station, hour): the few matching rows are picked out of the raw table first and
-    only those are deduplicated. A station with very many rows is spread over its hours.
+    (station, hour): the few matching rows are picked out of the raw table first, without
+    a shuffle of it if the stations are shown to be few, and only those are deduplicated.
+    A station with very many rows is spread over its hours.
     """
     issued = latest_issue_times(forecasts)
     start = F.col("latest_weather_ingested_at")
@@ -90,7 +92,7 @@ def forecast_window(forecasts: DataFrame, horizon_hours: int = 3) -> DataFrame:
     order = [c for c in _VERSION_ORDER if c in {"ingested_at", "run_id", "surface_pressure", *columns}]
     raw = forecasts.select(*_KEYS, *order, hour_slot(F.col("valid_time")).alias("slot"))
     hits = (
-        raw.join(slots, ["station_id", "slot"])
+        raw.join(broadcast_if_small(slots), ["station_id", "slot"])
         .filter((start < F.col("valid_time")) & (F.col("valid_time") <= end))
         .select(*_KEYS, *order)
     )

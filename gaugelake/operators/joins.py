@@ -1,0 +1,43 @@
+"""Join helpers for lookups of unknown size and for keys that hold a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_PART = "__part"
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of a plan. It errs on the high side for aggregates."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """``df`` marked for broadcast if it is shown to have at most ``max_rows`` rows.
+
+    For a narrow lookup that meets a raw scan: AQE learns the lookup's size only after it
+    has started to shuffle the scan. Where Spark's estimate is already small nothing is
+    counted; beyond the bound the join shuffles and AQE splits hot keys.
+    """
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if threshold < 0 or estimated_bytes(df) <= threshold:
+        return df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def spread_join(
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner", parts: int = 8
+) -> DataFrame:
+    """Join rows to a per-key lookup, with the rows of one key spread over ``parts`` tasks.
+
+    For a lookup that is itself grouped by the key: it needs no shuffle of its own, and
+    AQE splits a hot key only where both sides are shuffled. The lookup is repeated
+    ``parts`` times, so it should be much smaller than the rows.
+    """
+    others = [c for c in rows.columns if c not in keys]
+    part = F.pmod(F.xxhash64(*others), F.lit(parts)).cast("int")
+    repeated = lookup.withColumn(_PART, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return rows.withColumn(_PART, part).join(repeated, [*keys, _PART], how).drop(_PART)

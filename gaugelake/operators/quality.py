@@ -64,8 +64,7 @@ def assert_expected(
 ) -> DataFrame:
     """Expected rows that are missing or differ; numbers may differ by ``tolerance``."""
     values = [c for c in expected.columns if c not in keys]
-    actual = df.select(*keys, *[F.col(v).alias(f"__actual_{v}") for v in values], F.lit(True).alias("__found"))
-    joined = expected.join(actual, list(keys), "left")
+    actual = df.select(*keys, *[F.col(v).alias(f"__actual_{v}") for v in values])
 
     def differs(column: str) -> Column:
         want, got = F.col(column), F.col(f"__actual_{column}")
@@ -73,17 +72,20 @@ def assert_expected(
             return ~want.eqNullSafe(got)
         return (want.isNull() != got.isNull()) | F.coalesce(F.abs(got - want) > tolerance, F.lit(False))
 
-    wrong = joined.filter(reduce(Column.__or__, map(differs, values), F.col("__found").isNull()))
-    return violations(
-        wrong,
-        name,
-        _entity(keys),
-        _labelled([(v, F.col(v)) for v in values]),
-        F.when(F.col("__found"), _labelled([(v, F.col(f"__actual_{v}")) for v in values])).otherwise("missing"),
-        reason,
+    wanted = _labelled([(v, F.col(v)) for v in values])
+    got = _labelled([(v, F.col(f"__actual_{v}")) for v in values])
+    wrong = actual.join(expected, list(keys)).filter(reduce(Column.__or__, map(differs, values), F.lit(False)))
+    absent = _without_row(expected, df, keys)
+    return violations(wrong, name, _entity(keys), wanted, got, reason).unionByName(
+        violations(absent, name, _entity(keys), wanted, F.lit("missing"), reason)
     )
 
 
+def _without_row(entities: DataFrame, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Entities that ``df`` has no row for. Its keys are made distinct before they move."""
+    return entities.join(df.select(*keys).distinct(), list(keys), "left_anti")
+
+
 def assert_null(
     df: DataFrame,
     columns: Sequence[str],
@@ -114,11 +116,18 @@ def assert_not_null(
     reason: str = "Row should exist with non-NULL values",
 ) -> DataFrame:
     """Entities without a row, or with a NULL in ``columns``."""
-    marked = df.select(*keys, *columns, F.lit(True).alias("__found"))
-    rows = marked if entities is None else entities.select(*keys).join(marked, list(keys), "left")
-    wrong = rows.filter(reduce(Column.__or__, [F.col(c).isNull() for c in columns], F.col("__found").isNull()))
-    actual = F.when(F.col("__found"), _labelled([(c, F.col(c)) for c in columns])).otherwise("missing")
-    return violations(wrong, name, _entity(keys), F.lit("not NULL"), actual, reason)
+    wrong = df.filter(reduce(Column.__or__, [F.col(c).isNull() for c in columns])).select(*keys, *columns)
+    if entities is not None:
+        wrong = wrong.join(entities.select(*keys).distinct(), list(keys), "left_semi")
+    found = violations(
+        wrong, name, _entity(keys), F.lit("not NULL"), _labelled([(c, F.col(c)) for c in columns]), reason
+    )
+    if entities is None:
+        return found
+    absent = _without_row(entities.select(*keys), df, keys)
+    return found.unionByName(
+        violations(absent, name, _entity(keys), F.lit("not NULL"), F.lit("missing"), reason)
+    )
 
 
 def assert_no_rows(

@@ -119,7 +119,7 @@ def station_hour_values(
     pollutants: Sequence[str] = REQUIRED_POLLUTANTS,
     stable_key: bool = False,
 ) -> DataFrame:
-    """Pollutant values per station, location and hour, laid out by ``(station_id, hour_utc)``.
+    """Pollutant values per station, location and hour, laid out by ``(hour_utc, station_id)``.
 
     Dedup leaves at most one row per sensor and hour, so the rows are moved to their
     station-hour once and then grouped and joined in place.
@@ -128,7 +128,7 @@ def station_hour_values(
     current = tracked(_current(readings, needed, stable_key), pollutants)
     return (
         current.withColumnRenamed("period_from_utc", "hour_utc")
-        .repartition("station_id", "hour_utc")
+        .repartition("hour_utc", "station_id")
         .groupBy("station_id", "openaq_location_id", "hour_utc")
         .agg(*[_max_of(p, "value").alias(f"{p}_value") for p in pollutants])
     )

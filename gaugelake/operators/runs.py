@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugelake.functions.clock import Moment, minutes_between, moment_like, seconds_between, shift
 from gaugelake.functions.labels import freshness_band
+from gaugelake.operators.joins import spread_join
 from gaugelake.operators.latest import newest
 from gaugelake.schemas import RUN_LOG, conform
 
@@ -326,7 +327,7 @@ def request_timeline(
     )
     position = _quotient(F.col("at") - F.col("first_at"), width)
     counted = (
-        instants.join(span, list(by))
+        spread_join(instants, span, by)
         .groupBy(*by, position.alias("bucket"))
         .agg(F.sum("requests").alias("requests"))
     )

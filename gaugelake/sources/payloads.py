@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from gaugelake.functions.clock import Moment, moment, parse_utc
+from gaugelake.operators.joins import broadcast_if_small
 from gaugelake.schemas import (
     CATALOGUE_ITEM,
     CATALOGUE_PAGE,
@@ -97,7 +98,7 @@ def reading_candidates(
         reason.alias("reject_reason"),
     ).drop("window_end", "from_text", "to_text")
     lookup = sensors.select("openaq_sensor_id", "station_id", "openaq_location_id", "pollutant", "unit")
-    return judged.join(lookup, "openaq_sensor_id")
+    return judged.join(broadcast_if_small(lookup), "openaq_sensor_id")
 
 
 def flatten_hourly_readings(

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Sequence
 from datetime import UTC, date, datetime, timedelta
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -51,6 +52,14 @@ def _laid_out(df: DataFrame, table: TableSpec) -> DataFrame:
     return dated.hint("rebalance", F.col(PARTITION)).sortWithinPartitions(PARTITION, *table.cluster_by)
 
 
+def _observed(seen: Observation, **when_empty) -> dict:
+    """Metrics of a finished write. Spark reports none for a frame it knows to be empty."""
+    try:
+        return seen.get
+    except Py4JError:
+        return when_empty
+
+
 def append(df: DataFrame, table: TableSpec) -> dict:
     """Append rows under the table's schema; returns their count and the range of their time.
 
@@ -60,14 +69,14 @@ def append(df: DataFrame, table: TableSpec) -> dict:
     ts = F.col(table.time_column)
     counted = conform(df, table.schema).observe(seen, F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first"), F.max(ts).alias("last"))
     _laid_out(counted, table).write.mode("append").partitionBy(PARTITION).parquet(table.path)
-    return seen.get
+    return _observed(seen, rows=0, first=None, last=None)
 
 
 def overwrite(df: DataFrame, path: str) -> int:
     """Full refresh of an unpartitioned table; returns its row count."""
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+    return _observed(seen, rows=0)["rows"]
 
 
 def append_run_log(row: DataFrame, table: TableSpec) -> bool:
