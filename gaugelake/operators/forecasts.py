@@ -73,7 +73,8 @@ def forecast_window(forecasts: DataFrame, horizon_hours: int = 3) -> DataFrame:
     a shuffle of it if the stations are shown to be few, and only those are deduplicated.
     A station with very many rows is spread over its hours.
     """
-    issued = latest_issue_times(forecasts)
+    # A station id is never NULL; saying so lets both uses of the aggregate share its shuffle.
+    issued = latest_issue_times(forecasts.filter(F.col("station_id").isNotNull()))
     start = F.col("latest_weather_ingested_at")
     end = shift(start, "HOUR", horizon_hours)
     slots = issued.select(
