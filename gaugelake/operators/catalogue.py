@@ -60,17 +60,23 @@ def eligible_stations(stations: DataFrame, required: Sequence[str] = REQUIRED_PO
 def sensor_worklist(
     sensors: DataFrame,
     required: Sequence[str] = REQUIRED_POLLUTANTS,
-    station_ids: Sequence[str] | None = None,
+    station_ids: Sequence[str] | DataFrame | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Sensors to poll: those of stations that have all required parameters, in order."""
+    """Sensors to poll: those of stations that have all required parameters, in order.
+
+    ``station_ids`` narrows them to some stations; a long list is better given as a frame
+    with a ``station_id`` column. ``limit`` keeps the first sensors in that order.
+    """
     wanted = sensors.filter(F.col("parameter_name").isin(*required))
     has_all = F.lit(True)
     for name in dict.fromkeys(required):
         has_all = has_all & F.bool_or(F.col("parameter_name") == name)
     complete = wanted.groupBy("station_id").agg(has_all.alias("complete")).filter("complete")
     work = spread_join(wanted, complete, ["station_id"], "left_semi")
-    if station_ids:
+    if isinstance(station_ids, DataFrame):
+        work = work.join(station_ids.select("station_id"), "station_id", "left_semi")
+    elif station_ids:
         work = work.filter(F.col("station_id").isin(*station_ids))
     work = work.select(
         "station_id",

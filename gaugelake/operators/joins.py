@@ -25,7 +25,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     if threshold < 0 or estimated_bytes(df) <= threshold:
         return df
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def spread_join(

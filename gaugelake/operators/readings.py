@@ -9,7 +9,6 @@ skip the dedup shuffle, because the newest version per key survives it anyway.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -185,9 +184,11 @@ def unpivot_pollutants(wide: DataFrame, pollutants: Sequence[str] = REQUIRED_POL
 
 
 def station_pollutants(readings_long: DataFrame, station_id: str | None = None) -> DataFrame:
-    """Pollutants each station (or the given one) has, in order."""
-    rows = readings_long if station_id is None else readings_long.filter(F.col("station_id") == station_id)
-    return rows.select("station_id", "pollutant").distinct().orderBy("station_id", "pollutant")
+    """Pollutants of one station, in order; of every station if none is named, unordered."""
+    pairs = readings_long.select("station_id", "pollutant")
+    if station_id is None:
+        return pairs.distinct()
+    return pairs.filter(F.col("station_id") == station_id).distinct().orderBy("pollutant")
 
 
 def station_time_series(
@@ -199,21 +200,17 @@ def station_time_series(
 ) -> DataFrame:
     """One pollutant with its weather over the last ``days`` days, in time order.
 
-    ``station_id=None`` gives the series of every station.
+    ``station_id=None`` gives the series of every station, unordered.
     """
     since = F.timestamp_add("DAY", F.lit(-days), moment_like(combined_long, "hour_utc", reference_ts))
-    chosen = [F.col("pollutant") == pollutant, F.col("hour_utc") >= since]
-    if station_id is not None:
-        chosen.append(F.col("station_id") == station_id)
-    return (
-        combined_long.filter(reduce(Column.__and__, chosen))
-        .select(
-            "station_id",
-            "hour_utc",
-            "pollutant_value",
-            "temperature_2m",
-            "wind_speed_10m",
-            "boundary_layer_height",
-        )
-        .orderBy("station_id", "hour_utc")
+    series = combined_long.filter((F.col("pollutant") == pollutant) & (F.col("hour_utc") >= since)).select(
+        "station_id",
+        "hour_utc",
+        "pollutant_value",
+        "temperature_2m",
+        "wind_speed_10m",
+        "boundary_layer_height",
     )
+    if station_id is None:
+        return series
+    return series.filter(F.col("station_id") == station_id).orderBy("hour_utc")

@@ -40,6 +40,8 @@ def test_worklist(spark):
                                 "pollutant": "no2", "unit": fx.UNIT}
     assert [r.openaq_sensor_id for r in cat.sensor_worklist(sensors, limit=2).collect()] == [103, 102]
     assert {r.station_id for r in cat.sensor_worklist(sensors, station_ids=["station_b"]).collect()} == {"station_b"}
+    as_frame = spark.createDataFrame([("station_b",)], "station_id string")
+    assert {r.station_id for r in cat.sensor_worklist(sensors, station_ids=as_frame).collect()} == {"station_b"}
     assert cat.sensor_worklist(sensors, ["pm25", "pm10"]).count() == 7
 
 

@@ -54,6 +54,22 @@ def test_rows_are_sorted_within_files(spark, tmp_path):
     assert [r.station_id for r in spark.read.parquet(files[0]).collect()] == sorted(f"s{h % 3}" for h in range(24))
 
 
+def test_a_large_date_is_written_by_several_tasks(spark, tmp_path):
+    table = tables.readings_table(str(tmp_path / "t"))
+    spread = spark.range(0, 60_000, numPartitions=8).selectExpr(
+        "timestamp '2024-01-15' AS ingested_at", "uuid() AS run_id", "uuid() AS station_id", "id AS openaq_location_id",
+        "id AS openaq_sensor_id", "'pm25' AS pollutant", "rand() AS value", "uuid() AS dedup_key",
+        "timestamp '2024-01-15' + make_dt_interval(0, cast(if(id % 100 = 0, 30, 1) AS int)) AS period_from_utc")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        assert tables.append(spread, table)["rows"] == 60_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "t").glob("p_date=*")}
+    assert files["p_date=2024-01-15"] > 2 and files["p_date=2024-01-16"] == 1
+
+
 def test_retention(spark, tmp_path):
     table = tables.readings_table(str(tmp_path / "t"))
     df = fx.frame(spark, rows(0, 24, 48, 72), READINGS)
