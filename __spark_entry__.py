@@ -10,6 +10,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -17,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from gaugelake import bindings, oracles  # noqa: E402
-from gaugelake.functions.clock import complete_hour_window  # noqa: E402
+from gaugelake.functions import clock, labels, scores  # noqa: E402
 from gaugelake.functions.scores import round_half_up  # noqa: E402
 from gaugelake.operators import catalogue, dashboard, forecasts, quality, readings, runs  # noqa: E402
+from gaugelake.plans.ingest import ingest_readings  # noqa: E402
 from gaugelake.schemas import READINGS, TARGET_POLLUTANTS, any_null, split_not_null  # noqa: E402
 from gaugelake.session import shared_folder, tune  # noqa: E402
 from gaugelake.sources import payloads, tables  # noqa: E402
@@ -336,10 +338,90 @@ def _flatten_forecast_batch(x: _Inputs) -> DataFrame:
 
 def _complete_hour_window(x: _Inputs) -> DataFrame:
     events = x.table("events")
-    start, end = complete_hour_window(F.col("ts"), 3, events.schema["ts"].dataType)
+    start, end = clock.complete_hour_window(F.col("ts"), 3, events.schema["ts"].dataType)
     return events.select("event_id", start.alias("window_start"), end.alias("window_end"))
 
 
+def _time_functions(x: _Inputs) -> DataFrame:
+    ts = F.col("ts")
+    reference = clock.moment_like(x.table("events"), "ts", oracles.TWO_SOURCE_TS)
+    return _without_zone(
+        x.table("events").select(
+            "event_id",
+            clock.format_utc(ts).alias("rfc3339"),
+            clock.parse_utc(clock.format_utc(ts)).alias("parsed"),
+            clock.run_stamp(ts, F.col("user_id").cast("string")).alias("run_stamp"),
+            clock.utc_label(ts).alias("utc_label"),
+            clock.whole_hours(reference, ts).alias("whole_hours"),
+            clock.age_hours(reference, ts).alias("age_hours"),
+            clock.seconds_between(reference, ts).alias("seconds"),
+            clock.minutes_between(reference, ts).alias("minutes"),
+        )
+    )
+
+
+def _label_functions(x: _Inputs) -> DataFrame:
+    hours = F.when(F.col("event_id") % 5 != 0, F.col("value") - F.lit(5.0))
+    other = F.when(F.col("event_id") % 3 != 0, F.lit(10.0))
+    stale, old = F.coalesce(hours > 2, F.lit(False)), F.coalesce(other > F.col("event_id") % 20, F.lit(False))
+    return x.table("events").select(
+        "event_id",
+        labels.age_label(hours).alias("age_label"),
+        labels.newest_source(hours, other).alias("source"),
+        labels.freshness_band(hours * F.lit(10.0)).alias("band"),
+        labels.severity_class(stale, old, stale | old).alias("severity"),
+        labels.has_token(F.col("props"), "k").alias("has_token"),
+        scores.clamp_score(hours, 40.0).alias("score"),
+        scores.category(scores.clamp_score(hours, 40.0)).alias("category"),
+        round_half_up(scores.clamp_score(hours, 40.0), 2).alias("rounded"),
+    )
+
+
+def _ingest_readings_run(x: _Inputs) -> DataFrame:
+    folder = x.scratch()
+    log = tables.run_log_table(folder + "/log")
+    started = datetime.fromisoformat(oracles.INGEST_TS).replace(tzinfo=UTC)
+    ingest_readings(
+        x.spark, x.reading_pages, x.worklist, tables.readings_table(folder + "/readings"), log, "run-all", started
+    )
+    return _without_zone(
+        tables.read_table(x.spark, log).select(
+            "run_id",
+            "source",
+            "status",
+            "run_started_at",
+            "records_written",
+            "sensors_queried",
+            "sensors_failed",
+            "api_calls",
+            "api_errors",
+            "window_start_utc",
+            "window_end_utc",
+        )
+    )
+
+
+def _stream_request_buckets(x: _Inputs) -> DataFrame:
+    folder = x.scratch()
+    arriving = x.spark.readStream.schema(x.table("events").schema).parquet(f"{x._dir}/events*.parquet")
+    counts = streams.request_buckets(
+        bindings.requests_of(arriving), ["run_date"], bucket_seconds=oracles.AUDIT_BUCKET_SECONDS, lateness="0 seconds"
+    )
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/counts")
+
+    query = (
+        counts.writeStream.outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return _without_zone(x.spark.read.parquet(f"{folder}/counts"))
+
+
 def _retain_days(x: _Inputs) -> DataFrame:
     return tables.retain_days(x.readings, "period_from_utc", 30, oracles.RETENTION_TS)
 
@@ -473,6 +555,10 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "reading_rejects": _reading_rejects,
     "flatten_forecast_batch": _flatten_forecast_batch,
     "complete_hour_window": _complete_hour_window,
+    "time_functions": _time_functions,
+    "label_functions": _label_functions,
+    "ingest_readings_run": _ingest_readings_run,
+    "stream_request_buckets": _stream_request_buckets,
     "retain_days": _retain_days,
     "append_and_read": _append_and_read,
     "stream_latest_readings": _stream_latest_readings,

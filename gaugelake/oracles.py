@@ -15,6 +15,7 @@ TWO_SOURCE_TS = "2024-01-30 12:00:00"
 RUNS_TS = "2001-08-01 12:00:00"
 RETENTION_TS = "2024-02-10 00:00:00"
 LOADED_AT = "2024-02-01 00:00:00"
+INGEST_TS = "2024-02-01 00:20:00"
 SERIES_DAYS = 14
 AUDIT_WINDOW_SECONDS = 600
 AUDIT_BUCKET_SECONDS = 3600
@@ -412,6 +413,48 @@ SELECT place.kind || place.key AS station_id, run_id, (place.key % 90)::DOUBLE A
   place.kind || place.key || '|' || strftime(start_time + to_hours(j::INT), '%Y-%m-%dT%H:%M:%S+00:00') AS dedup_key
 FROM batch_hours""",
         "complete_hour_window": f"""SELECT event_id, {_HOUR} - INTERVAL 3 HOUR AS window_start, {_HOUR} AS window_end FROM events""",
+        "time_functions": f"""
+SELECT event_id,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 <> 0
+    THEN '.' || lpad((microsecond(ts) % 1000000)::VARCHAR, 6, '0') ELSE '' END || 'Z' AS rfc3339,
+  ts AS parsed, strftime(ts, '%Y%m%dT%H%M%SZ') || '_' || user_id AS run_stamp,
+  strftime(ts, '%Y-%m-%d %H:%M UTC') AS utc_label,
+  date_sub('hour', ts, TIMESTAMP '{TWO_SOURCE_TS}') AS whole_hours,
+  date_sub('microsecond', ts, TIMESTAMP '{TWO_SOURCE_TS}')::DOUBLE / 3600000000.0::DOUBLE AS age_hours,
+  date_sub('microsecond', ts, TIMESTAMP '{TWO_SOURCE_TS}')::DOUBLE / 1000000.0::DOUBLE AS seconds,
+  date_sub('second', ts, TIMESTAMP '{TWO_SOURCE_TS}')::DOUBLE / 60.0::DOUBLE AS minutes
+FROM events""",
+        "label_functions": """
+WITH given AS (
+  SELECT event_id, props, CASE WHEN event_id % 5 <> 0 THEN value - 5.0::DOUBLE END AS hours,
+    CASE WHEN event_id % 3 <> 0 THEN 10.0::DOUBLE END AS other FROM events),
+flagged AS (
+  SELECT *, greatest(round_even(hours * 60, 0), 0)::BIGINT AS mins, coalesce(hours > 2, false) AS stale,
+    coalesce(other > event_id % 20, false) AS old,
+    CASE WHEN hours IS NULL THEN 0.0::DOUBLE
+      ELSE least(greatest(hours / 40.0::DOUBLE, 0.0::DOUBLE), 1.0::DOUBLE) END AS score FROM given)
+SELECT event_id,
+  CASE WHEN hours IS NULL THEN 'No data yet'
+    WHEN mins >= 1440 THEN (mins // 1440) || 'd ' || ((mins % 1440) // 60) || 'h ago'
+    WHEN mins >= 60 THEN (mins // 60) || 'h ' || (mins % 60) || 'm ago' ELSE mins || 'm ago' END AS age_label,
+  CASE WHEN hours IS NULL AND other IS NULL THEN 'No data'
+    WHEN other IS NULL OR (hours IS NOT NULL AND hours <= other) THEN 'OpenAQ' ELSE 'Weather' END AS source,
+  CASE WHEN hours * 10 < 90 THEN 'green' WHEN hours * 10 < 360 THEN 'yellow' ELSE 'red' END AS band,
+  CASE WHEN stale AND old THEN 'red' WHEN stale OR old THEN 'yellow' ELSE 'green' END AS severity,
+  regexp_matches(lower(props), '(^|[^a-z0-9])k([^a-z0-9]|$)') AS has_token, score,
+  CASE WHEN score < 0.30::DOUBLE THEN 'poor' WHEN score <= 0.55::DOUBLE THEN 'fair' ELSE 'good' END AS category,
+  floor(score * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS rounded
+FROM flagged""",
+        "ingest_readings_run": f"""
+SELECT 'run-all' AS run_id, 'openaq' AS source, 'success' AS status, TIMESTAMP '{INGEST_TS}' AS run_started_at,
+  (2 * count(value))::BIGINT AS records_written, count(DISTINCT user_id || event_type)::BIGINT AS sensors_queried,
+  0::BIGINT AS sensors_failed, count(*)::BIGINT AS api_calls, 0::BIGINT AS api_errors,
+  date_trunc('hour', TIMESTAMP '{INGEST_TS}')::TIMESTAMP - INTERVAL 3 HOUR AS window_start_utc,
+  date_trunc('hour', TIMESTAMP '{INGEST_TS}')::TIMESTAMP AS window_end_utc
+FROM events""",
+        "stream_request_buckets": f"""{ctes("requests")}
+SELECT run_date, time_bucket(INTERVAL {AUDIT_BUCKET_SECONDS} SECOND, started_at, TIMESTAMP '1970-01-01') AS bucket_start,
+  count(*) AS requests FROM requests GROUP BY ALL""",
         "retain_days": f"""{ctes("readings")}
 SELECT * FROM readings WHERE period_from_utc::DATE + INTERVAL 30 DAY > TIMESTAMP '{RETENTION_TS}'""",
         "append_and_read": f"""{ctes("readings")}

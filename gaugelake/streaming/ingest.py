@@ -24,11 +24,23 @@ from gaugelake.sources.payloads import (
 from gaugelake.sources.tables import PARTITION, TableSpec, append, read_table
 
 
+def _landed(spark: SparkSession, landing: str, schema: str, files_per_batch: int | None) -> DataFrame:
+    """``files_per_batch`` bounds a micro-batch, also when a backlog is worked off."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(landing)
+
+
 def reading_stream(
-    spark: SparkSession, landing: str, sensors: DataFrame, enforce_complete_hours: bool = True
+    spark: SparkSession,
+    landing: str,
+    sensors: DataFrame,
+    enforce_complete_hours: bool = True,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Reading rows from a folder of landed JSON lines, as they arrive."""
-    landed = spark.readStream.schema(LANDED_READINGS).json(landing)
+    landed = _landed(spark, landing, LANDED_READINGS, files_per_batch)
     return flatten_hourly_readings(
         landed,
         sensors,
@@ -39,9 +51,9 @@ def reading_stream(
     )
 
 
-def forecast_stream(spark: SparkSession, landing: str) -> DataFrame:
+def forecast_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
     """Forecast rows from a folder of landed JSON lines, as they arrive."""
-    landed = spark.readStream.schema(LANDED_FORECASTS).json(landing)
+    landed = _landed(spark, landing, LANDED_FORECASTS, files_per_batch)
     return flatten_forecast_batch(landed, F.col("ingested_at"), F.col("run_id"))
 
 

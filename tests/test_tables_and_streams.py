@@ -186,7 +186,7 @@ def test_reading_stream_equals_batch(spark, tmp_path):
     latest, checkpoint = tables.readings_table(str(tmp_path / "latest")), str(tmp_path / "cp")
 
     def run():
-        rows = streams.reading_stream(spark, str(landing), worklist(spark))
+        rows = streams.reading_stream(spark, str(landing), worklist(spark), files_per_batch=1)
         streams.start_ingest(rows, raw, checkpoint, latest, streams.newest_readings).awaitTermination()
 
     land(landing, "1.json", [reading_line("r1", DAY, 101, 1, 2, 30, value=1.0), reading_line("r1", DAY, 102, 1, value=5.0)])
