@@ -21,9 +21,10 @@ from gaugelake import bindings, oracles  # noqa: E402
 from gaugelake.functions import clock, labels, scores  # noqa: E402
 from gaugelake.functions.scores import round_half_up  # noqa: E402
 from gaugelake.operators import catalogue, dashboard, forecasts, quality, readings, runs  # noqa: E402
+from gaugelake.operators.joins import estimated_bytes  # noqa: E402
 from gaugelake.plans.ingest import ingest_readings  # noqa: E402
 from gaugelake.schemas import READINGS, TARGET_POLLUTANTS, any_null, split_not_null  # noqa: E402
-from gaugelake.session import shared_folder, tune  # noqa: E402
+from gaugelake.session import shared_folder, size_shuffles, tune  # noqa: E402
 from gaugelake.sources import payloads, tables  # noqa: E402
 from gaugelake.streaming import ingest as streams  # noqa: E402
 
@@ -40,7 +41,9 @@ class _Inputs:
         self._dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return bindings.table(self.spark, self._dir, name)
+        df = bindings.table(self.spark, self._dir, name)
+        size_shuffles(self.spark, estimated_bytes(df))
+        return df
 
     @property
     def readings(self) -> DataFrame:

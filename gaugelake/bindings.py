@@ -326,7 +326,9 @@ def catalogue_pages_of(supplier: DataFrame, nation: DataFrame) -> DataFrame:
                 (F.lit(4.0) + (key % 25) / F.lit(10.0)).alias("longitude"),
             ),
         ).alias("coordinates"),
-        F.struct(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"), F.col("n_name").alias("name")).alias("country"),
+        F.struct(
+            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"), F.col("n_name").alias("name")
+        ).alias("country"),
         F.struct(F.lit("2020-01-01T00:00:00Z").alias("utc")).alias("datetimeFirst"),
         sensors.alias("sensors"),
     )

@@ -43,7 +43,8 @@ def station_hourly_combined(
 ) -> DataFrame:
     """Pollutants per station, location and hour with the forecast of the same station-hour.
 
-    Both sides arrive laid out by hour and station, so the join itself shuffles nothing.
+    With a stable key both sides arrive laid out by hour and station, so the join itself
+    shuffles nothing.
     Two locations of a station give two rows, although the location is not an output.
     """
     weather_columns = [c for c in FORECAST_VARIABLES if c != "surface_pressure"]

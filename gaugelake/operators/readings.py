@@ -118,18 +118,20 @@ def station_hour_values(
     pollutants: Sequence[str] = REQUIRED_POLLUTANTS,
     stable_key: bool = False,
 ) -> DataFrame:
-    """Pollutant values per station, location and hour, laid out by ``(hour_utc, station_id)``.
+    """Pollutant values per station, location and hour.
 
-    Dedup leaves at most one row per sensor and hour, so the rows are moved to their
-    station-hour once and then grouped and joined in place.
+    With a stable key, dedup leaves one row per sensor of a station-hour. Those few rows
+    are moved to their station-hour once, then grouped and joined in place. With any other
+    key a station-hour may hold many rows, so they are combined before they move.
     """
     needed = ("station_id", "openaq_location_id", "period_from_utc", "pollutant", "value")
-    current = tracked(_current(readings, needed, stable_key), pollutants)
-    return (
-        current.withColumnRenamed("period_from_utc", "hour_utc")
-        .repartition("hour_utc", "station_id")
-        .groupBy("station_id", "openaq_location_id", "hour_utc")
-        .agg(*[_max_of(p, "value").alias(f"{p}_value") for p in pollutants])
+    current = tracked(_current(readings, needed, stable_key), pollutants).withColumnRenamed(
+        "period_from_utc", "hour_utc"
+    )
+    if stable_key:
+        current = current.repartition("hour_utc", "station_id")
+    return current.groupBy("station_id", "openaq_location_id", "hour_utc").agg(
+        *[_max_of(p, "value").alias(f"{p}_value") for p in pollutants]
     )
 
 

@@ -67,7 +67,9 @@ def append(df: DataFrame, table: TableSpec) -> dict:
     """
     seen = Observation()
     ts = F.col(table.time_column)
-    counted = conform(df, table.schema).observe(seen, F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first"), F.max(ts).alias("last"))
+    counted = conform(df, table.schema).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first"), F.max(ts).alias("last")
+    )
     _laid_out(counted, table).write.mode("append").partitionBy(PARTITION).parquet(table.path)
     return _observed(seen, rows=0, first=None, last=None)
 

@@ -16,13 +16,13 @@ INGESTED = datetime(2024, 1, 15, 10, 5, tzinfo=UTC)
 
 HOUR = {
     "period": {
-        "datetimeFrom": {"utc": "2024-01-15T09:00:00Z", "local": "2024-01-15T10:00:00+01:00"},
-        "datetimeTo": {"utc": "2024-01-15T10:00:00Z", "local": "2024-01-15T11:00:00+01:00"},
-        "label": "H09",
-        "interval": 1,
+        "datetimeFrom": {"utc": "2024-01-15T08:00:00Z", "local": "2024-01-15T09:00:00+01:00"},
+        "datetimeTo": {"utc": "2024-01-15T09:00:00Z", "local": "2024-01-15T10:00:00+01:00"},
+        "label": "raw",
+        "interval": "01:00:00",
     },
-    "coverage": {"expectedCount": 60, "observedCount": 58, "percentComplete": 96.67},
-    "value": 25.5,
+    "coverage": {"expectedCount": 12, "observedCount": 9, "percentComplete": 75.0},
+    "value": 7.25,
 }
 
 
@@ -38,32 +38,32 @@ def hour(**changes):
 
 
 def pages(spark, *texts):
-    return spark.createDataFrame([(500, t) for t in texts], "openaq_sensor_id bigint, payload string")
+    return spark.createDataFrame([(77, t) for t in texts], "openaq_sensor_id bigint, payload string")
 
 
 def worklist(spark):
     return spark.createDataFrame(
-        [("1", 100, 500, "pm10", "µg/m³")],
+        [("quay", 31, 77, "pm10", "µg/m³")],
         "station_id string, openaq_location_id bigint, openaq_sensor_id bigint, pollutant string, unit string",
     )
 
 
 def flatten(spark, *items, enforce=True):
     page = pages(spark, json.dumps({"results": list(items)}))
-    return pl.flatten_hourly_readings(page, worklist(spark), INGESTED, "run123", END, enforce)
+    return pl.flatten_hourly_readings(page, worklist(spark), INGESTED, "night-7", END, enforce)
 
 
 def test_valid_reading(spark):
     df = flatten(spark, HOUR)
     assert df.columns == READINGS.fieldNames() and [f.dataType for f in df.schema] == [f.dataType for f in READINGS]
     [row] = df.collect()
-    assert (row.station_id, row.openaq_location_id, row.openaq_sensor_id, row.pollutant) == ("1", 100, 500, "pm10")
-    assert (row.value, row.unit, row.period_label, row.period_interval) == (25.5, "µg/m³", "H09", "1")
-    assert row.period_from_utc == datetime(2024, 1, 15, 9) and row.period_to_utc == datetime(2024, 1, 15, 10)
-    assert row.period_from_local == "2024-01-15T10:00:00+01:00"
-    assert (row.coverage_expected, row.coverage_observed, row.coverage_pct) == (60, 58, 96.67)
-    assert row.dedup_key == "500|2024-01-15T09:00:00Z"
-    assert row.ingested_at == datetime(2024, 1, 15, 10, 5) and row.run_id == "run123"
+    assert (row.station_id, row.openaq_location_id, row.openaq_sensor_id, row.pollutant) == ("quay", 31, 77, "pm10")
+    assert (row.value, row.unit, row.period_label, row.period_interval) == (7.25, "µg/m³", "raw", "01:00:00")
+    assert row.period_from_utc == datetime(2024, 1, 15, 8) and row.period_to_utc == datetime(2024, 1, 15, 9)
+    assert row.period_from_local == "2024-01-15T09:00:00+01:00"
+    assert (row.coverage_expected, row.coverage_observed, row.coverage_pct) == (12, 9, 75.0)
+    assert row.dedup_key == "77|2024-01-15T08:00:00Z"
+    assert row.ingested_at == datetime(2024, 1, 15, 10, 5) and row.run_id == "night-7"
 
 
 LATE = {"utc": "2024-01-15T11:00:00Z"}
@@ -80,7 +80,7 @@ LATE = {"utc": "2024-01-15T11:00:00Z"}
 ])
 def test_reject_reasons(spark, item, enforce, reason):
     page = pages(spark, json.dumps({"results": [item]}))
-    args = (page, worklist(spark), INGESTED, "run123", END, enforce)
+    args = (page, worklist(spark), INGESTED, "night-7", END, enforce)
     [judged] = pl.reading_candidates(*args).collect()
     assert judged.reject_reason == reason
     assert pl.flatten_hourly_readings(*args).count() == (reason is None)
@@ -93,9 +93,9 @@ def test_broken_and_empty_pages(spark):
 
 
 VARIABLES = {
-    "temperature_2m": [12.5, 13.0], "relative_humidity_2m": [80, 75], "surface_pressure": [1013, 1012],
-    "wind_speed_10m": [5.0, 6.0], "wind_direction_10m": [180, 190], "precipitation": [0.0, 0.5],
-    "cloud_cover": [50, 60], "boundary_layer_height": [200, 250],
+    "temperature_2m": [3.5, 4.0], "relative_humidity_2m": [91, 88], "surface_pressure": [990, 991],
+    "wind_speed_10m": [1.5, 2.5], "wind_direction_10m": [10, 350], "precipitation": [0.2, 0.0],
+    "cloud_cover": [100, 5], "boundary_layer_height": [320, 410],
 }
 
 
@@ -109,14 +109,14 @@ def batch(spark, payload, *station_ids):
         [(payload if isinstance(payload, str) else json.dumps(payload), stations)],
         "payload string, stations array<struct<station_id:string,latitude:double,longitude:double>>",
     )
-    return pl.flatten_forecast_batch(df, INGESTED, "run123")
+    return pl.flatten_forecast_batch(df, INGESTED, "night-7")
 
 
 def test_single_object_forecast(spark):
     df = batch(spark, result(), "1")
     assert df.columns == FORECASTS.fieldNames()
     first, second = df.orderBy("valid_time").collect()
-    assert (first.station_id, first.temperature_2m, first.relative_humidity_2m) == ("1", 12.5, 80.0)
+    assert (first.station_id, first.temperature_2m, first.relative_humidity_2m) == ("1", 3.5, 91.0)
     assert first.valid_time == datetime(2024, 1, 15, 9) and second.valid_time == datetime(2024, 1, 15, 10)
     assert first.dedup_key == "1|2024-01-15T09:00:00+00:00" and (first.latitude, first.longitude) == (1.0, 2.0)
 
@@ -150,11 +150,11 @@ def sensor(number, code, name, units="µg/m³"):
 
 
 ITEM = {
-    "id": 42, "name": "Station Alpha", "locality": "Lyon", "isMobile": False, "isMonitor": True,
-    "coordinates": {"latitude": 45.764, "longitude": 4.835}, "country": {"code": "FR", "name": "France"},
-    "timezone": "Europe/Paris", "provider": {"id": 1, "name": "P"}, "owner": {"id": 10, "name": "O"},
-    "datetimeFirst": {"utc": "2020-01-01T00:00:00Z"}, "datetimeLast": {"utc": "2024-06-01T00:00:00Z"},
-    "sensors": [sensor(100, 1, "pm25"), sensor(101, 2, "pm10"), sensor(102, 3, "no2"), sensor(103, 9, "co")],
+    "id": 8, "name": "Old Harbour", "locality": "Marseille", "isMobile": False, "isMonitor": True,
+    "coordinates": {"latitude": 43.6, "longitude": 5.25}, "country": {"code": "FR", "name": "France"},
+    "timezone": "Europe/Paris", "provider": {"id": 21, "name": "P"}, "owner": {"id": 22, "name": "O"},
+    "datetimeFirst": {"utc": "2019-05-04T03:00:00Z"}, "datetimeLast": {"utc": "2024-02-03T01:00:00Z"},
+    "sensors": [sensor(81, 1, "pm25"), sensor(82, 2, "pm10"), sensor(83, 3, "no2"), sensor(84, 9, "co")],
 }
 GONE = object()
 
@@ -191,15 +191,15 @@ def test_selection(spark, change, reason):
 
 
 def test_station_rows(spark):
-    kept, _ = cat.select_stations(parsed(spark, item(), item(id=43, isMobile=True)))
+    kept, _ = cat.select_stations(parsed(spark, item(), item(id=9, isMobile=True)))
     df = cat.build_station_rows(kept, INGESTED)
     assert df.columns == STATIONS.fieldNames()
     [row] = df.collect()
-    assert (row.station_id, row.openaq_location_id, row.station_name) == ("openaq:42", 42, "Station Alpha")
-    assert (row.country_code, row.latitude, row.provider_name, row.owner_id) == ("FR", 45.764, "P", 10)
+    assert (row.station_id, row.openaq_location_id, row.station_name) == ("openaq:8", 8, "Old Harbour")
+    assert (row.country_code, row.latitude, row.provider_name, row.owner_id) == ("FR", 43.6, "P", 22)
     assert (row.pollutants_available, row.sensor_count) == ("no2,pm10,pm25", 4)
     assert row.is_mobile is False and row.is_monitor is True
-    assert row.datetime_first_utc == datetime(2020, 1, 1) and row.loaded_at == datetime(2024, 1, 15, 10, 5)
+    assert row.datetime_first_utc == datetime(2019, 5, 4, 3) and row.loaded_at == datetime(2024, 1, 15, 10, 5)
     assert json.loads(row.raw_json) == ITEM
 
 
@@ -214,9 +214,9 @@ def test_sensor_rows(spark):
     df = cat.build_sensor_rows(parsed(spark, item()), INGESTED)
     assert df.columns == SENSORS.fieldNames()
     rows = {r.openaq_sensor_id: r for r in df.collect()}
-    assert set(rows) == {100, 101, 102}
-    assert (rows[100].station_id, rows[100].parameter_id, rows[100].parameter_name) == ("openaq:42", 1, "pm25")
-    assert (rows[100].parameter_display_name, rows[100].parameter_units) == ("PM25", "µg/m³")
+    assert set(rows) == {81, 82, 83}
+    assert (rows[81].station_id, rows[81].parameter_id, rows[81].parameter_name) == ("openaq:8", 1, "pm25")
+    assert (rows[81].parameter_display_name, rows[81].parameter_units) == ("PM25", "µg/m³")
 
 
 def test_summary(spark):

@@ -10,7 +10,9 @@ import __spark_entry__ as registered
 from fixture import frame
 from gaugelake.operators import forecasts as fc
 from gaugelake.operators import readings as rd
+from gaugelake.operators.joins import broadcast_if_small, spread_join
 from gaugelake.schemas import FORECASTS, STATIONS
+from gaugelake.session import size_shuffles
 from gaugelake.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -100,6 +102,39 @@ def test_shuffles_per_view(spark, stored):
         assert exchanges(fc.station_dispersion_outlook(readings, forecasts, stations, None, stable_key=True)) == 5
 
 
+def test_shuffle_partitions_follow_the_input(spark):
+    with settings(spark, spark__sql__shuffle__partitions="8"):
+        for size, expected in ((0, 8), (10 * 2**20, 8), (64 * 2**30, 1024), (2**30, 1024), (100 * 2**40, 50_000)):
+            size_shuffles(spark, size)
+            assert int(spark.conf.get("spark.sql.shuffle.partitions")) == expected
+
+
+def test_lookups_are_broadcast_only_when_shown_to_be_small(spark, stored):
+    issued = fc.latest_issue_times(tables.read_table(spark, stored[1]))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="10"):
+        assert "ResolvedHint" in broadcast_if_small(issued)._jdf.queryExecution().analyzed().toString()
+        assert "ResolvedHint" not in broadcast_if_small(issued, 3)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in broadcast_if_small(issued)._jdf.queryExecution().analyzed().toString()
+
+
+def test_hot_key_is_spread_when_the_lookup_is_grouped(spark):
+    rows = spark.range(9_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    lookup = rows.groupBy("k").agg(F.count("id").alias("n"))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        joined = spread_join(rows, lookup, ["k"])
+        tasks = joined.filter("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks > 1
+        assert joined.count() == 9_000 and joined.filter("k = 'hot'").agg(F.max("n")).first()[0] == 6_000
+        assert spread_join(rows, lookup.filter("n > 1"), ["k"], "left_semi").count() == 6_000
+
+
+def test_station_hours_move_once_with_a_stable_key_only(spark, stored):
+    readings = tables.read_table(spark, stored[0])
+    assert "REPARTITION_BY_COL" in plan(rd.station_hour_values(readings, stable_key=True))
+    loose = plan(rd.station_hour_values(readings))
+    assert "REPARTITION_BY_COL" not in loose and re.search(r"Exchange[\s\S]*partial_max", loose)
+
+
 def test_grouping_finds_dedup_output_sorted(spark, stored):
     wide = rd.station_hourly_wide(tables.read_table(spark, stored[0]), stable_key=True)
     text = plan(wide)

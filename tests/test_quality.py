@@ -1,7 +1,6 @@
 """The checks, and the suite of view assertions run as one report."""
 
 import fixture as fx
-import pytest
 from fixture import NOW, at
 from pyspark.sql import functions as F
 
