@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugelake.functions import scores
 from gaugelake.functions.clock import Moment, hour_slot, moment_like, shift
-from gaugelake.operators.joins import broadcast_if_small
+from gaugelake.operators.joins import MOST_BROADCAST_ROWS, is_worth_measuring
 from gaugelake.operators.latest import dedup_latest
 from gaugelake.operators.readings import station_hour_values, station_latest_pollutants
 from gaugelake.schemas import FORECAST_VARIABLES, REQUIRED_POLLUTANTS
@@ -70,18 +70,20 @@ def forecast_window(forecasts: DataFrame, horizon_hours: int = 3) -> DataFrame:
     A station without a forecast in the window stays, with NULL aggregates and 0 hours.
 
     The window is spelled out as clock hours, so the match is an equality join on
-    (station, hour): the few matching rows are picked out of the raw table first, without
-    a shuffle of it if the stations are shown to be few, and only those are deduplicated.
-    A station with very many rows is spread over its hours.
+    (station, hour): the few matching rows are picked out of the raw table first and only
+    those are deduplicated. A station with very many rows is spread over its hours.
+
+    Where the table is large, the issue times are counted first. That bounds the valid
+    times to scan, and a bounded number of stations is broadcast, so that the raw table is
+    not shuffled.
     """
     # A station id is never NULL; saying so lets both uses of the aggregate share its shuffle.
     issued = latest_issue_times(forecasts.filter(F.col("station_id").isNotNull()))
     start = F.col("latest_weather_ingested_at")
-    end = shift(start, "HOUR", horizon_hours)
     slots = issued.select(
         "station_id",
         "latest_weather_ingested_at",
-        F.explode(F.sequence(hour_slot(start), hour_slot(end))).alias("slot"),
+        F.explode(F.sequence(hour_slot(start), hour_slot(shift(start, "HOUR", horizon_hours)))).alias("slot"),
     )
     columns = (
         "temperature_2m",
@@ -93,9 +95,23 @@ def forecast_window(forecasts: DataFrame, horizon_hours: int = 3) -> DataFrame:
     )
     order = [c for c in _VERSION_ORDER if c in {"ingested_at", "run_id", "surface_pressure", *columns}]
     raw = forecasts.select(*_KEYS, *order, hour_slot(F.col("valid_time")).alias("slot"))
+    if is_worth_measuring(issued):
+        found = issued.agg(
+            F.count(F.lit(1)).alias("stations"),
+            F.min(start).cast("string").alias("first"),
+            F.max(start).cast("string").alias("last"),
+        ).first()
+        if found.first is not None:
+            first, last = (moment_like(forecasts, "valid_time", t) for t in (found.first, found.last))
+            valid = F.col("valid_time")
+            raw = raw.filter((valid > first) & (valid <= shift(last, "HOUR", horizon_hours)))
+        if found.stations * (horizon_hours + 1) <= MOST_BROADCAST_ROWS:
+            slots = F.broadcast(slots)
     hits = (
-        raw.join(broadcast_if_small(slots), ["station_id", "slot"])
-        .filter((start < F.col("valid_time")) & (F.col("valid_time") <= end))
+        raw.join(slots, ["station_id", "slot"])
+        .filter(
+            (start < F.col("valid_time")) & (F.col("valid_time") <= shift(start, "HOUR", horizon_hours))
+        )
         .select(*_KEYS, *order)
     )
     totals = (

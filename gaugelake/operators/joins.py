@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _PART = "__part"
+MOST_BROADCAST_ROWS = 200_000
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -15,17 +16,20 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+def is_worth_measuring(df: DataFrame) -> bool:
+    """Whether Spark's estimate is too high for it to broadcast ``df`` by itself."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return 0 <= threshold < estimated_bytes(df)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MOST_BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it is shown to have at most ``max_rows`` rows.
 
     For a narrow lookup that meets a raw scan: AQE learns the lookup's size only after it
     has started to shuffle the scan. Where Spark's estimate is already small nothing is
     counted; beyond the bound the join shuffles and AQE splits hot keys.
     """
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    if threshold < 0 or estimated_bytes(df) <= threshold:
-        return df
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if is_worth_measuring(df) and df.count() <= max_rows else df
 
 
 def spread_join(

@@ -117,6 +117,17 @@ def test_lookups_are_broadcast_only_when_shown_to_be_small(spark, stored):
     assert "ResolvedHint" not in broadcast_if_small(issued)._jdf.queryExecution().analyzed().toString()
 
 
+def test_outlook_window_bounds_the_scan_of_a_large_table(spark, stored):
+    forecasts = tables.read_table(spark, stored[1])
+    small = fc.forecast_window(forecasts)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="10"):
+        large = fc.forecast_window(forecasts)
+        assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(valid_time,[^\]]*LessThanOrEqual\(valid_time,", plan(large))
+        assert re.search(r"BroadcastHashJoin \[station_id[^\]]*slot", plan(large))
+        assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+        assert fc.forecast_window(forecasts.limit(0)).count() == 0
+
+
 def test_hot_key_is_spread_when_the_lookup_is_grouped(spark):
     rows = spark.range(9_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     lookup = rows.groupBy("k").agg(F.count("id").alias("n"))
