@@ -224,7 +224,7 @@ def catalogue_summary(
     figures = {
         ("stations", "total"): F.count(F.lit(1)),
         **{("stations_with", p): F.count_if(F.array_contains(tags, p)) for p in sorted(targets)},
-        ("stations", "all_pollutants"): F.count_if(F.size(tags) == 5),
+        ("stations", "all_pollutants"): F.count_if(F.size(tags) == len(set(targets))),
         ("stations", "four_or_more"): F.count_if(F.size(tags) >= 4),
         ("stations", "in_box"): F.count_if(_in_box(box)),
     }

@@ -195,6 +195,16 @@ def any_null(columns: list[str]) -> Column:
     return missing
 
 
+def enforce_not_null(df: DataFrame, schema: StructType) -> DataFrame:
+    """The same rows; the job fails on a row that lacks a required column."""
+
+    def required(name: str) -> Column:
+        kind = schema[name].dataType
+        return F.coalesce(F.col(name), F.raise_error(F.lit(f"{name} is required")).cast(kind))
+
+    return df.withColumns({name: required(name) for name in required_columns(schema)})
+
+
 def split_not_null(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejected)`` rows under the schema's required columns. Both stay lazy."""
     missing = any_null(required_columns(schema))

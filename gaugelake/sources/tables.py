@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from datetime import UTC, date, datetime, timedelta
 
 from py4j.protocol import Py4JError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from gaugelake.functions.clock import Moment, moment, moment_like
-from gaugelake.schemas import FORECASTS, READINGS, RUN_LOG, conform
+from gaugelake.schemas import FORECASTS, READINGS, RUN_LOG, conform, enforce_not_null
 
 log = logging.getLogger(__name__)
 
@@ -63,11 +63,11 @@ def _observed(seen: Observation, **when_empty) -> dict:
 def append(df: DataFrame, table: TableSpec) -> dict:
     """Append rows under the table's schema; returns their count and the range of their time.
 
-    An empty frame adds no file and counts 0.
+    A row without a required value fails the append, and nothing is added. An empty frame adds no file and counts 0.
     """
     seen = Observation()
     ts = F.col(table.time_column)
-    counted = conform(df, table.schema).observe(
+    counted = enforce_not_null(conform(df, table.schema), table.schema).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first"), F.max(ts).alias("last")
     )
     _laid_out(counted, table).write.mode("append").partitionBy(PARTITION).parquet(table.path)
@@ -111,13 +111,15 @@ def read_table(
     return df if keep_date else df.drop(PARTITION)
 
 
-def _unexpired(day: Column, days: int, as_of: Column) -> Column:
-    return F.date_add(day, days).cast("timestamp") > as_of.cast("timestamp")
-
-
 def retain_days(df: DataFrame, time_column: str, days: int = RETENTION_DAYS, as_of: Moment = None) -> DataFrame:
-    """Rows whose partition date is not expired; the read-side twin of :func:`expire_partitions`."""
-    return df.filter(_unexpired(F.to_date(time_column), days, moment_like(df, time_column, as_of)))
+    """Rows whose partition date is not expired; the read-side twin of :func:`expire_partitions`.
+
+    A date expires when it is ``days`` or more before ``as_of``. The first date that is
+    not is a constant, so the filter reaches the scan.
+    """
+    expired = F.to_date(F.timestamp_add("DAY", F.lit(-days), moment_like(df, time_column, as_of)))
+    first_kept = F.date_add(expired, 1).cast(df.schema[time_column].dataType)
+    return df.filter(F.col(time_column) >= first_kept)
 
 
 def partition_dates(spark: SparkSession, path: str) -> dict[date, str]:

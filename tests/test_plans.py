@@ -78,6 +78,18 @@ def test_filters_on_determined_columns_reach_the_scan(spark, stored):
     assert "In(pollutant" not in loose
 
 
+def test_series_and_retention_filters_reach_the_scans(spark, stored):
+    readings, forecasts = (tables.read_table(spark, t) for t in stored)
+    long = rd.unpivot_pollutants(fc.station_hourly_combined(readings, forecasts, stable_key=True))
+    text = plan(rd.station_time_series(long, "7", "pm25", 3, "2024-01-31 00:00:00"))
+    scans = set(re.findall(r"PushedFilters: (.*?), ReadSchema", text))
+    assert len(scans) == 2 and all("EqualTo(station_id,7)" in scan for scan in scans)
+    for column in ("period_from_utc", "valid_time"):
+        assert any(f"GreaterThanOrEqual({column},2024-01-28" in scan for scan in scans)
+    kept = tables.retain_days(readings, "period_from_utc", 30, "2024-02-10 00:00:00")
+    assert "GreaterThanOrEqual(period_from_utc,2024-01-12" in plan(kept)
+
+
 def test_only_needed_columns_are_read(spark, stored):
     readings, forecasts = (tables.read_table(spark, t) for t in stored)
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan(rd.newest_reading_times(readings, stable_key=True))).group(1)

@@ -46,6 +46,14 @@ def test_append_and_pruned_read(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(p_date" in plan and "PushedFilters: [IsNotNull(period_from_utc)" in plan
 
 
+def test_append_refuses_rows_without_required_values(spark, tmp_path):
+    table = tables.readings_table(str(tmp_path / "t"))
+    with pytest.raises(Exception, match="run_id is required"):
+        tables.append(fx.frame(spark, [*rows(0, 1), {**rows(2)[0], "run_id": None}], READINGS), table)
+    assert not list((tmp_path / "t").rglob("*.parquet"))
+    assert tables.append(fx.frame(spark, [{**rows(2)[0], "value": None}], READINGS), table)["rows"] == 1
+
+
 def test_rows_are_sorted_within_files(spark, tmp_path):
     table = tables.readings_table(str(tmp_path / "t"))
     tables.append(fx.frame(spark, rows(*range(24)), READINGS), table)
