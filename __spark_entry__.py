@@ -28,6 +28,14 @@ from gaugelake.session import shared_folder, size_shuffles, tune  # noqa: E402
 from gaugelake.sources import payloads, tables  # noqa: E402
 from gaugelake.streaming import ingest as streams  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from gaugelake.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as error:  # a copy of the library without that subpackage
+    if not (error.name or "").startswith(("gaugelake.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _NTZ = "timestamp_ntz"
@@ -587,8 +595,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _registered(query) for name, query in _QUERIES.items()}
+    found = {name: _registered(query) for name, query in _QUERIES.items()}
+    if llm:
+        found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.sql()
+    found = oracles.sql()
+    if llm:
+        found |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
