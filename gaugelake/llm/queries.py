@@ -6,19 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugelake.llm import debruijn
+from gaugelake.llm import debruijn, lines, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), width=400).drop("kept")
+
+
+def op8_bloom_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_repeated_lines(_table(spark, sf_dir, "documents"), documents=3, least=20).drop("kept_text")
+
+
 def op10_debruijn_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.remove_repeats(_table(spark, sf_dir, "documents"), k=35).drop("kept_text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_repeats": op3_suffix_repeats,
+    "op8_bloom_lines": op8_bloom_lines,
     "op10_debruijn_substrings": op10_debruijn_substrings,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_bloom_lines": """
+WITH split AS (
+  SELECT rowid_, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i
+  FROM (SELECT row_number() OVER () AS rowid_, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM split
+), common AS (
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT rowid_, doc_id, line, i, keeper IS NULL OR doc_id IS NOT DISTINCT FROM keeper AS stays
+  FROM keyed LEFT JOIN common USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256
+FROM judged GROUP BY rowid_, doc_id
+""",
+}
