@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugelake.llm import debruijn, lines, suffixes
+from gaugelake.llm import debruijn, lines, parity, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op8_bloom_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(_table(spark, sf_dir, "documents"), documents=3, least=20).drop("kept_text")
 
 
+def op9_parity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.jaccard_components(_table(spark, sf_dir, "documents"), words=3, percent=90)[0].drop("node")
+
+
 def op10_debruijn_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.remove_repeats(_table(spark, sf_dir, "documents"), k=35).drop("kept_text")
 
@@ -28,6 +32,7 @@ def op10_debruijn_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_repeats": op3_suffix_repeats,
     "op8_bloom_lines": op8_bloom_lines,
+    "op9_parity_components": op9_parity_components,
     "op10_debruijn_substrings": op10_debruijn_substrings,
 }
 
