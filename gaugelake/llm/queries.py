@@ -4,19 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugelake.llm import debruijn, lines, parity, suffixes
+from gaugelake.llm import debruijn, decontaminate, lines, mixing, parity, suffixes, wavelet
+
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), width=400).drop("kept")
 
 
+def op4_smith_waterman_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(_table(spark, sf_dir, "documents")).drop("copies")
+
+
 def op8_bloom_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(_table(spark, sf_dir, "documents"), documents=3, least=20).drop("kept_text")
 
@@ -30,13 +46,64 @@ def op10_debruijn_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_wavelet_tokens": op2_wavelet_tokens,
     "op3_suffix_repeats": op3_suffix_repeats,
+    "op4_smith_waterman_leaks": op4_smith_waterman_leaks,
+    "op5_pareto_mix": op5_pareto_mix,
     "op8_bloom_lines": op8_bloom_lines,
     "op9_parity_components": op9_parity_components,
     "op10_debruijn_substrings": op10_debruijn_substrings,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_pareto_mix": """
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 13))::BIGINT AS bits
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, sum(size::HUGEINT * size)::DOUBLE AS squares FROM d GROUP BY source
+), w AS (
+  SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight,
+         source_size * 2 AS cap
+  FROM s
+), l AS (
+  SELECT *, (sum(source_size) OVER () * 150 / 100
+             - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+            / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS spare
+  FROM w WINDOW o AS (ORDER BY cap / weight, source NULLS LAST)
+), t AS (
+  SELECT *, least(first_value(CASE WHEN spare * weight <= cap THEN spare END IGNORE NULLS) OVER (
+                    ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                  * weight, cap)::DOUBLE AS shared
+  FROM l
+), r AS (
+  SELECT source, source_size, squares, coalesce(shared, cap::DOUBLE) AS target,
+         CASE WHEN source_size > 0 THEN floor(coalesce(shared, cap::DOUBLE) / source_size)::BIGINT ELSE 0 END AS whole
+  FROM t
+), e AS (
+  SELECT d.doc_id, d.size, d.source, r.source_size, r.target, r.whole, r.target - r.whole * r.source_size AS rest,
+         (d.bits + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
+         greatest(least(d.size * (r.target - r.whole * r.source_size) / greatest(r.squares, 1.0::DOUBLE),
+                        (1 - 1e-9)::DOUBLE), 1e-300::DOUBLE) AS p
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+), q AS (
+  SELECT *, (u / (1 - u)) * ((1 - p) / p) AS odds FROM e
+), k AS (
+  SELECT *, least(floor(odds / (1 + odds) * 281474976710656::DOUBLE)::BIGINT, 281474976710655) AS rank FROM q
+), c AS (
+  SELECT source, rank, sum(size) AS words, any_value(rest) AS rest,
+         sum(sum(size)) OVER (PARTITION BY source ORDER BY rank) AS upto
+  FROM k WHERE size > 0 GROUP BY source, rank
+), z AS (
+  SELECT source, arg_min(CASE WHEN abs(upto - rest) < abs(upto - words - rest) THEN rank ELSE rank - 1 END, rank)
+         AS last_rank
+  FROM c WHERE upto >= rest GROUP BY source
+)
+SELECT k.doc_id, k.size, k.source_size, k.target,
+       k.size * (k.whole + CASE WHEN k.rank <= coalesce(z.last_rank, -1) THEN 1 ELSE 0 END) AS taken
+FROM k LEFT JOIN z ON k.source IS NOT DISTINCT FROM z.source
+""",
     "op8_bloom_lines": """
 WITH split AS (
   SELECT rowid_, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i
