@@ -190,3 +190,24 @@ def shard_slices(keys: np.ndarray, shards: int):
     bounds = np.concatenate([[0], cuts, [len(keys)]]).astype(np.int64)
     for s in np.flatnonzero(np.diff(bounds)):
         yield int(s), int(bounds[s]), int(bounds[s + 1])
+
+
+class SortedHashes:
+    """Looks up keys in a sorted array of hashes, by a table of where the hashes of each prefix begin."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = max(1, (2 * len(hashes)).bit_length())
+        self.shift = U64(64 - bits)
+        self.hashes = np.append(hashes, U64((1 << 64) - 1))
+        self.starts = np.searchsorted(hashes, np.arange(1 << bits, dtype=U64) << self.shift).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of every key; -1 for a key that is not there."""
+        at = self.starts[(keys >> self.shift).astype(np.int64)]
+        behind = np.flatnonzero(self.hashes[at] < keys)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.hashes[at[behind]] < keys[behind]]
+        at[self.hashes[at] != keys] = -1
+        at[at == len(self.hashes) - 1] = -1
+        return at

@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugelake.llm import debruijn, decontaminate, lines, mixing, parity, suffixes, wavelet
+from gaugelake.llm import (
+    debruijn,
+    decontaminate,
+    licenses,
+    lines,
+    mixing,
+    parity,
+    quality,
+    secrets,
+    suffixes,
+    wavelet,
+)
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +28,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -33,6 +48,14 @@ def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op6_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
+def op7_license_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_bloom_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(_table(spark, sf_dir, "documents"), documents=3, least=20).drop("kept_text")
 
@@ -46,10 +69,13 @@ def op10_debruijn_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney_quality": op1_kneser_ney_quality,
     "op2_wavelet_tokens": op2_wavelet_tokens,
     "op3_suffix_repeats": op3_suffix_repeats,
     "op4_smith_waterman_leaks": op4_smith_waterman_leaks,
     "op5_pareto_mix": op5_pareto_mix,
+    "op6_entropy_secrets": op6_entropy_secrets,
+    "op7_license_blocks": op7_license_blocks,
     "op8_bloom_lines": op8_bloom_lines,
     "op9_parity_components": op9_parity_components,
     "op10_debruijn_substrings": op10_debruijn_substrings,
