@@ -301,3 +301,22 @@ def jaccard_components(
         "node",
     )
     return out, links
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without all but one document of each group: the one with the smallest doc_id.
+
+    All columns stay. Of rows alike in doc_id and text one stays; rows without doc_id all stay.
+    """
+    out, _ = jaccard_components(docs, words, percent)
+    out = Scratch(docs.sparkSession, "parity").save(out)
+    gone = out.filter("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
+    if gone.count() <= _BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    gone = gone.withColumnRenamed("doc_id", "__gone_id")
+    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone_id"), "left_anti")
+    again = out.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id", "node").count().filter("count > 1")
+    if again.isEmpty():
+        return kept
+    known = kept.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    return known.unionByName(kept.filter("doc_id is null"))
