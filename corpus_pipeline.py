@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugelake.llm import decontaminate, mixing, parity, quality, wavelet
-from gaugelake.llm.shared import Scratch
+from gaugelake.llm.shared import Scratch, importable
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -50,7 +50,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to the documents of a folder; each stage's rows are written to the shared folder."""
-    scratch = Scratch(spark, "pipeline")
+    scratch = Scratch(importable(spark), "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = scratch.save(stage(spark, docs, sf_dir))

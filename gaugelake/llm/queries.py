@@ -19,13 +19,13 @@ from gaugelake.llm import (
     suffixes,
     wavelet,
 )
-
+from gaugelake.llm.shared import importable
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
