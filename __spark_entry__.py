@@ -21,10 +21,9 @@ from gaugelake import bindings, oracles  # noqa: E402
 from gaugelake.functions import clock, labels, scores  # noqa: E402
 from gaugelake.functions.scores import round_half_up  # noqa: E402
 from gaugelake.operators import catalogue, dashboard, forecasts, quality, readings, runs  # noqa: E402
-from gaugelake.operators.joins import estimated_bytes  # noqa: E402
-from gaugelake.plans.ingest import ingest_readings  # noqa: E402
+from gaugelake.plans.ingest import ingest_forecasts, ingest_readings  # noqa: E402
 from gaugelake.schemas import READINGS, TARGET_POLLUTANTS, any_null, split_not_null  # noqa: E402
-from gaugelake.session import shared_folder, size_shuffles, tune  # noqa: E402
+from gaugelake.session import shared_folder, tune  # noqa: E402
 from gaugelake.sources import payloads, tables  # noqa: E402
 from gaugelake.streaming import ingest as streams  # noqa: E402
 
@@ -49,9 +48,7 @@ class _Inputs:
         self._dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        df = bindings.table(self.spark, self._dir, name)
-        size_shuffles(self.spark, estimated_bytes(df))
-        return df
+        return bindings.table(self.spark, self._dir, name)
 
     @property
     def readings(self) -> DataFrame:
@@ -92,11 +89,11 @@ class _Inputs:
 
     @property
     def reading_pages(self) -> DataFrame:
-        return bindings.reading_pages_of(bindings.spread_small(self.table("events")))
+        return bindings.reading_pages_of(self.table("events"))
 
     @property
     def forecast_batches(self) -> DataFrame:
-        return bindings.forecast_batches_of(bindings.spread_small(self.table("lineitem")))
+        return bindings.forecast_batches_of(self.table("lineitem"))
 
     def scratch(self) -> str:
         return f"{shared_folder(self.spark)}/gaugelake-{uuid.uuid4().hex}"
@@ -172,8 +169,8 @@ def _station_pollutants(x: _Inputs) -> DataFrame:
 
 
 def _station_time_series(x: _Inputs) -> DataFrame:
-    return readings.station_time_series(
-        _station_hourly_long(x), None, "pm25", oracles.SERIES_DAYS, oracles.FRESHNESS_TS
+    return forecasts.station_pollutant_series(
+        x.readings, x.forecasts, None, "pm25", oracles.SERIES_DAYS, oracles.FRESHNESS_TS, stable_key=True
     )
 
 
@@ -300,7 +297,7 @@ def _sensor_rows(x: _Inputs) -> DataFrame:
 
 
 def _build_station_rows(x: _Inputs) -> DataFrame:
-    return _without_zone(_station_rows(x).drop("raw_json"))
+    return _without_zone(_station_rows(x).withColumn("raw_json", F.length("raw_json") > 0))
 
 
 def _build_sensor_rows(x: _Inputs) -> DataFrame:
@@ -341,6 +338,21 @@ def _reading_rejects(x: _Inputs) -> DataFrame:
     )
 
 
+def _reading_rejects_unknown(x: _Inputs) -> DataFrame:
+    known = x.worklist.filter(F.col("pollutant") != "so2")
+    judged = payloads.reading_candidates(
+        x.reading_pages, known, F.col("ingested_at"), F.col("run_id"), F.col("window_end")
+    )
+    outcome = F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")
+    return judged.groupBy(outcome).agg(F.count(F.lit(1)).alias("items"))
+
+
+def _forecast_rejects(x: _Inputs) -> DataFrame:
+    judged = payloads.forecast_candidates(x.forecast_batches, F.col("ingested_at"), F.col("run_id"))
+    outcome = F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")
+    return judged.groupBy(outcome).agg(F.count(F.lit(1)).alias("items"))
+
+
 def _flatten_forecast_batch(x: _Inputs) -> DataFrame:
     return _without_zone(
         payloads.flatten_forecast_batch(x.forecast_batches, F.col("ingested_at"), F.col("run_id"))
@@ -412,6 +424,24 @@ def _ingest_readings_run(x: _Inputs) -> DataFrame:
     )
 
 
+def _ingest_forecasts_run(x: _Inputs) -> DataFrame:
+    folder = x.scratch()
+    log = tables.run_log_table(folder + "/log")
+    started = datetime.fromisoformat(oracles.INGEST_TS).replace(tzinfo=UTC)
+    ingest_forecasts(x.spark, x.forecast_batches, tables.forecasts_table(folder + "/forecasts"), log, "run-all", started)
+    return tables.read_table(x.spark, log).select(
+        "run_id",
+        "source",
+        "status",
+        "records_written",
+        "stations_polled",
+        "stations_failed",
+        "api_calls",
+        "api_errors",
+        "failed_station_ids",
+    )
+
+
 def _stream_request_buckets(x: _Inputs) -> DataFrame:
     folder = x.scratch()
     arriving = x.spark.readStream.schema(x.table("events").schema).parquet(f"{x._dir}/events*.parquet")
@@ -420,17 +450,19 @@ def _stream_request_buckets(x: _Inputs) -> DataFrame:
     )
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/counts")
+        batch.write.mode("overwrite").parquet(f"{folder}/counts/{number}")
 
+    # Update mode drops the state of buckets behind the watermark; a bucket's last count is its largest.
     query = (
-        counts.writeStream.outputMode("complete")
+        counts.writeStream.outputMode("update")
         .foreachBatch(write)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return _without_zone(x.spark.read.parquet(f"{folder}/counts"))
+    written = x.spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/counts")
+    return _without_zone(written.groupBy("run_date", "bucket_start").agg(F.max("requests").alias("requests")))
 
 
 def _retain_days(x: _Inputs) -> DataFrame:
@@ -440,7 +472,7 @@ def _retain_days(x: _Inputs) -> DataFrame:
 def _append_and_read(x: _Inputs) -> DataFrame:
     target = tables.readings_table(x.scratch() + "/readings")
     tables.append(x.readings, target)
-    return _without_zone(tables.read_table(x.spark, target, since=oracles.OUTLOOK_TS))
+    return _without_zone(tables.read_table(x.spark, target))
 
 
 def _stream_latest_readings(x: _Inputs) -> DataFrame:
@@ -524,7 +556,15 @@ def _dq_report(x: _Inputs) -> DataFrame:
         "readings_unique": lambda: _dq_unique(x),
         "run_ok": lambda: _dq_members(x),
     }
-    return quality.dq_report(x.spark, checks).select("test_name", "status", "violations")
+    report = quality.dq_report(x.spark, checks)
+    shown = F.transform("samples", lambda v: F.concat_ws("|", *[F.coalesce(v[c], F.lit("")) for c in quality.VIOLATION_COLUMNS[1:]]))
+    return report.select(
+        "test_name",
+        "status",
+        "violations",
+        F.coalesce(F.array_join(shown, "; "), F.lit("")).alias("samples"),
+        F.regexp_extract("error_message", r"^\[([A-Z_]+)", 1).alias("error_class"),
+    )
 
 
 _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
@@ -564,11 +604,14 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "units_by_pollutant": _units_by_pollutant,
     "flatten_hourly_readings": _flatten_hourly_readings,
     "reading_rejects": _reading_rejects,
+    "reading_rejects_unknown": _reading_rejects_unknown,
+    "forecast_rejects": _forecast_rejects,
     "flatten_forecast_batch": _flatten_forecast_batch,
     "complete_hour_window": _complete_hour_window,
     "time_functions": _time_functions,
     "label_functions": _label_functions,
     "ingest_readings_run": _ingest_readings_run,
+    "ingest_forecasts_run": _ingest_forecasts_run,
     "stream_request_buckets": _stream_request_buckets,
     "retain_days": _retain_days,
     "append_and_read": _append_and_read,

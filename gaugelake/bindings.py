@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugelake.operators.joins import estimated_bytes
 from gaugelake.schemas import FORECAST_VARIABLES
 
 # Event types as pollutants: (event type, code, pollutant, unit).
@@ -21,7 +20,6 @@ EVENT_POLLUTANTS = (
     ("signup", 4, "o3", "µg/m³"),
     ("error", 5, "so2", "ppm"),
 )
-ONE_SPLIT_BYTES = 128 * 1024 * 1024
 EPOCH = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"
 
 
@@ -29,18 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a table that fits in one scan split over the cores.
-
-    JSON work is heavy per row, and such a table would be read by a single task. Larger
-    tables come in many splits and are left as they are, so no more than one split is
-    ever moved.
-    """
-    if estimated_bytes(df) >= ONE_SPLIT_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def _by_event(position: int) -> Column:
     choice = F.lit(None)
     for entry in EVENT_POLLUTANTS:

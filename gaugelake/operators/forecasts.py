@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from gaugelake.functions import scores
 from gaugelake.functions.clock import Moment, hour_slot, moment_like, shift
-from gaugelake.operators.joins import MOST_BROADCAST_ROWS, is_worth_measuring
 from gaugelake.operators.latest import dedup_latest
-from gaugelake.operators.readings import station_hour_values, station_latest_pollutants
+from gaugelake.operators.readings import (
+    station_hour_values,
+    station_latest_pollutants,
+    station_time_series,
+    unpivot_pollutants,
+)
 from gaugelake.schemas import FORECAST_VARIABLES, REQUIRED_POLLUTANTS
 
 # The hour leads the key: it is the cheaper sort prefix.
@@ -55,6 +59,30 @@ def station_hourly_combined(
     )
 
 
+def station_pollutant_series(
+    readings: DataFrame,
+    forecasts: DataFrame,
+    station_id: str | None,
+    pollutant: str,
+    days: int,
+    reference_ts: Moment = None,
+    stable_key: bool = False,
+) -> DataFrame:
+    """:func:`station_time_series` from the raw tables.
+
+    With a stable key all versions of a reading are of one station and pollutant, so both
+    filters are put before the dedup and reach the scan.
+    """
+    pollutants = [pollutant] if stable_key else list(REQUIRED_POLLUTANTS)
+    if stable_key:
+        readings = readings.filter(F.col("pollutant") == pollutant)
+        if station_id is not None:
+            readings = readings.filter(F.col("station_id") == station_id)
+            forecasts = forecasts.filter(F.col("station_id") == station_id)
+    wide = station_hourly_combined(readings, forecasts, pollutants, stable_key)
+    return station_time_series(unpivot_pollutants(wide, pollutants), station_id, pollutant, days, reference_ts)
+
+
 def latest_issue_times(forecasts: DataFrame) -> DataFrame:
     """Newest ``ingested_at`` per station.
 
@@ -73,9 +101,9 @@ def forecast_window(forecasts: DataFrame, horizon_hours: int = 3) -> DataFrame:
     (station, hour): the few matching rows are picked out of the raw table first and only
     those are deduplicated. A station with very many rows is spread over its hours.
 
-    Where the table is large, the issue times are counted first. That bounds the valid
-    times to scan, and a bounded number of stations is broadcast, so that the raw table is
-    not shuffled.
+    The scan is bounded by the oldest and the newest issue time of any station, as scalar
+    subqueries of the plan: they are computed whenever the frame runs, so a view over it
+    follows the table. How the issue times are joined is left to adaptive execution.
     """
     # A station id is never NULL; saying so lets both uses of the aggregate share its shuffle.
     issued = latest_issue_times(forecasts.filter(F.col("station_id").isNotNull()))
@@ -95,18 +123,10 @@ def forecast_window(forecasts: DataFrame, horizon_hours: int = 3) -> DataFrame:
     )
     order = [c for c in _VERSION_ORDER if c in {"ingested_at", "run_id", "surface_pressure", *columns}]
     raw = forecasts.select(*_KEYS, *order, hour_slot(F.col("valid_time")).alias("slot"))
-    if is_worth_measuring(issued):
-        found = issued.agg(
-            F.count(F.lit(1)).alias("stations"),
-            F.min(start).cast("string").alias("first"),
-            F.max(start).cast("string").alias("last"),
-        ).first()
-        if found.first is not None:
-            first, last = (moment_like(forecasts, "valid_time", t) for t in (found.first, found.last))
-            valid = F.col("valid_time")
-            raw = raw.filter((valid > first) & (valid <= shift(last, "HOUR", horizon_hours)))
-        if found.stations * (horizon_hours + 1) <= MOST_BROADCAST_ROWS:
-            slots = F.broadcast(slots)
+    oldest = issued.agg(F.min(start)).scalar()
+    newest_issue = issued.agg(F.max(start)).scalar()
+    valid = F.col("valid_time")
+    raw = raw.filter((valid > oldest) & (valid <= shift(newest_issue, "HOUR", horizon_hours)))
     hits = (
         raw.join(slots, ["station_id", "slot"])
         .filter(

@@ -7,7 +7,7 @@ from fnmatch import fnmatch
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -74,10 +74,11 @@ def assert_expected(
 
     wanted = _labelled([(v, F.col(v)) for v in values])
     got = _labelled([(v, F.col(f"__actual_{v}")) for v in values])
-    wrong = actual.join(expected, list(keys)).filter(reduce(Column.__or__, map(differs, values), F.lit(False)))
-    absent = _without_row(expected, df, keys)
-    return violations(wrong, name, _entity(keys), wanted, got, reason).unionByName(
-        violations(absent, name, _entity(keys), wanted, F.lit("missing"), reason)
+    both = expected.join(actual.withColumn("__present", F.lit(True)), list(keys), "left")
+    present = F.col("__present").isNotNull()
+    wrong = ~present | reduce(Column.__or__, map(differs, values), F.lit(False))
+    return violations(
+        both.filter(wrong), name, _entity(keys), wanted, F.when(present, got).otherwise("missing"), reason
     )
 
 
@@ -170,10 +171,10 @@ def dq_report(
 ) -> DataFrame:
     """One row per check: ``test_name, status, violations, samples, error_message``.
 
-    All checks run as one Spark job. Violations are counted and sampled in one
-    aggregation that is combined on the map side: samples are the least violation of
-    each of 16 hash classes, cut to five, so a check may have any number of
-    violations. A check that cannot be planned is an ``error``.
+    All checks run as one Spark job. ``samples`` are a check's first five violations in the
+    order of their columns, equal ones included. Both the count and the samples are reduced
+    in the map tasks, so a check may have any number of violations. A check that cannot be
+    planned is an ``error``.
     """
     kept = {name: check for name, check in sorted(checks.items()) if only is None or fnmatch(name, only)}
     frames, errors = {}, {}
@@ -192,20 +193,17 @@ def dq_report(
         )
     else:
         every = reduce(DataFrame.unionByName, frames.values())
-        row = F.struct(*_DETAILS)
-        bucket = F.pmod(F.xxhash64(*_DETAILS), F.lit(16))
-        least = [F.min(F.when(bucket == i, row)).alias(f"s{i}") for i in range(16)]
-        counted = (
-            every.groupBy("test_name")
-            .agg(F.count(F.lit(1)).alias("violations"), *least)
-            .select(
-                "test_name",
-                "violations",
-                F.slice(
-                    F.array_compact(F.array(*[F.col(f"s{i}") for i in range(16)])), 1, SAMPLES_PER_CHECK
-                ).alias("samples"),
-            )
+        # Ranks trim to the first rows in every map task before anything moves.
+        first = Window.partitionBy("test_name").orderBy(*_DETAILS)
+        ranked = every.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= SAMPLES_PER_CHECK)
+        samples = ranked.groupBy("test_name").agg(
+            F.transform(
+                F.sort_array(F.collect_list(F.struct("rank", *_DETAILS))),
+                lambda x: F.struct(*[x[c].alias(c) for c in _DETAILS]),
+            ).alias("samples")
         )
+        counts = every.groupBy("test_name").agg(F.count(F.lit(1)).alias("violations"))
+        counted = counts.join(samples, "test_name")
     return (
         names.join(counted, "test_name", "left")
         .select(

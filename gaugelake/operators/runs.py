@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from gaugelake.functions.clock import Moment, minutes_between, moment_like, seconds_between, shift
 from gaugelake.functions.labels import freshness_band
-from gaugelake.operators.joins import spread_join
 from gaugelake.operators.latest import newest
 from gaugelake.schemas import RUN_LOG, conform
 
@@ -124,8 +124,9 @@ def run_summary(
 ) -> DataFrame:
     """Accounting of each run, from its rows and the outcomes of its requests.
 
-    ``request_outcomes`` has ``run_id``, the requested unit (a sensor, or a station for
-    forecasts) and ``ok``. ``failures`` names the runs that broke, with ``run_id``,
+    ``request_outcomes`` has one row per request: ``run_id``, ``ok`` and the requested unit, a
+    sensor, or for forecasts the array of a batch's stations. Calls and errors count
+    requests, the failed units those that any failed request asked for. ``failures`` names the runs that broke, with ``run_id``,
     ``unhandled_error`` and ``write_error``; the former takes precedence.
 
     Rows are first reduced to one per run, station and unit, so the distinct counts
@@ -147,20 +148,29 @@ def run_summary(
         F.min("__min").alias("data_timestamp_min"),
         F.max("__max").alias("data_timestamp_max"),
     )
+    asked = F.col(unit_column)
+    if not isinstance(request_outcomes.schema[unit_column].dataType, ArrayType):
+        asked = F.array(asked)
+    good = F.coalesce(F.col("ok"), F.lit(False))
+    # The first unit of a request stands for it in the count of calls.
     requested = (
-        request_outcomes.withColumn("__unit", F.col(unit_column).cast("string"))
+        request_outcomes.select(
+            "run_id", good.alias("__good"), F.posexplode_outer(asked.cast("array<string>")).alias("__place", "__unit")
+        )
+        .withColumn("__call", F.coalesce(F.col("__place"), F.lit(0)) == 0)
         .groupBy("run_id", "__unit")
         .agg(
-            F.count_if("ok").alias("__ok"),
-            F.count_if(~F.coalesce(F.col("ok"), F.lit(False))).alias("__failed"),
+            F.count_if(F.col("__call") & F.col("__good")).alias("__ok"),
+            F.count_if(F.col("__call") & ~F.col("__good")).alias("__errors"),
+            F.count_if(~F.col("__good")).alias("__failed"),
         )
     )
     failed_ids = F.sort_array(F.collect_list(F.when(F.col("__failed") > 0, F.col("__unit"))))
     requests = requested.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("units_queried"),
-        F.count_if(F.col("__failed") > 0).alias("units_failed"),
+        F.count("__unit").alias("units_queried"),
+        F.count_if((F.col("__failed") > 0) & F.col("__unit").isNotNull()).alias("units_failed"),
         F.sum("__ok").alias("api_calls"),
-        F.sum("__failed").alias("api_errors"),
+        F.sum("__errors").alias("api_errors"),
         failed_ids.alias("__failed_ids"),
     )
     joined = requests.join(data, "run_id", "full")
@@ -327,7 +337,7 @@ def request_timeline(
     )
     position = _quotient(F.col("at") - F.col("first_at"), width)
     counted = (
-        spread_join(instants, span, by)
+        instants.join(span, list(by))
         .groupBy(*by, position.alias("bucket"))
         .agg(F.sum("requests").alias("requests"))
     )

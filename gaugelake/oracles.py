@@ -359,7 +359,7 @@ SELECT station_id, station_name, locality, country_code, latitude, longitude, da
   pollutants_available, loaded_at FROM latest_metadata""",
         "eligible_stations": f"""{ctes("latest_metadata")}
 SELECT station_id, station_name FROM latest_metadata
-WHERE {" AND ".join(f"regexp_matches(lower(pollutants_available), '(^|[^a-z0-9]){p}([^a-z0-9]|$)')" for p in ("pm25", "pm10", "no2"))}""",
+WHERE {" AND ".join(f"list_contains(regexp_split_to_array(lower(pollutants_available), '[^a-z0-9]+'), '{p}')" for p in ("pm25", "pm10", "no2"))}""",
         "sensor_worklist": f"""{ctes("sensors")}
 SELECT station_id, openaq_location_id, openaq_sensor_id, parameter_name AS pollutant, parameter_units AS unit
 FROM sensors WHERE parameter_name IN {_TRACKED} AND station_id IN (
@@ -376,7 +376,7 @@ SELECT 'openaq:' || id AS station_id, id AS openaq_location_id, name AS station_
   country_code, country_name, latitude, longitude, NULL::VARCHAR AS timezone, is_mobile, is_monitor,
   NULL::BIGINT AS provider_id, NULL::VARCHAR AS provider_name, NULL::BIGINT AS owner_id, NULL::VARCHAR AS owner_name,
   TIMESTAMP '2020-01-01' AS datetime_first_utc, NULL::TIMESTAMP AS datetime_last_utc, pollutants_available,
-  3::BIGINT AS sensor_count, TIMESTAMP '{LOADED_AT}' AS loaded_at FROM kept""",
+  3::BIGINT AS sensor_count, true AS raw_json, TIMESTAMP '{LOADED_AT}' AS loaded_at FROM kept""",
         "build_sensor_rows": f"{items} SELECT *, TIMESTAMP '{LOADED_AT}' AS loaded_at FROM kept_sensors",
         "catalogue_summary": f"""{items}
 SELECT 'stations' AS metric, 'total' AS item, count(*) AS stations_or_sensors, NULL::BOOLEAN AS needs_conversion FROM kept
@@ -403,6 +403,12 @@ FROM judged_items WHERE reject_reason IS NULL""",
         "reading_rejects": f"""{pages}
 SELECT station_id, reject_reason, count(*) AS rejected FROM judged_items
 WHERE reject_reason IS NOT NULL GROUP BY ALL""",
+        "reading_rejects_unknown": f"""{pages}
+SELECT CASE WHEN reject_reason IS NOT NULL THEN reject_reason WHEN pollutant = 'so2' THEN 'unknown_sensor'
+  ELSE 'accepted' END AS outcome, count(*) AS items FROM judged_items GROUP BY ALL""",
+        "forecast_rejects": f"""WITH {_BATCHES}
+SELECT 'accepted' AS outcome, count(*) AS items FROM batch_hours
+UNION ALL SELECT 'length_mismatch', count(*) FROM lineitem WHERE l_linenumber = 7 HAVING count(*) > 0""",
         "flatten_forecast_batch": f"""WITH {_BATCHES}
 SELECT place.kind || place.key AS station_id, run_id, (place.key % 90)::DOUBLE AS latitude,
   (place.key % 180)::DOUBLE AS longitude, start_time + to_hours(j::INT) AS valid_time,
@@ -441,7 +447,7 @@ SELECT event_id,
     WHEN other IS NULL OR (hours IS NOT NULL AND hours <= other) THEN 'OpenAQ' ELSE 'Weather' END AS source,
   CASE WHEN hours * 10 < 90 THEN 'green' WHEN hours * 10 < 360 THEN 'yellow' ELSE 'red' END AS band,
   CASE WHEN stale AND old THEN 'red' WHEN stale OR old THEN 'yellow' ELSE 'green' END AS severity,
-  regexp_matches(lower(props), '(^|[^a-z0-9])k([^a-z0-9]|$)') AS has_token, score,
+  list_contains(regexp_split_to_array(lower(props), '[^a-z0-9]+'), 'k') AS has_token, score,
   CASE WHEN score < 0.30::DOUBLE THEN 'poor' WHEN score <= 0.55::DOUBLE THEN 'fair' ELSE 'good' END AS category,
   floor(score * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS rounded
 FROM flagged""",
@@ -452,13 +458,20 @@ SELECT 'run-all' AS run_id, 'openaq' AS source, 'success' AS status, TIMESTAMP '
   date_trunc('hour', TIMESTAMP '{INGEST_TS}')::TIMESTAMP - INTERVAL 3 HOUR AS window_start_utc,
   date_trunc('hour', TIMESTAMP '{INGEST_TS}')::TIMESTAMP AS window_end_utc
 FROM events""",
+        "ingest_forecasts_run": f"""WITH {_BATCHES},
+asked AS (
+  SELECT 's' || l_suppkey AS station_id FROM lineitem
+  UNION SELECT 'p' || l_partkey FROM lineitem WHERE l_linenumber <> 1)
+SELECT 'run-all' AS run_id, 'open-meteo' AS source, 'success' AS status, (SELECT count(*) FROM batch_hours) AS records_written,
+  (SELECT count(*) FROM asked) AS stations_polled, 0::BIGINT AS stations_failed,
+  (SELECT count(*) FROM lineitem) AS api_calls, 0::BIGINT AS api_errors, NULL::VARCHAR AS failed_station_ids""",
         "stream_request_buckets": f"""{ctes("requests")}
 SELECT run_date, time_bucket(INTERVAL {AUDIT_BUCKET_SECONDS} SECOND, started_at, TIMESTAMP '1970-01-01') AS bucket_start,
   count(*) AS requests FROM requests GROUP BY ALL""",
         "retain_days": f"""{ctes("readings")}
 SELECT * FROM readings WHERE period_from_utc::DATE + INTERVAL 30 DAY > TIMESTAMP '{RETENTION_TS}'""",
         "append_and_read": f"""{ctes("readings")}
-SELECT {_READING_COLUMNS} FROM readings WHERE period_from_utc >= TIMESTAMP '{OUTLOOK_TS}'""",
+SELECT {_READING_COLUMNS} FROM readings""",
         "stream_latest_readings": f"{ctes('dedup_readings')} SELECT {_READING_COLUMNS} FROM dedup_readings",
         "not_null_rejects": f"""{ctes("readings")}
 SELECT openaq_sensor_id, period_from_utc, value FROM readings WHERE coverage_observed = 7""",
@@ -494,8 +507,13 @@ found AS (
   {_UNIQUE} UNION ALL {_ROW_COUNT} UNION ALL {_MEMBERS} UNION ALL {_NO_ROWS} UNION ALL {_NOT_NULL}
   UNION ALL SELECT 'positive_value', dedup_key, '', '', '' FROM readings WHERE value IS NULL),
 names AS (SELECT unnest(['five_sensors', 'metadata_present', 'missing_column', 'no_poor_hour', 'positive_value',
-  'readings_unique', 'run_ok']) AS test_name)
+  'readings_unique', 'run_ok']) AS test_name),
+placed AS (SELECT *, row_number() OVER (PARTITION BY test_name ORDER BY entity_id NULLS FIRST,
+  expected_value NULLS FIRST, actual_value NULLS FIRST, reason NULLS FIRST) AS place FROM found)
 SELECT n.test_name, CASE WHEN n.test_name = 'missing_column' THEN 'error' WHEN count(f.test_name) > 0 THEN 'failed'
-  ELSE 'passed' END AS status, count(f.test_name) AS violations
-FROM names n LEFT JOIN found f ON n.test_name = f.test_name GROUP BY n.test_name""",
+  ELSE 'passed' END AS status, count(f.test_name) AS violations,
+  coalesce(string_agg(coalesce(entity_id, '') || '|' || coalesce(expected_value, '') || '|' || coalesce(actual_value, '')
+    || '|' || coalesce(reason, ''), '; ' ORDER BY place) FILTER (WHERE place <= 5), '') AS samples,
+  CASE WHEN n.test_name = 'missing_column' THEN 'UNRESOLVED_COLUMN' END AS error_class
+FROM names n LEFT JOIN placed f ON n.test_name = f.test_name GROUP BY n.test_name""",
     }

@@ -62,6 +62,9 @@ def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
         frame.createOrReplaceTempView(name)
 
 
-def fetch(df: DataFrame, rows: int = 10_000) -> pd.DataFrame:
-    """The first rows of a page as a local frame."""
-    return df.limit(rows).toPandas()
+def fetch(df: DataFrame, most: int | None = None) -> pd.DataFrame:
+    """The rows of a page as a local frame; more than ``most`` of them are an error, never cut."""
+    page = (df if most is None else df.limit(most + 1)).toPandas()
+    if most is not None and len(page) > most:
+        raise ValueError(f"the page has more than {most} rows")
+    return page

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
 from functools import cache
 
 from pyspark.sql import SparkSession
 
-# Runtime SQL settings. Hot keys are split by AQE where a join has to shuffle, and
+# Runtime SQL settings. The number of shuffle partitions is the cluster's to set, once, for its
+# largest input: adaptive execution merges what turns out small. Hot keys are split by AQE where a join has to shuffle, and
 # sides are broadcast only when their measured size is under Spark's threshold.
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,28 +18,12 @@ _SETTINGS = {
 }
 
 
-INPUT_BYTES_PER_SHUFFLE_TASK = 64 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 50_000
-
-
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Raise the number of shuffle partitions to suit the input; it is never lowered.
-
-    AQE merges partitions that turn out small, but splits none that an aggregation or a
-    window needs whole. The bound keeps the number of shuffle blocks in hand: beyond it
-    partitions grow and spill.
-    """
-    wanted = min(math.ceil(input_bytes / INPUT_BYTES_PER_SHUFFLE_TASK), MOST_SHUFFLE_PARTITIONS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", wanted)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

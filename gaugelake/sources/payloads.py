@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from gaugelake.functions.clock import Moment, moment, parse_utc
-from gaugelake.operators.joins import broadcast_if_small
 from gaugelake.schemas import (
     CATALOGUE_ITEM,
     CATALOGUE_PAGE,
@@ -59,22 +58,33 @@ def reading_candidates(
 ) -> DataFrame:
     """Every reading of the pages with a ``reject_reason``, NULL for a good one.
 
-    ``payloads`` has ``openaq_sensor_id`` and ``payload``; ``sensors`` is the worklist
+    A page that does not fit the schema counts as a failed request, so its readable items
+    are rejected too (``broken_page``). A sensor outside the worklist keeps its rows, with
+    the reason ``unknown_sensor`` and no station. ``payloads`` has ``openaq_sensor_id`` and ``payload``; ``sensors`` is the worklist
     (station, location, sensor, pollutant, unit). Pages are opened before the lookup,
     so a lookup that has to shuffle moves typed rows and no JSON.
     """
-    items = payloads.select(
+    pages = payloads.select(
         "openaq_sensor_id",
         moment(ingested_at, _INSTANT).alias("ingested_at"),
         _text(run_id).alias("run_id"),
         moment(window_end, _INSTANT).alias("window_end"),
-        F.explode(_reading_page(F.col("payload"))["results"]).alias("item"),
+        _reading_page(F.col("payload")).alias("page"),
+    )
+    items = pages.select(
+        "openaq_sensor_id",
+        "ingested_at",
+        "run_id",
+        "window_end",
+        F.col(f"page.{_BROKEN}").isNotNull().alias("broken"),
+        F.explode("page.results").alias("item"),
     )
     typed = items.select(
         "openaq_sensor_id",
         "ingested_at",
         "run_id",
         "window_end",
+        "broken",
         F.col("item.value").alias("value"),
         F.col("item.period.datetimeFrom.utc").alias("from_text"),
         parse_utc(F.col("item.period.datetimeFrom.utc")).alias("period_from_utc"),
@@ -89,16 +99,23 @@ def reading_candidates(
     )
     malformed = F.col("from_text").isNull() | F.col("to_text").isNull() | F.col("value").isNull()
     unreadable = F.col("period_from_utc").isNull() | F.col("period_to_utc").isNull()
-    reason = F.when(malformed, "malformed").when(unreadable, "unreadable_time")
+    reason = F.when(F.col("broken"), "broken_page").when(malformed, "malformed").when(unreadable, "unreadable_time")
     if enforce_complete_hours:
         reason = reason.when(F.col("period_to_utc") > F.col("window_end"), "incomplete_hour")
     judged = typed.select(
         "*",
         F.concat(F.col("openaq_sensor_id").cast("string"), F.lit("|"), F.col("from_text")).alias("dedup_key"),
         reason.alias("reject_reason"),
-    ).drop("window_end", "from_text", "to_text")
-    lookup = sensors.select("openaq_sensor_id", "station_id", "openaq_location_id", "pollutant", "unit")
-    return judged.join(broadcast_if_small(lookup), "openaq_sensor_id")
+    ).drop("window_end", "from_text", "to_text", "broken")
+    lookup = sensors.select(
+        "openaq_sensor_id", "station_id", "openaq_location_id", "pollutant", "unit", F.lit(True).alias("known")
+    )
+    unknown = F.when(F.col("known").isNull(), "unknown_sensor")
+    return (
+        judged.join(lookup, "openaq_sensor_id", "left")
+        .withColumn("reject_reason", F.coalesce("reject_reason", unknown))
+        .drop("known")
+    )
 
 
 def flatten_hourly_readings(
@@ -121,58 +138,81 @@ def _forecast_results(payload: Column) -> Column:
     return F.from_json(listed, FORECAST_BATCH)
 
 
-def _matching_results(payload: Column, stations: Column) -> Column:
-    """The results if there is one per station, else NULL.
+def _judged_results(payload: Column, stations: Column) -> Column:
+    """The results of a batch, NULL unless there is one per station, and why it is refused.
 
     A separate filter on their number would be pushed below the projection and parse the
     JSON again; the lambda parameter holds the parsed value, so it is parsed once.
     """
-    results = F.array(_forecast_results(payload))
-    return F.transform(results, lambda r: F.when(F.size(r) == F.size(stations), r))[0]
+
+    def judge(results: Column) -> Column:
+        fits = F.size(results) == F.size(stations)
+        why = F.when(results.isNull(), "malformed").when(~F.coalesce(fits, F.lit(False)), "length_mismatch")
+        return F.struct(F.when(fits, results).alias("results"), why.alias("why"))
+
+    return F.transform(F.array(_forecast_results(payload)), judge)[0]
 
 
 def forecast_outcomes(payloads: DataFrame, run_id: str | Column) -> DataFrame:
-    """One row per requested station: the batch was answered with readable JSON or not."""
+    """One row per request: the batch was answered with readable JSON or not, and for which stations.
+
+    ``station_id`` is the array of the stations asked for.
+    """
     ok = _forecast_results(F.col("payload")).isNotNull()
     return payloads.select(
-        _text(run_id).alias("run_id"), ok.alias("ok"), F.explode("stations.station_id").alias("station_id")
+        _text(run_id).alias("run_id"), ok.alias("ok"), F.col("stations.station_id").alias("station_id")
     )
 
 
-def flatten_forecast_batch(payloads: DataFrame, ingested_at: Moment, run_id: str | Column) -> DataFrame:
-    """Batches of parallel-array forecasts to one row per location and hour.
+def forecast_candidates(payloads: DataFrame, ingested_at: Moment, run_id: str | Column) -> DataFrame:
+    """Every forecast hour of the batches with a ``reject_reason``, NULL for a good one.
 
     ``payloads`` has ``payload`` and the requested ``stations`` in request order, an array
-    of station_id, latitude, longitude. The i-th result belongs to the i-th station; a
-    batch with another number of results gives no rows. A value array shorter than the
-    times, or absent, gives NULLs; a longer one adds nothing.
+    of station_id, latitude, longitude. The i-th result belongs to the i-th station. A batch
+    that cannot be read (``malformed``) or has another number of results
+    (``length_mismatch``) gives one rejected row; an hour whose time cannot be read is
+    rejected as ``unreadable_time``. A value array shorter than the times, or absent, gives
+    NULLs; a longer one adds nothing.
     """
-    located = payloads.select(
+    batches = payloads.select(
         "stations",
         moment(ingested_at, _INSTANT).alias("ingested_at"),
         _text(run_id).alias("run_id"),
-        F.posexplode(_matching_results(F.col("payload"), F.col("stations"))).alias("place", "result"),
+        _judged_results(F.col("payload"), F.col("stations")).alias("judged"),
+    )
+    located = batches.select(
+        "stations", "ingested_at", "run_id", "judged.why", F.posexplode_outer("judged.results").alias("place", "result")
     ).select(
         F.get("stations", F.col("place")).alias("station"),
         "ingested_at",
         "run_id",
+        "why",
         F.col("result.hourly").alias("hourly"),
     )
     hours = located.select(
-        "station", "ingested_at", "run_id", "hourly", F.posexplode("hourly.time").alias("hour", "time")
-    )
+        "station", "ingested_at", "run_id", "why", "hourly", F.posexplode_outer("hourly.time").alias("hour", "time")
+    ).filter(F.col("why").isNotNull() | F.col("hour").isNotNull())
     full_time = F.when(F.length("time") == 16, F.concat("time", F.lit(":00+00:00"))).otherwise(F.col("time"))
-    rows = hours.select(
+    valid_time = parse_utc(full_time)
+    return hours.select(
         F.col("station.station_id").alias("station_id"),
         "run_id",
         F.col("station.latitude").alias("latitude"),
         F.col("station.longitude").alias("longitude"),
-        parse_utc(full_time).alias("valid_time"),
+        valid_time.alias("valid_time"),
         *[F.get(F.col(f"hourly.{v}"), F.col("hour")).alias(v) for v in FORECAST_VARIABLES],
         "ingested_at",
         F.concat(F.col("station.station_id"), F.lit("|"), full_time).alias("dedup_key"),
+        F.when(F.col("why").isNotNull(), F.col("why"))
+        .when(valid_time.isNull(), "unreadable_time")
+        .alias("reject_reason"),
     )
-    return conform(rows.filter(F.col("valid_time").isNotNull()), FORECASTS)
+
+
+def flatten_forecast_batch(payloads: DataFrame, ingested_at: Moment, run_id: str | Column) -> DataFrame:
+    """Batches of parallel-array forecasts to one row per location and hour, without the rejected ones."""
+    rows = forecast_candidates(payloads, ingested_at, run_id)
+    return conform(rows.filter(F.col("reject_reason").isNull()), FORECASTS)
 
 
 def parse_catalogue(pages: DataFrame) -> DataFrame:

@@ -52,33 +52,37 @@ def _laid_out(df: DataFrame, table: TableSpec) -> DataFrame:
     return dated.hint("rebalance", F.col(PARTITION)).sortWithinPartitions(PARTITION, *table.cluster_by)
 
 
-def _observed(seen: Observation, **when_empty) -> dict:
+def _observed(seen: Observation, df: DataFrame, **when_empty) -> dict:
     """Metrics of a finished write. Spark reports none for a frame it knows to be empty."""
     try:
         return seen.get
     except Py4JError:
-        return when_empty
+        if df.isEmpty():
+            return when_empty
+        raise
 
 
 def append(df: DataFrame, table: TableSpec) -> dict:
-    """Append rows under the table's schema; returns their count and the range of their time.
+    """Append rows under the table's schema; returns their count, the range of their time and their dates.
 
-    A row without a required value fails the append, and nothing is added. An empty frame adds no file and counts 0.
+    ``days`` has one entry per touched partition, None for rows without a time. A row without a required value fails the append, and nothing is added. An empty frame adds no file and counts 0.
     """
     seen = Observation()
     ts = F.col(table.time_column)
     counted = enforce_not_null(conform(df, table.schema), table.schema).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first"), F.max(ts).alias("last")
+        seen, F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first"), F.max(ts).alias("last"),
+        F.collect_set(F.to_date(ts)).alias("days"), F.count_if(ts.isNull()).alias("undated"),
     )
     _laid_out(counted, table).write.mode("append").partitionBy(PARTITION).parquet(table.path)
-    return _observed(seen, rows=0, first=None, last=None)
+    found = dict(_observed(seen, counted, rows=0, first=None, last=None, days=[], undated=0))
+    return found | {"days": [*found["days"], *([None] if found["undated"] else [])]}
 
 
 def overwrite(df: DataFrame, path: str) -> int:
     """Full refresh of an unpartitioned table; returns its row count."""
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return _observed(seen, rows=0)["rows"]
+    return _observed(seen, df, rows=0)["rows"]
 
 
 def append_run_log(row: DataFrame, table: TableSpec) -> bool:
@@ -115,11 +119,11 @@ def retain_days(df: DataFrame, time_column: str, days: int = RETENTION_DAYS, as_
     """Rows whose partition date is not expired; the read-side twin of :func:`expire_partitions`.
 
     A date expires when it is ``days`` or more before ``as_of``. The first date that is
-    not is a constant, so the filter reaches the scan.
+    not is a constant, so the filter reaches the scan. Rows without a time never expire.
     """
     expired = F.to_date(F.timestamp_add("DAY", F.lit(-days), moment_like(df, time_column, as_of)))
     first_kept = F.date_add(expired, 1).cast(df.schema[time_column].dataType)
-    return df.filter(F.col(time_column) >= first_kept)
+    return df.filter((F.col(time_column) >= first_kept) | F.col(time_column).isNull())
 
 
 def partition_dates(spark: SparkSession, path: str) -> dict[date, str]:

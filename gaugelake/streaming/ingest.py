@@ -24,12 +24,12 @@ from gaugelake.sources.payloads import (
 from gaugelake.sources.tables import PARTITION, TableSpec, append, read_table
 
 
-def _landed(spark: SparkSession, landing: str, schema: str, files_per_batch: int | None) -> DataFrame:
+FILES_PER_BATCH = 1_000
+
+
+def _landed(spark: SparkSession, landing: str, schema: str, files_per_batch: int) -> DataFrame:
     """``files_per_batch`` bounds a micro-batch, also when a backlog is worked off."""
-    reader = spark.readStream.schema(schema)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(landing)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing)
 
 
 def reading_stream(
@@ -37,7 +37,7 @@ def reading_stream(
     landing: str,
     sensors: DataFrame,
     enforce_complete_hours: bool = True,
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Reading rows from a folder of landed JSON lines, as they arrive."""
     landed = _landed(spark, landing, LANDED_READINGS, files_per_batch)
@@ -51,7 +51,7 @@ def reading_stream(
     )
 
 
-def forecast_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
+def forecast_stream(spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Forecast rows from a folder of landed JSON lines, as they arrive."""
     landed = _landed(spark, landing, LANDED_FORECASTS, files_per_batch)
     return flatten_forecast_batch(landed, F.col("ingested_at"), F.col("run_id"))
@@ -70,7 +70,11 @@ def refresh_latest(
     """
     if not days:
         return
-    rows = read_table(spark, raw, keep_date=True).filter(F.col(PARTITION).isin(*days)).drop(PARTITION)
+    dated = [day for day in days if day is not None]
+    touched = F.col(PARTITION).isin(*dated) if dated else F.lit(False)
+    if None in days:
+        touched = touched | F.col(PARTITION).isNull()
+    rows = read_table(spark, raw, keep_date=True).filter(touched).drop(PARTITION)
     dated = dedup(rows).withColumn(PARTITION, F.to_date(latest.time_column))
     (
         dated.hint("rebalance", F.col(PARTITION))
@@ -92,23 +96,15 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append each micro-batch to ``raw`` and refresh the touched dates of ``latest``.
 
-    By default all landed files are taken and the query ends. A batch that is repeated
+    By default all landed files are taken and the query ends. The touched dates, None for rows
+    without a time, are observed while the batch is written. A batch that is repeated
     after a failure appends the same rows again, which dedup resolves.
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        if latest is None:
-            append(batch, raw)
-            return
-        batch.persist()
-        try:
-            append(batch, raw)
-            touched = batch.select(F.to_date(raw.time_column).alias("day")).distinct()
-            # A date per touched day reaches the driver, nothing else.
-            days = [row.day for row in touched.toLocalIterator() if row.day is not None]
-        finally:
-            batch.unpersist()
-        refresh_latest(batch.sparkSession, raw, latest, days, dedup)
+        days = append(batch, raw)["days"]
+        if latest is not None:
+            refresh_latest(batch.sparkSession, raw, latest, days, dedup)
 
     return (
         rows.writeStream.foreachBatch(write)

@@ -2,6 +2,7 @@
 
 import copy
 import json
+from collections import Counter
 from datetime import UTC, datetime
 
 import pytest
@@ -92,6 +93,31 @@ def test_broken_and_empty_pages(spark):
     assert [r.ok for r in pl.reading_outcomes(page, "r").collect()] == [False, False, True, True, True]
 
 
+def test_every_item_is_read_or_rejected(spark):
+    good, wrong = json.dumps({"results": [HOUR]}), json.dumps({"results": [HOUR, hour(value="seven")]})
+    known = pages(spark, good, wrong)
+    other = known.limit(1).withColumn("openaq_sensor_id", F.lit(123456789).cast("bigint"))
+    args = (known.unionByName(other), worklist(spark), INGESTED, "r", END)
+    judged = [(r.reject_reason, r.station_id is None) for r in pl.reading_candidates(*args).collect()]
+    assert Counter(judged) == {(None, False): 1, ("broken_page", False): 2, ("unknown_sensor", True): 1}
+    assert pl.flatten_hourly_readings(*args).count() == 1
+    assert Counter(r.ok for r in pl.reading_outcomes(args[0], "r").collect()) == {True: 2, False: 1}
+
+
+def test_every_forecast_batch_is_read_or_rejected(spark):
+    def reasons(payload, *stations):
+        df = spark.createDataFrame(
+            [(payload if isinstance(payload, str) else json.dumps(payload), [(s, 1.0, 2.0) for s in stations])],
+            "payload string, stations array<struct<station_id:string,latitude:double,longitude:double>>",
+        )
+        return Counter(r.reject_reason for r in pl.forecast_candidates(df, INGESTED, "r").collect())
+
+    assert reasons([result()], "1", "2") == {"length_mismatch": 1}
+    assert reasons("{oops", "1") == {"malformed": 1}
+    assert reasons(result(["2024-01-15T09:00", "noon"]), "1") == {None: 1, "unreadable_time": 1}
+    assert reasons([result(), result()], "1", "2") == {None: 4}
+
+
 VARIABLES = {
     "temperature_2m": [3.5, 4.0], "relative_humidity_2m": [91, 88], "surface_pressure": [990, 991],
     "wind_speed_10m": [1.5, 2.5], "wind_direction_10m": [10, 350], "precipitation": [0.2, 0.0],

@@ -10,9 +10,7 @@ import __spark_entry__ as registered
 from fixture import frame
 from gaugelake.operators import forecasts as fc
 from gaugelake.operators import readings as rd
-from gaugelake.operators.joins import broadcast_if_small, spread_join
 from gaugelake.schemas import FORECASTS, STATIONS
-from gaugelake.session import size_shuffles
 from gaugelake.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -114,41 +112,40 @@ def test_shuffles_per_view(spark, stored):
         assert exchanges(fc.station_dispersion_outlook(readings, forecasts, stations, None, stable_key=True)) == 5
 
 
-def test_shuffle_partitions_follow_the_input(spark):
-    with settings(spark, spark__sql__shuffle__partitions="8"):
-        for size, expected in ((0, 8), (10 * 2**20, 8), (64 * 2**30, 1024), (2**30, 1024), (100 * 2**40, 50_000)):
-            size_shuffles(spark, size)
-            assert int(spark.conf.get("spark.sql.shuffle.partitions")) == expected
-
-
-def test_lookups_are_broadcast_only_when_shown_to_be_small(spark, stored):
-    issued = fc.latest_issue_times(tables.read_table(spark, stored[1]))
-    with settings(spark, spark__sql__autoBroadcastJoinThreshold="10"):
-        assert "ResolvedHint" in broadcast_if_small(issued)._jdf.queryExecution().analyzed().toString()
-        assert "ResolvedHint" not in broadcast_if_small(issued, 3)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(issued)._jdf.queryExecution().analyzed().toString()
-
-
-def test_outlook_window_bounds_the_scan_of_a_large_table(spark, stored):
-    forecasts = tables.read_table(spark, stored[1])
-    small = fc.forecast_window(forecasts)
-    with settings(spark, spark__sql__autoBroadcastJoinThreshold="10"):
-        large = fc.forecast_window(forecasts)
-        assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(valid_time,[^\]]*LessThanOrEqual\(valid_time,", plan(large))
-        assert re.search(r"BroadcastHashJoin \[station_id[^\]]*slot", plan(large))
-        assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
-        assert fc.forecast_window(forecasts.limit(0)).count() == 0
-
-
-def test_hot_key_is_spread_when_the_lookup_is_grouped(spark):
-    rows = spark.range(9_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    lookup = rows.groupBy("k").agg(F.count("id").alias("n"))
-    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
-        joined = spread_join(rows, lookup, ["k"])
-        tasks = joined.filter("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
-        assert tasks > 1
-        assert joined.count() == 9_000 and joined.filter("k = 'hot'").agg(F.max("n")).first()[0] == 6_000
-        assert spread_join(rows, lookup.filter("n > 1"), ["k"], "left_semi").count() == 6_000
+def test_outlook_window_follows_the_table_at_any_size(spark, stored, tmp_path):
+    table = tables.forecasts_table(str(tmp_path / "forecasts"))
+    first = tables.read_table(spark, stored[1])
+    tables.append(first, table)
+    for threshold in ("10", "10485760"):
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold=threshold):
+            view = fc.forecast_window(tables.read_table(spark, table))
+            view.createOrReplaceTempView(f"window_{threshold}")
+            assert view.filter("forecast_hours_count > 0").count() == fc.forecast_window(first).filter(
+                "forecast_hours_count > 0"
+            ).count()
+    later = F.expr("interval 30 days")
+    newer = first.withColumns({c: F.col(c) + later for c in ("ingested_at", "valid_time")})
+    tables.append(newer, table)
+    want = sorted(map(str, fc.forecast_window(first.unionByName(newer)).collect()))
+    assert any("forecast_hours_count=0" not in row for row in want)
+    for threshold in ("10", "10485760"):
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold=threshold):
+            # The same view text, its files listed anew.
+            assert sorted(map(str, fc.forecast_window(tables.read_table(spark, table)).collect())) == want
+    assert fc.forecast_window(first.limit(0)).count() == 0
+
+
+def test_outlook_window_reads_the_forecasts_twice(spark, stored):
+    window = fc.forecast_window(tables.read_table(spark, stored[1]))
+    window.collect()
+    final = window._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" in final and "ReusedExchange" in final
+
+
+def test_series_filters_the_pollutant_at_the_scan(spark, stored):
+    readings, forecasts = (tables.read_table(spark, t) for t in stored)
+    one = fc.station_pollutant_series(readings, forecasts, None, "pm25", 30, "2024-02-10 00:00:00", stable_key=True)
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(pollutant,pm25\)", plan(one))
 
 
 def test_station_hours_move_once_with_a_stable_key_only(spark, stored):

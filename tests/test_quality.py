@@ -2,6 +2,7 @@
 
 import fixture as fx
 from fixture import NOW, at
+import pytest
 from pyspark.sql import functions as F
 
 from gaugelake.operators import forecasts as fc
@@ -108,6 +109,15 @@ def test_report_of_failures_and_errors(spark):
     assert {r["status"] for r in dq.run_checks(spark, {"b_breaks": checks["b_breaks"]})} == {"error"}
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 6, 40])
+def test_samples_are_the_first_violations_duplicates_included(spark, n):
+    df = spark.createDataFrame([(f"k{i // 2:02}",) for i in range(n)], "k string")
+    checks = {f"check_{i}": dq.assert_no_rows(df, F.lit(True), ["k"], f"check_{i}") for i in range(4)}
+    for row in dq.dq_report(spark, checks).collect():
+        assert row.violations == n
+        assert [s.entity_id for s in row.samples] == [f"k{i // 2:02}" for i in range(min(5, n))]
+
+
 def test_runtime_error_lands_on_its_check(spark):
     df = spark.createDataFrame([("1",), ("x",)], "k string")
     checks = {

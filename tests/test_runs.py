@@ -77,6 +77,20 @@ def test_run_summary_status_precedence(spark):
     assert found["unwritten"].record_count == 0
 
 
+def test_requests_for_several_stations_count_once(spark):
+    asked = spark.createDataFrame(
+        [("r", ["a", "b", "c"], True), ("r", ["d", "e"], False), ("s", ["a"], None), ("t", [], False)],
+        "run_id string, station_id array<string>, ok boolean",
+    )
+    rows = fx.frame(spark, [fx.reading("a", 1, 11, "pm25", 9, 1.0, run="r")], fx.readings(spark).schema)
+    found = {r.run_id: r for r in runs.run_summary(rows, asked, unit_column="station_id").collect()}
+    r = found["r"]
+    assert (r.api_calls, r.api_errors, r.units_queried, r.units_failed) == (1, 1, 5, 2)
+    assert r.failed_ids == '["d","e"]' and r.status == "partial_success"
+    assert (found["s"].api_calls, found["s"].api_errors, found["s"].failed_ids) == (0, 1, '["a"]')
+    assert (found["t"].api_calls, found["t"].api_errors, found["t"].units_queried) == (0, 1, 0)
+
+
 def test_run_log_row(spark):
     summary = runs.run_summary(fx.readings(spark), outcomes(spark, ("run_1", 101, True), ("run_1", 9, False)))
     start, end = F.lit("2026-03-22 10:00:00").cast("timestamp"), F.lit("2026-03-22 10:30:00.5").cast("timestamp")

@@ -34,4 +34,7 @@ def test_all_views_can_be_counted(spark):
     assert counts["v_openaq_deduped"] == 14 and counts["v_weather_deduped"] == 14
     assert counts["v_station_dispersion_outlook"] == 5 and counts["v_ingestion_overview"] == 2
     assert all(counts.values())
-    assert len(fetch(spark.table("v_openaq_deduped"), 3)) == 3
+    every = fetch(spark.table("v_openaq_deduped"))
+    assert len(every) == spark.table("v_openaq_deduped").count() > 3
+    with pytest.raises(ValueError, match="more than 3 rows"):
+        fetch(spark.table("v_openaq_deduped"), 3)

@@ -89,6 +89,21 @@ def test_retention(spark, tmp_path):
     assert tables.expire_partitions(spark, tables.readings_table(str(tmp_path / "none")), 1, as_of) == []
 
 
+def test_rows_without_a_time_stay(spark, tmp_path):
+    table = tables.readings_table(str(tmp_path / "t"))
+    df = fx.frame(spark, rows(0, 72), READINGS)
+    undated = df.limit(1).withColumn("period_from_utc", F.lit(None).cast(df.schema["period_from_utc"].dataType))
+    every = df.unionByName(undated)
+    written = tables.append(every, table)
+    assert written["rows"] == 3 and set(written["days"]) == {date(2024, 1, 15), date(2024, 1, 18), None}
+    kept = tables.retain_days(every, "period_from_utc", 1, datetime(2024, 1, 17))
+    tables.expire_partitions(spark, table, 1, datetime(2024, 1, 17))
+    assert values(tables.read_table(spark, table)) == values(kept) and kept.count() == 2
+    latest = tables.readings_table(str(tmp_path / "latest"))
+    streams.refresh_latest(spark, table, latest, [None, date(2024, 1, 18)], streams.newest_readings)
+    assert tables.read_table(spark, latest).count() == streams.newest_readings(kept).count() == 2
+
+
 def test_full_refresh(spark, tmp_path):
     path = str(tmp_path / "stations")
     assert tables.overwrite(fx.stations(spark), path) == 3
