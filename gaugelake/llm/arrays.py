@@ -134,6 +134,14 @@ def byte_codes(raw: np.ndarray) -> np.ndarray:
     return _byte_codes()[raw]
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys."""
+    keys = np.sort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new]
+
+
 def run_bounds(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every run of true values."""
     edge = np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8))

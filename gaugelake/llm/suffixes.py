@@ -51,8 +51,7 @@ class _Step:
         n = len(self.at)
         first = np.searchsorted(self.doc, self.doc, "left")
         self.number = np.arange(n) - first
-        self.sums = arrays.prefix_hashes(arrays.byte_codes(raw))
-        chunks = arrays.slice_hashes(self.sums, self.at[:-1], self.at[1:]) if n > 1 else np.zeros(0, _U64)
+        chunks = arrays.slice_hashes(self._sums(), self.at[:-1], self.at[1:]) if n > 1 else np.zeros(0, _U64)
         whole = np.zeros(n, bool)
         if n > 3:
             whole[: n - 3] = self.doc[: n - 3] == self.doc[3:]
@@ -60,6 +59,10 @@ class _Step:
         i = self.sampled
         self.triples = arrays.mix(chunks[i] + arrays.mix(chunks[i + 1] + arrays.mix(chunks[i + 2])))
 
+    def _sums(self) -> np.ndarray:
+        """Prefix hashes of the bytes; eight times the text, so not kept."""
+        return arrays.prefix_hashes(arrays.byte_codes(self.raw))
+
     def pairs_up(self, names: np.ndarray):
         """Sampled triples of the shorter strings of names: their first chunk and key.
 
@@ -100,23 +103,22 @@ class _Step:
         return np.cumsum(change[:-1]) > 0
 
     def prefixes(self, starts: np.ndarray, width: int) -> np.ndarray:
-        return arrays.slice_hashes(self.sums, starts, starts + width)
+        return arrays.slice_hashes(self._sums(), starts, starts + width) if len(starts) else np.zeros(0, _U64)
 
 
 class _Block:
     def __init__(self, docs: pa.Table, width: int, shards: int):
         self.width, self.shards = width, shards
         self.raw, self.off = arrays.text_buffer(docs.column("text"))
-        self.spans = list(arrays.steps(self.off, _STEP))
+        self.steps = [
+            (a, b, _Step(self.raw[self.off[a] : self.off[b]], self.off[a : b + 1] - self.off[a]))
+            for a, b in arrays.steps(self.off, _STEP)
+        ]
         self.digests = [
             blake2b(self.raw[a:b], digest_size=_DIGEST).digest() if b - a >= width else None
             for a, b in zip(self.off[:-1].tolist(), self.off[1:].tolist(), strict=True)
         ]
 
-    def steps(self):
-        for a, b in self.spans:
-            yield a, b, _Step(self.raw[self.off[a] : self.off[b]], self.off[a : b + 1] - self.off[a])
-
     # round 1: triples and whole texts
 
     def _copies(self):
@@ -129,7 +131,7 @@ class _Block:
         return ordered, heads, np.array([found[x] > 1 for x in ordered], bool)
 
     def triple_requests(self):
-        keys = np.concatenate([np.zeros(0, _U64), *(s.triples for _, _, s in self.steps())])
+        keys = np.concatenate([np.zeros(0, _U64), *(s.triples for _, _, s in self.steps)])
         _, _, rows = blocks.count_requests(keys, self.shards)
         named = dict(rows)
         ordered, heads, often = self._copies()
@@ -143,8 +145,8 @@ class _Block:
 
     def learn_names(self, parts: dict[int, bytes]) -> None:
         """Names of the distinct triples, and the copied texts with whether this block stands for them."""
-        keys = np.concatenate([np.zeros(0, _U64), *(s.triples for _, _, s in self.steps())])
-        distinct = np.unique(keys)
+        keys = np.concatenate([np.zeros(0, _U64), *(s.triples for _, _, s in self.steps)])
+        distinct = arrays.distinct(keys)
         names = np.zeros(len(distinct), _U64)
         ordered, heads, _ = self._copies()
         at = {s: (a, b) for s, a, b in arrays.shard_slices(heads, self.shards)}
@@ -171,52 +173,53 @@ class _Block:
     # round 2: triples of names
 
     def _second(self):
-        return np.concatenate([np.zeros(0, _U64), *(s.pairs_up(self._named(s))[1] for _, _, s in self.steps())])
+        return np.concatenate([np.zeros(0, _U64), *(s.pairs_up(self._named(s))[1] for _, _, s in self.steps)])
 
     def name_requests(self):
         return blocks.count_requests(self._second(), self.shards)[2]
 
     def learn_second(self, parts: dict[int, bytes]) -> None:
-        self.second = np.unique(self._second())
+        self.second = arrays.distinct(self._second())
         self.second_named = blocks.answered_bits(self.second, self.shards, parts)
 
     # round 3: the remaining suffixes
 
     def suffixes(self):
-        """Per step: texts a to b, the step, the possible starts and their prefixes' fingerprints."""
-        for a, b, step in self.steps():
+        """Per step: texts a to b, the step, the possible starts with their prefixes' fingerprints, and the
+        fingerprints of copied texts that this block sends for all copies."""
+        sent: set[bytes] = set()
+        for a, b, step in self.steps:
             names = self._named(step)
             second, keys = step.pairs_up(names)
             named = self.second_named[np.searchsorted(self.second, keys)] if len(keys) else np.zeros(0, bool)
             may = step.possible(names, second, named, self.width)
+            own = [np.zeros(0, np.int64)]
             for d in range(a, b):
-                if self.digests[d] in self.copied:
-                    lo = int(step.off[d - a])
-                    may[lo : max(lo, int(step.off[d - a + 1]) - self.width + 1)] = False
+                x = self.digests[d]
+                if x in self.copied:
+                    lo, hi = int(step.off[d - a]), int(step.off[d - a + 1]) - self.width + 1
+                    may[lo:hi] = False
+                    if self.copied[x] and x not in sent:
+                        sent.add(x)
+                        own.append(np.arange(lo, hi))
             starts = np.flatnonzero(may)
-            yield a, b, step, starts, step.prefixes(starts, self.width)
+            keys = step.prefixes(np.concatenate([starts, *own]), self.width)
+            yield a, b, step, starts, keys[: len(starts)], keys[len(starts) :]
 
-    def _prefixes(self):
-        parts, sent = [np.zeros(0, _U64)], set()
-        for a, b, step, _, keys in self.suffixes():
-            parts.append(keys)
-            for d in range(a, b):
-                x = self.digests[d]
-                if self.copied.get(x) and x not in sent:
-                    sent.add(x)
-                    lo, hi = int(step.off[d - a]), int(step.off[d - a + 1])
-                    own = step.prefixes(np.arange(lo, hi - self.width + 1), self.width)
-                    parts += [own, own]  # it stands for two copies at least
-        return np.concatenate(parts)
+    @staticmethod
+    def _sent(suffixes):
+        """All fingerprints the block sends; those of a copied text twice, as they stand for two copies at least."""
+        return np.concatenate([np.zeros(0, _U64), *(k for *_, keys, own in suffixes for k in (keys, own, own))])
 
     def prefix_requests(self):
-        return blocks.count_requests(self._prefixes(), self.shards)[2]
+        return blocks.count_requests(self._sent(self.suffixes()), self.shards)[2]
 
     def removed(self, parts: dict[int, bytes]):
         """Flags of the removed bytes of each text, in order."""
-        distinct = np.unique(self._prefixes())
+        suffixes = list(self.suffixes())
+        distinct = arrays.distinct(self._sent(suffixes))
         again = blocks.answered_bits(distinct, self.shards, parts)
-        for a, b, step, starts, keys in self.suffixes():
+        for a, b, step, starts, keys, _ in suffixes:
             hit = starts[again[np.searchsorted(distinct, keys)]] if len(starts) else starts
             gone = arrays.covered(hit, self.width, len(step.raw))
             for d in range(a, b):
