@@ -21,7 +21,7 @@ from gaugelake import bindings, oracles  # noqa: E402
 from gaugelake.functions import clock, labels, scores  # noqa: E402
 from gaugelake.functions.scores import round_half_up  # noqa: E402
 from gaugelake.operators import catalogue, dashboard, forecasts, quality, readings, runs  # noqa: E402
-from gaugelake.plans.ingest import ingest_forecasts, ingest_readings  # noqa: E402
+from gaugelake.plans.ingest import ingest_forecasts, ingest_readings, refresh_catalogue  # noqa: E402
 from gaugelake.schemas import READINGS, TARGET_POLLUTANTS, any_null, split_not_null  # noqa: E402
 from gaugelake.session import shared_folder, tune  # noqa: E402
 from gaugelake.sources import payloads, tables  # noqa: E402
@@ -174,6 +174,39 @@ def _station_time_series(x: _Inputs) -> DataFrame:
     )
 
 
+# The same views for a key that need not name one sensor and hour.
+
+
+def _station_latest_pollutants_any_key(x: _Inputs) -> DataFrame:
+    return readings.station_latest_pollutants(x.readings, x.stations)
+
+
+def _station_hourly_wide_any_key(x: _Inputs) -> DataFrame:
+    return readings.station_hourly_wide(x.readings)
+
+
+def _station_hourly_combined_any_key(x: _Inputs) -> DataFrame:
+    return forecasts.station_hourly_combined(x.readings, x.forecasts)
+
+
+def _station_dispersion_outlook_any_key(x: _Inputs) -> DataFrame:
+    return forecasts.station_dispersion_outlook(x.readings, x.forecasts, x.stations, oracles.OUTLOOK_TS)
+
+
+def _station_freshness_any_key(x: _Inputs) -> DataFrame:
+    return readings.station_freshness(x.readings, x.stations, oracles.FRESHNESS_TS)
+
+
+def _station_time_series_any_key(x: _Inputs) -> DataFrame:
+    return readings.station_time_series(
+        readings.unpivot_pollutants(_station_hourly_combined_any_key(x)),
+        None,
+        "pm25",
+        oracles.SERIES_DAYS,
+        oracles.FRESHNESS_TS,
+    )
+
+
 # --- dashboard --------------------------------------------------------------------
 
 
@@ -308,6 +341,13 @@ def _catalogue_summary(x: _Inputs) -> DataFrame:
     return catalogue.catalogue_summary(_station_rows(x), _sensor_rows(x))
 
 
+def _refresh_catalogue(x: _Inputs) -> DataFrame:
+    folder = x.scratch()
+    pages = bindings.catalogue_pages_of(x.table("supplier"), x.table("nation"))
+    summary, _ = refresh_catalogue(pages, f"{folder}/stations", f"{folder}/sensors", oracles.LOADED_AT)
+    return summary
+
+
 def _subset_stations(x: _Inputs) -> DataFrame:
     return catalogue.subset_stations(_station_rows(x))
 
@@ -573,6 +613,12 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "station_latest_pollutants": _station_latest_pollutants,
     "station_hourly_wide": _station_hourly_wide,
     "station_hourly_combined": _station_hourly_combined,
+    "station_latest_pollutants_any_key": _station_latest_pollutants_any_key,
+    "station_hourly_wide_any_key": _station_hourly_wide_any_key,
+    "station_hourly_combined_any_key": _station_hourly_combined_any_key,
+    "station_dispersion_outlook_any_key": _station_dispersion_outlook_any_key,
+    "station_freshness_any_key": _station_freshness_any_key,
+    "station_time_series_any_key": _station_time_series_any_key,
     "station_hourly_long": _station_hourly_long,
     "station_current_outlook": _station_current_outlook,
     "station_dispersion_outlook": _station_dispersion_outlook,
@@ -600,6 +646,7 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "build_station_rows": _build_station_rows,
     "build_sensor_rows": _build_sensor_rows,
     "catalogue_summary": _catalogue_summary,
+    "refresh_catalogue": _refresh_catalogue,
     "subset_stations": _subset_stations,
     "units_by_pollutant": _units_by_pollutant,
     "flatten_hourly_readings": _flatten_hourly_readings,

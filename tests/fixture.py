@@ -1,4 +1,4 @@
-"""Deterministic input rows. Reference time 2026-03-22 14:00 UTC; values are the shared fixture values."""
+"""Deterministic input rows. Reference time 2026-03-22 14:00 UTC; places and texts are invented."""
 
 from datetime import UTC, datetime
 
@@ -14,6 +14,7 @@ def at(hour, minute=0, day=22):
     return datetime(2026, 3, day, hour, minute, tzinfo=UTC)
 
 
+# The numbers the expected results of the view tests rest on.
 # station, sensor, pollutant, {hour: value}
 _SERIES = [
     ("station_a", 1, 101, "pm25", {7: 50.0, 8: 15.0, 9: 18.0, 10: 22.0}),
@@ -26,7 +27,7 @@ _SERIES = [
 
 # station: latitude, longitude, {hour: temperature, humidity, pressure, wind, direction, precipitation, cloud, boundary layer}
 _WEATHER = {
-    "station_a": (52.52, 13.405, {
+    "station_a": (53.1, -6.25, {
         9: (8.5, 68, 1013, 4, 180, 0.5, 25, 450),
         10: (9, 65, 1012, 4.5, 190, 0.5, 20, 550),
         11: (10, 65, 1013, 5, 180, 1, 20, 500),
@@ -37,7 +38,7 @@ _WEATHER = {
         16: (18, 45, 1009, 15, 220, 2, 30, 1200),
         17: (17, 50, 1009, 8, 210, 0.5, 35, 800),
     }),
-    "station_c": (48.1351, 11.582, {
+    "station_c": (51.9, -7.75, {
         11: (8, 70, 1015, 4, 160, 0.5, 15, 400),
         12: (10, 65, 1014, 5, 170, 1, 20, 450),
         13: (12, 60, 1013, 6, 180, 1.5, 25, 500),
@@ -81,19 +82,19 @@ def forecasts(spark, ntz=False):
     rows = [
         forecast(s, h, v, place=(lat, lon)) for s, (lat, lon, hours) in _WEATHER.items() for h, v in hours.items()
     ]
-    rows.append(forecast("station_a", 11, (-99, 0, 0, 0, 0, 0, 0, 0), at(9), "weather_run_0", (52.52, 13.405)))
+    rows.append(forecast("station_a", 11, (-99, 0, 0, 0, 0, 0, 0, 0), at(9), "weather_run_0", (53.1, -6.25)))
     return _kind(frame(spark, rows, FORECASTS), ntz)
 
 
 def stations(spark):
     places = [
-        ("station_a", 1, "Station A - Central", "Berlin", 52.52, 13.405, "no2,pm10,pm25"),
-        ("station_b", 2, "Station B - North", "Hamburg", 53.5511, 9.9937, "no2,pm10,pm25"),
-        ("station_c", 3, "Station C - Weather Only", "Munich", 48.1351, 11.582, None),
+        ("station_a", 1, "Quay Street", "Aldport", 53.1, -6.25, "no2,pm10,pm25"),
+        ("station_b", 2, "Mill Lane", "Brineford", 54.05, -8.5, "no2,pm10,pm25"),
+        ("station_c", 3, "Hilltop", "Cairnholt", 51.9, -7.75, None),
     ]
     rows = [
-        {"station_id": i, "openaq_location_id": n, "station_name": name, "locality": town, "country_code": "DE",
-         "country_name": "Germany", "latitude": lat, "longitude": lon, "timezone": "Europe/Berlin",
+        {"station_id": i, "openaq_location_id": n, "station_name": name, "locality": town, "country_code": "IE",
+         "country_name": "Ireland", "latitude": lat, "longitude": lon, "timezone": "Europe/Dublin",
          "is_mobile": False, "is_monitor": True, "pollutants_available": has, "loaded_at": at(10)}
         for i, n, name, town, lat, lon, has in places
     ]
@@ -117,7 +118,7 @@ def run_log(spark):
 
     return frame(spark, [
         run("run_1", "openaq", "success", at(10), at(10, 5), 300.0, 500, 10, 0),
-        run("run_error", "openaq", "error", at(9), at(9, 1), 60.0, 0, 1, 1, "API rate limit exceeded"),
+        run("run_error", "openaq", "error", at(9), at(9, 1), 60.0, 0, 1, 1, "quota spent"),
         run("run_old", "openaq", "success", at(8, day=21), at(8, 5, 21), 300.0, 400, 8, 0),
         run("weather_run_1", "open-meteo", "success", at(10), at(10, 2), 120.0, 96, 2, 0),
     ], RUN_LOG)

@@ -86,4 +86,4 @@ def test_detail_and_center(spark):
         fx.readings(spark).filter("station_id = 'station_b'"), fx.forecasts(spark), fx.stations(spark), NOW)
     assert [r.station_id for r in dash.station_detail(shown).collect()] == ["station_b", "station_a"]
     center = dash.map_center(shown).first()
-    assert abs(center.latitude - (52.52 + 53.5511) / 2) < 1e-9
+    assert abs(center.latitude - (53.1 + 54.05) / 2) < 1e-9

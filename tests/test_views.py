@@ -68,7 +68,7 @@ def test_latest_pollutants(spark, ntz, stable):
     assert (a.pm25_value, a.pm10_value, a.no2_value) == (22.0, 30.0, 45.0)
     assert a.pm25_unit == fx.UNIT and clock(a.latest_reading_time) == clock(at(10))
     assert (a.station_name, a.locality, a.country_code, a.latitude, a.longitude) == (
-        "Station A - Central", "Berlin", "DE", 52.52, 13.405)
+        "Quay Street", "Aldport", "IE", 53.1, -6.25)
 
 
 def test_latest_pollutants_two_sensors_and_missing_metadata(spark, stable):
@@ -158,9 +158,9 @@ def test_dispersion_outlook(spark, ntz, stable):
         assert row.blh_score == pytest.approx(blh, abs=0.01) and row.wind_score == pytest.approx(wind, abs=0.01)
         assert row.precip_score == pytest.approx(rain, abs=0.01)
         assert row.dispersion_score == pytest.approx(score, abs=0.01) and row.outlook_category == name
-        assert row.latest_pm25 == 22.0 and row.station_name == "Station A - Central"
+        assert row.latest_pm25 == 22.0 and row.station_name == "Quay Street"
     c = found["station_c", clock(at(16))]
-    assert c.latest_pm25 is None and c.locality == "Munich" and c.outlook_category == "fair"
+    assert c.latest_pm25 is None and c.locality == "Cairnholt" and c.outlook_category == "fair"
 
 
 def test_dispersion_null_weather_scores_zero(spark):
