@@ -94,6 +94,13 @@ def steps(off: np.ndarray, size: int = _STEP):
         a = min(b, n)
 
 
+def pieces(batches, size: int = _STEP // 2):
+    """Arrow batches with a column ``text`` cut into slices of bounded text, a longer text alone."""
+    for batch in batches:
+        for a, b in steps(text_buffer(batch.column("text"))[1], size):
+            yield batch.slice(a, b - a)
+
+
 def word_bounds(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every run of non-space bytes, and the word offset of each text and the end."""
     n = len(raw)

@@ -1,12 +1,18 @@
 """Exact n-gram Jaccard join with parity sketches.
 
-Each distinct shingle set becomes one node. A set is hashed to a bit sketch in which every
-shingle flips one bit, so the Hamming distance of two sketches never exceeds the size of the
-sets' symmetric difference. Two sets of T elements together with a Jaccard similarity of p percent
-differ in at most T * (100 - p) / (100 + p) elements. Sets are sketched per size band, a band's
-sketch having one 64-bit word more than the largest difference in the band; by the pigeonhole
-principle a linked pair then has an equal word. Words found in one sketch only are dropped in a
-counting round; the other words join the sketches. Candidates are verified on the exact sets.
+Each distinct shingle set becomes one node. A shingle XORs its hash into one word of the node's
+sketch and flips one bit of a narrow bit sketch, so neither the number of unequal words nor the
+Hamming distance of the bits ever exceeds the size of two sets' symmetric difference. Two sets
+of T elements together with a Jaccard similarity of p percent differ in at most
+T * (100 - p) / (100 + p) elements. Sets are sketched per size band, with one word more than the
+largest difference in the band; by the pigeonhole principle a linked pair then has an equal word.
+Words found in one sketch only are dropped in a counting round; the others join the sketches.
+Candidates are verified on the exact sets.
+
+Words without a shingle are equal in sets that have nothing in common. Sketches of more than 32
+words leave them out: a linked pair without another equal word would need every single difference
+in a word of its own, and its hashes to leave the remaining word empty, which 32 random choices
+do with a probability below 1e-13, no more than what equal 64-bit hashes risk anyway.
 
 Pairs are not spread within a group: each word's sketches are first verified against one hub.
 Only sketches that share a word and are still in different components are compared pair by
@@ -28,23 +34,24 @@ from gaugelake.llm.components import component_roots
 from gaugelake.llm.shared import Scratch
 
 _U64 = np.uint64
-_WORD = 64
 _TILE = 400
+_ALL_WORDS = 32
+_BLOCK_SHINGLES = 500_000
 #: Ids of this many documents (8 MB) may be broadcast; more are joined by a shuffle.
 _BROADCAST_IDS = 1_000_000
 
-_SKETCHED = "doc_id long, n_shingles long, node long, sketches array<struct<band:int,bits:binary>>"
+_SKETCHED = "doc_id long, n_shingles long, node long, words array<long>, bits binary"
 
 
 def bands_of(size: int, percent: int) -> Iterator[tuple[int, int]]:
     """The size bands a set takes part in, each with its largest set size.
 
-    Bands grow by one half. A pair is found in the band of its larger set, so a set also enters
+    Bands grow by one third. A pair is found in the band of its larger set, so a set also enters
     the bands above that it can reach with the given similarity.
     """
     low, band = 1, 0
     while low * percent <= size * 100:
-        above = max(low + 1, low * 3 // 2)
+        above = max(low + 1, low * 4 // 3)
         if size < above:
             yield band, above - 1
         low, band = above, band + 1
@@ -55,19 +62,42 @@ def most_apart(together: int, percent: int) -> int:
     return together * (100 - percent) // (100 + percent)
 
 
-def sketch(shingles: np.ndarray, band: int, largest: int, percent: int) -> np.ndarray:
-    """The parity sketch as 64-bit words."""
-    words = most_apart(2 * largest, percent) + 1
-    at = arrays.mix(shingles + arrays.mix(np.array([band + 1], _U64))) % _U64(words * _WORD)
-    odd = np.bincount(at.astype(np.int64), minlength=words * _WORD) & 1
+def words_of(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of the sketch's words in each of its bands.
+
+    Of a band's words the first few are enough: one more than any partner of this set can differ in.
+    """
+    out = [np.zeros(0, _U64)]
+    own = len(shingles) * (100 - percent) // percent + 1
+    for band, largest in bands_of(len(shingles), percent):
+        n = most_apart(2 * largest, percent) + 1
+        salt = arrays.mix(np.array([band + 1], _U64))
+        hashes = arrays.mix(shingles + salt)
+        at = (hashes % _U64(n)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        places, starts = np.unique(at[order], return_index=True)
+        words = np.zeros(n, _U64)
+        words[places] = np.bitwise_xor.reduceat(arrays.mix(hashes)[order], starts)
+        keys = arrays.mix(words + arrays.mix(np.arange(n, dtype=_U64) + (salt << _U64(1))))
+        used = np.zeros(n, bool)
+        used[places] = True
+        some = np.arange(n) < own
+        out.append(keys[some & used] if n > _ALL_WORDS else keys[some])
+    return np.concatenate(out)
+
+
+def bit_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity bits as 64-bit words: the next power of two above two bits a shingle."""
+    n = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    odd = np.bincount((arrays.mix(shingles) % _U64(n)).astype(np.int64), minlength=n) & 1
     return np.packbits(odd.astype(np.uint8)).view("<u8")
 
 
-def signatures(bits: np.ndarray, band: int, size: int, percent: int) -> np.ndarray:
-    """Keys of the first words of a sketch: one more than any partner of this set can differ in."""
-    words = bits[: size * (100 - percent) // percent + 1]
-    at = arrays.mix(np.arange(len(words), dtype=_U64) + (np.array([band + 1], _U64) << _U64(40)))
-    return arrays.mix(words + at)
+def distance(a: np.ndarray, b: np.ndarray) -> int:
+    """Hamming distance of two bit sketches; the longer one is folded, which keeps it a parity sketch."""
+    if len(a) < len(b):
+        a, b = b, a
+    return int(np.bitwise_count(np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0) ^ b).sum())
 
 
 def shingle_sets(texts: pa.ChunkedArray, words: int) -> Iterator[np.ndarray]:
@@ -89,47 +119,48 @@ def _node(shingles: np.ndarray) -> int:
 
 def _sketch_rows(words: int, percent: int):
     def rows(batches):
-        for batch in batches:
-            nodes, sizes, sketches = [], [], []
+        sent: set[int] = set()  # copies within a task are sketched once
+        for batch in arrays.pieces(batches):
+            nodes, sizes, keys, bits = [], [], [], []
             for s in shingle_sets(batch.column("text"), words):
-                nodes.append(_node(s))
+                node = _node(s)
+                fresh = len(s) > 0 and node not in sent
+                sent.add(node)
+                nodes.append(node)
                 sizes.append(len(s))
-                sketches.append(
-                    [
-                        {"band": band, "bits": sketch(s, band, largest, percent).tobytes()}
-                        for band, largest in bands_of(len(s), percent)
-                    ]
-                )
+                keys.append(words_of(s, percent).view(np.int64) if fresh else None)
+                bits.append(bit_sketch(s).tobytes() if fresh else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(nodes, pa.int64()),
-                    pa.array(sketches, pa.list_(pa.struct([("band", pa.int32()), ("bits", pa.binary())]))),
+                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(bits, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "node", "sketches"],
+                names=["doc_id", "n_shingles", "node", "words", "bits"],
             )
 
     return rows
 
 
 class _Words:
-    """The signatures of one block of nodes."""
+    """The words of one block of nodes, copies from several tasks taken once."""
 
-    def __init__(self, table: pa.Table, percent: int):
-        keys, owners = [np.zeros(0, _U64)], [np.zeros(0, np.int64)]
-        self.nodes, self.sizes = table.column("node").to_pylist(), table.column("n_shingles").to_pylist()
-        for i, sketches in enumerate(table.column("sketches").to_pylist()):
-            for x in sketches:
-                own = signatures(np.frombuffer(x["bits"], "<u8"), x["band"], self.sizes[i], percent)
-                keys.append(own)
-                owners.append(np.full(len(own), i))
-        self.keys, self.owners = np.concatenate(keys), np.concatenate(owners)
+    def __init__(self, table: pa.Table):
+        nodes = np.asarray(table.column("node").combine_chunks())
+        _, first = np.unique(nodes, return_index=True)
+        table = table.take(pa.array(first))
+        self.nodes = np.asarray(table.column("node").combine_chunks())
+        self.sizes = np.asarray(table.column("n_shingles").combine_chunks())
+        lists = table.column("words").combine_chunks()
+        self.keys = np.asarray(lists.flatten()).view(_U64)
+        self.owners = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
 
 
 def _set_rows(words: int):
     def rows(batches):
-        for batch in batches:
+        for batch in arrays.pieces(batches):
             sets = list(shingle_sets(batch.column("text"), words))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -186,7 +217,7 @@ def _tile_pairs(percent: int, across: bool):
         )
         diagonal = left[0] == right[0]
         side = np.array(rows.column("side").to_pylist())
-        sketches = [{x["band"]: np.frombuffer(x["bits"], "<u8") for x in s} for s in rows.column("sketches").to_pylist()]
+        sketches = [np.frombuffer(x, "<u8") for x in rows.column("bits").to_pylist()]
         found = set()
         top = np.flatnonzero(side == left[0])
         for i in top.tolist():
@@ -197,9 +228,7 @@ def _tile_pairs(percent: int, across: bool):
                 & ((label[others] != label[i]) | (not across))
             ]
             for j in fit.tolist():
-                band = max(sketches[i].keys() & sketches[j].keys())
-                apart = int(np.bitwise_count(sketches[i][band] ^ sketches[j][band]).sum())
-                if apart <= most_apart(int(size[i] + size[j]), percent):
+                if distance(sketches[i], sketches[j]) <= most_apart(int(size[i] + size[j]), percent):
                     found.add((min(int(node[i]), int(node[j])), max(int(node[i]), int(node[j]))))
         return pa.table(
             {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
@@ -253,25 +282,26 @@ def jaccard_components(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sketched = scratch.save(docs.mapInArrow(_sketch_rows(words, percent), _SKETCHED))
     members = sketched.filter("n_shingles > 0").select("doc_id", "node")
-    distinct = sketched.filter("n_shingles > 0").select("node", "n_shingles", "sketches").dropDuplicates(["node"])
-    size = sketched.agg(F.sum("n_shingles")).first()[0] or 0
-    n = max(1, -(-size // 2_000_000))
-    base = distinct.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(n)).cast("int")).repartition(n, "block")
+    first = sketched.filter("words is not null")
+    size = first.agg(F.sum("n_shingles")).first()[0] or 0
+    n = max(1, -(-size // _BLOCK_SHINGLES))
+    block = F.pmod(F.xxhash64("node"), F.lit(n)).cast("int").alias("block")
+    base = first.select(block, "node", "n_shingles", "words").repartition(n, "block")
 
     def repeated_words(table, got):
-        w = _Words(table, percent)
+        w = _Words(table)
         keys, places, _ = blocks.count_requests(w.keys, n)
         hit = blocks.answered_bits(keys, n, got.get(1, {}))[places] if len(places) else np.zeros(0, bool)
         own = w.owners[hit]
         return pa.table(
             {
                 "word": pa.array(w.keys[hit].view(np.int64), pa.int64()),
-                "node": pa.array(np.array(w.nodes, np.int64)[own], pa.int64()),
-                "n_shingles": pa.array(np.array(w.sizes, np.int64)[own], pa.int64()),
+                "node": pa.array(w.nodes[own], pa.int64()),
+                "n_shingles": pa.array(w.sizes[own], pa.int64()),
             }
         )
 
-    got = blocks.ask(base, lambda t, _: blocks.count_requests(_Words(t, percent).keys, n)[2], blocks.repeated, 1)
+    got = blocks.ask(base, lambda t, _: blocks.count_requests(_Words(t).keys, n)[2], blocks.repeated, 1)
     shared = scratch.save(blocks.finish(base, got, repeated_words, "word long, node long, n_shingles long"))
 
     hubs = shared.groupBy("word").agg(F.min_by(F.struct("node", "n_shingles"), "node").alias("hub"))
@@ -286,7 +316,8 @@ def jaccard_components(
     roots = component_roots(links, scratch)
 
     labelled = shared.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root", "n_shingles")
-    rest = scratch.save(_tiled(labelled, distinct, percent, not every_link).join(links, ["a", "b"], "left_anti"))
+    sketches = first.select("node", "n_shingles", "bits").dropDuplicates(["node"])
+    rest = scratch.save(_tiled(labelled, sketches, percent, not every_link).join(links, ["a", "b"], "left_anti"))
     more = scratch.save(_verified(rest, docs, members, words, percent))
     links = links.unionByName(more)
     roots = component_roots(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
