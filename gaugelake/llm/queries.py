@@ -81,6 +81,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_debruijn_substrings": op10_debruijn_substrings,
 }
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_SPACED = r"'[^\x20\x09-\x0D]+'"
+_LETTERED = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+def _sql_list(words: str) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words.split()) + "]"
+
+
+def _license_sql() -> str:
+    phrases = ", ".join(f"({_sql_list(p)}, '{label}')" for p, label in licenses.PHRASES)
+    templates = ", ".join(f"('{label}', {_sql_list(t)})" for label, t in licenses.TEMPLATES)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), {_LOWER}) AS t FROM documents),
+words AS (SELECT r, doc_id, regexp_extract_all(t, {_LETTERED}) AS ws FROM docs),
+phrases(p, label) AS (VALUES {phrases}),
+templates(label, sentence) AS (VALUES {templates}),
+starts AS (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM words),
+places AS (SELECT r, i - 1 AS place, label FROM starts JOIN phrases ON ws[i:i + len(p) - 1] = p),
+base AS (
+  SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY r),
+blocks AS (SELECT r, list_distinct(regexp_extract_all(unnest(string_split(t, chr(10))), {_LETTERED})) AS have FROM docs),
+shares AS (
+  SELECT r, label, len(list_intersect(have, list_distinct(sentence)))::DOUBLE / len(list_distinct(sentence)) AS share
+  FROM blocks, templates),
+found AS (
+  SELECT r, label, share FROM shares WHERE share >= 0.9 - 1e-12 UNION ALL SELECT r, label, 1.0::DOUBLE FROM places),
+named AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM found GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+FROM words LEFT JOIN base USING (r) LEFT JOIN named USING (r)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_pareto_mix": """
 WITH d AS (
@@ -148,5 +183,39 @@ WITH split AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256
 FROM judged GROUP BY rowid_, doc_id
+""",
+    "op7_license_blocks": _license_sql(),
+    "op9_parity_components": f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_SPACED}) AS ws
+  FROM documents
+), starts AS (
+  SELECT r, ws, unnest(range(1, greatest(len(ws) - 2, least(len(ws), 1)) + 1)) AS i FROM docs
+), shingles AS (SELECT DISTINCT r, array_to_string(ws[i:i + 2], ' ') AS s FROM starts),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+shared AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM shingles a JOIN shingles b USING (s) WHERE a.r <> b.r GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.r = x JOIN sizes q ON q.r = y WHERE 100 * c >= 90 * (p.n + q.n - c)
+), reach(x, y) AS (
+  SELECT r, r FROM docs UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM docs d LEFT JOIN sizes USING (r) JOIN reach ON reach.x = d.r JOIN docs o ON o.r = reach.y GROUP BY d.r, d.doc_id
+""",
+    "op10_debruijn_substrings": f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), {_SPACED}) AS ws FROM documents
+), starts AS (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM docs WHERE len(ws) >= 35),
+windows AS (SELECT r, i, array_to_string(ws[i:i + 34], ' ') AS w FROM starts),
+again AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT r, i + k AS p
+  FROM (SELECT r, i FROM windows SEMI JOIN again USING (w)), (SELECT unnest(range(35)) AS k)
+), words AS (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM docs),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (r, p) GROUP BY r
+), lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM docs LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
 """,
 }
