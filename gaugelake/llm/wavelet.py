@@ -13,9 +13,9 @@ planes.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gaugelake.llm import arrays
 from gaugelake.llm.shared import Scratch
 
 _MAGIC = b"GLWAVE01"
@@ -32,7 +33,6 @@ _END_ID = 2
 _SHARD_BYTES = 16 * 1024 * 1024
 #: Offsets of this many shards (a few MB) may be broadcast; more are joined by a shuffle.
 _BROADCAST_SHARDS = 200_000
-_SPECIAL = "<|endoftext|>"
 
 _SHARD = "shard int, n_documents long, n_tokens long, image binary"
 _TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -174,59 +174,93 @@ def read_image(image: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarra
     return WaveletMatrix(list(planes), zeros, list(ranks), n), ids, ends
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE writes bytes as letters: printable ones as themselves, the others from code point 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordTokenizer:
-    """Encodes texts with a tokenizer that drops white space, each distinct word once.
+    """Encodes texts with a word-level tokenizer of the library, each distinct word once.
 
-    Words between ASCII white space are encoded on their own: no token of such a tokenizer crosses
-    white space. Many words go through the library at a time, parted by a special token.
+    Words between ASCII white space are encoded on their own, as no token of such a tokenizer
+    crosses white space. Words of ASCII and Latin-1 letters are put in lower case and cut into the
+    tokenizer's pieces here, and every distinct piece is encoded by the library's model; all other
+    words go through the whole library.
     """
 
-    def __init__(self, path: str):
+    _PLAIN = re.compile("[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+    # Fixed value: the tokenizer's own pattern, its letters and digits narrowed to those of plain words.
+    _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+
+    def __init__(self, path: str, pieces: dict[str, list[int]] | None = None):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.mark = self.library.token_to_id(_SPECIAL)
-        self.places: dict[bytes, int] = {}
-        self.ids, self.sizes = [np.array([_END_ID], np.uint32)], [1]
-
-    def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<|" not in w]
-        for a in range(0, len(plain), 2000):
-            part = plain[a : a + 2000]
-            text = _SPECIAL.join(w.decode() for w in part)
-            got = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-            cuts = np.concatenate([[-1], np.flatnonzero(got == self.mark), [len(got)]])
-            self._keep(part, got[got != self.mark], np.diff(cuts) - 1)
-        for w in words:
-            if b"<|" in w:
-                got = self.library.encode(w.decode(), add_special_tokens=False).ids
-                self._keep([w], np.array(got, np.uint32), [len(got)])
-
-    def _keep(self, words, ids, sizes) -> None:
-        for w in words:
-            self.places[w] = len(self.places) + 1
-        self.ids.append(ids)
-        self.sizes.extend(np.asarray(sizes).tolist())
-
-    def encode(self, texts: Iterator[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each followed by the end id, and the place after each text's last id."""
-        places, ends = [], []
-        for text in texts:
-            words = text.encode().split()
-            if new := set(words).difference(self.places):
-                self._learn(sorted(new))
-            places.append(np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)))
-            places.append(np.zeros(1, np.int64))
-            ends.append(len(words) + 1)
-        if not ends:
+        self.model = self.library.model
+        self.letters = _byte_letters()
+        self.pieces = {} if pieces is None else pieces
+        self.places: dict[int, int] = {}  # by the hash of the word
+        self.ids, self.sizes = [_END_ID], [1]  # the end of a document is the word at place 0
+
+    def _piece(self, piece: str) -> list[int]:
+        text = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        self.pieces[piece] = ids = [t.id for t in self.model.tokenize(text)]
+        return ids
+
+    def _learn(self, word: bytes) -> None:
+        text = word.decode()
+        if self._PLAIN.fullmatch(text) and "<|" not in text:
+            known, size = self.pieces.get, len(self.ids)
+            for piece in self._PIECES.findall(text.lower()):
+                self.ids += known(piece) or self._piece(piece)
+            self.sizes.append(len(self.ids) - size)
+        else:
+            ids = self.library.encode(text, add_special_tokens=False).ids
+            self.ids += ids
+            self.sizes.append(len(ids))
+
+    def encode(self, texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty), each followed by the end id, and the place after each text's last id."""
+        raw, off = arrays.text_buffer(texts)
+        hashes, bounds = arrays.word_hashes(texts)
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        starts, ends = [], []
+        for a, b in arrays.steps(off):
+            s, e, _ = arrays.word_bounds(raw[off[a] : off[b]], off[a : b + 1] - off[a])
+            starts.append(s + off[a])
+            ends.append(e + off[a])
+        lows = np.concatenate([np.zeros(0, np.int64), *starts])[first].tolist()
+        highs = np.concatenate([np.zeros(0, np.int64), *ends])[first].tolist()
+        data, places = raw.tobytes(), np.empty(len(distinct), np.int64)
+        for i, (h, low, high) in enumerate(zip(distinct.tolist(), lows, highs, strict=True)):
+            if (place := self.places.get(h)) is None:
+                self.places[h] = place = len(self.sizes)
+                self._learn(data[low:high])
+            places[i] = place
+        # The end of each document stands behind its words.
+        at = np.insert(places[inverse], bounds[1:], 0) if len(distinct) else np.zeros(len(bounds) - 1, np.int64)
+        if not len(at):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        at = np.concatenate(places)
         sizes = np.array(self.sizes, np.int64)
         firsts = np.cumsum(sizes) - sizes
         lengths = sizes[at]
         stops = np.cumsum(lengths)
         gather = np.repeat(firsts[at] - (stops - lengths), lengths) + np.arange(stops[-1])
-        return np.concatenate(self.ids)[gather], stops[np.cumsum(ends) - 1]
+        return np.array(self.ids, np.uint32)[gather], stops[bounds[1:] + np.arange(len(bounds) - 1)]
+
+
+#: Pieces a Python worker keeps from shard to shard; beyond this many it starts anew.
+_KEPT_PIECES = 200_000
+_pieces: dict[str, dict[str, list[int]]] = {}
+
+
+def _tokenizer(path: str) -> WordTokenizer:
+    kept = _pieces.setdefault(path, {})
+    if len(kept) > _KEPT_PIECES:
+        kept.clear()
+    return WordTokenizer(path, kept)
 
 
 def _shards(path: str, bits: int):
@@ -236,8 +270,8 @@ def _shards(path: str, bits: int):
             if not batch.num_rows:
                 continue
             shard = batch.column("shard")[0].as_py() if shard is None else shard
-            tokenizer = tokenizer or WordTokenizer(path)
-            ids, stops = tokenizer.encode(x or "" for x in batch.column("text").to_pylist())
+            tokenizer = tokenizer or _tokenizer(path)
+            ids, stops = tokenizer.encode(batch.column("text"))
             doc_ids += batch.column("doc_id").to_pylist()
             encoded.append(ids.astype(np.uint16 if bits <= 16 else np.uint32))
             ends.append(stops + total)

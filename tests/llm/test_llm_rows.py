@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import texts as T
 from hypothesis import given, settings
@@ -45,7 +46,7 @@ def test_tokens_of_whole_texts_in_order(spark, library, monkeypatch):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=5))
 def test_words_encode_like_whole_texts(library, some):
-    ids, ends = wavelet.WordTokenizer(queries.TOKENIZER).encode(some)
+    ids, ends = wavelet.WordTokenizer(queries.TOKENIZER).encode(pa.array(some, pa.string()))
     want = [[*library.encode(t, add_special_tokens=False).ids, 2] for t in some]
     assert ids.tolist() == sum(want, []) and ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
 
