@@ -204,7 +204,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.4
     Columns doc_id, item_id, score (0 to 1), n_matched (agreeing words), first_word, end_word (place
     in the document's words). ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other
     columns are ignored. Null, empty and wordless texts match nothing; items of fewer than eight
-    words have to occur whole; repeated rows give repeated results only if their doc_id is null;
+    words have to occur whole. Rows that share a doc_id, or have none, share one result per item;
     empty tables give no row. Items longer than 64 words are judged by pieces of 64.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
