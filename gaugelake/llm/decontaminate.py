@@ -146,6 +146,8 @@ def _matches(items: Items, least_score: float, texts: pa.Array) -> list[tuple[in
     if not keys:
         return []
     keys, places = np.concatenate(keys), np.concatenate(places)
+    if not len(keys):
+        return []
     low, high = np.searchsorted(items.seeds, keys, "left"), np.searchsorted(items.seeds, keys, "right")
     many = high - low
     entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
