@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ _HEAD = struct.Struct("<9q")
 _BLOCK = 512  # bits between entries of the rank directory
 _END_ID = 2
 _SHARD_BYTES = 16 * 1024 * 1024
+_TEXT_BYTES = 5 * 1024 * 1024  # of a shard encoded at a time
 #: Offsets of this many shards (a few MB) may be broadcast; more are joined by a shuffle.
 _BROADCAST_SHARDS = 200_000
 
@@ -202,7 +204,8 @@ class WordTokenizer:
         self.letters = _byte_letters()
         self.pieces = {} if pieces is None else pieces
         self.places: dict[int, int] = {}  # by the hash of the word
-        self.ids, self.sizes = [_END_ID], [1]  # the end of a document is the word at place 0
+        # The end of a document is the word at place 0.
+        self.ids, self.sizes = array("I", [_END_ID]), array("q", [1])
 
     def _piece(self, piece: str) -> list[int]:
         text = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
@@ -214,11 +217,11 @@ class WordTokenizer:
         if self._PLAIN.fullmatch(text) and "<|" not in text:
             known, size = self.pieces.get, len(self.ids)
             for piece in self._PIECES.findall(text.lower()):
-                self.ids += known(piece) or self._piece(piece)
+                self.ids.extend(known(piece) or self._piece(piece))
             self.sizes.append(len(self.ids) - size)
         else:
             ids = self.library.encode(text, add_special_tokens=False).ids
-            self.ids += ids
+            self.ids.extend(ids)
             self.sizes.append(len(ids))
 
     def encode(self, texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -266,9 +269,7 @@ def _tokenizer(path: str) -> WordTokenizer:
 def _shards(path: str, bits: int):
     def rows(batches):
         doc_ids, encoded, ends, total, tokenizer, shard = [], [], [], 0, None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in arrays.pieces(batches, _TEXT_BYTES):
             shard = batch.column("shard")[0].as_py() if shard is None else shard
             tokenizer = tokenizer or _tokenizer(path)
             ids, stops = tokenizer.encode(batch.column("text"))
