@@ -93,11 +93,11 @@ def bit_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<u8")
 
 
-def distance(a: np.ndarray, b: np.ndarray) -> int:
-    """Hamming distance of two bit sketches; the longer one is folded, which keeps it a parity sketch."""
-    if len(a) < len(b):
-        a, b = b, a
-    return int(np.bitwise_count(np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0) ^ b).sum())
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of bit sketches, row by row; longer ones are folded, which keeps them parity sketches."""
+    size = min(a.shape[1], b.shape[1])
+    a, b = (np.bitwise_xor.reduce(x.reshape(len(x), -1, size), axis=1) for x in (a, b))
+    return np.bitwise_count(a ^ b).sum(axis=1)
 
 
 def shingle_sets(texts: pa.ChunkedArray, words: int) -> Iterator[np.ndarray]:
@@ -208,31 +208,72 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, words: int,
     )
 
 
+def _close(bits: list[bytes], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows have bit sketches no further apart than a linked pair's can be."""
+    words = np.array([len(x) // 8 for x in bits])
+    place, matrix = np.zeros(len(bits), np.int64), {}
+    for w in np.unique(words).tolist():
+        own = np.flatnonzero(words == w)
+        matrix[w] = np.frombuffer(b"".join(bits[i] for i in own), "<u8").reshape(-1, w)
+        place[own] = np.arange(len(own))
+    keep = np.zeros(len(left), bool)
+    limit = (sizes[left] + sizes[right]) * (100 - percent) // (100 + percent)
+    kinds = words[left] * (1 << 32) + words[right]
+    for kind in np.unique(kinds).tolist():
+        v, w = kind >> 32, kind & 0xFFFFFFFF
+        at = np.flatnonzero(kinds == kind)
+        for part in np.array_split(at, -(-len(at) * max(v, w) // 1_000_000)):
+            apart = distances(matrix[v][place[left[part]]], matrix[w][place[right[part]]])
+            keep[part] = apart <= limit[part]
+    return keep
+
+
 def _tile_pairs(percent: int, across: bool):
-    """Pairs of one tile: of different components if ``across``, close enough by size and sketch."""
+    """Pairs within tiles: of different components if ``across``, close enough by size and sketch.
 
-    def pairs(rows: pa.Table) -> pa.Table:
-        left, right, node, size, label = (
-            np.array(rows.column(c).to_pylist()) for c in ("first", "second", "node", "n_shingles", "label")
-        )
-        diagonal = left[0] == right[0]
-        side = np.array(rows.column("side").to_pylist())
-        sketches = [np.frombuffer(x, "<u8") for x in rows.column("bits").to_pylist()]
-        found = set()
-        top = np.flatnonzero(side == left[0])
-        for i in top.tolist():
-            others = top[top > i] if diagonal else np.flatnonzero(side == right[0])
-            fit = others[
-                (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i]))
-                & (node[others] != node[i])
-                & ((label[others] != label[i]) | (not across))
-            ]
-            for j in fit.tolist():
-                if distance(sketches[i], sketches[j]) <= most_apart(int(size[i] + size[j]), percent):
-                    found.add((min(int(node[i]), int(node[j])), max(int(node[i]), int(node[j]))))
-        return pa.table(
-            {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
+    Rows come sorted by tile; the last tile of a batch waits for the next batch. A tile on the
+    diagonal pairs all its rows, another one those of its two sides.
+    """
+
+    def found(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        first, second, side, node, size, label = (
+            np.asarray(rows.column(c).combine_chunks())
+            for c in ("first", "second", "side", "node", "n_shingles", "label")
         )
+        ends = np.repeat(np.append(starts[1:], len(node)), np.diff(np.append(starts, len(node))))
+        lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for step in range(1, int((ends - np.arange(len(node))).max(initial=0))):
+            i = np.flatnonzero(np.arange(len(node)) + step < ends)
+            j = i + step
+            fit = (first[i] == second[i]) | (side[i] != side[j])
+            fit &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
+            fit &= (node[i] != node[j]) & ((label[i] != label[j]) | (not across))
+            lefts.append(i[fit])
+            rights.append(j[fit])
+        i, j = np.concatenate(lefts), np.concatenate(rights)
+        both = np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])])
+        _, one = np.unique(both, axis=1, return_index=True)  # a pair that shares several words is compared once
+        i, j, both = i[one], j[one], both[:, one]
+        if len(i):
+            both = both[:, _close(rows.column("bits").to_pylist(), size, i, j, percent)]
+        return pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], names=["a", "b"])
+
+    def pairs(batches):
+        kept = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if kept is None else pa.concat_tables([kept, rows])
+            tile = [np.asarray(rows.column(c).combine_chunks()) for c in ("word", "first", "second")]
+            new = np.ones(rows.num_rows, bool)
+            new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in tile])
+            starts = np.flatnonzero(new)
+            if not len(starts):
+                continue
+            kept = rows.slice(int(starts[-1]))
+            if len(starts) > 1:
+                yield found(rows.slice(0, int(starts[-1])), starts[:-1])
+        if kept is not None and kept.num_rows:
+            yield found(kept, np.zeros(1, np.int64))
 
     return pairs
 
@@ -258,8 +299,12 @@ def _tiled(members: DataFrame, sketches: DataFrame, percent: int, across: bool)
         )
         .join(sketches, "node")
     )
+    tile = ["word", "first", "second"]
     return (
-        spread.groupBy("word", "first", "second").applyInArrow(_tile_pairs(percent, across), "a long, b long").distinct()
+        spread.repartition(*tile)
+        .sortWithinPartitions(*tile)
+        .mapInArrow(_tile_pairs(percent, across), "a long, b long")
+        .distinct()
     )
 
 

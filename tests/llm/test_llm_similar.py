@@ -77,8 +77,9 @@ def test_sketch_distance_bounds_the_difference():
         a = np.unique(rng.integers(0, 1 << 40, 300).astype(np.uint64))
         b = np.unique(np.concatenate([a[rng.integers(0, 12) :], rng.integers(0, 1 << 40, 9).astype(np.uint64)]))
         apart = len(np.setxor1d(a, b))
-        assert parity.distance(parity.bit_sketch(a), parity.bit_sketch(b)) <= apart
-        assert parity.distance(parity.bit_sketch(a), parity.bit_sketch(b[:40])) <= len(np.setxor1d(a, b[:40]))
+        assert parity.distances(parity.bit_sketch(a)[None], parity.bit_sketch(b)[None])[0] <= apart
+        assert parity.distances(parity.bit_sketch(a)[None], parity.bit_sketch(b[:40])[None])[0] <= len(np.setxor1d(a, b[:40]))
+        assert parity.distances(parity.bit_sketch(b[:40])[None], parity.bit_sketch(a)[None])[0] <= len(np.setxor1d(a, b[:40]))
         if 100 * len(np.intersect1d(a, b)) >= 90 * len(np.union1d(a, b)):
             assert len(np.intersect1d(parity.words_of(a, 90), parity.words_of(b, 90)))
 
@@ -239,6 +240,13 @@ def test_copies_edits_and_clean_documents(spark):
     assert {r.doc_id for r in kept.collect()} == {4, 5, 6, 7} and kept.columns == frame.columns
 
 
+def test_texts_without_a_seed(spark):
+    bench = spark.createDataFrame([(1, "nothing like this stands in any of the documents here")], "item_id long, text string")
+    docs = T.frame(spark, [(1, "quite other words", "en", "s"), (2, None, None, None)])
+    assert decontaminate.contaminated(docs, bench).count() == 0
+    assert decontaminate.drop_contaminated(docs, bench).count() == 2
+
+
 def test_a_large_benchmark_goes_in_slices(spark, monkeypatch):
     bench = spark.createDataFrame([(i, f"alpha{i} beta gamma delta epsilon zeta eta theta{i}") for i in range(9)], "item_id long, text string")
     docs = T.frame(spark, [(i, f"see alpha{i} beta gamma delta epsilon zeta eta theta{i} here", "en", "s") for i in range(9)])
