@@ -36,46 +36,31 @@ TEMPLATES = (
 )
 
 _THRESHOLD = 0.9
-_OTHER = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"  # ASCII but letters and digits
-_WORD = f"[^{_OTHER}]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # ASCII but digits and lower-case letters
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _alone(words: str) -> str:
-    """Pattern of words standing consecutively, as whole words, in either case of A-Z."""
-    return f"(?<![^{_OTHER}])(?i:" + f")[{_OTHER}]+(?i:".join(words.split()) + f")(?![^{_OTHER}])"
+def _words(text: str | Column) -> Column:
+    """The words of a text, A-Z lower-cased."""
+    return F.array_remove(F.split(F.translate(text, _UPPER, _LOWER), _BETWEEN, -1), "")
 
 
-def _any_word(words: list[str]) -> str:
-    return f"(?<![^{_OTHER}])(?i:{'|'.join(sorted(words))})(?![^{_OTHER}])"
+def _listed(words: list[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words])
 
 
-def _words_in(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(_WORD))
-
-
-def _places(text: Column, phrase: str) -> Column:
-    """The word numbers at which a phrase begins."""
-    between = F.split(text, _alone(phrase), -1)
-    gaps = F.transform(F.slice(between, 1, F.size(between) - 1), _words_in)
-    size = len(phrase.split())
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-
-    def step(s, gap):
-        start = (s["at"] + gap).cast("int")
-        return F.struct((start + size).cast("int").alias("at"), F.concat(s["out"], F.array(start)).alias("out"))
-
-    return F.aggregate(gaps, state, step, lambda s: s["out"])
+def _places(words: Column, phrase: str) -> Column:
+    """The word numbers at which a phrase begins; only rows that hold its first word are looked through."""
+    own = phrase.split()
+    starts = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.slice(words, i + 1, len(own)) == _listed(own))
+    return F.when(F.array_contains(words, own[0]), starts).otherwise(F.array().cast("array<int>"))
 
 
 def _ordered(docs: DataFrame, templates: tuple) -> list[str]:
-    """The words of the templates, rarest in the corpus first. The driver gets one count per template word."""
+    """The words of the templates, those in the fewest texts first. The driver gets one count per template word."""
     words = sorted({w for _, t in templates for w in t.split()})
-    found = docs.select(F.explode(F.regexp_extract_all("text", F.lit(_any_word(words)), F.lit(0))).alias("word"))
-    counted = found.groupBy("word").count().groupBy(F.translate("word", _UPPER, _LOWER).alias("word")).agg(
-        F.sum("count").alias("n")
-    )
-    count = {r["word"]: r["n"] for r in counted.collect()}
+    found = docs.select(F.explode(F.array_intersect(_words("text"), _listed(words))).alias("word"))
+    count = {r["word"]: r["count"] for r in found.groupBy("word").count().collect()}
     return sorted(words, key=lambda w: (count.get(w, 0), w))
 
 
@@ -93,21 +78,12 @@ def template_matches(docs: DataFrame, templates: tuple = TEMPLATES, threshold: f
     prefixes = spark.createDataFrame(rows, fields)  # a few rows per template
     rare = sorted({order[r[0]] for r in rows})
     numbers = F.create_map(*[F.lit(x) for w in order for x in (w, rank[w])])
-    lines = docs.filter(F.col("text").rlike(_any_word(rare))).select(
+    lines = docs.filter(F.arrays_overlap(_words("text"), _listed(rare))).select(
         "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("line", "block")
     )
-    blocks = lines.filter(F.col("block").rlike(_any_word(rare))).select(
-        "doc_id",
-        "text_hash",
-        "line",
-        F.sort_array(
-            F.array_distinct(
-                F.transform(
-                    F.regexp_extract_all("block", F.lit(_any_word(order)), F.lit(0)),
-                    lambda w: F.element_at(numbers, F.translate(w, _UPPER, _LOWER)),
-                )
-            )
-        ).alias("words"),
+    own = F.array_intersect(_words("block"), _listed(order))
+    blocks = lines.select(
+        "doc_id", "text_hash", "line", F.sort_array(F.transform(own, lambda w: F.element_at(numbers, w))).alias("words")
     )
     shared = blocks.select("*", F.posexplode("words").alias("at", "word"))
     near = (
@@ -137,18 +113,14 @@ def scan(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = _THRE
     labelled = matches.groupBy("doc_id", "text_hash").agg(
         F.collect_set("label").alias("more"), F.max("score").alias("best")  # at most one entry per label
     )
-    text = F.col("text")
-    none = F.array().cast("array<int>")
+    words = F.col("words")
     places = docs.select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), _words("text").alias("words")
+    ).select(
         "doc_id",
-        F.xxhash64("text").alias("text_hash"),
-        _words_in(text).cast("long").alias("n_words"),
-        F.when(
-            text.rlike("|".join(_alone(p) for p, _ in PHRASES)),
-            F.array(*[_places(text, p) for p, _ in PHRASES]),
-        )
-        .otherwise(F.array(*[none for _ in PHRASES]))
-        .alias("found"),
+        "text_hash",
+        F.size(words).cast("long").alias("n_words"),
+        F.array(*[_places(words, p) for p, _ in PHRASES]).alias("found"),
     )
     every = F.flatten("found")
     own = F.filter(
