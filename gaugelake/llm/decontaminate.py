@@ -1,10 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-The document frequency of every n-gram of the test items is counted over the whole corpus. Of any
-few consecutive n-grams of an item the rarest becomes a seed, so that each stretch of an item has
-one, however common it is. Passages that share seeds with an item are aligned with it word by
+Every n-gram of the test items is a seed, however common it is: which of them an edit has left whole
+cannot be told beforehand. Passages that share seeds with an item are aligned with it word by
 word; the score is the share of the best possible local alignment, so edited and paraphrased copies
-score by what is left of them.
+score by what is left of them. A copy without three words in a row as in the item has no seed.
 """
 
 from __future__ import annotations
@@ -17,12 +16,13 @@ from pyspark.sql import functions as F
 from gaugelake.llm import arrays
 
 _NGRAM = 3
-_PICK = 3  # consecutive n-grams of which the rarest is a seed
 _PIECE = 64  # words of an item aligned at once; longer items are cut into pieces that overlap by half
 _LEAST = 8  # words that have to agree, all of them in a shorter item
 _MATCH, _MISMATCH, _GAP = 2, -1, -1
 #: Words of test items held by a task at once; a larger benchmark is taken in so many passes.
 _SLICE_WORDS = 500_000
+#: Pairs of seed and place held at once; texts with more are taken in halves.
+_HELD_PAIRS = 1_000_000
 
 _FOUND = "doc_id long, item_id long, score double, n_matched long, first_word long, end_word long"
 
@@ -37,25 +37,12 @@ class Items:
             for lo in range(a, max(a + 1, b - _PIECE // 2), _PIECE // 2):
                 if lo < b:
                     self.pieces.append((item, hashes[lo : min(b, lo + _PIECE)]))
-        self.grams = [self._grams(words) for _, words in self.pieces]
-        self.known = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.grams]))
-
-    @staticmethod
-    def _grams(words: np.ndarray) -> np.ndarray:
-        return arrays.window_hashes(words, min(_NGRAM, len(words)))
-
-    def pick(self, frequency: np.ndarray) -> None:
-        """Chooses the seeds by the document frequencies of ``known``."""
-        seeds = []
-        for p, grams in enumerate(self.grams):
-            counts = frequency[np.searchsorted(self.known, grams)]
-            for a in range(max(1, len(grams) - _PICK + 1)):
-                at = a + int(np.argmin(counts[a : a + _PICK]))
-                seeds.append((int(grams[at]), p, at))
-        seeds = sorted(set(seeds))
-        self.seeds = np.array([s for s, _, _ in seeds], np.uint64)
-        self.piece = np.array([p for _, p, _ in seeds], np.int64)
-        self.at = np.array([a for _, _, a in seeds], np.int64)
+        grams = [arrays.window_hashes(words, min(_NGRAM, len(words))) for _, words in self.pieces]
+        seeds = np.concatenate([np.zeros(0, np.uint64), *grams])
+        order = np.argsort(seeds, kind="stable")
+        self.seeds = seeds[order]
+        self.piece = np.repeat(np.arange(len(grams)), np.array([len(g) for g in grams], np.int64))[order]
+        self.at = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(g)) for g in grams)])[order]
 
 
 def _all_grams(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -81,25 +68,6 @@ def _widths(items: Items) -> list[int]:
     return sorted({min(_NGRAM, len(words)) for _, words in items.pieces})
 
 
-def _frequency_rows(items: Items):
-    def rows(batches):
-        total = np.zeros(len(items.known), np.int64)
-        for batch in arrays.pieces(batches):
-            hashes, bounds = arrays.word_hashes(batch.column("text"), lower=True)
-            text = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-            for width in _widths(items):
-                grams, at = _all_grams(hashes, bounds, width)
-                hit = _find(items.known, grams)
-                pairs = np.unique(np.stack([np.searchsorted(items.known, grams[hit]), text[at[hit]]]), axis=1)
-                np.add.at(total, pairs[0], 1)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["gram", "documents"]
-        )
-
-    return rows
-
-
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int, int]:
     """Smith-Waterman of two word sequences: score, agreeing words, first word and word after the last.
 
@@ -150,6 +118,10 @@ def _matches(items: Items, least_score: float, texts: pa.Array) -> list[tuple[in
         return []
     low, high = np.searchsorted(items.seeds, keys, "left"), np.searchsorted(items.seeds, keys, "right")
     many = high - low
+    if many.sum() > _HELD_PAIRS and len(texts) > 1:
+        half = len(texts) // 2
+        rest = _matches(items, least_score, texts[half:])
+        return _matches(items, least_score, texts[:half]) + [(half + t, *found) for t, *found in rest]
     entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
     place = np.repeat(places, many)
     piece = items.piece[entry]
@@ -190,16 +162,6 @@ def _slices(benchmark: DataFrame):
         yield rows
 
 
-def _picked(docs: DataFrame, rows: list) -> Items:
-    items = Items(rows)
-    frequency = np.zeros(len(items.known), np.int64)
-    counted = docs.select("text").mapInArrow(_frequency_rows(items), "gram long, documents long")
-    for r in counted.groupBy("gram").agg(F.sum("documents").alias("n")).collect():  # at most one row per item n-gram
-        frequency[r["gram"]] = r["n"]
-    items.pick(frequency)
-    return items
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.4) -> DataFrame:
     """The best alignment of each (document, test item) that scores ``least_score`` or more.
 
@@ -212,7 +174,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.4
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = docs.sparkSession.createDataFrame([], _FOUND)
     for rows in _slices(benchmark):
-        items = _picked(docs, rows)
+        items = Items(rows)
 
         def matched(batches, items=items):
             for batch in arrays.pieces(batches):
@@ -237,7 +199,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.4
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least_score: float = 0.4) -> DataFrame:
     """``docs`` without the rows that hold a test item; all columns stay, nothing is shuffled."""
     for rows in _slices(benchmark):
-        items = _picked(docs, rows)
+        items = Items(rows)
 
         def clean(batches, items=items):
             for batch in arrays.pieces(batches):

@@ -4,6 +4,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import texts as T
 
@@ -240,6 +241,30 @@ def test_copies_edits_and_clean_documents(spark):
     assert {r.doc_id for r in kept.collect()} == {4, 5, 6, 7} and kept.columns == frame.columns
 
 
+@pytest.mark.parametrize("every", [4, 5])
+def test_copies_with_every_nth_word_replaced(spark, every):
+    rng = np.random.default_rng(every)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 5))
+    items = [[word() for _ in range(n)] for n in (20, 38, 59, 64)]
+    docs = []
+    for i, item in enumerate(items):
+        edited = [w if j % every < every - 1 else word() for j, w in enumerate(item)]
+        docs.append((i, " ".join([word() for _ in range(30)] + edited + [word() for _ in range(30)]), "en", "s"))
+    bench = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(T.frame(spark, docs), bench).collect()}
+    assert set(got) == {(i, i) for i in range(4)} and min(got.values()) > 0.55
+    assert decontaminate.drop_contaminated(T.frame(spark, docs), bench).count() == 0
+
+
+def test_seeds_of_many_items_are_taken_in_halves(monkeypatch):
+    tail = "beta gamma delta epsilon zeta eta theta"
+    items = decontaminate.Items([(i, f"alpha{i} {tail}{i}") for i in range(9)])
+    texts = pa.array([f"see alpha{i} {tail}{i} here" for i in range(9)] + [None, "no seed at all"])
+    once = decontaminate._matches(items, 0.4, texts)
+    monkeypatch.setattr(decontaminate, "_HELD_PAIRS", 100)
+    assert sorted(decontaminate._matches(items, 0.4, texts)) == sorted(once) and {m[0] for m in once} == set(range(9))
+
+
 def test_texts_without_a_seed(spark):
     bench = spark.createDataFrame([(1, "nothing like this stands in any of the documents here")], "item_id long, text string")
     docs = T.frame(spark, [(1, "quite other words", "en", "s"), (2, None, None, None)])
