@@ -1,8 +1,8 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 Every n-gram of the test items is a seed, however common it is: which of them an edit has left whole
-cannot be told beforehand. Passages that share seeds with an item are aligned with it word by
-word; the score is the share of the best possible local alignment, so edited and paraphrased copies
+cannot be told beforehand. Passages that share a seed with an item, and enough words for the least
+score, are aligned with it word by word; the score is the share of the best possible local alignment, so edited and paraphrased copies
 score by what is left of them. A copy without three words in a row as in the item has no seed.
 """
 
@@ -101,6 +101,13 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int, int]:
     return best
 
 
+def _common(item: np.ndarray, words: np.ndarray) -> int:
+    """How many words the two have in common, a repeated word as often as it stands in both."""
+    own, counts = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(own, words), len(own) - 1)
+    return int(np.minimum(np.bincount(at[own[at] == words], minlength=len(own)), counts).sum())
+
+
 def _matches(items: Items, least_score: float, texts: pa.Array) -> list[tuple[int, int, float, int, int, int]]:
     """(text, piece, score, agreeing words, first word, end word) of every contaminated passage's best alignment."""
     hashes, bounds = arrays.word_hashes(texts, lower=True)
@@ -137,10 +144,11 @@ def _matches(items: Items, least_score: float, texts: pa.Array) -> list[tuple[in
     for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
         words = items.pieces[piece[a]][1]
         n = len(words)
-        if b - a < 2 and n >= _LEAST:
-            continue
         lo = max(int(bounds[doc[a]]), int(offset[a]) - n // 2)
         hi = min(int(bounds[doc[a] + 1]), int(offset[b - 1]) + n + n // 2)
+        most = _common(words, hashes[lo:hi])  # words can agree; no alignment scores more than _MATCH for each
+        if most / n < least_score or most < min(_LEAST, n):
+            continue
         score, agree, first, end = align(words, hashes[lo:hi])
         share = score / (_MATCH * n)
         if share >= least_score and agree >= min(_LEAST, n):

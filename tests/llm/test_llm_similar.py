@@ -256,6 +256,28 @@ def test_copies_with_every_nth_word_replaced(spark, every):
     assert decontaminate.drop_contaminated(T.frame(spark, docs), bench).count() == 0
 
 
+def test_copies_with_one_seed_left(spark):
+    item = "a1 b2 c3 d4 e5 f6 g7 h8 i9 j10 k11"
+    docs = [
+        (1, "before a1 b2 X d4 e5 X g7 h8 i9 X k11 after", "en", "s"),  # g7 h8 i9 alone is whole
+        (2, "before " + item + " after", "en", "s"),
+        (3, "k11 a1 X b2 X g7 h8 i9 c3 X d4 X e5 X", "en", "s"),  # its words, in no order
+        (4, "only g7 h8 i9 of it", "en", "s"),
+    ]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: (r.score, r.n_matched) for r in decontaminate.contaminated(T.frame(spark, docs), bench).collect()}
+    assert got == {1: (13 / 22, 8), 2: (1.0, 11)}
+
+
+def test_common_words_bound_the_score():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        a, b = rng.integers(0, 9, rng.integers(1, 25)), rng.integers(0, 9, rng.integers(1, 40))
+        score, agree, _, _ = decontaminate.align(a, b)
+        most = decontaminate._common(a, b)
+        assert agree <= most == (Counter(a.tolist()) & Counter(b.tolist())).total() and score <= 2 * most
+
+
 def test_seeds_of_many_items_are_taken_in_halves(monkeypatch):
     tail = "beta gamma delta epsilon zeta eta theta"
     items = decontaminate.Items([(i, f"alpha{i} {tail}{i}") for i in range(9)])
