@@ -1,11 +1,12 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A line of a text is a block, the set of its words. It is labelled by every template of which it
-holds at least the threshold share of the words. The words of the templates are put in order of
-their frequency in the whole corpus, rarest first. A block that holds enough of a template must
-hold one of the template's first words in that order (prefix filter), have enough words (length
-filter), and have enough of them left behind the first shared word, in its own order and the
-template's (positional filter). What passes is verified on the sets.
+Every run of twice as many words as a template has, wherever lines break, is a block, the set of its
+words. It is labelled by every template of which it holds at least the threshold share of the words.
+The words of the templates are put in order of their frequency in the whole corpus, rarest first. A
+block that holds enough of a template must hold one of the template's first words in that order
+(prefix filter), so only the words around such a word are looked at; from its rarest shared word on
+it must have enough of the template's words (length and positional filter). What passes is verified
+block by block.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ TEMPLATES = (
 )
 
 _THRESHOLD = 0.9
+_SPREAD = 2  # words of a block for every word of the template
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # ASCII but digits and lower-case letters
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,37 +67,53 @@ def _ordered(docs: DataFrame, templates: tuple) -> list[str]:
 
 
 def template_matches(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = _THRESHOLD) -> DataFrame:
-    """All (line, template) pairs that meet the threshold: doc_id, text_hash, line (from 0), label, score."""
+    """All (word, template) pairs of which a block around the word meets the threshold; the word is one of the
+    template's first: doc_id, text_hash, at (word number), label, score (of the best such block)."""
     order = _ordered(docs, templates)
     rank = {w: i for i, w in enumerate(order)}
-    rows = []
-    for number, (label, sentence) in enumerate(templates):
+    rows, reach = [], 0
+    for label, sentence in templates:
         own = sorted({rank[w] for w in sentence.split()})
         need = math.ceil(round(threshold * len(own), 9))
-        rows += [(w, number, label, i, own, need) for i, w in enumerate(own[: len(own) - need + 1])]
+        width = _SPREAD * len(sentence.split())
+        reach = max(reach, width)
+        rows += [(w, label, own, need, width) for w in own[: len(own) - need + 1]]
     spark = docs.sparkSession
-    fields = "word int, template int, label string, place int, own array<int>, need int"
-    prefixes = spark.createDataFrame(rows, fields)  # a few rows per template
-    rare = sorted({order[r[0]] for r in rows})
+    prefixes = spark.createDataFrame(rows, "word int, label string, own array<int>, need int, width int")  # a few rows per template
+    rare = sorted({r[0] for r in rows})
     numbers = F.create_map(*[F.lit(x) for w in order for x in (w, rank[w])])
-    lines = docs.filter(F.arrays_overlap(_words("text"), _listed(rare))).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("line", "block")
+    ranks = F.transform(_words("text"), lambda w: F.coalesce(F.element_at(numbers, w), F.lit(-1)))
+    # Exploded, so that the ranks are computed once per text and not once per use.
+    texts = docs.filter(F.arrays_overlap(_words("text"), _listed([order[r] for r in rare]))).select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), F.explode(F.array(ranks)).alias("ranks")
     )
-    own = F.array_intersect(_words("block"), _listed(order))
-    blocks = lines.select(
-        "doc_id", "text_hash", "line", F.sort_array(F.transform(own, lambda w: F.element_at(numbers, w))).alias("words")
+    low = lambda i: F.greatest(i - reach + 1, F.lit(0))
+    first = F.filter(
+        F.transform("ranks", lambda w, i: F.when(w.isin(rare), F.struct(i.alias("at"), w.alias("word")))),
+        lambda x: x.isNotNull(),
+    )
+    around = F.transform(
+        first,
+        lambda x: F.struct(
+            x["at"].alias("at"),
+            x["word"].alias("word"),
+            (x["at"] - low(x["at"])).alias("place"),
+            F.slice("ranks", low(x["at"]) + 1, x["at"] + reach - low(x["at"])).alias("near"),
+        ),
     )
-    shared = blocks.select("*", F.posexplode("words").alias("at", "word"))
-    near = (
-        shared.join(F.broadcast(prefixes), "word")
-        .filter(F.size("words") >= F.col("need"))
-        .filter(1 + F.least(F.size("words") - F.col("at") - 1, F.size("own") - F.col("place") - 1) >= F.col("need"))
-        # Of several shared prefix words the first is enough.
-        .filter(F.element_at(F.array_intersect("words", "own"), 1) == F.col("word"))
+    found = texts.select("doc_id", "text_hash", F.explode(around).alias("x")).select("doc_id", "text_hash", "x.*")
+    start = F.greatest(F.col("place") - F.col("width") + 1, F.lit(0))
+    block = F.slice("near", start + 1, F.col("place") + F.col("width") - start)
+    later = F.filter(F.array_intersect(block, F.col("own")), lambda w: w >= F.col("word"))
+    most = F.array_max(
+        F.transform(
+            F.sequence(start, F.col("place")),
+            lambda i: F.size(F.array_intersect(F.slice("near", i + 1, F.col("width")), F.col("own"))),
+        )
     )
-    both = F.size(F.array_intersect("words", "own"))
-    return near.filter(both >= F.col("need")).select(
-        "doc_id", "text_hash", "line", "label", (both / F.size("own")).alias("score")
+    near = found.join(F.broadcast(prefixes), "word").filter(F.size(later) >= F.col("need"))
+    return near.withColumn("most", most).filter(F.col("most") >= F.col("need")).select(
+        "doc_id", "text_hash", "at", "label", (F.col("most") / F.size("own")).alias("score")
     )
 
 

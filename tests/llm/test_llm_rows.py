@@ -2,6 +2,7 @@
 
 import importlib.util
 import os
+import random
 import re
 import sys
 import zlib
@@ -199,6 +200,74 @@ def test_licenses(spark):
     assert sum("mit" in k[1].split(",") for k in more) >= 3
 
 
+_MIT = """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction."""
+_BSD = """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:"""
+
+
+def test_licenses_across_lines(spark):
+    filler = "word " * 40
+    scattered = f"released {filler}under {filler}the {filler}mit {filler}license " + filler * 70
+    mit = "released under the mit license"
+    rows = [
+        (1, _MIT, "en", "s"),
+        (2, _BSD, "en", "s"),
+        (3, scattered, "en", "s"),
+        (4, scattered + mit.upper() + " " + filler, "en", "s"),
+        (5, "Released\nunder the\r\nMIT\nlicense", "en", "s"),
+        (6, "released by us x under the x x mit license", "en", "s"),  # ten words
+        (7, "released by us x under the x x x mit license", "en", "s"),
+        (8, "license " * 300 + mit + " released" * 300, "en", "s"),
+        (9, "# " + _BSD.replace("*", "dnl"), "en", "s"),
+    ]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(T.frame(spark, rows)).collect()}
+    assert got == {
+        1: ("mit", 1.0),
+        2: ("bsd", 1.0),
+        3: ("", 0.0),
+        4: ("mit", 1.0),
+        5: ("mit", 1.0),
+        6: ("mit", 1.0),
+        7: ("", 0.0),
+        8: ("mit", 1.0),
+        9: ("bsd", 1.0),
+    }
+
+
+def test_license_blocks_are_all_runs_of_words(spark):
+    rng = random.Random(3)
+    vocabulary = sorted({w for _, t in licenses.TEMPLATES for w in t.split()}) + ["x", "y"] * 9
+    rows = []
+    for i in range(300):
+        text = []
+        for _ in range(rng.randint(1, 4)):
+            t = rng.choice(licenses.TEMPLATES)[1].split()
+            for _ in range(rng.randint(0, 8)):
+                t.insert(rng.randint(0, len(t)), rng.choice(vocabulary))
+            if rng.random() < 0.3:
+                t.pop(rng.randrange(len(t)))
+            text += t
+        rows.append((i, rng.choice([" ", "\n"]).join(text), "en", "s"))
+    want = {}
+    for i, text, *_ in rows:
+        w, best = text.split(), {}
+        for label, sentence in licenses.TEMPLATES:
+            t, n = set(sentence.split()), 2 * len(sentence.split())
+            most = max(len(set(w[a : a + n]) & t) for a in range(len(w)))
+            if most / len(t) >= 0.9 - 1e-12:
+                best[label] = max(best.get(label, 0), most / len(t))
+        want |= {(i, label): round(x, 12) for label, x in best.items()}
+    got = {}
+    for r in licenses.template_matches(T.frame(spark, rows)).collect():
+        got[r.doc_id, r.label] = max(got.get((r.doc_id, r.label), 0), round(r.score, 12))
+    assert got == want and len(want) > 200
+
+
 def test_empty_tables(spark):
     none = T.frame(spark, [])
     assert wavelet.pack_documents(none, queries.TOKENIZER).count() == 0
