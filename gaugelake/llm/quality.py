@@ -27,9 +27,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = 1 << 20  # characters counted or scored at a time
 #: Entries of a model that tasks may hold (16 bytes each); a larger model is joined by a shuffle.
 _HELD_ENTRIES = 4_000_000
-_BIN = 0.01  # of the logarithm of the perplexity, for the quartiles
+_BIN = 0.001  # of the logarithm of the perplexity, for the quartiles
 _REACH = 3.0
-_LEAST_RANGE = 0.1
 _MIN_WORDS = 50
 _MAX_REPEATED = 50  # percent
 
@@ -324,7 +323,7 @@ def _scores(docs: DataFrame, model: DataFrame, scratch: Scratch, held_entries: i
 
 
 def _bands(rows: DataFrame) -> DataFrame:
-    """Per language the quartiles of the logarithm of the perplexity, to a hundredth, and the band."""
+    """Per language the quartiles of the logarithm of the perplexity, to a thousandth, and the band."""
     bins = rows.groupBy("lang", F.floor(F.col("log_perplexity") / _BIN).alias("bin")).agg(F.count("*").alias("n"))
     run = Window.partitionBy("lang").orderBy("bin")
     ranked = bins.withColumn("upto", F.sum("n").over(run)).withColumn("all", F.sum("n").over(Window.partitionBy("lang")))
@@ -332,7 +331,7 @@ def _bands(rows: DataFrame) -> DataFrame:
         F.min(F.when(F.col("upto") * 4 >= F.col("all") * k, F.col("bin"))).alias(c) for k, c in ((1, "q1"), (3, "q3"))
     ]
     q = ranked.groupBy("lang").agg(*at)
-    wide = F.greatest((F.col("q3") - F.col("q1")) * _BIN, F.lit(_LEAST_RANGE)) * _REACH
+    wide = (F.col("q3") + 1 - F.col("q1")) * _BIN * _REACH
     return q.select(
         "lang", (F.col("q1") * _BIN - wide).alias("low"), ((F.col("q3") + 1) * _BIN + wide).alias("high")
     )

@@ -188,6 +188,19 @@ def test_bands_reject_strange_documents_and_keep_the_others(spark):
     assert kept.columns == T.frame(spark, rows).columns
 
 
+def test_bands_follow_the_measured_range(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdehilmnorst"), 5))
+    vocabulary = [word() for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(vocabulary, 120)), "en", "s") for i in range(80)]
+    rows.append((900, " ".join(word() if i % 4 == 0 else rng.choice(vocabulary) for i in range(120)), "en", "s"))
+    out = {r.doc_id: r for r in quality.judge(T.frame(spark, rows)).collect()}
+    logs = sorted(math.log(out[i].perplexity) for i in range(80))
+    spread = logs[60] - logs[20]
+    assert math.log(out[0].high_band) - math.log(out[0].low_band) <= 7 * spread + 0.03
+    assert all(out[i].kept for i in range(80)) and not out[900].base_failed and not out[900].kept
+
+
 def _smith_waterman(a, b):
     """Best local score, match 2, mismatch and gap -1."""
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
