@@ -379,20 +379,53 @@ def jaccard_components(
     return out, links
 
 
+def _node_rows(words: int):
+    def rows(batches):
+        for batch in arrays.pieces(batches):
+            nodes = [(i, _node(s)) for i, s in enumerate(shingle_sets(batch.column("text"), words)) if len(s)]
+            at, of = pa.array([i for i, _ in nodes], pa.int64()), pa.array([n for _, n in nodes], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("text_hash").take(at), of], names=["text_hash", "node"])
+
+    return rows
+
+
+def _one_without_id(docs: DataFrame, out: DataFrame, links: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """Of rows that all lack doc_id those that stay: texts without words, and one row of each group that has no
+    document with an id, the one with the smallest hash of its text."""
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.select(text.alias("text"), F.xxhash64(text).alias("text_hash")).dropDuplicates(["text_hash"])
+    own = scratch.save(texts.mapInArrow(_node_rows(words), "text_hash long, node long"))
+    known = out.filter("n_shingles > 0 and component_id is not null").select("node").distinct()
+    parts = own.join(known, "node", "left_anti").join(component_roots(links, scratch), "node", "left")
+    first = parts.groupBy(F.coalesce("root", "node")).agg(F.min("text_hash").alias("__hash")).select("__hash")
+    same = F.xxhash64(text) == F.col("__hash")
+    wordless = docs.join(own.select(F.col("text_hash").alias("__hash")), same, "left_anti")
+    return docs.join(first, same, "left_semi").dropDuplicates(["text"]).unionByName(wordless)
+
+
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without all but one document of each group: the one with the smallest doc_id.
 
-    All columns stay. Of rows alike in doc_id and text one stays; rows without doc_id all stay.
+    All columns stay. Of rows alike in doc_id and text one stays. Rows without doc_id come after all others,
+    by the hash of their text. Texts without words belong to no group.
     """
-    out, _ = jaccard_components(docs, words, percent)
-    out = Scratch(docs.sparkSession, "parity").save(out)
+    out, links = jaccard_components(docs, words, percent)
+    scratch = Scratch(docs.sparkSession, "parity")
+    out = scratch.save(out)
     gone = out.filter("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
     if gone.count() <= _BROADCAST_IDS:
         gone = F.broadcast(gone)
     gone = gone.withColumnRenamed("doc_id", "__gone_id")
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone_id"), "left_anti")
+    number = F.col("doc_id").cast("long")
+    kept = docs.join(gone, number == F.col("__gone_id"), "left_anti")
     again = out.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id", "node").count().filter("count > 1")
-    if again.isEmpty():
+    repeated = not again.isEmpty()
+    unnamed = not out.filter("doc_id is null and n_shingles > 0").isEmpty()
+    if not repeated and not unnamed:
         return kept
-    known = kept.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
-    return known.unionByName(kept.filter("doc_id is null"))
+    known, others = kept.filter(number.isNotNull()), docs.filter(number.isNull())
+    if repeated:
+        known = known.dropDuplicates(["doc_id", "text"])
+    if unnamed:
+        others = _one_without_id(others, out, links, words, scratch)
+    return known.unionByName(others)

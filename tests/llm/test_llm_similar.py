@@ -100,6 +100,23 @@ def test_one_document_of_each_group_stays(spark):
     assert empty <= set(stayed)
 
 
+def test_one_document_of_groups_without_ids_stays(spark):
+    text = [" ".join(f"{letter}{i}" for i in range(60)) for letter in "abcd"]
+    near = [t + " more" for t in text]
+    rows = [
+        *[(1, text[0], "en", "s"), (None, text[0], "en", "s"), (None, near[0], "en", "s")],  # a copy with an id stays
+        *[(None, t, "en", "s") for t in (text[1], text[1], near[1], near[1])],
+        *[(None, text[2], "en", "s"), (2, near[2], "en", "s"), (2, near[2], "en", "s")],
+        *[(None, text[3], "en", "s"), (None, None, "en", "s"), (None, " ", "en", "s"), (None, " ", "en", "s")],
+    ]
+    kept = parity.keep_one(T.frame(spark, rows))
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert len({text[1], near[1]} & {t for d, t in got if d is None}) == 1
+    others = Counter({k: n for k, n in got.items() if k[1] not in (text[1], near[1])})
+    assert others == Counter({(1, text[0]): 1, (2, near[2]): 1, (None, text[3]): 1, (None, None): 1, (None, " "): 2})
+    assert got.total() == 7 and kept.columns == T.frame(spark, rows).columns
+
+
 def test_components_of_a_long_path(spark, tmp_path):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.root for r in components.component_roots(edges, Scratch(spark, "test")).collect()}
