@@ -16,7 +16,7 @@ def test_dashboard_statements(spark):
     cards = spark.sql("SELECT source, status, records_written, duration_seconds, minutes_since_last_success FROM ingestion_freshness")
     assert {r.source for r in cards.collect()} == {"openaq", "open-meteo"}
     listed = spark.sql("SELECT DISTINCT station_id, station_name FROM eligible_stations ORDER BY station_name")
-    assert [r.station_id for r in listed.collect()] == ["station_a", "station_b"]
+    assert [r.station_id for r in listed.collect()] == ["station_b", "station_a"]
     found = spark.sql("SELECT DISTINCT pollutant FROM hourly_combined WHERE station_id = 'station_b' ORDER BY pollutant")
     assert [r.pollutant for r in found.collect()] == ["no2", "pm10", "pm25"]
     series = spark.sql("""SELECT hour_utc, pollutant_value, temperature_2m, wind_speed_10m, boundary_layer_height
