@@ -101,10 +101,12 @@ def pieces(batches, size: int = _STEP // 2):
             yield batch.slice(a, b - a)
 
 
-def word_bounds(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every run of non-space bytes, and the word offset of each text and the end."""
+def word_bounds(
+    raw: np.ndarray, off: np.ndarray, between: np.ndarray = SPACES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every run of bytes not between words, and the word offset of each text and the end."""
     n = len(raw)
-    inside = ~SPACES[raw]
+    inside = ~between[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugelake.llm import (
     debruijn,
@@ -13,8 +14,11 @@ from gaugelake.llm import (
     licenses,
     lines,
     mixing,
+    negatives,
     parity,
+    personal,
     quality,
+    resampling,
     secrets,
     suffixes,
     wavelet,
@@ -68,6 +72,21 @@ def op10_debruijn_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.remove_repeats(_table(spark, sf_dir, "documents"), k=35).drop("kept_text")
 
 
+def op11_four_russians_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return negatives.mine(vectors, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low_percent=50, high_percent=95)
+
+
+def op12_segment_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, target, percent=25, least_words=20, seed=7, buckets=10_000).drop("n_words")
+
+
+def op13_anchor_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.summary(personal.find(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney_quality": op1_kneser_ney_quality,
     "op2_wavelet_tokens": op2_wavelet_tokens,
@@ -79,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bloom_lines": op8_bloom_lines,
     "op9_parity_components": op9_parity_components,
     "op10_debruijn_substrings": op10_debruijn_substrings,
+    "op11_four_russians_negatives": op11_four_russians_negatives,
+    "op12_segment_resampling": op12_segment_resampling,
+    "op13_anchor_personal_data": op13_anchor_personal_data,
 }
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -217,5 +239,26 @@ kept AS (
 ), lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM docs LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
+""",
+    "op11_four_russians_negatives": """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, v.r, v.vec_id, a.label = v.label AS same,
+         list_sum(list_transform(list_zip(a.q, v.q), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0)))::BIGINT AS score
+  FROM v AS a JOIN v ON a.vec_id % 50 = 0 AND a.r <> v.r
+), p AS (
+  SELECT ar, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER w AS place FROM s WHERE same
+  WINDOW w AS (PARTITION BY ar ORDER BY score DESC, vec_id NULLS LAST) QUALIFY place <= 5
+)
+SELECT p.anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY p.ar, place ORDER BY score DESC, vec_id NULLS LAST))::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.ar = p.ar AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
 """,
 }
