@@ -21,18 +21,23 @@ from gaugelake import bindings, oracles  # noqa: E402
 from gaugelake.functions import clock, labels, scores  # noqa: E402
 from gaugelake.functions.scores import round_half_up  # noqa: E402
 from gaugelake.operators import catalogue, dashboard, forecasts, quality, readings, runs  # noqa: E402
-from gaugelake.plans.ingest import ingest_forecasts, ingest_readings, refresh_catalogue  # noqa: E402
+from gaugelake.plans.cache import ResultCache  # noqa: E402
+from gaugelake.plans.ingest import (  # noqa: E402
+    CATALOGUE_TABLES,
+    ingest_forecasts,
+    ingest_readings,
+    refresh_catalogue,
+    switch_catalogue,
+)
 from gaugelake.schemas import READINGS, TARGET_POLLUTANTS, any_null, split_not_null  # noqa: E402
 from gaugelake.session import shared_folder, tune  # noqa: E402
-from gaugelake.sources import payloads, tables  # noqa: E402
+from gaugelake.sources import catalog, payloads, tables  # noqa: E402
 from gaugelake.streaming import ingest as streams  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
     from gaugelake.llm import queries as llm  # noqa: E402
-except ModuleNotFoundError as error:  # a copy of the library without that subpackage
-    if not (error.name or "").startswith(("gaugelake.llm", "corpus_pipeline")):
-        raise
+except ImportError:  # a copy of the library without that subpackage, or a machine without what it needs
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -348,6 +353,30 @@ def _refresh_catalogue(x: _Inputs) -> DataFrame:
     return summary
 
 
+def _switched(x: _Inputs) -> catalog.SwitchedTables:
+    return catalog.SwitchedTables(x.spark, f"catalogue_{uuid.uuid4().hex}", CATALOGUE_TABLES, x.scratch())
+
+
+def _switch_catalogue(x: _Inputs) -> DataFrame:
+    """A refresh, and one that breaks after its stations are written: both tables are those of the first."""
+    both = _switched(x)
+    pages = bindings.catalogue_pages_of(x.table("supplier"), x.table("nation"))
+    switch_catalogue(pages, both, oracles.LOADED_AT)
+    first = both.current()
+    stations, sensors = (both.table(name) for name in CATALOGUE_TABLES)
+    broken = sensors.withColumn("parameter_units", F.raise_error(F.lit("half-way")).cast("string"))
+    try:
+        both.load({"stations": stations.withColumn("station_name", F.lit("later")), "sensors": broken})
+    except Exception:
+        if both.current() != first:
+            raise
+    return (
+        both.table("stations")
+        .select("station_id", "station_name", "sensor_count")
+        .join(both.table("sensors").select("station_id", "openaq_sensor_id", "parameter_units"), "station_id")
+    )
+
+
 def _subset_stations(x: _Inputs) -> DataFrame:
     return catalogue.subset_stations(_station_rows(x))
 
@@ -509,6 +538,34 @@ def _retain_days(x: _Inputs) -> DataFrame:
     return tables.retain_days(x.readings, "period_from_utc", 30, oracles.RETENTION_TS)
 
 
+def _expire_dates(x: _Inputs) -> DataFrame:
+    """What a table has left after its old partitions are dropped through the catalogue."""
+    database = f"readings_{uuid.uuid4().hex}"
+    catalog.open_database(x.spark, database, x.scratch())
+    name = f"{database}.readings"
+    catalog.create_table(x.spark, name, READINGS)
+    catalog.insert(x.readings, name, READINGS, "period_from_utc")
+    catalog.expire_dates(x.spark, name, 30, datetime.fromisoformat(oracles.RETENTION_TS))
+    return _without_zone(x.spark.table(name).drop(tables.PARTITION))
+
+
+def _cached_page(x: _Inputs) -> DataFrame:
+    """The daily statistics as a page shows them: first, within its time and after it, while the log grows."""
+    now, log = [0.0], tables.run_log_table(x.scratch() + "/log")
+    cache = ResultCache(300.0, clock=lambda: now[0])
+    odd = F.col("api_calls") % 2 == 1
+    shown = []
+    tables.append(x.run_log.filter(odd), log)
+    for seen, seconds in (("first", 0.0), ("within", 299.0), ("after", 300.0)):
+        now[0] = seconds
+        page = cache.fetch(runs.daily_ingestion_stats(tables.read_table(x.spark, log), limit=None))
+        shown.append(page.assign(seen=seen))
+        if seen == "first":
+            tables.append(x.run_log.filter(~odd), log)
+    pages = [x.spark.createDataFrame(p, "run_date date, source string, total_records long, successes long, errors long, seen string") for p in shown]
+    return pages[0].unionByName(pages[1]).unionByName(pages[2])
+
+
 def _append_and_read(x: _Inputs) -> DataFrame:
     target = tables.readings_table(x.scratch() + "/readings")
     tables.append(x.readings, target)
@@ -647,6 +704,7 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "build_sensor_rows": _build_sensor_rows,
     "catalogue_summary": _catalogue_summary,
     "refresh_catalogue": _refresh_catalogue,
+    "switch_catalogue": _switch_catalogue,
     "subset_stations": _subset_stations,
     "units_by_pollutant": _units_by_pollutant,
     "flatten_hourly_readings": _flatten_hourly_readings,
@@ -661,6 +719,8 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "ingest_forecasts_run": _ingest_forecasts_run,
     "stream_request_buckets": _stream_request_buckets,
     "retain_days": _retain_days,
+    "expire_dates": _expire_dates,
+    "cached_page": _cached_page,
     "append_and_read": _append_and_read,
     "stream_latest_readings": _stream_latest_readings,
     "not_null_rejects": _not_null_rejects,

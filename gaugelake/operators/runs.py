@@ -261,18 +261,44 @@ def request_status_breakdown(requests: DataFrame, by: Sequence[str]) -> DataFram
     return requests.groupBy(*by, label.alias("status")).agg(F.count(F.lit(1)).alias("requests"))
 
 
+def _joined(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Neighbouring stretches of time as one, per ``keys``; the result has the form of the rows.
+
+    A stretch has the ``change`` of the running count over it, the highest count (``peak``) if it starts
+    at zero, the longest ``gap`` between its requests, and its first and last request.
+    """
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    carried = rows.withColumns(
+        {
+            "carry": F.coalesce(F.sum("change").over(earlier), _zero()),
+            "before": F.max("last_at").over(earlier),
+        }
+    )
+    return carried.groupBy(*keys).agg(
+        F.sum("change").alias("change"),
+        F.max(F.col("carry") + F.col("peak")).alias("peak"),
+        F.max(F.greatest(F.col("gap"), F.col("first_at") - F.col("before"))).alias("gap"),
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+    )
+
+
+#: Seconds that one task puts together; the next step has a row for each such span of a run.
+_SPAN_SECONDS = 4096
+
+
 def request_pace(
     requests: DataFrame, by: Sequence[str], ts: str = "started_at", window_seconds: float = 60.0
 ) -> DataFrame:
     """Most requests in any sliding window, and the longest gap, per run.
 
     Each request counts +1 when it starts and -1 one window later; the running sum is
-    the number of requests in ``(t - window, t]``. To keep a busy run out of one task,
-    the sum is taken within each second and carried from second to second: a task holds
-    the distinct microseconds of a second, the last step one row per second of the run.
+    the number of requests in ``(t - window, t]``. To keep a busy or a long run out of one task,
+    instants are put together to seconds, seconds to spans and spans to the run: a task
+    holds the distinct microseconds of a second, the seconds of a span, or one row per span of a
+    run (some 80,000 for ten years).
     """
     width = int(window_seconds * 1_000_000)
-    step = 1_000_000
     at = _micros(F.col(ts))
     changes = F.array(
         F.struct(at.alias("at"), F.lit(1).cast("bigint").alias("change"), at.alias("request_at")),
@@ -285,37 +311,22 @@ def request_pace(
     instants = (
         requests.select(*by, F.inline(changes))
         .groupBy(*by, "at")
-        .agg(F.sum("change").alias("change"), F.max("request_at").alias("request_at"))
-        .withColumn("second", _quotient(F.col("at"), step))
-    )
-    local = Window.partitionBy(*by, "second").orderBy("at")
-    seconds = (
-        instants.withColumns(
-            {
-                "running": F.sum("change").over(local.rowsBetween(Window.unboundedPreceding, 0)),
-                "before": F.max("request_at").over(local.rowsBetween(Window.unboundedPreceding, -1)),
-            }
+        .agg(F.sum("change").alias("change"), F.max("request_at").alias("first_at"))
+        .select(
+            "*",
+            F.col("change").alias("peak"),
+            F.lit(None).cast("bigint").alias("gap"),
+            F.col("first_at").alias("last_at"),
+            _quotient(F.col("at"), 1_000_000).alias("second"),
         )
-        .groupBy(*by, "second")
-        .agg(
-            F.sum("change").alias("change"),
-            F.max("running").alias("peak"),
-            F.max(F.col("request_at") - F.col("before")).alias("gap"),
-            F.min("request_at").alias("first_at"),
-            F.max("request_at").alias("last_at"),
-        )
-    )
-    earlier = Window.partitionBy(*by).orderBy("second").rowsBetween(Window.unboundedPreceding, -1)
-    carried = seconds.withColumns(
-        {
-            "carry": F.coalesce(F.sum("change").over(earlier), _zero()),
-            "before": F.max("last_at").over(earlier),
-        }
     )
-    gap = F.greatest(F.col("gap"), F.col("first_at") - F.col("before"))
-    return carried.groupBy(*by).agg(
-        F.max(F.col("carry") + F.col("peak")).alias("max_requests_in_window"),
-        F.coalesce(F.max(gap) / F.lit(1e6), F.lit(0.0)).alias("longest_gap_seconds"),
+    seconds = _joined(instants, [*by, "second"], "at")
+    spans = _joined(seconds.withColumn("span", _quotient(F.col("second"), _SPAN_SECONDS)), [*by, "span"], "second")
+    whole = _joined(spans, by, "span")
+    return whole.select(
+        *by,
+        F.col("peak").alias("max_requests_in_window"),
+        F.coalesce(F.col("gap") / F.lit(1e6), F.lit(0.0)).alias("longest_gap_seconds"),
     )
 
 
@@ -326,10 +337,18 @@ def request_rate_audit(
     return request_counts(requests, by).join(request_pace(requests, by, ts, window_seconds), list(by))
 
 
+#: Buckets that one task makes at a time.
+_BUCKETS_AT_ONCE = 65_536
+
+
 def request_timeline(
     requests: DataFrame, by: Sequence[str], ts: str = "started_at", bucket_seconds: float = 10.0
 ) -> DataFrame:
-    """Requests per bucket from a run's first request to its last, empty buckets included."""
+    """Requests per bucket from a run's first request to its last, empty buckets included.
+
+    The buckets of a run are made in ranges that are dealt over the tasks, so a run may last long,
+    or seem to by a stray time.
+    """
     width = int(bucket_seconds * 1_000_000)
     instants = requests.groupBy(*by, _micros(F.col(ts)).alias("at")).agg(F.count(F.lit(1)).alias("requests"))
     span = requests.groupBy(*by).agg(
@@ -342,7 +361,14 @@ def request_timeline(
         .agg(F.sum("requests").alias("requests"))
     )
     last = _quotient(F.col("last_at") - F.col("first_at"), width)
-    buckets = span.select(*by, "first_at", F.explode(F.sequence(_zero(), last)).alias("bucket"))
+    most = F.lit(_BUCKETS_AT_ONCE).cast("bigint")
+    ranges = (
+        span.select(*by, "first_at", last.alias("last"))
+        .select("*", F.explode(F.sequence(_zero(), _quotient(F.col("last"), _BUCKETS_AT_ONCE))).alias("range"))
+        .repartition(*by, "range")
+    )
+    low = F.col("range") * most
+    buckets = ranges.select(*by, "first_at", F.explode(F.sequence(low, F.least("last", low + most - 1))).alias("bucket"))
     return buckets.join(counted, [*by, "bucket"], "left").select(
         *by,
         "bucket",

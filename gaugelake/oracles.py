@@ -389,6 +389,9 @@ UNION ALL SELECT 'stations', 'in_box', count(*) FILTER (WHERE latitude BETWEEN 4
 UNION ALL SELECT 'sensors', 'total', count(*), NULL FROM kept_sensors
 UNION ALL SELECT 'sensors_of', parameter_name, count(*), bool_or(parameter_units <> 'µg/m³')
   FROM kept_sensors GROUP BY parameter_name""",
+        "switch_catalogue": f"""{items}
+SELECT 'openaq:' || id AS station_id, name AS station_name, 3::BIGINT AS sensor_count, openaq_sensor_id, parameter_units
+FROM kept JOIN kept_sensors s ON s.station_id = 'openaq:' || id""",
         "subset_stations": f"""{items}
 SELECT 'openaq:' || id AS station_id, name AS station_name, pollutants_available FROM kept
 WHERE latitude BETWEEN 43.5 AND 46.0 AND longitude BETWEEN 4.0 AND 5.5""",
@@ -470,6 +473,15 @@ SELECT run_date, time_bucket(INTERVAL {AUDIT_BUCKET_SECONDS} SECOND, started_at,
   count(*) AS requests FROM requests GROUP BY ALL""",
         "retain_days": f"""{ctes("readings")}
 SELECT * FROM readings WHERE period_from_utc::DATE + INTERVAL 30 DAY > TIMESTAMP '{RETENTION_TS}'""",
+        "expire_dates": f"""{ctes("readings")}
+SELECT {_READING_COLUMNS} FROM readings WHERE period_from_utc::DATE + INTERVAL 30 DAY > TIMESTAMP '{RETENTION_TS}'""",
+        "cached_page": f"""{ctes("run_log")},
+seen AS (
+  SELECT unnest(['first', 'within', 'after']) AS seen, unnest([1, 1, 0]) AS least),
+shown AS (SELECT * FROM run_log JOIN seen ON api_calls % 2 >= least)
+SELECT seen, run_started_at::DATE AS run_date, source, sum(records_written)::BIGINT AS total_records,
+  count(*) FILTER (WHERE status = 'success') AS successes, count(*) FILTER (WHERE status = 'error') AS errors
+FROM shown GROUP BY ALL""",
         "append_and_read": f"""{ctes("readings")}
 SELECT {_READING_COLUMNS} FROM readings""",
         "stream_latest_readings": f"{ctes('dedup_readings')} SELECT {_READING_COLUMNS} FROM dedup_readings",

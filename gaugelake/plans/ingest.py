@@ -19,6 +19,7 @@ from gaugelake.sources.payloads import (
     parse_catalogue,
     reading_outcomes,
 )
+from gaugelake.sources.catalog import SwitchedTables
 from gaugelake.sources.tables import TableSpec, append, append_run_log, overwrite, read_table
 
 _INSTANT = RUN_LOG["run_started_at"].dataType
@@ -127,17 +128,40 @@ def ingest_forecasts(
     )
 
 
+CATALOGUE_TABLES = ("stations", "sensors")
+
+
+def _kept(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    kept, reasons = select_stations(parse_catalogue(pages))
+    if kept.isEmpty():
+        raise ValueError("no catalogue item passed the filters")
+    return kept, reasons
+
+
 def refresh_catalogue(
     pages: DataFrame, stations_path: str, sensors_path: str, loaded_at: datetime | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Full refresh of stations and sensors; returns ``(summary, reason_counts)``.
 
-    A catalogue of which nothing is kept leaves the tables as they are.
+    A catalogue of which nothing is kept leaves the tables as they are. The two tables are
+    replaced one after the other; :func:`switch_catalogue` replaces them together.
     """
-    kept, reasons = select_stations(parse_catalogue(pages))
-    if kept.isEmpty():
-        raise ValueError("no catalogue item passed the filters")
+    kept, reasons = _kept(pages)
     overwrite(build_station_rows(kept, loaded_at), stations_path)
     overwrite(build_sensor_rows(kept, loaded_at), sensors_path)
     spark = pages.sparkSession
     return catalogue_summary(spark.read.parquet(stations_path), spark.read.parquet(sensors_path)), reasons
+
+
+def switch_catalogue(
+    pages: DataFrame, tables: SwitchedTables, loaded_at: datetime | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Full refresh of stations and sensors in one switch; returns ``(summary, reason_counts)``.
+
+    ``tables`` are :data:`CATALOGUE_TABLES`. A refresh that fails, or of which nothing is kept, leaves
+    both as they are, and no reader sees the stations of one refresh with the sensors of another.
+    """
+    kept, reasons = _kept(pages)
+    stations, sensors = CATALOGUE_TABLES
+    tables.load({stations: build_station_rows(kept, loaded_at), sensors: build_sensor_rows(kept, loaded_at)})
+    return catalogue_summary(tables.table(stations), tables.table(sensors)), reasons
