@@ -33,6 +33,7 @@ from gaugelake.schemas import READINGS, TARGET_POLLUTANTS, any_null, split_not_n
 from gaugelake.session import shared_folder, tune  # noqa: E402
 from gaugelake.sources import catalog, payloads, tables  # noqa: E402
 from gaugelake.streaming import ingest as streams  # noqa: E402
+from gaugelake.streaming import stateful  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
@@ -584,6 +585,57 @@ def _stream_latest_readings(x: _Inputs) -> DataFrame:
     return _without_zone(tables.read_table(x.spark, latest))
 
 
+def _stream_newest_versions(x: _Inputs) -> DataFrame:
+    folder = x.scratch()
+    latest = tables.readings_table(folder + "/latest")
+    arriving = x.spark.readStream.schema(x.table("events").schema).parquet(f"{x._dir}/events*.parquet")
+    stateful.start_newest(bindings.readings_of(arriving), latest, folder + "/checkpoint", ["dedup_key"]).awaitTermination()
+    return _without_zone(streams.newest_readings(tables.read_table(x.spark, latest)))
+
+
+def _finished_requests(x: _Inputs, folder: str) -> DataFrame:
+    """The requests as a stream, and a row without a run a day later, so that time passes the last of them."""
+    events = x.table("events")
+    requests = bindings.requests_of(events)
+    later = requests.agg(F.timestamp_add("DAY", F.lit(1), F.max("started_at")).alias("started_at"))
+    beat = later.select(F.lit(None).cast("date").alias("run_date"), "started_at", F.lit(None).cast("int").alias("status_code"))
+    beat.write.parquet(folder + "/beat")
+    arriving = x.spark.readStream.schema(events.schema).parquet(f"{x._dir}/events*.parquet")
+    return bindings.requests_of(arriving).unionByName(x.spark.readStream.schema(requests.schema).parquet(folder + "/beat"))
+
+
+def _all_written(x: _Inputs, rows: DataFrame, folder: str) -> DataFrame:
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/{number}")
+
+    query = (
+        rows.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return x.spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/rows")
+
+
+def _stream_request_timeline(x: _Inputs) -> DataFrame:
+    folder = x.scratch()
+    timeline = stateful.stream_timeline(
+        _finished_requests(x, folder), ["run_date"], bucket_seconds=oracles.AUDIT_BUCKET_SECONDS, lateness="0 seconds"
+    )
+    return _without_zone(_all_written(x, timeline, folder))
+
+
+def _stream_rate_audit(x: _Inputs) -> DataFrame:
+    folder = x.scratch()
+    audit = stateful.stream_rate_audit(
+        _finished_requests(x, folder), ["run_date"], window_seconds=oracles.AUDIT_WINDOW_SECONDS, lateness="0 seconds"
+    )
+    rows = _all_written(x, audit, folder)
+    return rows.groupBy("run_date").agg(*[F.max(c).alias(c) for c in rows.columns if c != "run_date"])
+
+
 # --- data quality -----------------------------------------------------------------
 
 
@@ -723,6 +775,9 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "cached_page": _cached_page,
     "append_and_read": _append_and_read,
     "stream_latest_readings": _stream_latest_readings,
+    "stream_newest_versions": _stream_newest_versions,
+    "stream_request_timeline": _stream_request_timeline,
+    "stream_rate_audit": _stream_rate_audit,
     "not_null_rejects": _not_null_rejects,
     "dq_unique": _dq_unique,
     "dq_row_count": _dq_row_count,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from functools import cache
 
@@ -24,6 +25,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this library from where the driver has it, whatever their working folder.
+
+    On a cluster the library has to be installed there or shipped with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

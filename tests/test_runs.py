@@ -147,3 +147,19 @@ def test_window_is_strictly_shorter_than_its_length(spark):
     df = spark.createDataFrame([("r", t, 200) for t in times], "run_id string, started_at timestamp, status_code int")
     [row] = runs.request_rate_audit(df, ["run_id"]).collect()
     assert row.max_requests_in_window == 2
+
+
+def test_a_run_of_ten_years(spark, monkeypatch):
+    monkeypatch.setattr(runs, "_BUCKETS_AT_ONCE", 1000)
+    rng, start = random.Random(9), datetime(2014, 1, 1)
+    seconds = 10 * 365 * 86_400
+    times = sorted({0, seconds, *(rng.randrange(seconds) for _ in range(1500)), *(5_000_000 + i * 7 for i in range(400))})
+    df = spark.createDataFrame([("r", start + timedelta(seconds=t), 200) for t in times], "run_id string, started_at timestamp, status_code int")
+    peak, gap, buckets = brute_force([t * 1_000_000 for t in times], 60_000_000, 3_600_000_000)
+    [row] = runs.request_rate_audit(df, ["run_id"]).collect()
+    assert (row.max_requests_in_window, row.longest_gap_seconds) == (peak, gap)
+    timeline = runs.request_timeline(df, ["run_id"], bucket_seconds=3600)
+    assert [r.requests for r in timeline.orderBy("bucket").collect()] == buckets and len(buckets) > 80_000
+    # The spans of the run, not its seconds, meet in one task.
+    spans = {t // runs._SPAN_SECONDS for t in times} | {(t + 60) // runs._SPAN_SECONDS for t in times}
+    assert len(spans) < seconds / 1000
