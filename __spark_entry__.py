@@ -29,9 +29,9 @@ from gaugelake.plans.ingest import (  # noqa: E402
     refresh_catalogue,
     switch_catalogue,
 )
-from gaugelake.schemas import READINGS, TARGET_POLLUTANTS, any_null, split_not_null  # noqa: E402
+from gaugelake.schemas import READINGS, TARGET_POLLUTANTS, any_null, conform, split_not_null  # noqa: E402
 from gaugelake.session import shared_folder, tune  # noqa: E402
-from gaugelake.sources import catalog, payloads, tables  # noqa: E402
+from gaugelake.sources import catalog, layout, payloads, tables  # noqa: E402
 from gaugelake.streaming import ingest as streams  # noqa: E402
 from gaugelake.streaming import stateful  # noqa: E402
 
@@ -290,17 +290,7 @@ def _request_status_breakdown(x: _Inputs) -> DataFrame:
 
 
 def _latest_station_metadata(x: _Inputs) -> DataFrame:
-    return catalogue.latest_station_metadata(x.station_loads).select(
-        "station_id",
-        "station_name",
-        "locality",
-        "country_code",
-        "latitude",
-        "longitude",
-        "datetime_last_utc",
-        "pollutants_available",
-        "loaded_at",
-    )
+    return catalogue.latest_station_metadata(x.station_loads)
 
 
 def _eligible_stations(x: _Inputs) -> DataFrame:
@@ -550,6 +540,14 @@ def _expire_dates(x: _Inputs) -> DataFrame:
     return _without_zone(x.spark.table(name).drop(tables.PARTITION))
 
 
+def _rewrite_along_curve(x: _Inputs) -> DataFrame:
+    """One pollutant of a table laid out by station, pollutant and hour at once."""
+    target = tables.readings_table(x.scratch() + "/readings")
+    columns = ["station_id", "pollutant", "period_from_utc"]
+    layout.rewrite_along_curve(conform(x.readings, READINGS), target, columns, rows_per_file=1_000_000)
+    return _without_zone(tables.read_table(x.spark, target).filter(F.col("pollutant") == "so2"))
+
+
 def _cached_page(x: _Inputs) -> DataFrame:
     """The daily statistics as a page shows them: first, within its time and after it, while the log grows."""
     now, log = [0.0], tables.run_log_table(x.scratch() + "/log")
@@ -641,8 +639,7 @@ def _stream_rate_audit(x: _Inputs) -> DataFrame:
 
 def _not_null_rejects(x: _Inputs) -> DataFrame:
     gaps = x.readings.withColumn("run_id", F.when(F.col("coverage_observed") != 7, F.col("run_id")))
-    _, rejected = split_not_null(gaps, READINGS)
-    return rejected.select("openaq_sensor_id", "period_from_utc", "value")
+    return split_not_null(gaps, READINGS)[1]
 
 
 def _dq_unique(x: _Inputs) -> DataFrame:
@@ -693,19 +690,22 @@ def _dq_members(x: _Inputs) -> DataFrame:
     return quality.assert_members(x.run_log, "status", ["success", "partial_success"], "run_ok", ["run_id"])
 
 
-def _dq_report(x: _Inputs) -> DataFrame:
+def _report(x: _Inputs) -> DataFrame:
     checks = {
         "five_sensors": lambda: _dq_row_count(x),
         "metadata_present": lambda: _dq_not_null(x),
-        "missing_column": lambda: quality.assert_members(x.run_log, "no_such_column", [1], "missing_column"),
         "no_poor_hour": lambda: _dq_no_rows(x),
-        "positive_value": lambda: quality.assert_no_rows(
-            x.readings, any_null(["value"]), ["dedup_key"], "positive_value"
-        ),
         "readings_unique": lambda: _dq_unique(x),
-        "run_ok": lambda: _dq_members(x),
     }
-    report = quality.dq_report(x.spark, checks)
+    run_checks = [
+        quality.members_check("no_such_column", [1], "missing_column"),
+        quality.members_check("status", ["success", "partial_success"], "run_ok", ["run_id"]),
+    ]
+    reading_checks = [quality.no_rows_check(any_null(["value"]), ["dedup_key"], "positive_value")]
+    return quality.dq_report(x.spark, checks, tables=[(x.run_log, run_checks), (x.readings, reading_checks)])
+
+
+def _shown(report: DataFrame) -> DataFrame:
     shown = F.transform("samples", lambda v: F.concat_ws("|", *[F.coalesce(v[c], F.lit("")) for c in quality.VIOLATION_COLUMNS[1:]]))
     return report.select(
         "test_name",
@@ -716,6 +716,26 @@ def _dq_report(x: _Inputs) -> DataFrame:
     )
 
 
+def _dq_report(x: _Inputs) -> DataFrame:
+    return _shown(_report(x))
+
+
+def _dq_totals(x: _Inputs) -> DataFrame:
+    return quality.dq_totals(_report(x))
+
+
+def _dq_one_scan(x: _Inputs) -> DataFrame:
+    """Four checks of the readings' rows, answered by one scan."""
+    observed = F.col("coverage_observed")
+    checks = [
+        quality.members_check("unit", ["ppm"], "unit_is_ppm", ["dedup_key", "run_id"]),
+        quality.no_rows_check(observed < 2, ["dedup_key", "run_id"], "observed", "2 or more", observed),
+        quality.null_check(["value"], ["dedup_key", "run_id"], "no_value_unobserved", observed == 0),
+        quality.not_null_check(["value", "unit"], ["dedup_key", "run_id"], "complete"),
+    ]
+    return _shown(quality.dq_report(x.spark, {}, tables=[(x.readings, checks)]))
+
+
 _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "dedup_latest_readings": _dedup_latest_readings,
     "dedup_latest_forecasts": _dedup_latest_forecasts,
@@ -772,6 +792,7 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "stream_request_buckets": _stream_request_buckets,
     "retain_days": _retain_days,
     "expire_dates": _expire_dates,
+    "rewrite_along_curve": _rewrite_along_curve,
     "cached_page": _cached_page,
     "append_and_read": _append_and_read,
     "stream_latest_readings": _stream_latest_readings,
@@ -787,6 +808,8 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "dq_no_rows": _dq_no_rows,
     "dq_members": _dq_members,
     "dq_report": _dq_report,
+    "dq_totals": _dq_totals,
+    "dq_one_scan": _dq_one_scan,
 }
 
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from fnmatch import fnmatch
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from gaugelake.session import importable
+
 VIOLATION_COLUMNS = ("test_name", "entity_id", "expected_value", "actual_value", "reason")
 SAMPLES_PER_CHECK = 5
 
@@ -41,6 +44,78 @@ def violations(
     )
 
 
+class RowCheck(NamedTuple):
+    """A check that each row of a table passes or fails by itself."""
+
+    name: str
+    wrong: Column
+    entity: Column
+    expected: Column
+    actual: Column
+    reason: str
+
+
+def row_checks(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
+    """Violations of several checks of one table, from one scan of it."""
+
+    def violation(check: RowCheck) -> Column:
+        details = (check.entity, check.expected, check.actual, F.lit(check.reason))
+        values = [v.cast("string").alias(c) for c, v in zip(_DETAILS, details, strict=True)]
+        return F.when(check.wrong, F.struct(F.lit(check.name).alias("test_name"), *values))
+
+    some = df.filter(reduce(Column.__or__, [check.wrong for check in checks]))
+    found = F.array(*map(violation, checks))
+    return some.select(F.inline(F.filter(found, lambda x: x.isNotNull())))
+
+
+def null_check(
+    columns: Sequence[str],
+    entity: Sequence[str],
+    name: str,
+    where: Column | None = None,
+    reason: str = "Columns should be NULL",
+) -> RowCheck:
+    """Rows (of those ``where`` holds) in which one of ``columns`` has a value."""
+    wrong = reduce(Column.__or__, [F.col(c).isNotNull() for c in columns])
+    return RowCheck(
+        name,
+        wrong if where is None else where & wrong,
+        _entity(entity),
+        F.lit(",".join(f"{c}=NULL" for c in columns)),
+        _labelled([(c, F.col(c)) for c in columns]),
+        reason,
+    )
+
+
+def not_null_check(
+    columns: Sequence[str], keys: Sequence[str], name: str, reason: str = "Row should exist with non-NULL values"
+) -> RowCheck:
+    """Rows with a NULL in ``columns``."""
+    wrong = reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+    return RowCheck(name, wrong, _entity(keys), F.lit("not NULL"), _labelled([(c, F.col(c)) for c in columns]), reason)
+
+
+def no_rows_check(
+    predicate: Column,
+    entity: Sequence[str],
+    name: str,
+    expected: str = "no rows",
+    actual: Column | None = None,
+    reason: str = "Rows should not exist",
+) -> RowCheck:
+    """Rows the predicate holds for."""
+    got = F.lit("present") if actual is None else actual
+    return RowCheck(name, predicate, _entity(entity), F.lit(expected), got, reason)
+
+
+def members_check(
+    column: str, allowed: Sequence, name: str, entity: Sequence[str] | None = None, reason: str = "Value is not allowed"
+) -> RowCheck:
+    """Rows whose ``column`` is outside ``allowed``; a NULL is not a value."""
+    wrong = ~F.col(column).isin(*allowed)
+    return RowCheck(name, wrong, _entity(entity or [column]), F.lit(",".join(map(str, allowed))), F.col(column), reason)
+
+
 def assert_row_count(
     df: DataFrame, keys: Sequence[str], rows: int, name: str, reason: str = "Unexpected number of rows"
 ) -> DataFrame:
@@ -96,16 +171,7 @@ def assert_null(
     reason: str = "Columns should be NULL",
 ) -> DataFrame:
     """Rows (of those ``where`` holds) in which one of ``columns`` has a value."""
-    rows = df if where is None else df.filter(where)
-    wrong = rows.filter(reduce(Column.__or__, [F.col(c).isNotNull() for c in columns]))
-    return violations(
-        wrong,
-        name,
-        _entity(entity),
-        F.lit(",".join(f"{c}=NULL" for c in columns)),
-        _labelled([(c, F.col(c)) for c in columns]),
-        reason,
-    )
+    return row_checks(df, [null_check(columns, entity, name, where, reason)])
 
 
 def assert_not_null(
@@ -141,8 +207,7 @@ def assert_no_rows(
     reason: str = "Rows should not exist",
 ) -> DataFrame:
     """Rows the predicate holds for."""
-    got = F.lit("present") if actual is None else actual
-    return violations(df.filter(predicate), name, _entity(entity), F.lit(expected), got, reason)
+    return row_checks(df, [no_rows_check(predicate, entity, name, expected, actual, reason)])
 
 
 def assert_members(
@@ -154,13 +219,36 @@ def assert_members(
     reason: str = "Value is not allowed",
 ) -> DataFrame:
     """Rows whose ``column`` is outside ``allowed``."""
-    return violations(
-        df.filter(~F.col(column).isin(*allowed)),
-        name,
-        _entity(entity or [column]),
-        F.lit(",".join(map(str, allowed))),
-        F.col(column),
-        reason,
+    return row_checks(df, [members_check(column, allowed, name, entity, reason)])
+
+
+_FOUND = "test_name string, violations long, samples array<struct<" + ",".join(f"{c}:string" for c in _DETAILS) + ">>"
+
+
+def _counted(batches):
+    """Per check the number of its violations in a task and the first few of them; a task holds no more."""
+    import heapq
+
+    import pyarrow as pa
+
+    def order(row):
+        return [(value is not None, value or "") for value in row]
+
+    counts: dict[str, int] = {}
+    first: dict[str, list] = {}
+    for batch in batches:
+        rows: dict[str, list] = {}
+        names, *details = (batch.column(i).to_pylist() for i in range(batch.num_columns))
+        for name, *row in zip(names, *details, strict=True):
+            rows.setdefault(name, []).append(row)
+        for name, found in rows.items():
+            counts[name] = counts.get(name, 0) + len(found)
+            first[name] = heapq.nsmallest(SAMPLES_PER_CHECK, [*first.get(name, []), *found], key=order)
+    samples = [[dict(zip(_DETAILS, row, strict=True)) for row in first[name]] for name in counts]
+    shape = pa.list_(pa.struct([(c, pa.string()) for c in _DETAILS]))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64()), pa.array(samples, shape)],
+        names=["test_name", "violations", "samples"],
     )
 
 
@@ -168,42 +256,57 @@ def dq_report(
     spark: SparkSession,
     checks: Mapping[str, DataFrame | Callable[[], DataFrame]],
     only: str | None = None,
+    tables: Sequence[tuple[DataFrame | Callable[[], DataFrame], Sequence[RowCheck]]] = (),
 ) -> DataFrame:
     """One row per check: ``test_name, status, violations, samples, error_message``.
 
-    All checks run as one Spark job. ``samples`` are a check's first five violations in the
-    order of their columns, equal ones included. Both the count and the samples are reduced
-    in the map tasks, so a check may have any number of violations. A check that cannot be
-    planned is an ``error``.
+    All checks run as one Spark job. ``tables`` lists tables with checks of their rows: all checks of
+    one table are answered by one scan of it. ``checks`` are frames of violations, each computed once.
+    ``samples`` are a check's first five violations in the order of their columns, equal
+    ones included. Spark has no aggregate that keeps the first few rows, so the map tasks reduce
+    violations, and only these, in Python to a count and five rows per check; a check may
+    have any number of violations. A check that cannot be planned is an ``error``.
     """
-    kept = {name: check for name, check in sorted(checks.items()) if only is None or fnmatch(name, only)}
-    frames, errors = {}, {}
-    for name, check in kept.items():
-        try:
-            frame = check() if callable(check) else check
-            frames[name] = frame.select(F.lit(name).alias("test_name"), *_DETAILS)
-        except PySparkException as problem:
-            errors[name] = str(problem)
+
+    def wanted(name: str) -> bool:
+        return only is None or fnmatch(name, only)
+
+    frames, errors, names_ = [], {}, []
+    for name, check in sorted(checks.items()):
+        if wanted(name):
+            names_.append(name)
+            try:
+                frame = check() if callable(check) else check
+                frames.append(frame.select(F.lit(name).alias("test_name"), *_DETAILS))
+            except PySparkException as problem:
+                errors[name] = str(problem)
+    for table, listed in tables:
+        kept = [check for check in listed if wanted(check.name)]
+        names_ += [check.name for check in kept]
+        planned = []
+        for check in kept:
+            try:
+                df = table() if callable(table) else table
+                row_checks(df, [check])
+                planned.append(check)
+            except PySparkException as problem:
+                errors[check.name] = str(problem)
+        if planned:
+            frames.append(row_checks(df, planned))
+    if len(set(names_)) < len(names_):
+        raise ValueError("two checks have one name")
     names = spark.createDataFrame(
-        [(name, errors.get(name)) for name in kept], "test_name string, error_message string"
+        [(name, errors.get(name)) for name in sorted(names_)], "test_name string, error_message string"
     )
     if not frames:
-        counted = names.select("test_name", F.lit(None).cast("bigint").alias("violations")).withColumn(
-            "samples", F.lit(None).cast("array<struct<" + ",".join(f"{c}:string" for c in _DETAILS) + ">>")
-        )
+        counted = spark.createDataFrame([], _FOUND)
     else:
-        every = reduce(DataFrame.unionByName, frames.values())
-        # Ranks trim to the first rows in every map task before anything moves.
-        first = Window.partitionBy("test_name").orderBy(*_DETAILS)
-        ranked = every.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= SAMPLES_PER_CHECK)
-        samples = ranked.groupBy("test_name").agg(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("rank", *_DETAILS))),
-                lambda x: F.struct(*[x[c].alias(c) for c in _DETAILS]),
-            ).alias("samples")
+        importable(spark)
+        every = reduce(DataFrame.unionByName, frames).mapInArrow(_counted, _FOUND)
+        counted = every.groupBy("test_name").agg(
+            F.sum("violations").alias("violations"),
+            F.slice(F.sort_array(F.flatten(F.collect_list("samples"))), 1, SAMPLES_PER_CHECK).alias("samples"),
         )
-        counts = every.groupBy("test_name").agg(F.count(F.lit(1)).alias("violations"))
-        counted = counts.join(samples, "test_name")
     return (
         names.join(counted, "test_name", "left")
         .select(

@@ -234,6 +234,22 @@ def sql() -> dict[str, str]:
     window_us = AUDIT_WINDOW_SECONDS * 1_000_000 - 1
     bucket_us = AUDIT_BUCKET_SECONDS * 1_000_000
     units = "{0}_unit".format
+    report = f"""{ctes("dedup_readings", "dedup_forecasts", "stations", "sensors", "run_log")},
+{_ranked_latest()},
+{_OUTLOOK},
+found AS (
+  {_UNIQUE} UNION ALL {_ROW_COUNT} UNION ALL {_MEMBERS} UNION ALL {_NO_ROWS} UNION ALL {_NOT_NULL}
+  UNION ALL SELECT 'positive_value', dedup_key, '', '', '' FROM readings WHERE value IS NULL),
+names AS (SELECT unnest(['five_sensors', 'metadata_present', 'missing_column', 'no_poor_hour', 'positive_value',
+  'readings_unique', 'run_ok']) AS test_name),
+placed AS (SELECT *, row_number() OVER (PARTITION BY test_name ORDER BY entity_id NULLS FIRST,
+  expected_value NULLS FIRST, actual_value NULLS FIRST, reason NULLS FIRST) AS place FROM found)
+SELECT n.test_name, CASE WHEN n.test_name = 'missing_column' THEN 'error' WHEN count(f.test_name) > 0 THEN 'failed'
+  ELSE 'passed' END AS status, count(f.test_name) AS violations,
+  coalesce(string_agg(coalesce(entity_id, '') || '|' || coalesce(expected_value, '') || '|' || coalesce(actual_value, '')
+    || '|' || coalesce(reason, ''), '; ' ORDER BY place) FILTER (WHERE place <= 5), '') AS samples,
+  CASE WHEN n.test_name = 'missing_column' THEN 'UNRESOLVED_COLUMN' END AS error_class
+FROM names n LEFT JOIN placed f ON n.test_name = f.test_name GROUP BY n.test_name"""
     found = {
         "dedup_latest_readings": f"{ctes('dedup_readings')} SELECT * FROM dedup_readings",
         "dedup_latest_forecasts": f"{ctes('dedup_forecasts')} SELECT * FROM dedup_forecasts",
@@ -355,8 +371,12 @@ FROM buckets b LEFT JOIN counted c ON b.run_date = c.run_date AND b.bucket = c.b
         "request_status_breakdown": f"""{ctes("requests")}
 SELECT run_date, coalesce(status_code::VARCHAR, 'error') AS status, count(*) AS requests FROM requests GROUP BY ALL""",
         "latest_station_metadata": f"""{ctes("latest_metadata")}
-SELECT station_id, station_name, locality, country_code, latitude, longitude, datetime_last_utc,
-  pollutants_available, loaded_at FROM latest_metadata""",
+SELECT station_id, openaq_location_id, station_name, locality, country_code, country_name, latitude, longitude,
+  'UTC' AS timezone, openaq_location_id % 11 = 0 AS is_mobile, openaq_location_id % 13 <> 0 AS is_monitor,
+  s_nationkey::BIGINT AS provider_id, country_name AS provider_name, openaq_location_id % 5 AS owner_id,
+  'Owner ' || (openaq_location_id % 5) AS owner_name, TIMESTAMP '2020-01-01' AS datetime_first_utc, datetime_last_utc,
+  pollutants_available, 3::BIGINT AS sensor_count, NULL::VARCHAR AS raw_json, loaded_at
+FROM latest_metadata JOIN supplier ON s_suppkey = openaq_location_id""",
         "eligible_stations": f"""{ctes("latest_metadata")}
 SELECT station_id, station_name FROM latest_metadata
 WHERE {" AND ".join(f"list_contains(regexp_split_to_array(lower(pollutants_available), '[^a-z0-9]+'), '{p}')" for p in ("pm25", "pm10", "no2"))}""",
@@ -475,6 +495,8 @@ SELECT run_date, time_bucket(INTERVAL {AUDIT_BUCKET_SECONDS} SECOND, started_at,
 SELECT * FROM readings WHERE period_from_utc::DATE + INTERVAL 30 DAY > TIMESTAMP '{RETENTION_TS}'""",
         "expire_dates": f"""{ctes("readings")}
 SELECT {_READING_COLUMNS} FROM readings WHERE period_from_utc::DATE + INTERVAL 30 DAY > TIMESTAMP '{RETENTION_TS}'""",
+        "rewrite_along_curve": f"""{ctes("readings")}
+SELECT {_READING_COLUMNS} FROM readings WHERE pollutant = 'so2'""",
         "cached_page": f"""{ctes("run_log")},
 seen AS (
   SELECT unnest(['first', 'within', 'after']) AS seen, unnest([1, 1, 0]) AS least),
@@ -486,7 +508,7 @@ FROM shown GROUP BY ALL""",
 SELECT {_READING_COLUMNS} FROM readings""",
         "stream_latest_readings": f"{ctes('dedup_readings')} SELECT {_READING_COLUMNS} FROM dedup_readings",
         "not_null_rejects": f"""{ctes("readings")}
-SELECT openaq_sensor_id, period_from_utc, value FROM readings WHERE coverage_observed = 7""",
+SELECT * REPLACE (NULL::VARCHAR AS run_id) FROM readings WHERE coverage_observed = 7""",
         "dq_unique": f"{ctes('readings')} {_UNIQUE}",
         "dq_row_count": f"{ctes('sensors')} {_ROW_COUNT}",
         "dq_expected": f"""{ctes("dedup_readings")} {_violations(
@@ -512,21 +534,24 @@ wide AS (
 {_NOT_NULL}""",
         "dq_no_rows": f"{outlook} {_NO_ROWS}",
         "dq_members": f"{ctes('run_log')} {_MEMBERS}",
-        "dq_report": f"""{ctes("dedup_readings", "dedup_forecasts", "stations", "sensors", "run_log")},
-{_ranked_latest()},
-{_OUTLOOK},
+        "dq_report": report,
+        "dq_totals": f"""WITH report AS ({report})
+SELECT count(*) AS tests_total, count(*) FILTER (WHERE status = 'passed') AS passed,
+  count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'error') AS errors,
+  CASE WHEN count(*) FILTER (WHERE status <> 'passed') > 0 THEN 'failed' ELSE 'passed' END AS status FROM report""",
+        "dq_one_scan": f"""{ctes("readings")},
 found AS (
-  {_UNIQUE} UNION ALL {_ROW_COUNT} UNION ALL {_MEMBERS} UNION ALL {_NO_ROWS} UNION ALL {_NOT_NULL}
-  UNION ALL SELECT 'positive_value', dedup_key, '', '', '' FROM readings WHERE value IS NULL),
-names AS (SELECT unnest(['five_sensors', 'metadata_present', 'missing_column', 'no_poor_hour', 'positive_value',
-  'readings_unique', 'run_ok']) AS test_name),
-placed AS (SELECT *, row_number() OVER (PARTITION BY test_name ORDER BY entity_id NULLS FIRST,
-  expected_value NULLS FIRST, actual_value NULLS FIRST, reason NULLS FIRST) AS place FROM found)
-SELECT n.test_name, CASE WHEN n.test_name = 'missing_column' THEN 'error' WHEN count(f.test_name) > 0 THEN 'failed'
-  ELSE 'passed' END AS status, count(f.test_name) AS violations,
-  coalesce(string_agg(coalesce(entity_id, '') || '|' || coalesce(expected_value, '') || '|' || coalesce(actual_value, '')
-    || '|' || coalesce(reason, ''), '; ' ORDER BY place) FILTER (WHERE place <= 5), '') AS samples,
-  CASE WHEN n.test_name = 'missing_column' THEN 'UNRESOLVED_COLUMN' END AS error_class
+  SELECT 'unit_is_ppm' AS test_name, dedup_key || ':' || run_id AS entity_id, 'ppm' AS want, unit AS got,
+    'Value is not allowed' AS reason FROM readings WHERE unit <> 'ppm'
+  UNION ALL SELECT 'observed', dedup_key || ':' || run_id, '2 or more', coverage_observed::VARCHAR, 'Rows should not exist'
+  FROM readings WHERE coverage_observed < 2
+  UNION ALL SELECT 'no_value_unobserved', dedup_key || ':' || run_id, 'value=NULL', 'value:' || value::VARCHAR,
+    'Columns should be NULL' FROM readings WHERE coverage_observed = 0 AND value IS NOT NULL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY test_name ORDER BY entity_id, want, got, reason) AS place FROM found),
+names AS (SELECT unnest(['complete', 'no_value_unobserved', 'observed', 'unit_is_ppm']) AS test_name)
+SELECT n.test_name, CASE WHEN count(f.test_name) > 0 THEN 'failed' ELSE 'passed' END AS status,
+  count(f.test_name) AS violations, coalesce(string_agg(entity_id || '|' || want || '|' || got || '|' || reason, '; '
+    ORDER BY place) FILTER (WHERE place <= 5), '') AS samples, NULL::VARCHAR AS error_class
 FROM names n LEFT JOIN placed f ON n.test_name = f.test_name GROUP BY n.test_name""",
     }
     # The views do not depend on what the key is known to be; a refresh ends in the same summary.

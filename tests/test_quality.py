@@ -125,3 +125,30 @@ def test_runtime_error_lands_on_its_check(spark):
         "fine": dq.assert_unique(df, ["k"], "fine"),
     }
     assert {r["test_name"]: r["status"] for r in dq.run_checks(spark, checks)} == {"bad_cast": "error", "fine": "passed"}
+
+
+def test_checks_of_one_table_take_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(i, None if i % 3 else float(i), "ppm" if i % 4 else "x") for i in range(200)]
+    spark.createDataFrame(rows, "id long, value double, unit string").repartition(4).write.parquet(path)
+    df = spark.read.parquet(path)
+    checks = [
+        dq.null_check(["value"], ["id"], "null"),
+        dq.not_null_check(["value"], ["id"], "not_null"),
+        dq.members_check("unit", ["ppm"], "unit", ["id"]),
+        dq.no_rows_check(F.col("id") > 500, ["id"], "large"),
+        dq.members_check("none", [1], "broken"),
+    ]
+    report = dq.dq_report(spark, {}, tables=[(lambda: df, checks)])
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1
+    found = {r.test_name: r for r in report.collect()}
+    assert {n: (r.status, r.violations) for n, r in found.items()} == {
+        "null": ("failed", 67), "not_null": ("failed", 133), "unit": ("failed", 50), "large": ("passed", 0), "broken": ("error", 0)}
+    # The first five as text, whatever task they came from.
+    assert [v.entity_id for v in found["null"].samples] == sorted(str(i) for i in range(0, 200, 3))[:5]
+    assert "none" in found["broken"].error_message and found["large"].samples is None
+    only = dq.dq_report(spark, {}, "nu*", tables=[(df, checks)]).collect()
+    assert [r.test_name for r in only] == ["null"]
+    with pytest.raises(ValueError, match="one name"):
+        dq.dq_report(spark, {"null": dq.assert_null(df, ["value"], ["id"], "null")}, tables=[(df, checks)])
