@@ -31,7 +31,7 @@ from gaugelake.plans.ingest import (  # noqa: E402
 )
 from gaugelake.schemas import READINGS, TARGET_POLLUTANTS, any_null, conform, split_not_null  # noqa: E402
 from gaugelake.session import shared_folder, tune  # noqa: E402
-from gaugelake.sources import catalog, layout, payloads, tables  # noqa: E402
+from gaugelake.sources import catalog, layout, payloads, tables, variants  # noqa: E402
 from gaugelake.streaming import ingest as streams  # noqa: E402
 from gaugelake.streaming import stateful  # noqa: E402
 
@@ -305,6 +305,23 @@ def _station_locations(x: _Inputs) -> DataFrame:
     return catalogue.station_locations(x.stations)
 
 
+def _catalogue_variants(x: _Inputs) -> DataFrame:
+    pages = bindings.catalogue_pages_of(x.table("supplier"), x.table("nation"))
+    items = variants.parse_catalogue_variants(pages)
+    return items.select(
+        "id",
+        "name",
+        "isMobile",
+        "isMonitor",
+        F.col("coordinates.latitude").alias("latitude"),
+        F.col("country.code").alias("country_code"),
+        F.size("sensors").cast("long").alias("sensors"),
+        F.col("sensors")[2]["parameter"]["name"].alias("third"),
+        "raw_json",
+        F.size("unknown_fields").cast("long").alias("unknown"),
+    )
+
+
 def _select_stations(x: _Inputs) -> DataFrame:
     kept, _ = catalogue.select_stations(x.catalogue)
     return kept.select("id", "name", "isMobile", "isMonitor")
@@ -770,6 +787,7 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "eligible_stations": _eligible_stations,
     "sensor_worklist": _sensor_worklist,
     "station_locations": _station_locations,
+    "catalogue_variants": _catalogue_variants,
     "select_stations": _select_stations,
     "select_stations_reasons": _select_stations_reasons,
     "build_station_rows": _build_station_rows,

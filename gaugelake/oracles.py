@@ -387,6 +387,28 @@ FROM sensors WHERE parameter_name IN {_TRACKED} AND station_id IN (
   GROUP BY station_id HAVING count(DISTINCT parameter_name) = 3)""",
         "station_locations": f"""{ctes("stations")}
 SELECT station_id, latitude, longitude FROM stations WHERE latitude IS NOT NULL AND longitude IS NOT NULL""",
+        "catalogue_variants": """
+WITH items AS (
+  SELECT s_suppkey AS k, s_name, n_nationkey, n_name,
+    CASE WHEN s_suppkey % 7 <> 5 THEN s_suppkey % 7 = 3 END AS mobile, CASE WHEN s_suppkey % 17 <> 0 THEN true END AS monitor,
+    CASE WHEN s_suppkey % 10 <> 3 THEN 43.0::DOUBLE + (s_suppkey % 40)::DOUBLE / 10.0::DOUBLE END AS lat,
+    4.0::DOUBLE + (s_suppkey % 25)::DOUBLE / 10.0::DOUBLE AS lon,
+    [CASE WHEN s_suppkey % 9 = 4 THEN 'co' ELSE 'pm25' END, CASE WHEN s_suppkey % 3 = 0 THEN 'pm10' ELSE 'co' END,
+     CASE WHEN s_suppkey % 2 = 0 THEN 'o3' ELSE 'co' END] AS names
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey),
+texts AS (
+  SELECT *, list_transform([1, 2, 3], lambda i: '{"id":' || (k * 10 + i) || ',"parameter":{"displayName":"' || upper(names[i])
+    || '","id":' || i || ',"name":"' || names[i] || '","units":"' || ['µg/m³', 'µg/m³', 'ppm'][i] || '"}}') AS sensors_text
+  FROM items)
+SELECT k AS id, s_name AS name, mobile AS "isMobile", monitor AS "isMonitor", lat AS latitude,
+  'N' || n_nationkey AS country_code, 3::BIGINT AS sensors, names[3] AS third,
+  '{' || CASE WHEN lat IS NOT NULL THEN '"coordinates":{"latitude":' || regexp_replace(lat::VARCHAR, '\\.0$', '')
+    || ',"longitude":' || regexp_replace(lon::VARCHAR, '\\.0$', '') || '},' ELSE '' END
+    || '"country":{"code":"N' || n_nationkey || '","name":"' || n_name || '"},"datetimeFirst":{"utc":"2020-01-01T00:00:00Z"},"id":' || k
+    || CASE WHEN mobile IS NOT NULL THEN ',"isMobile":' || mobile ELSE '' END
+    || CASE WHEN monitor THEN ',"isMonitor":true' ELSE '' END || ',"name":"' || s_name
+    || '","sensors":[' || array_to_string(sensors_text, ',') || ']}' AS raw_json, 0::BIGINT AS unknown
+FROM texts""",
         "select_stations": f"""{items}
 SELECT id, name, is_mobile AS "isMobile", is_monitor AS "isMonitor" FROM kept""",
         "select_stations_reasons": f"""{items}
