@@ -183,102 +183,149 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class Pieces:
+    """Token ids of pieces of words, numbered as they come. Number 0 is the end of a document."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+        self.ids, self.ends = array("I", [_END_ID]), array("q", [1])
+
+    def add(self, piece: str, ids: list[int]) -> None:
+        self.numbers[piece] = len(self.ends)
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+
+
+def _gathered(values: np.ndarray, firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of values, one after the other, each given by its first place and its size."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(firsts - (ends - sizes), sizes) + np.arange(total)]
+
+
 class WordTokenizer:
-    """Encodes texts with a word-level tokenizer of the library, each distinct word once.
+    """Encodes texts with a word-level tokenizer of the library, each distinct piece of a word once.
 
     Words between ASCII white space are encoded on their own, as no token of such a tokenizer
     crosses white space. Words of ASCII and Latin-1 letters are put in lower case and cut into the
     tokenizer's pieces here, and every distinct piece is encoded by the library's model; all other
-    words go through the whole library.
+    words go through the whole library. Words and pieces are told apart by their bytes.
     """
 
-    _PLAIN = re.compile("[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
     # Fixed value: the tokenizer's own pattern, its letters and digits narrowed to those of plain words.
-    _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+    _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|\n|[^a-z0-9\xdf-\xf6\xf8-\xff\n]+")
 
-    def __init__(self, path: str, pieces: dict[str, list[int]] | None = None):
+    def __init__(self, path: str, pieces: Pieces | None = None):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.letters = _byte_letters()
-        self.pieces = {} if pieces is None else pieces
-        self.places: dict[int, int] = {}  # by the hash of the word
-        # The end of a document is the word at place 0.
-        self.ids, self.sizes = array("I", [_END_ID]), array("q", [1])
-
-    def _piece(self, piece: str) -> list[int]:
+        self.pieces = pieces or Pieces()
+
+    @staticmethod
+    def _plain(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which words, one behind the other in ``raw``, hold only ASCII and Latin-1 letters and no start of a special token."""
+        odd = (raw < 0x21) | (raw == 0x7F) | (raw >= 0x80)
+        lead = (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+        odd[:-1][lead] = False
+        odd[1:][lead] = False
+        mark = (raw[:-1] == ord("<")) & (raw[1:] == ord("|"))
+        odd[:-1] |= mark  # across two words it only costs a detour
+        sums = np.concatenate([[0], np.cumsum(odd)])
+        return sums[ends] == sums[np.concatenate([[0], ends[:-1]])]
+
+    def _piece(self, piece: str) -> None:
         text = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-        self.pieces[piece] = ids = [t.id for t in self.model.tokenize(text)]
-        return ids
-
-    def _learn(self, word: bytes) -> None:
-        text = word.decode()
-        if self._PLAIN.fullmatch(text) and "<|" not in text:
-            known, size = self.pieces.get, len(self.ids)
-            for piece in self._PIECES.findall(text.lower()):
-                self.ids.extend(known(piece) or self._piece(piece))
-            self.sizes.append(len(self.ids) - size)
-        else:
-            ids = self.library.encode(text, add_special_tokens=False).ids
-            self.ids.extend(ids)
-            self.sizes.append(len(ids))
+        self.pieces.add(piece, [t.id for t in self.model.tokenize(text)])
+
+    def _words(self, words: pa.Array, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words one behind the other, and the size of each."""
+        numbers = self.pieces.numbers
+        plain = self._plain(raw, ends)
+        text = words.cast(pa.large_string())
+        found = self._PIECES.findall("\n".join(text.filter(pa.array(plain)).to_pylist()).lower())
+        numbers["\n"] = -1
+        held = list(map(numbers.get, found))
+        for i, number in enumerate(held):
+            if number is None:
+                if (number := numbers.get(found[i])) is None:
+                    self._piece(found[i])
+                    number = numbers[found[i]]
+                held[i] = number
+        of_plain = np.array(held, np.int64)
+        cuts = np.concatenate([[-1], np.flatnonzero(of_plain < 0), [len(found)]])
+        others = text.filter(pa.array(~plain)).to_pylist()
+        for word in set(others).difference(numbers):
+            self.pieces.add(word, self.library.encode(word, add_special_tokens=False).ids)
+        at = np.fromiter(map(numbers.__getitem__, others), np.int64, len(others))
+        # Numbers of the pieces of all words: those of plain words, then a single one for each other word.
+        every = np.concatenate([of_plain, at])
+        firsts, sizes = np.empty(len(words), np.int64), np.ones(len(words), np.int64)
+        firsts[~plain] = len(of_plain) + np.arange(len(at))
+        if plain.any():
+            firsts[plain], sizes[plain] = cuts[:-1] + 1, np.diff(cuts) - 1
+        every = _gathered(every, firsts, sizes)
+        ids, stops = np.frombuffer(self.pieces.ids, np.uint32), np.frombuffer(self.pieces.ends, np.int64)
+        widths = stops[every] - stops[every - 1]
+        total = np.concatenate([[0], np.cumsum(widths)])
+        word_ends = np.cumsum(sizes)
+        return _gathered(ids, stops[every - 1], widths), total[word_ends] - total[word_ends - sizes]
 
     def encode(self, texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: empty), each followed by the end id, and the place after each text's last id."""
         raw, off = arrays.text_buffer(texts)
-        hashes, bounds = arrays.word_hashes(texts)
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        starts, ends = [], []
-        for a, b in arrays.steps(off):
-            s, e, _ = arrays.word_bounds(raw[off[a] : off[b]], off[a : b + 1] - off[a])
-            starts.append(s + off[a])
-            ends.append(e + off[a])
-        lows = np.concatenate([np.zeros(0, np.int64), *starts])[first].tolist()
-        highs = np.concatenate([np.zeros(0, np.int64), *ends])[first].tolist()
-        data, places = raw.tobytes(), np.empty(len(distinct), np.int64)
-        for i, (h, low, high) in enumerate(zip(distinct.tolist(), lows, highs, strict=True)):
-            if (place := self.places.get(h)) is None:
-                self.places[h] = place = len(self.sizes)
-                self._learn(data[low:high])
-            places[i] = place
-        # The end of each document stands behind its words.
-        at = np.insert(places[inverse], bounds[1:], 0) if len(distinct) else np.zeros(len(bounds) - 1, np.int64)
-        if not len(at):
+        if len(off) < 2:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        sizes = np.array(self.sizes, np.int64)
-        firsts = np.cumsum(sizes) - sizes
-        lengths = sizes[at]
-        stops = np.cumsum(lengths)
-        gather = np.repeat(firsts[at] - (stops - lengths), lengths) + np.arange(stops[-1])
-        return np.array(self.ids, np.uint32)[gather], stops[bounds[1:] + np.arange(len(bounds) - 1)]
+        starts, ends, bounds = arrays.word_bounds(raw, off) if len(raw) else (off[:0], off[:0], np.zeros(len(off), np.int64))
+        lengths = ends - starts
+        inside = ~arrays.SPACES[raw]
+        edges = np.concatenate([[0], np.cumsum(lengths)])
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(raw[inside])]
+        )
+        coded = words.dictionary_encode()
+        distinct, of = coded.dictionary, coded.indices.to_numpy()
+        data, places = arrays.text_buffer(distinct.cast(pa.large_string()))
+        ids, sizes = self._words(distinct, data, places[1:]) if len(distinct) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        # One more word, the end of a document, stands behind the words of each.
+        ids, sizes = np.append(ids, np.uint32(_END_ID)), np.append(sizes, 1)
+        at = np.insert(of.astype(np.int32), bounds[1:], len(distinct))
+        widths = sizes[at]
+        stops = np.cumsum(widths)
+        return _gathered(ids, (np.cumsum(sizes) - sizes)[at], widths), stops[bounds[1:] + np.arange(len(bounds) - 1)]
 
 
 #: Pieces a Python worker keeps from shard to shard; beyond this many it starts anew.
-_KEPT_PIECES = 200_000
-_pieces: dict[str, dict[str, list[int]]] = {}
+_KEPT_PIECES = 500_000
+_pieces: dict[str, Pieces] = {}
 
 
 def _tokenizer(path: str) -> WordTokenizer:
-    kept = _pieces.setdefault(path, {})
-    if len(kept) > _KEPT_PIECES:
-        kept.clear()
+    kept = _pieces.get(path)
+    if kept is None or len(kept.numbers) > _KEPT_PIECES:
+        kept = _pieces[path] = Pieces()
     return WordTokenizer(path, kept)
 
 
 def _shards(path: str, bits: int):
     def rows(batches):
+        kind = np.uint16 if bits <= 16 else np.uint32
         doc_ids, encoded, ends, total, tokenizer, shard = [], [], [], 0, None, None
         for batch in arrays.pieces(batches, _TEXT_BYTES):
             shard = batch.column("shard")[0].as_py() if shard is None else shard
             tokenizer = tokenizer or _tokenizer(path)
             ids, stops = tokenizer.encode(batch.column("text"))
             doc_ids += batch.column("doc_id").to_pylist()
-            encoded.append(ids.astype(np.uint16 if bits <= 16 else np.uint32))
+            encoded.append(ids.astype(kind))
             ends.append(stops + total)
             total += len(ids)
+            del batch, ids, stops  # not held while the matrix is built
         if doc_ids:
-            image = write_image(np.concatenate(encoded), doc_ids, np.concatenate(ends), bits)
+            ids = np.concatenate(encoded)
+            encoded.clear()
+            pa.default_memory_pool().release_unused()
+            image = write_image(ids, doc_ids, np.concatenate(ends), bits)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard], pa.int32()),
@@ -297,7 +344,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, bits: int =
 
     Returns the table read back: shard, n_documents, n_tokens, image, first (ids of all shards
     before it). Documents follow each other by ascending doc_id, rows without one first, rows of
-    one doc_id by text; a null text is empty and has the end id only; an empty table gives no shard.
+    one doc_id by the first 64 characters of the text, then in an order of its hash; a null text is empty and has the end id only; an empty table gives no shard.
     ``tokenizer_path`` names a file of the tokenizers library that every executor has; ids must
     fit in ``bits`` bits, and no token may cross white space.
     """
@@ -306,8 +353,9 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, bits: int =
     n = max(1, -(-size // _SHARD_BYTES))
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(n, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        # The text keeps rows of one doc_id, or without any, out of one shard.
+        .repartitionByRange(n, "doc_id", F.substring("text", 1, 64), F.xxhash64("text"))
+        .sortWithinPartitions("doc_id", F.substring("text", 1, 64), F.xxhash64("text"), "text")
         .select(F.spark_partition_id().alias("shard"), "doc_id", "text")
     )
     written = ordered.mapInArrow(_shards(tokenizer_path, bits), _SHARD)
