@@ -5,6 +5,7 @@ import os
 import random
 import re
 import sys
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -52,6 +53,15 @@ def test_words_encode_like_whole_texts(library, some):
     assert ids.tolist() == sum(want, []) and ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
 
 
+def test_words_are_told_apart_by_their_bytes(library):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    both = [word, word.translate(str.maketrans("ab", "ba"))]  # equal under any polynomial hash modulo 2 ** 64
+    ids, _ = wavelet.WordTokenizer(queries.TOKENIZER).encode(pa.array(both))
+    assert ids.tolist() == sum(([*library.encode(w, add_special_tokens=False).ids, 2] for w in both), [])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 9), max_size=1500), st.integers(0, 9))
 def test_wavelet_answers(values, asked):
@@ -306,3 +316,41 @@ def test_pipeline_stages(spark):
             assert docs.count() < rows
             rows = docs.count()
     assert docs.count() == pipeline.run(spark, SF).count() > 0
+
+
+def test_entropy_of_windows(spark):
+    rng = random.Random(1)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    some = ["a", "aa", "abc"] + ["".join(rng.choices(letters[: rng.choice([2, 5, 64])], k=rng.randint(1, 70))) for _ in range(120)]
+
+    def highest(value):
+        width = min(20, len(value))
+        windows = (Counter(value[i : i + width]).values() for i in range(len(value) - width + 1))
+        return max(-sum(n / width * np.log2(n / width) for n in w) for w in windows)
+
+    got = spark.createDataFrame([(v,) for v in some], "v string").select("v", secrets.window_entropy(F.col("v")).alias("bits"))
+    assert all(abs(r.bits - highest(r.v)) < 1e-9 for r in got.collect())
+
+
+def test_entropy_spans(spark):
+    texts = {
+        "qQzRrTbNkxWEvKpULmDZsYhT": "entropy:0:24",
+        "sample/q8Zr3TbN1xW5vKp9LmD2sYh7": "entropy:7:31",
+        "example8Zr3TbN1xW5vKp9LmD2sYh7": "",
+        "getElementsByTagNameAndClass donaudampfschifffahrtsgesellschaft": "",
+        "token: abcdefgh x q8Zr3TbN1xW5vKp9LmD2sYh7ab": "assign:0:15,entropy:18:44",
+        "secret=q8Zr3TbN1xW5vKp9LmD2sYh7ab": "assign:0:33",
+    }
+    found = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {list(texts)[r.doc_id]: r.spans for r in found} == texts
+
+
+def test_long_strings_take_time_in_proportion(spark):
+    rng = random.Random(4)
+    blob = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=100_000))
+    hexes = "0123456789abcdef01234567 " * 8_000
+    docs = spark.createDataFrame([(1, blob), (2, hexes)], "doc_id long, text string").repartition(2)
+    began = time.perf_counter()
+    got = {r.doc_id: r for r in secrets.scan(docs).collect()}
+    assert time.perf_counter() - began < 120
+    assert got[1].spans == "entropy:0:100000" and got[2].n_hex == 8_000 and got[2].spans.endswith("hex:199975:199999")
