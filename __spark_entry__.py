@@ -14,6 +14,7 @@ from datetime import UTC, datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.errors import StreamingQueryException  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -180,6 +181,24 @@ def _station_time_series(x: _Inputs) -> DataFrame:
     )
 
 
+# The same consumer queries for the one station a page opens with, the one that reported PM2.5 last.
+
+
+def _station_shown(x: _Inputs) -> str:
+    newest = F.max(F.struct("period_from_utc", "station_id")).alias("newest")
+    return x.readings.filter(F.col("pollutant") == "pm25").agg(newest).first().newest.station_id
+
+
+def _station_pollutants_one(x: _Inputs) -> DataFrame:
+    return readings.station_pollutants(_station_hourly_long(x), _station_shown(x))
+
+
+def _station_time_series_one(x: _Inputs) -> DataFrame:
+    return forecasts.station_pollutant_series(
+        x.readings, x.forecasts, _station_shown(x), "pm25", oracles.SERIES_DAYS, oracles.FRESHNESS_TS, stable_key=True
+    )
+
+
 # The same views for a key that need not name one sensor and hour.
 
 
@@ -301,6 +320,11 @@ def _sensor_worklist(x: _Inputs) -> DataFrame:
     return catalogue.sensor_worklist(x.sensors)
 
 
+def _sensor_worklist_first(x: _Inputs) -> DataFrame:
+    """The first sensors to poll of the eligible stations, which are the allow list."""
+    return catalogue.sensor_worklist(x.sensors, station_ids=_eligible_stations(x), limit=oracles.FIRST_SENSORS)
+
+
 def _station_locations(x: _Inputs) -> DataFrame:
     return catalogue.station_locations(x.stations)
 
@@ -324,7 +348,37 @@ def _catalogue_variants(x: _Inputs) -> DataFrame:
 
 def _select_stations(x: _Inputs) -> DataFrame:
     kept, _ = catalogue.select_stations(x.catalogue)
-    return kept.select("id", "name", "isMobile", "isMonitor")
+    sensor_text = F.transform(
+        "sensors",
+        lambda s: F.concat_ws(
+            "/",
+            s["id"].cast("string"),
+            s["parameter"]["id"].cast("string"),
+            s["parameter"]["name"],
+            s["parameter"]["displayName"],
+            s["parameter"]["units"],
+        ),
+    )
+    return kept.select(
+        "id",
+        "name",
+        "locality",
+        "timezone",
+        "isMobile",
+        "isMonitor",
+        F.col("country.code").alias("country_code"),
+        F.col("country.name").alias("country_name"),
+        F.col("provider.id").alias("provider_id"),
+        F.col("provider.name").alias("provider_name"),
+        F.col("owner.id").alias("owner_id"),
+        F.col("owner.name").alias("owner_name"),
+        F.col("coordinates.latitude").alias("latitude"),
+        F.col("coordinates.longitude").alias("longitude"),
+        F.col("datetimeFirst.utc").alias("first_utc"),
+        F.col("datetimeLast.utc").alias("last_utc"),
+        F.array_join(sensor_text, ";").alias("sensors"),
+        "raw_json",
+    )
 
 
 def _select_stations_reasons(x: _Inputs) -> DataFrame:
@@ -343,7 +397,7 @@ def _sensor_rows(x: _Inputs) -> DataFrame:
 
 
 def _build_station_rows(x: _Inputs) -> DataFrame:
-    return _without_zone(_station_rows(x).withColumn("raw_json", F.length("raw_json") > 0))
+    return _without_zone(_station_rows(x))
 
 
 def _build_sensor_rows(x: _Inputs) -> DataFrame:
@@ -477,46 +531,86 @@ def _label_functions(x: _Inputs) -> DataFrame:
     )
 
 
-def _ingest_readings_run(x: _Inputs) -> DataFrame:
-    folder = x.scratch()
-    log = tables.run_log_table(folder + "/log")
-    started = datetime.fromisoformat(oracles.INGEST_TS).replace(tzinfo=UTC)
-    ingest_readings(
-        x.spark, x.reading_pages, x.worklist, tables.readings_table(folder + "/readings"), log, "run-all", started
-    )
+def _landed_readings(x: _Inputs) -> DataFrame:
+    """Readings of requests that were landed as JSON lines."""
+    folder = x.scratch() + "/landing"
+    payloads.write_landed(x.reading_pages, folder)
+    landed = payloads.read_landed(x.spark, folder, payloads.LANDED_READINGS)
     return _without_zone(
-        tables.read_table(x.spark, log).select(
-            "run_id",
-            "source",
-            "status",
-            "run_started_at",
-            "records_written",
-            "sensors_queried",
-            "sensors_failed",
-            "api_calls",
-            "api_errors",
-            "window_start_utc",
-            "window_end_utc",
+        payloads.flatten_hourly_readings(
+            landed, x.worklist, F.col("ingested_at"), F.col("run_id"), F.col("window_end")
         )
     )
 
 
-def _ingest_forecasts_run(x: _Inputs) -> DataFrame:
+def _landed_forecasts(x: _Inputs) -> DataFrame:
+    """Forecasts of requests that were landed as JSON lines."""
+    folder = x.scratch() + "/landing"
+    payloads.write_landed(x.forecast_batches, folder)
+    landed = payloads.read_landed(x.spark, folder, payloads.LANDED_FORECASTS)
+    return _without_zone(payloads.flatten_forecast_batch(landed, F.col("ingested_at"), F.col("run_id")))
+
+
+def _stream_landed_readings(x: _Inputs) -> DataFrame:
+    """A stream of landed pages whose first batch breaks once after it was appended: its rows are there once."""
     folder = x.scratch()
-    log = tables.run_log_table(folder + "/log")
-    started = datetime.fromisoformat(oracles.INGEST_TS).replace(tzinfo=UTC)
-    ingest_forecasts(x.spark, x.forecast_batches, tables.forecasts_table(folder + "/forecasts"), log, "run-all", started)
-    return tables.read_table(x.spark, log).select(
-        "run_id",
-        "source",
-        "status",
-        "records_written",
-        "stations_polled",
-        "stations_failed",
-        "api_calls",
-        "api_errors",
-        "failed_station_ids",
-    )
+    payloads.write_landed(x.reading_pages, folder + "/landing")
+    raw = tables.readings_table(folder + "/raw", by_batch=True)
+    latest = tables.readings_table(folder + "/latest")
+
+    def ingest(dedup: Callable[[DataFrame], DataFrame]) -> None:
+        arriving = streams.reading_stream(x.spark, folder + "/landing", x.worklist)
+        streams.start_ingest(arriving, raw, folder + "/checkpoint", latest, dedup).awaitTermination()
+
+    def broken(rows: DataFrame) -> DataFrame:
+        raise RuntimeError("half-way")
+
+    try:
+        ingest(broken)
+    except StreamingQueryException as problem:
+        if "half-way" not in str(problem):
+            raise
+    ingest(streams.newest_readings)
+    return _without_zone(tables.read_table(x.spark, raw))
+
+
+_STARTED = datetime.fromisoformat(oracles.INGEST_TS).replace(tzinfo=UTC)
+
+
+def _readings_ingested(x: _Inputs) -> tuple[tables.TableSpec, tables.TableSpec]:
+    folder = x.scratch()
+    target, log = tables.readings_table(folder + "/readings"), tables.run_log_table(folder + "/log")
+    ingest_readings(x.spark, x.reading_pages, x.worklist, target, log, "run-all", _STARTED)
+    return target, log
+
+
+def _forecasts_ingested(x: _Inputs) -> tuple[tables.TableSpec, tables.TableSpec]:
+    folder = x.scratch()
+    target, log = tables.forecasts_table(folder + "/forecasts"), tables.run_log_table(folder + "/log")
+    ingest_forecasts(x.spark, x.forecast_batches, target, log, "run-all", _STARTED)
+    return target, log
+
+
+def _logged(x: _Inputs, log: tables.TableSpec) -> DataFrame:
+    """The log without the times at which this run of it ended."""
+    clocked = ("run_finished_at", "duration_seconds", "ingested_at")
+    return _without_zone(tables.read_table(x.spark, log).drop(*clocked))
+
+
+def _ingest_readings_run(x: _Inputs) -> DataFrame:
+    return _logged(x, _readings_ingested(x)[1])
+
+
+def _ingest_forecasts_run(x: _Inputs) -> DataFrame:
+    return _logged(x, _forecasts_ingested(x)[1])
+
+
+def _ingest_readings_rows(x: _Inputs) -> DataFrame:
+    return _without_zone(tables.read_table(x.spark, _readings_ingested(x)[0]))
+
+
+def _ingest_forecasts_rows(x: _Inputs) -> DataFrame:
+    return _without_zone(tables.read_table(x.spark, _forecasts_ingested(x)[0]))
 
 
 def _stream_request_buckets(x: _Inputs) -> DataFrame:
@@ -772,6 +866,8 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "station_freshness": _station_freshness,
     "station_pollutants": _station_pollutants,
     "station_time_series": _station_time_series,
+    "station_pollutants_one": _station_pollutants_one,
+    "station_time_series_one": _station_time_series_one,
     "station_two_source_freshness": _station_two_source_freshness,
     "station_detail": _station_detail,
     "map_center": _map_center,
@@ -786,6 +882,7 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "latest_station_metadata": _latest_station_metadata,
     "eligible_stations": _eligible_stations,
     "sensor_worklist": _sensor_worklist,
+    "sensor_worklist_first": _sensor_worklist_first,
     "station_locations": _station_locations,
     "catalogue_variants": _catalogue_variants,
     "select_stations": _select_stations,
@@ -807,6 +904,11 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "label_functions": _label_functions,
     "ingest_readings_run": _ingest_readings_run,
     "ingest_forecasts_run": _ingest_forecasts_run,
+    "ingest_readings_rows": _ingest_readings_rows,
+    "ingest_forecasts_rows": _ingest_forecasts_rows,
+    "landed_readings": _landed_readings,
+    "landed_forecasts": _landed_forecasts,
+    "stream_landed_readings": _stream_landed_readings,
     "stream_request_buckets": _stream_request_buckets,
     "retain_days": _retain_days,
     "expire_dates": _expire_dates,

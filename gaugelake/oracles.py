@@ -19,6 +19,7 @@ INGEST_TS = "2024-02-01 00:20:00"
 SERIES_DAYS = 14
 AUDIT_WINDOW_SECONDS = 600
 AUDIT_BUCKET_SECONDS = 3600
+FIRST_SENSORS = 30
 
 _TRACKED = "('pm25', 'pm10', 'no2')"
 
@@ -155,7 +156,16 @@ judged AS (
   SELECT *, CASE WHEN coalesce(is_mobile, true) THEN 'mobile' WHEN NOT coalesce(is_monitor, false) THEN 'not_monitor'
     WHEN latitude IS NULL OR longitude IS NULL THEN 'no_coords' WHEN len(targets) = 0 THEN 'no_target_pollutant'
     END AS skip_reason FROM targeted),
-kept AS (SELECT *, array_to_string(targets, ',') AS pollutants_available FROM judged WHERE skip_reason IS NULL),
+kept AS (
+  SELECT *, array_to_string(targets, ',') AS pollutants_available, '{"id":' || id || ',"name":"' || name || '"'
+      || coalesce(',"isMobile":' || is_mobile, '') || coalesce(',"isMonitor":' || is_monitor, '')
+      || coalesce(',"coordinates":{"latitude":' || latitude || ',"longitude":' || longitude || '}', '')
+      || ',"country":{"code":"' || country_code || '","name":"' || country_name
+      || '"},"datetimeFirst":{"utc":"2020-01-01T00:00:00Z"},"sensors":['
+      || array_to_string(list_transform([1, 2, 3], lambda i: '{"id":' || (id * 10 + i) || ',"parameter":{"id":' || i
+        || ',"name":"' || sensor_names[i] || '","displayName":"' || upper(sensor_names[i]) || '","units":"'
+        || ['µg/m³', 'µg/m³', 'ppm'][i] || '"}}'), ',') || ']}' AS raw_json
+  FROM judged WHERE skip_reason IS NULL),
 kept_sensors AS (
   SELECT 'openaq:' || id AS station_id, id AS openaq_location_id, (id * 10 + code)::BIGINT AS openaq_sensor_id,
     code::BIGINT AS parameter_id, sensor_names[code] AS parameter_name,
@@ -185,6 +195,11 @@ batch_stations AS (SELECT *, unnest(places) AS place FROM batches),
 batch_hours AS (SELECT *, unnest([0, 1, 2]) AS j FROM batch_stations)"""
 
 
+_SHOWN = """shown AS (
+  SELECT station_id FROM readings WHERE pollutant = 'pm25'
+  ORDER BY period_from_utc DESC NULLS LAST, station_id DESC LIMIT 1)"""
+
+
 def _violations(name: str, entity: str, expected: str, actual: str, reason: str, source: str) -> str:
     return (
         f"SELECT '{name}' AS test_name, {entity} AS entity_id, {expected} AS expected_value, "
@@ -301,6 +316,14 @@ FROM aged a LEFT JOIN stations m ON a.station_id = m.station_id""",
         "station_time_series": f"""{long}
 SELECT station_id, hour_utc, pollutant_value, temperature_2m, wind_speed_10m, boundary_layer_height
 FROM long WHERE pollutant = 'pm25' AND hour_utc >= TIMESTAMP '{FRESHNESS_TS}' - INTERVAL {SERIES_DAYS} DAY""",
+        "station_pollutants_one": f"""{long},
+{_SHOWN}
+SELECT DISTINCT station_id, pollutant FROM long JOIN shown USING (station_id)""",
+        "station_time_series_one": f"""{long},
+{_SHOWN}
+SELECT station_id, hour_utc, pollutant_value, temperature_2m, wind_speed_10m, boundary_layer_height
+FROM long JOIN shown USING (station_id)
+WHERE pollutant = 'pm25' AND hour_utc >= TIMESTAMP '{FRESHNESS_TS}' - INTERVAL {SERIES_DAYS} DAY""",
         "station_two_source_freshness": f"{two_source} SELECT * FROM two_source",
         "station_detail": f"""{two_source}
 SELECT station_id, station_name, openaq_age_hours, weather_age_hours, openaq_stale, weather_stale FROM two_source""",
@@ -385,6 +408,14 @@ SELECT station_id, openaq_location_id, openaq_sensor_id, parameter_name AS pollu
 FROM sensors WHERE parameter_name IN {_TRACKED} AND station_id IN (
   SELECT station_id FROM sensors WHERE parameter_name IN {_TRACKED}
   GROUP BY station_id HAVING count(DISTINCT parameter_name) = 3)""",
+        "sensor_worklist_first": f"""{ctes("sensors", "latest_metadata")}
+SELECT station_id, openaq_location_id, openaq_sensor_id, parameter_name AS pollutant, parameter_units AS unit
+FROM sensors WHERE parameter_name IN {_TRACKED} AND station_id IN (
+  SELECT station_id FROM sensors WHERE parameter_name IN {_TRACKED}
+  GROUP BY station_id HAVING count(DISTINCT parameter_name) = 3)
+AND station_id IN (SELECT station_id FROM latest_metadata
+  WHERE len(list_filter(regexp_split_to_array(lower(pollutants_available), '[^a-z0-9]+'), lambda t: t IN {_TRACKED})) = 3)
+ORDER BY station_id, pollutant, openaq_sensor_id LIMIT {FIRST_SENSORS}""",
         "station_locations": f"""{ctes("stations")}
 SELECT station_id, latitude, longitude FROM stations WHERE latitude IS NOT NULL AND longitude IS NOT NULL""",
         "catalogue_variants": """
@@ -410,7 +441,12 @@ SELECT k AS id, s_name AS name, mobile AS "isMobile", monitor AS "isMonitor", la
     || '","sensors":[' || array_to_string(sensors_text, ',') || ']}' AS raw_json, 0::BIGINT AS unknown
 FROM texts""",
         "select_stations": f"""{items}
-SELECT id, name, is_mobile AS "isMobile", is_monitor AS "isMonitor" FROM kept""",
+SELECT id, name, NULL::VARCHAR AS locality, NULL::VARCHAR AS timezone, is_mobile AS "isMobile",
+  is_monitor AS "isMonitor", country_code, country_name, NULL::BIGINT AS provider_id, NULL::VARCHAR AS provider_name,
+  NULL::BIGINT AS owner_id, NULL::VARCHAR AS owner_name, latitude, longitude, '2020-01-01T00:00:00Z' AS first_utc,
+  NULL::VARCHAR AS last_utc, array_to_string(list_transform([1, 2, 3], lambda i: (id * 10 + i) || '/' || i || '/'
+    || sensor_names[i] || '/' || upper(sensor_names[i]) || '/' || ['µg/m³', 'µg/m³', 'ppm'][i]), ';') AS sensors, raw_json
+FROM kept""",
         "select_stations_reasons": f"""{items}
 SELECT skip_reason, count(*) AS stations FROM judged WHERE skip_reason IS NOT NULL GROUP BY skip_reason""",
         "build_station_rows": f"""{items}
@@ -418,7 +454,7 @@ SELECT 'openaq:' || id AS station_id, id AS openaq_location_id, name AS station_
   country_code, country_name, latitude, longitude, NULL::VARCHAR AS timezone, is_mobile, is_monitor,
   NULL::BIGINT AS provider_id, NULL::VARCHAR AS provider_name, NULL::BIGINT AS owner_id, NULL::VARCHAR AS owner_name,
   TIMESTAMP '2020-01-01' AS datetime_first_utc, NULL::TIMESTAMP AS datetime_last_utc, pollutants_available,
-  3::BIGINT AS sensor_count, true AS raw_json, TIMESTAMP '{LOADED_AT}' AS loaded_at FROM kept""",
+  3::BIGINT AS sensor_count, raw_json, TIMESTAMP '{LOADED_AT}' AS loaded_at FROM kept""",
         "build_sensor_rows": f"{items} SELECT *, TIMESTAMP '{LOADED_AT}' AS loaded_at FROM kept_sensors",
         "catalogue_summary": f"""{items}
 SELECT 'stations' AS metric, 'total' AS item, count(*) AS stations_or_sensors, NULL::BOOLEAN AS needs_conversion FROM kept
@@ -501,7 +537,9 @@ SELECT 'run-all' AS run_id, 'openaq' AS source, 'success' AS status, TIMESTAMP '
   (2 * count(value))::BIGINT AS records_written, count(DISTINCT user_id || event_type)::BIGINT AS sensors_queried,
   0::BIGINT AS sensors_failed, count(*)::BIGINT AS api_calls, 0::BIGINT AS api_errors,
   date_trunc('hour', TIMESTAMP '{INGEST_TS}')::TIMESTAMP - INTERVAL 3 HOUR AS window_start_utc,
-  date_trunc('hour', TIMESTAMP '{INGEST_TS}')::TIMESTAMP AS window_end_utc
+  date_trunc('hour', TIMESTAMP '{INGEST_TS}')::TIMESTAMP AS window_end_utc,
+  NULL::BIGINT AS stations_polled, NULL::BIGINT AS stations_failed, NULL::VARCHAR AS error_message,
+  NULL::VARCHAR AS failed_sensor_ids, NULL::VARCHAR AS failed_station_ids
 FROM events""",
         "ingest_forecasts_run": f"""WITH {_BATCHES},
 asked AS (
@@ -509,7 +547,10 @@ asked AS (
   UNION SELECT 'p' || l_partkey FROM lineitem WHERE l_linenumber <> 1)
 SELECT 'run-all' AS run_id, 'open-meteo' AS source, 'success' AS status, (SELECT count(*) FROM batch_hours) AS records_written,
   (SELECT count(*) FROM asked) AS stations_polled, 0::BIGINT AS stations_failed,
-  (SELECT count(*) FROM lineitem) AS api_calls, 0::BIGINT AS api_errors, NULL::VARCHAR AS failed_station_ids""",
+  (SELECT count(*) FROM lineitem) AS api_calls, 0::BIGINT AS api_errors, NULL::VARCHAR AS failed_station_ids,
+  TIMESTAMP '{INGEST_TS}' AS run_started_at, NULL::BIGINT AS sensors_queried, NULL::BIGINT AS sensors_failed,
+  NULL::TIMESTAMP AS window_start_utc, NULL::TIMESTAMP AS window_end_utc, NULL::VARCHAR AS error_message,
+  NULL::VARCHAR AS failed_sensor_ids""",
         "stream_request_buckets": f"""{ctes("requests")}
 SELECT run_date, time_bucket(INTERVAL {AUDIT_BUCKET_SECONDS} SECOND, started_at, TIMESTAMP '1970-01-01') AS bucket_start,
   count(*) AS requests FROM requests GROUP BY ALL""",
@@ -587,6 +628,21 @@ FROM names n LEFT JOIN placed f ON n.test_name = f.test_name GROUP BY n.test_nam
     ):
         found[f"{name}_any_key"] = found[name]
     found["refresh_catalogue"] = found["catalogue_summary"]
+    # Landed files hold the same requests; a run judges them all by its own time and window.
+    for name in ("landed_readings", "stream_landed_readings"):
+        found[name] = found["flatten_hourly_readings"]
+    found["landed_forecasts"] = found["flatten_forecast_batch"]
+    of_run = f"""TIMESTAMP '{INGEST_TS}' AS ingested_at, 'run-all' AS run_id"""
+    found["ingest_readings_rows"] = f"""{pages}
+SELECT {of_run}, station_id, openaq_location_id, openaq_sensor_id, pollutant,
+  base * CASE WHEN k = 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS value, unit, period_from_utc, period_to_utc,
+  NULL::VARCHAR AS period_from_local, 'hour' AS period_label, '1' AS period_interval,
+  60::BIGINT AS coverage_expected, (event_id % 61)::BIGINT AS coverage_observed, NULL::DOUBLE AS coverage_pct,
+  openaq_sensor_id || '|' || strftime(period_from_utc, '%Y-%m-%dT%H:%M:%SZ') AS dedup_key
+FROM judged_items
+WHERE k < 2 AND base IS NOT NULL AND period_to_utc <= date_trunc('hour', TIMESTAMP '{INGEST_TS}')"""
+    found["ingest_forecasts_rows"] = f"""WITH flat AS ({found["flatten_forecast_batch"]})
+SELECT * REPLACE (TIMESTAMP '{INGEST_TS}' AS ingested_at, 'run-all' AS run_id) FROM flat"""
     # Streams end in what their batch twins give.
     found["stream_newest_versions"] = found["stream_latest_readings"]
     found["stream_request_timeline"] = found["request_timeline"]

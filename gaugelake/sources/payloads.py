@@ -232,3 +232,8 @@ def read_catalogue_pages(spark: SparkSession, path: str | list[str]) -> DataFram
 def read_landed(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Landed requests as JSON lines (``LANDED_READINGS`` or ``LANDED_FORECASTS``)."""
     return spark.read.schema(schema).json(path)
+
+
+def write_landed(requests: DataFrame, path: str) -> None:
+    """Requests as JSON lines that :func:`read_landed` gives back, their times to the microsecond."""
+    requests.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)

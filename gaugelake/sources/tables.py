@@ -9,7 +9,7 @@ from datetime import UTC, date, datetime, timedelta
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from gaugelake.functions.clock import Moment, moment, moment_like
 from gaugelake.schemas import FORECASTS, READINGS, RUN_LOG, conform, enforce_not_null
@@ -17,25 +17,38 @@ from gaugelake.schemas import FORECASTS, READINGS, RUN_LOG, conform, enforce_not
 log = logging.getLogger(__name__)
 
 PARTITION = "p_date"
+BATCH = "p_batch"
 RETENTION_DAYS = 30
 
 
 class TableSpec:
-    """Where a table lives and how it is laid out."""
+    """Where a table lives and how it is laid out.
 
-    def __init__(self, path: str, schema: StructType, time_column: str, cluster_by: Sequence[str] = ()):
+    With ``by_batch`` every date holds a folder per appended batch, named by the batch, so a batch that is
+    appended again replaces itself. All appends to such a table name their batch.
+    """
+
+    def __init__(
+        self,
+        path: str,
+        schema: StructType,
+        time_column: str,
+        cluster_by: Sequence[str] = (),
+        by_batch: bool = False,
+    ):
         self.path = path
         self.schema = schema
         self.time_column = time_column
         self.cluster_by = tuple(cluster_by)
+        self.by_batch = by_batch
 
 
-def readings_table(path: str) -> TableSpec:
-    return TableSpec(path, READINGS, "period_from_utc", ("station_id", "pollutant"))
+def readings_table(path: str, by_batch: bool = False) -> TableSpec:
+    return TableSpec(path, READINGS, "period_from_utc", ("station_id", "pollutant"), by_batch)
 
 
-def forecasts_table(path: str) -> TableSpec:
-    return TableSpec(path, FORECASTS, "valid_time", ("station_id",))
+def forecasts_table(path: str, by_batch: bool = False) -> TableSpec:
+    return TableSpec(path, FORECASTS, "valid_time", ("station_id",), by_batch)
 
 
 def run_log_table(path: str) -> TableSpec:
@@ -62,18 +75,31 @@ def _observed(seen: Observation, df: DataFrame, **when_empty) -> dict:
         raise
 
 
-def append(df: DataFrame, table: TableSpec) -> dict:
+def append(df: DataFrame, table: TableSpec, batch: str | None = None) -> dict:
     """Append rows under the table's schema; returns their count, the range of their time and their dates.
 
     ``days`` has one entry per touched partition, None for rows without a time. A row without a required value fails the append, and nothing is added. An empty frame adds no file and counts 0.
+    ``batch`` names the rows of a table that is laid out by batch: given again, they replace those of the first time.
     """
+    if table.by_batch != (batch is not None):
+        raise ValueError("a batch is named for tables laid out by batch, and for those alone")
     seen = Observation()
     ts = F.col(table.time_column)
     counted = enforce_not_null(conform(df, table.schema), table.schema).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first"), F.max(ts).alias("last"),
         F.collect_set(F.to_date(ts)).alias("days"), F.count_if(ts.isNull()).alias("undated"),
     )
-    _laid_out(counted, table).write.mode("append").partitionBy(PARTITION).parquet(table.path)
+    laid = _laid_out(counted, table)
+    if batch is None:
+        laid.write.mode("append").partitionBy(PARTITION).parquet(table.path)
+    else:
+        (
+            laid.withColumn(BATCH, F.lit(batch))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PARTITION, BATCH)
+            .parquet(table.path)
+        )
     found = dict(_observed(seen, counted, rows=0, first=None, last=None, days=[], undated=0))
     return found | {"days": [*found["days"], *([None] if found["undated"] else [])]}
 
@@ -103,8 +129,8 @@ def read_table(
     Parquet cannot derive the partition date from a filter on the time column, so both
     filters are given.
     """
-    schema = StructType([*table.schema.fields, StructField(PARTITION, DateType())])
-    df = spark.read.schema(schema).parquet(table.path)
+    folders = [StructField(PARTITION, DateType()), *([StructField(BATCH, StringType())] if table.by_batch else [])]
+    df = spark.read.schema(StructType([*table.schema.fields, *folders])).parquet(table.path).drop(BATCH)
     kind = table.schema[table.time_column].dataType
     if since is not None:
         low = moment(since, kind)

@@ -8,6 +8,7 @@ version, which is the wrong one.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,21 +98,28 @@ def start_ingest(
     """Append each micro-batch to ``raw`` and refresh the touched dates of ``latest``.
 
     By default all landed files are taken and the query ends. The touched dates, None for rows
-    without a time, are observed while the batch is written. A batch that is repeated
-    after a failure appends the same rows again, which dedup resolves.
+    without a time, are observed while the batch is written. A batch that is repeated after a failure
+    replaces itself in a ``raw`` table laid out by batch; in any other its rows are appended again, which
+    dedup resolves.
     """
+    stream: Future[str] = Future()
 
-    def write(batch: DataFrame, _: int) -> None:
-        days = append(batch, raw)["days"]
+    def write(batch: DataFrame, number: int) -> None:
+        # The id of a query is kept in its checkpoint, so a restarted stream repeats the name of its batch
+        # and a stream of another checkpoint never takes it.
+        name = f"{stream.result()}-{number}" if raw.by_batch else None
+        days = append(batch, raw, name)["days"]
         if latest is not None:
             refresh_latest(batch.sparkSession, raw, latest, days, dedup)
 
-    return (
+    query = (
         rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+    stream.set_result(query.id)
+    return query
 
 
 def newest_readings(rows: DataFrame) -> DataFrame:
