@@ -138,21 +138,6 @@ def _forecast_results(payload: Column) -> Column:
     return F.from_json(listed, FORECAST_BATCH)
 
 
-def _judged_results(payload: Column, stations: Column) -> Column:
-    """The results of a batch, NULL unless there is one per station, and why it is refused.
-
-    A separate filter on their number would be pushed below the projection and parse the
-    JSON again; the lambda parameter holds the parsed value, so it is parsed once.
-    """
-
-    def judge(results: Column) -> Column:
-        fits = F.size(results) == F.size(stations)
-        why = F.when(results.isNull(), "malformed").when(~F.coalesce(fits, F.lit(False)), "length_mismatch")
-        return F.struct(F.when(fits, results).alias("results"), why.alias("why"))
-
-    return F.transform(F.array(_forecast_results(payload)), judge)[0]
-
-
 def forecast_outcomes(payloads: DataFrame, run_id: str | Column) -> DataFrame:
     """One row per request: the batch was answered with readable JSON or not, and for which stations.
 
@@ -174,37 +159,43 @@ def forecast_candidates(payloads: DataFrame, ingested_at: Moment, run_id: str |
     rejected as ``unreadable_time``. A value array shorter than the times, or absent, gives
     NULLs; a longer one adds nothing.
     """
+    # The parsed results are used three times, so the optimizer leaves their projection alone, and the times
+    # are parsed as elements of their array: each JSON text and each time text is read once.
+    results = F.col("results")
+    fits = F.size(results) == F.size("stations")
     batches = payloads.select(
         "stations",
         moment(ingested_at, _INSTANT).alias("ingested_at"),
         _text(run_id).alias("run_id"),
-        _judged_results(F.col("payload"), F.col("stations")).alias("judged"),
-    )
-    located = batches.select(
-        "stations", "ingested_at", "run_id", "judged.why", F.posexplode_outer("judged.results").alias("place", "result")
+        _forecast_results(F.col("payload")).alias("results"),
     ).select(
-        F.get("stations", F.col("place")).alias("station"),
+        "stations",
         "ingested_at",
         "run_id",
-        "why",
-        F.col("result.hourly").alias("hourly"),
+        F.when(results.isNull(), "malformed").when(~F.coalesce(fits, F.lit(False)), "length_mismatch").alias("why"),
+        F.when(fits, results).alias("results"),
+    )
+    located = batches.select(
+        "stations", "ingested_at", "run_id", "why", F.posexplode_outer("results").alias("place", "result")
+    ).select(F.get("stations", F.col("place")).alias("station"), "ingested_at", "run_id", "why", "result.hourly")
+    full_times = F.transform(
+        "hourly.time", lambda t: F.when(F.length(t) == 16, F.concat(t, F.lit(":00+00:00"))).otherwise(t)
     )
+    times = F.transform(full_times, lambda t: F.struct(t.alias("text"), parse_utc(t).alias("valid_time")))
     hours = located.select(
-        "station", "ingested_at", "run_id", "why", "hourly", F.posexplode_outer("hourly.time").alias("hour", "time")
+        "station", "ingested_at", "run_id", "why", "hourly", F.posexplode_outer(times).alias("hour", "time")
     ).filter(F.col("why").isNotNull() | F.col("hour").isNotNull())
-    full_time = F.when(F.length("time") == 16, F.concat("time", F.lit(":00+00:00"))).otherwise(F.col("time"))
-    valid_time = parse_utc(full_time)
     return hours.select(
         F.col("station.station_id").alias("station_id"),
         "run_id",
         F.col("station.latitude").alias("latitude"),
         F.col("station.longitude").alias("longitude"),
-        valid_time.alias("valid_time"),
+        F.col("time.valid_time").alias("valid_time"),
         *[F.get(F.col(f"hourly.{v}"), F.col("hour")).alias(v) for v in FORECAST_VARIABLES],
         "ingested_at",
-        F.concat(F.col("station.station_id"), F.lit("|"), full_time).alias("dedup_key"),
+        F.concat(F.col("station.station_id"), F.lit("|"), F.col("time.text")).alias("dedup_key"),
         F.when(F.col("why").isNotNull(), F.col("why"))
-        .when(valid_time.isNull(), "unreadable_time")
+        .when(F.col("time.valid_time").isNull(), "unreadable_time")
         .alias("reject_reason"),
     )
 
