@@ -19,8 +19,66 @@ from pyspark.sql import functions as F
 # Phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-#: Labels and the sentences that stand for them.
+# Labels and the texts that stand for them, in words as the scan reads them. First the notices
+# and grants of public licenses, then the short statements by which files name a license. The notices of the
+# AGPL and LGPL differ from that of the GPL by a word or two, so their names alone stand for them.
 TEMPLATES = (
+    (
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance"
+        " with the license you may obtain a copy of the license at http www apache org licenses license 2 0",
+    ),
+    (
+        "apache-2.0",
+        "unless required by applicable law or agreed to in writing software distributed under the license is"
+        " distributed on an as is basis without warranties or conditions of any kind either express or implied see"
+        " the license for the specific language governing permissions and limitations under the license",
+    ),
+    (
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that"
+        " the following conditions are met redistributions of source code must retain the above copyright notice"
+        " this list of conditions and the following disclaimer redistributions in binary form must reproduce the"
+        " above copyright notice this list of conditions and the following disclaimer in the documentation and or"
+        " other materials provided with the distribution",
+    ),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general"
+        " public license as published by the free software foundation either version 3 of the license or at your"
+        " option any later version",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
+        " granted provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
+        " documentation files the software to deal in the software without restriction including without limitation"
+        " the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to"
+        " permit persons to whom the software is furnished to do so subject to the following conditions",
+    ),
+    (
+        "mit",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to"
+        " the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall"
+        " the authors or copyright holders be liable for any claim damages or other liability whether in an action"
+        " of contract tort or otherwise arising from out of or in connection with the software or the use or other"
+        " dealings in the software",
+    ),
+    (
+        "mpl",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was"
+        " not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish"
+        " use compile sell or distribute this software either in source code form or as a compiled binary for any"
+        " purpose commercial or non commercial and by any means",
+    ),
     ("agpl", "gnu affero general public license"),
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
@@ -71,13 +129,14 @@ def template_matches(docs: DataFrame, templates: tuple = TEMPLATES, threshold: f
     template's first: doc_id, text_hash, at (word number), label, score (of the best such block)."""
     order = _ordered(docs, templates)
     rank = {w: i for i, w in enumerate(order)}
-    rows, reach = [], 0
+    rows, reach = [], {}
     for label, sentence in templates:
         own = sorted({rank[w] for w in sentence.split()})
         need = math.ceil(round(threshold * len(own), 9))
         width = _SPREAD * len(sentence.split())
-        reach = max(reach, width)
-        rows += [(w, label, own, need, width) for w in own[: len(own) - need + 1]]
+        for w in own[: len(own) - need + 1]:
+            rows.append((w, label, own, need, width))
+            reach[w] = max(reach.get(w, 0), width)
     spark = docs.sparkSession
     prefixes = spark.createDataFrame(rows, "word int, label string, own array<int>, need int, width int")  # a few rows per template
     rare = sorted({r[0] for r in rows})
@@ -87,9 +146,20 @@ def template_matches(docs: DataFrame, templates: tuple = TEMPLATES, threshold: f
     texts = docs.filter(F.arrays_overlap(_words("text"), _listed([order[r] for r in rare]))).select(
         "doc_id", F.xxhash64("text").alias("text_hash"), F.explode(F.array(ranks)).alias("ranks")
     )
-    low = lambda i: F.greatest(i - reach + 1, F.lit(0))
+    reaches = F.create_map(*[F.lit(x) for w in rare for x in (w, reach[w])])
     first = F.filter(
-        F.transform("ranks", lambda w, i: F.when(w.isin(rare), F.struct(i.alias("at"), w.alias("word")))),
+        F.transform(
+            "ranks",
+            lambda w, i: F.when(
+                w.isin(rare),
+                F.struct(
+                    i.alias("at"),
+                    w.alias("word"),
+                    F.element_at(reaches, w).alias("reach"),
+                    F.greatest(i - F.element_at(reaches, w) + 1, F.lit(0)).alias("low"),
+                ),
+            ),
+        ),
         lambda x: x.isNotNull(),
     )
     around = F.transform(
@@ -97,18 +167,21 @@ def template_matches(docs: DataFrame, templates: tuple = TEMPLATES, threshold: f
         lambda x: F.struct(
             x["at"].alias("at"),
             x["word"].alias("word"),
-            (x["at"] - low(x["at"])).alias("place"),
-            F.slice("ranks", low(x["at"]) + 1, x["at"] + reach - low(x["at"])).alias("near"),
+            (x["at"] - x["low"]).alias("place"),
+            F.slice("ranks", x["low"] + 1, x["at"] + x["reach"] - x["low"]).alias("near"),
         ),
     )
     found = texts.select("doc_id", "text_hash", F.explode(around).alias("x")).select("doc_id", "text_hash", "x.*")
     start = F.greatest(F.col("place") - F.col("width") + 1, F.lit(0))
     block = F.slice("near", start + 1, F.col("place") + F.col("width") - start)
     later = F.filter(F.array_intersect(block, F.col("own")), lambda w: w >= F.col("word"))
+    # A best block can begin with a word of the template, the rare word itself at the latest.
+    begins = F.filter(
+        F.sequence(start, F.col("place")), lambda i: F.array_contains(F.col("own"), F.get(F.col("near"), i))
+    )
     most = F.array_max(
         F.transform(
-            F.sequence(start, F.col("place")),
-            lambda i: F.size(F.array_intersect(F.slice("near", i + 1, F.col("width")), F.col("own"))),
+            begins, lambda i: F.size(F.array_intersect(F.slice("near", i + 1, F.col("width")), F.col("own")))
         )
     )
     near = found.join(F.broadcast(prefixes), "word").filter(F.size(later) >= F.col("need"))

@@ -114,21 +114,31 @@ def _sql_list(words: str) -> str:
 
 def _license_sql() -> str:
     phrases = ", ".join(f"({_sql_list(p)}, '{label}')" for p, label in licenses.PHRASES)
-    templates = ", ".join(f"('{label}', {_sql_list(t)})" for label, t in licenses.TEMPLATES)
+    templates = ", ".join(f"({k}, '{label}', {_sql_list(t)})" for k, (label, t) in enumerate(licenses.TEMPLATES))
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), {_LOWER}) AS t FROM documents),
 words AS (SELECT r, doc_id, regexp_extract_all(t, {_LETTERED}) AS ws FROM docs),
 phrases(p, label) AS (VALUES {phrases}),
-templates(label, sentence) AS (VALUES {templates}),
+templates(k, label, sentence) AS (VALUES {templates}),
 starts AS (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM words),
 places AS (SELECT r, i - 1 AS place, label FROM starts JOIN phrases ON ws[i:i + len(p) - 1] = p),
 base AS (
   SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY r),
-blocks AS (SELECT r, list_distinct(regexp_extract_all(unnest(string_split(t, chr(10))), {_LETTERED})) AS have FROM docs),
+sizes AS (SELECT k, label, len(list_distinct(sentence)) AS n, 2 * len(sentence) AS width FROM templates),
+members AS (SELECT DISTINCT k, unnest(sentence) AS w FROM templates),
+tokens AS (SELECT r, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM words),
+hits AS (SELECT r, k, w, i FROM tokens JOIN members USING (w)),
+likely AS (
+  SELECT r, k, any_value(n) AS n, any_value(width) AS width, any_value(label) AS label FROM hits JOIN sizes USING (k)
+  GROUP BY r, k HAVING count(DISTINCT w) >= 0.9 * any_value(n) - 1e-9),
+blocks AS (
+  SELECT a.r, a.k, a.i, count(DISTINCT b.w) AS held
+  FROM likely l JOIN hits a ON a.r = l.r AND a.k = l.k
+    JOIN hits b ON b.r = a.r AND b.k = a.k AND b.i >= a.i AND b.i < a.i + l.width
+  GROUP BY a.r, a.k, a.i),
 shares AS (
-  SELECT r, label, len(list_intersect(have, list_distinct(sentence)))::DOUBLE / len(list_distinct(sentence)) AS share
-  FROM blocks, templates),
+  SELECT r, label, max(held)::DOUBLE / any_value(n) AS share FROM blocks JOIN likely USING (r, k) GROUP BY r, k, label),
 found AS (
   SELECT r, label, share FROM shares WHERE share >= 0.9 - 1e-12 UNION ALL SELECT r, label, 1.0::DOUBLE FROM places),
 named AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM found GROUP BY r)
