@@ -25,6 +25,7 @@ _ORDER = 4
 _PAD = "\x02"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = 1 << 20  # characters counted or scored at a time
+_BROADCAST_LANGUAGES = 100_000
 #: Entries of a model that tasks may hold (16 bytes each); a larger model is joined by a shuffle.
 _HELD_ENTRIES = 4_000_000
 _BIN = 0.001  # of the logarithm of the perplexity, for the quartiles
@@ -144,7 +145,13 @@ def _count_rows(batches):
 # --- the model ---------------------------------------------------------------------------
 
 
-def _discounted(grams: DataFrame, order: int) -> DataFrame:
+def _per_language(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """A frame of one row per language, broadcast up to a number of languages: one may hold all documents."""
+    saved = scratch.save(rows)
+    return F.broadcast(saved) if saved.count() <= _BROADCAST_LANGUAGES else saved
+
+
+def _discounted(grams: DataFrame, order: int, scratch: Scratch) -> DataFrame:
     """Adds to lang, gram, n of one order: own (the discounted share) and left (the mass for lower orders)."""
     of = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)).cast("double").alias(f"n{k}") for k in range(1, 5)]
     d = grams.groupBy("lang").agg(*of)
@@ -154,7 +161,7 @@ def _discounted(grams: DataFrame, order: int) -> DataFrame:
         more, have = F.col(f"n{k + 1}"), F.greatest(F.col(f"n{k}"), F.lit(1.0))
         return F.least(F.greatest(k - (k + 1) * y * more / have, F.lit(0.1)), F.lit(float(k)))
 
-    d = d.select("lang", *[discount(k).alias(f"d{k}") for k in (1, 2, 3)])
+    d = _per_language(d.select("lang", *[discount(k).alias(f"d{k}") for k in (1, 2, 3)]), scratch)
     context = F.substring("gram", 1, order - 1)
     own = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     rows = grams.join(d, "lang").withColumn("context", context).withColumn("off", F.least(own, F.col("n").cast("double")))
@@ -179,12 +186,12 @@ def kneser_ney(counts: DataFrame, scratch: Scratch, order: int = _ORDER) -> Data
     for k in range(order - 1, 0, -1):
         shorter = grams[0].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n"))
         grams.insert(0, scratch.save(shorter))
-    letters = grams[0].groupBy("lang").agg(F.count("*").alias("letters"))
-    first = _discounted(grams[0], 1).join(letters, "lang")
+    letters = _per_language(grams[0].groupBy("lang").agg(F.count("*").alias("letters")), scratch)
+    first = _discounted(grams[0], 1, scratch).join(letters, "lang")
     p = first.select("lang", "gram", (F.col("own") + F.col("left") / (F.col("letters") + 1)).alias("p"))
     for k in range(2, order + 1):
         lower = p.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("lower"))
-        higher = _discounted(grams[k - 1], k).withColumn("suffix", F.substring("gram", 2, k - 1))
+        higher = _discounted(grams[k - 1], k, scratch).withColumn("suffix", F.substring("gram", 2, k - 1))
         p = higher.join(lower, ["lang", "suffix"]).select(
             "lang", "gram", (F.col("own") + F.col("left") * F.col("lower")).alias("p")
         )
@@ -280,7 +287,7 @@ def _scored_rows(model: tuple[np.ndarray, np.ndarray] | None):
 
 
 def _gram_rows(batches):
-    """The distinct n-grams of each text, hashed, with their counts."""
+    """The distinct n-grams of each text, hashed, with their counts. Rows alike in all but lang count apart."""
     for batch in arrays.pieces(batches):
         texts, ids, marks = (batch.column(c).to_pylist() for c in ("text", "doc_id", "text_hash"))
         for lang, own in _by_language(batch).items():
@@ -292,11 +299,12 @@ def _gram_rows(batches):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([ids[i]] * len(hashes), pa.int64()),
+                            pa.array([lang] * len(hashes), pa.string()),
                             pa.array([marks[i]] * len(hashes), pa.int64()),
                             pa.array(hashes.view(np.int64), pa.int64()),
                             pa.array(counts, pa.int64()),
                         ],
-                        names=["doc_id", "text_hash", "hash", "n"],
+                        names=["doc_id", "lang", "text_hash", "hash", "n"],
                     )
 
 
@@ -311,15 +319,19 @@ def _scores(docs: DataFrame, model: DataFrame, scratch: Scratch, held_entries: i
         return scratch.save(docs.mapInArrow(_scored_rows((hashes[order], logs[order])), _STATS))
     stats = docs.mapInArrow(_scored_rows(None), _STATS).drop("log_probability")
     sums = (
-        docs.mapInArrow(_gram_rows, "doc_id long, text_hash long, hash long, n long")
+        docs.mapInArrow(_gram_rows, "doc_id long, lang string, text_hash long, hash long, n long")
         .distinct()  # a repeated row is scored once
         .join(model, "hash")
-        .groupBy("doc_id", "text_hash")
+        .groupBy("doc_id", "lang", "text_hash")
         .agg(F.sum(F.col("n") * F.col("log_p")).alias("log_probability"))
-        .withColumnsRenamed({"doc_id": "its_id", "text_hash": "its_hash"})
+        .withColumnsRenamed({"doc_id": "its_id", "lang": "its_lang", "text_hash": "its_hash"})
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("its_id"))
+        & (F.col("lang") == F.col("its_lang"))
+        & (F.col("text_hash") == F.col("its_hash"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("text_hash") == F.col("its_hash"))
-    return scratch.save(stats.join(sums, same, "left").drop("its_id", "its_hash"))
+    return scratch.save(stats.join(sums, same, "left").drop("its_id", "its_lang", "its_hash"))
 
 
 def _bands(rows: DataFrame) -> DataFrame:
@@ -360,7 +372,7 @@ def judge(docs: DataFrame, held_entries: int = _HELD_ENTRIES) -> DataFrame:
     rows = rows.withColumn("base_failed", failed).withColumn(
         "log_perplexity", F.when(F.col("n_chars") > 0, F.round(each, 9))
     )
-    out = rows.join(_bands(rows.filter("not base_failed")), "lang", "left")
+    out = rows.join(_per_language(_bands(rows.filter("not base_failed")), scratch), "lang", "left")
     inside = F.col("log_perplexity").between(F.col("low"), F.col("high"))
     return out.select(
         "doc_id",

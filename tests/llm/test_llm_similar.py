@@ -189,6 +189,20 @@ def test_perplexity_is_that_of_the_spelled_out_model(spark):
     )
 
 
+def test_rows_alike_but_for_their_language_are_scored_apart(spark):
+    rows = T.corpus()
+    text = next(r[1] for r in rows if r[1] and len(r[1]) > 200)
+    rows += [(7000, text, "en", "s"), (7000, text, "fr", "s"), (7000, text, "fr", "s")]
+
+    def judged(**how):
+        found = quality.judge(T.frame(spark, rows), **how).collect()
+        return Counter((r.doc_id, r.lang, r.perplexity and round(r.perplexity, 4), r.kept) for r in found)
+
+    held = judged()
+    assert judged(held_entries=1) == held
+    assert sorted(k[1] for k, n in held.items() if k[0] == 7000 for _ in range(n)) == ["en", "fr", "fr"]
+
+
 def test_bands_reject_strange_documents_and_keep_the_others(spark):
     rng = np.random.default_rng(5)
     vocabulary = ["".join(rng.choice(list("abcdehilmnorst"), 5)) for _ in range(300)]
