@@ -35,6 +35,7 @@ from gaugelake.llm.shared import Scratch
 
 _U64 = np.uint64
 _TILE = 400
+_PAIRS = 1_000_000  # pairs of rows a task holds at a time
 _ALL_WORDS = 32
 _BLOCK_SHINGLES = 500_000
 #: Ids of this many documents (8 MB) may be broadcast; more are joined by a shuffle.
@@ -232,9 +233,18 @@ def _tile_pairs(percent: int, across: bool):
     """Pairs within tiles: of different components if ``across``, close enough by size and sketch.
 
     Rows come sorted by tile; the last tile of a batch waits for the next batch. A tile on the
-    diagonal pairs all its rows, another one those of its two sides.
+    diagonal pairs all its rows, another one those of its two sides. Tiles are paired some at a
+    time, as many as have a bounded number of pairs.
     """
 
+    def parts(rows: pa.Table, starts: np.ndarray):
+        ends = np.append(starts[1:], rows.num_rows)
+        upto = np.cumsum((ends - starts) * (ends - starts - 1) // 2)
+        cuts = np.flatnonzero(np.diff(upto // _PAIRS, prepend=0))
+        bounds = np.unique([0, *cuts, len(starts)]).tolist()
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield found(rows.slice(int(starts[a]), int(ends[b - 1] - starts[a])), starts[a:b] - starts[a])
+
     def found(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
         first, second, side, node, size, label = (
             np.asarray(rows.column(c).combine_chunks())
@@ -271,9 +281,9 @@ def _tile_pairs(percent: int, across: bool):
                 continue
             kept = rows.slice(int(starts[-1]))
             if len(starts) > 1:
-                yield found(rows.slice(0, int(starts[-1])), starts[:-1])
+                yield from parts(rows.slice(0, int(starts[-1])), starts[:-1])
         if kept is not None and kept.num_rows:
-            yield found(kept, np.zeros(1, np.int64))
+            yield from parts(kept, np.zeros(1, np.int64))
 
     return pairs
 
