@@ -9,10 +9,14 @@ largest difference in the band; by the pigeonhole principle a linked pair then h
 Words found in one sketch only are dropped in a counting round; the others join the sketches.
 Candidates are verified on the exact sets.
 
-Words without a shingle are equal in sets that have nothing in common. Sketches of more than 32
-words leave them out: a linked pair without another equal word would need every single difference
-in a word of its own, and its hashes to leave the remaining word empty, which 32 random choices
-do with a probability below 1e-13, no more than what equal 64-bit hashes risk anyway.
+Words without a shingle are equal in sets that have nothing in common, so such a word is no
+evidence by itself. It stands for a sketch of its own, salted by its place: a linked pair that
+has the word empty in both sets also has an equal word there. After two such steps the word
+stands for the set's prefix in the order of the hashes, of which a linked pair shares a shingle.
+This is exact, and unrelated short sets meet about as rarely as long ones. Sketches of more than
+32 words leave empty words out: a linked pair without another equal word would need every single
+difference in a word of its own, and its hashes to leave the remaining word empty, which 32
+random choices do with a probability below 1e-13, no more than what equal 64-bit hashes risk anyway.
 
 Pairs are not spread within a group: each word's sketches are first verified against one hub.
 Only sketches that share a word and are still in different components are compared pair by
@@ -35,8 +39,9 @@ from gaugelake.llm.shared import Scratch
 
 _U64 = np.uint64
 _TILE = 400
-_PAIRS = 1_000_000  # pairs of rows a task holds at a time
+_PAIRS = 250_000  # pairs of rows a task holds at a time
 _ALL_WORDS = 32
+_EMPTY_STEPS = 2
 _BLOCK_SHINGLES = 500_000
 #: Ids of this many documents (8 MB) may be broadcast; more are joined by a shuffle.
 _BROADCAST_IDS = 1_000_000
@@ -70,23 +75,35 @@ def words_of(shingles: np.ndarray, percent: int) -> np.ndarray:
     """
     out = [np.zeros(0, _U64)]
     own = len(shingles) * (100 - percent) // percent + 1
+    prefix = shingles[: len(shingles) * (100 - percent) // 100 + 1]
     for band, largest in bands_of(len(shingles), percent):
         n = most_apart(2 * largest, percent) + 1
-        salt = arrays.mix(np.array([band + 1], _U64))
-        hashes = arrays.mix(shingles + salt)
-        at = (hashes % _U64(n)).astype(np.int64)
-        order = np.argsort(at, kind="stable")
-        places, starts = np.unique(at[order], return_index=True)
-        words = np.zeros(n, _U64)
-        words[places] = np.bitwise_xor.reduceat(arrays.mix(hashes)[order], starts)
-        keys = arrays.mix(words + arrays.mix(np.arange(n, dtype=_U64) + (salt << _U64(1))))
-        used = np.zeros(n, bool)
-        used[places] = True
-        some = np.arange(n) < own
-        out.append(keys[some & used] if n > _ALL_WORDS else keys[some])
+        out += _word_keys(shingles, n, own, arrays.mix(np.array([band + 1], _U64)), prefix, _EMPTY_STEPS)
     return np.concatenate(out)
 
 
+def _word_keys(
+    shingles: np.ndarray, n: int, own: int, salt: np.ndarray, prefix: np.ndarray, steps: int
+) -> list[np.ndarray]:
+    """Keys of the first ``own`` of ``n`` words; of empty ones the keys of the sketches they stand for."""
+    hashes = arrays.mix(shingles + salt)
+    at = (hashes % _U64(n)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    places, starts = np.unique(at[order], return_index=True)
+    words = np.zeros(n, _U64)
+    words[places] = np.bitwise_xor.reduceat(arrays.mix(hashes)[order], starts)
+    keys = arrays.mix(words + arrays.mix(np.arange(n, dtype=_U64) + (salt << _U64(1))))[:own]
+    used = np.zeros(n, bool)
+    used[places] = True
+    used = used[:own]
+    out = [keys[used]]
+    if n <= _ALL_WORDS:
+        for place in np.flatnonzero(~used).tolist():
+            again = keys[place : place + 1]
+            out += _word_keys(shingles, n, own, again, prefix, steps - 1) if steps else [arrays.mix(prefix + again)]
+    return out
+
+
 def bit_sketch(shingles: np.ndarray) -> np.ndarray:
     """The parity bits as 64-bit words: the next power of two above two bits a shingle."""
     n = max(64, 1 << (2 * len(shingles) - 1).bit_length())
@@ -262,8 +279,10 @@ def _tile_pairs(percent: int, across: bool):
             rights.append(j[fit])
         i, j = np.concatenate(lefts), np.concatenate(rights)
         both = np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])])
-        _, one = np.unique(both, axis=1, return_index=True)  # a pair that shares several words is compared once
-        i, j, both = i[one], j[one], both[:, one]
+        order = np.lexsort(both)
+        one = np.ones(len(order), bool)  # a pair that shares several words is compared once
+        one[1:] = (both[:, order[1:]] != both[:, order[:-1]]).any(axis=0)
+        i, j, both = i[order[one]], j[order[one]], both[:, order[one]]
         if len(i):
             both = both[:, _close(rows.column("bits").to_pylist(), size, i, j, percent)]
         return pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], names=["a", "b"])

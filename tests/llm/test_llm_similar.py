@@ -85,6 +85,28 @@ def test_sketch_distance_bounds_the_difference():
             assert len(np.intersect1d(parity.words_of(a, 90), parity.words_of(b, 90)))
 
 
+@pytest.mark.parametrize("percent, size", [(80, 7), (80, 12), (80, 40), (60, 25), (90, 60)])
+def test_short_sets_meet_only_where_they_are_alike(percent, size):
+    """Linked pairs of short sets share a key, also those with empty words; sets with nothing in common do not."""
+    rng = np.random.default_rng(size)
+    keys, empty = [], 0
+    for _ in range(1500):
+        a = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        least = -(-size * percent // 100)
+        b = np.concatenate([a[: rng.integers(least, size + 1)], rng.integers(0, 1 << 63, 3).astype(np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        keys.append(parity.words_of(a, percent))
+        empty += len(keys[-1]) > sum(
+            min(parity.most_apart(2 * top, percent), size * (100 - percent) // percent) + 1
+            for _, top in parity.bands_of(size, percent)
+        )
+        if 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b)):
+            assert len(np.intersect1d(keys[-1], parity.words_of(b, percent)))
+    _, counts = np.unique(np.concatenate(keys), return_counts=True)
+    assert counts.max() == 1
+    assert empty or percent == 90
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = [r for r in T.corpus() if r[0] is not None] + _near_copies()
     frame = T.frame(spark, rows)
