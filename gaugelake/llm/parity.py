@@ -42,6 +42,7 @@ _TILE = 400
 _PAIRS = 250_000  # pairs of rows a task holds at a time
 _ALL_WORDS = 32
 _EMPTY_STEPS = 2
+_PIECE = 512 * 1024  # bytes of text hashed at a time
 _BLOCK_SHINGLES = 500_000
 #: Ids of this many documents (8 MB) may be broadcast; more are joined by a shuffle.
 _BROADCAST_IDS = 1_000_000
@@ -138,7 +139,7 @@ def _node(shingles: np.ndarray) -> int:
 def _sketch_rows(words: int, percent: int):
     def rows(batches):
         sent: set[int] = set()  # copies within a task are sketched once
-        for batch in arrays.pieces(batches):
+        for batch in arrays.pieces(batches, _PIECE):
             nodes, sizes, keys, bits = [], [], [], []
             for s in shingle_sets(batch.column("text"), words):
                 node = _node(s)
@@ -178,7 +179,7 @@ class _Words:
 
 def _set_rows(words: int):
     def rows(batches):
-        for batch in arrays.pieces(batches):
+        for batch in arrays.pieces(batches, _PIECE):
             sets = list(shingle_sets(batch.column("text"), words))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -410,7 +411,7 @@ def jaccard_components(
 
 def _node_rows(words: int):
     def rows(batches):
-        for batch in arrays.pieces(batches):
+        for batch in arrays.pieces(batches, _PIECE):
             nodes = [(i, _node(s)) for i, s in enumerate(shingle_sets(batch.column("text"), words)) if len(s)]
             at, of = pa.array([i for i, _ in nodes], pa.int64()), pa.array([n for _, n in nodes], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("text_hash").take(at), of], names=["text_hash", "node"])
