@@ -32,7 +32,7 @@ _HEAD = struct.Struct("<9q")
 _BLOCK = 512  # bits between entries of the rank directory
 _END_ID = 2
 _SHARD_BYTES = 16 * 1024 * 1024
-_TEXT_BYTES = 5 * 1024 * 1024  # of a shard encoded at a time
+_TEXT_BYTES = 3 * 1024 * 1024  # of a shard encoded at a time
 #: Offsets of this many shards (a few MB) may be broadcast; more are joined by a shuffle.
 _BROADCAST_SHARDS = 200_000
 
