@@ -44,7 +44,7 @@ STAGES = [
     ("tokens", packed),
 ]
 
-#: SQL can express neither the language model nor the alignment; tests hold each stage to a brute-force version.
+#: SQL can express neither the language model nor the alignment; tests hold the operators to brute-force versions.
 ORACLE_SQL = None
 
 
