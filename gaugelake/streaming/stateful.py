@@ -1,8 +1,8 @@
 """Streams with state of their own per key: newest versions, complete timelines, and request audits.
 
-Processors take rows in event-time order: rows wait until the watermark has passed them, so that
-what is emitted is final although rows arrive out of order. What waits is bounded by the lateness
-the watermark allows. State is kept in RocksDB and checkpointed with the query.
+Newest versions are an aggregate that Spark holds per key. Processors of timelines and audits take rows in
+event-time order: rows wait until the watermark has passed them, so that what is emitted is final although
+rows arrive out of order. What waits is bounded by the lateness the watermark allows. State is kept in RocksDB and checkpointed with the query.
 """
 
 from __future__ import annotations
@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from gaugelake.schemas import conform
 from gaugelake.session import importable
 from gaugelake.sources.tables import TableSpec, append
 
 _PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_DAY_MS = 86_400_000
+_DAY_SECONDS = 86_400
 
 
 def stateful(spark: SparkSession) -> SparkSession:
@@ -33,52 +33,41 @@ def stateful(spark: SparkSession) -> SparkSession:
 
 
 def _rank(value) -> tuple:
-    """Orders values as Spark does: NULL lowest, NaN highest."""
+    """Orders values as Spark does: NULL lowest, NaN highest. For checks of the order in Python."""
     if value is None:
         return (0, 0)
     return (2, 0) if value != value else (1, value)
 
 
-class NewestVersion(StatefulProcessor):
-    """Holds one row per key, the one that sorts last, and emits it when it changes."""
+_SEEN, _LIFE, _NEWEST = "__seen", "__life", "__newest"
 
-    def __init__(self, schema: StructType, order: Sequence[str], days: int):
-        self._schema, self._order, self._days = schema, list(order), days
 
-    def init(self, handle) -> None:
-        self._held = handle.getValueState("newest", self._schema, self._days * _DAY_MS)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        places = [self._schema.fieldNames().index(name) for name in self._order]
-        held = self._held.get() if self._held.exists() else None
-        best, rank = None, None if held is None else tuple(_rank(held[i]) for i in places)
-        for row in rows:
-            found = tuple(_rank(row[name]) for name in self._order)
-            if rank is None or found > rank:
-                best, rank = row, found
-        if best is not None:
-            self._held.update(tuple(best[name] for name in self._schema.fieldNames()))
-            yield Row(**{name: best[name] for name in self._schema.fieldNames()})
-
-    def close(self) -> None:
-        pass
-
-
-def newest_versions(rows: DataFrame, keys: Sequence[str], newest_by: Sequence[str], days: int = 30) -> DataFrame:
+def newest_versions(rows: DataFrame, keys: Sequence[str], newest_by: Sequence[str], days: float = 30) -> DataFrame:
     """Rows of a stream that are newer than any before of their key.
 
     The order is that of ``dedup_latest``: ``newest_by``, then all other columns. A late version costs a look at its
-    key. The state of a key goes ``days`` after its last change; a version that comes later still counts as new and
-    is settled when the table is read.
+    key. The state is an aggregate of Spark's own, one row per key and life. Lives of twice ``days`` begin every ``days``,
+    so each version falls into two, and the older one, which knows at least the last ``days``, tells whether it is new.
+    A life that is over goes; a version that comes later still counts as new and is settled when the table is read.
     """
     stateful(rows.sparkSession)
     order = [*newest_by, *[c for c in rows.columns if c not in (*keys, *newest_by)]]
-    times = {f.name for f in rows.schema.fields if f.dataType == TimestampType()}
-    # Workers see times as microseconds, which have no zone.
-    plain = rows.select(*[F.unix_micros(c).alias(c) if c in times else F.col(c) for c in rows.columns])
-    schema = StructType([StructField(f.name, f.dataType) for f in plain.schema.fields])
-    changed = plain.groupBy(*keys).transformWithState(NewestVersion(schema, order, days), schema, "update", "processingTime")
-    return changed.select(*[F.timestamp_micros(c).alias(c) if c in times else F.col(c) for c in rows.columns])
+    # The time of a micro-batch is the same wherever its plan names it, also when the batch is repeated.
+    now, seconds = F.current_timestamp(), round(days * _DAY_SECONDS)
+    lives = F.window(_SEEN, f"{2 * seconds} seconds", f"{seconds} seconds").alias(_LIFE)
+    # Of equal versions the one seen first counts.
+    version = F.struct(*order, (-F.unix_micros(_SEEN)).alias(_SEEN))
+    held = (
+        rows.withColumn(_SEEN, now)
+        .withWatermark(_SEEN, "0 seconds")
+        .groupBy(*keys, lives)
+        .agg(F.max(version).alias(_NEWEST))
+    )
+    older = F.col(f"{_LIFE}.end") <= F.timestamp_add("SECOND", F.lit(seconds), now)
+    changed = F.col(f"{_NEWEST}.{_SEEN}") == -F.unix_micros(now)
+    return held.filter(older & changed).select(
+        *[F.col(c) if c in keys else F.col(f"{_NEWEST}.{c}").alias(c) for c in rows.columns]
+    )
 
 
 def start_newest(
@@ -87,7 +76,7 @@ def start_newest(
     checkpoint: str,
     keys: Sequence[str],
     newest_by: Sequence[str] = ("ingested_at", "run_id"),
-    days: int = 30,
+    days: float = 30,
     **trigger,
 ) -> StreamingQuery:
     """Append each new newest version to ``latest``; read it through ``dedup_latest``, which has few versions left to settle.
@@ -101,8 +90,8 @@ def start_newest(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    # With state that expires by the clock, batches without data would follow each other without end. A
-    # query keeps the settings it starts with.
+    # A batch without data would go through the whole state to drop what is over, which the next batch does
+    # too. A query keeps the settings it starts with.
     conf, name = rows.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
     before = conf.get(name, "true")
     conf.set(name, "false")

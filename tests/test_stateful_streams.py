@@ -1,7 +1,9 @@
 """Streams with processors against their batch twins, with rows out of order and over several batches."""
 
 import json
+import os
 import random
+import time
 from datetime import UTC, datetime, timedelta
 
 import fixture as fx
@@ -125,6 +127,36 @@ def test_newest_versions_equal_the_batch(spark, tmp_path):
     assert files < now and len(now - files) == 1
 
 
+def test_newest_versions_run_without_python_per_key_and_forget_over_lives(spark, tmp_path):
+    landing = tmp_path / "landing"
+    row = {"k": "a", "at": 5, "note": None}
+    for n, line in enumerate([row, {**row, "k": "b"}, row, {**row, "at": 4}, {**row, "note": "x"}]):
+        _land(landing, n, [line])
+        os.utime(landing / f"{n:03}.json", (n, n))  # files come in the order of their times
+
+    def run(days, pause=0.0):
+        out = []
+
+        def write(batch, number):
+            out.append([tuple(r) for r in batch.collect()])
+            time.sleep(pause)
+
+        stream = stateful.newest_versions(_stream(spark, landing, "k string, at int, note string"), ["k"], ["at"], days)
+        query = (stream.writeStream.outputMode("update").foreachBatch(write)
+                 .option("checkpointLocation", str(tmp_path / f"cp{pause}")).trigger(availableNow=True).start())
+        query.awaitTermination()
+        plan = query._jsq.explainInternal(False)
+        return [rows for rows in out if rows], [p.stateOperators[0].numRowsTotal for p in query.recentProgress], plan
+
+    rows, held, plan = run(30)
+    # A copy and an older version add nothing, a tie goes to the larger rest.
+    assert rows == [[("a", 5, None)], [("b", 5, None)], [("a", 5, "x")]]
+    assert max(held) == 4 and "Python" not in plan and "TransformWithState" not in plan
+    # Five batches of which each falls into two lives of two seconds: those that are over have gone.
+    rows, held, _ = run(1 / 86_400, pause=1.1)
+    assert rows[0] == [("a", 5, None)] and ("a", 5, "x") in rows[-1] and held[-1] <= 6
+
+
 def test_versions_order_as_in_spark():
     rank = stateful._rank
     assert sorted([float("nan"), 1.0, None, -2.0], key=rank)[:3] == [None, -2.0, 1.0]
