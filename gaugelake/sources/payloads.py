@@ -31,6 +31,9 @@ LANDED_FORECASTS = (
     "ingested_at timestamp, run_id string"
 )
 
+# Requests in a landed file at most.
+LANDED_ROWS = 50_000
+
 
 def _text(value: str | Column) -> Column:
     return F.lit(value) if isinstance(value, str) else value
@@ -226,5 +229,15 @@ def read_landed(spark: SparkSession, path: str | list[str], schema: str) -> Data
 
 
 def write_landed(requests: DataFrame, path: str) -> None:
-    """Requests as JSON lines that :func:`read_landed` gives back, their times to the microsecond."""
-    requests.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+    """Requests as JSON lines that :func:`read_landed` gives back, their times to the microsecond.
+
+    Files are compressed, which JSON repays several times over. As a compressed file is read by one task, none
+    holds more than :data:`LANDED_ROWS`.
+    """
+    (
+        requests.write.mode("append")
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        .option("compression", "lz4")
+        .option("maxRecordsPerFile", LANDED_ROWS)
+        .json(path)
+    )

@@ -266,3 +266,17 @@ def test_summary(spark):
     empty = cat.catalogue_summary(stations.filter(F.lit(False)), sensors.filter(F.lit(False))).collect()
     assert {(r.item, r.stations_or_sensors) for r in empty if r.metric == "stations_with"} == {
         (p, 0) for p in ("pm25", "pm10", "o3", "no2", "so2")}
+
+
+
+def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pl, "LANDED_ROWS", 3)
+    ids = spark.range(0, 10, 1, 2).withColumnRenamed("id", "openaq_sensor_id")
+    requests = ids.selectExpr(
+        "openaq_sensor_id", "repeat('{}', 500) AS payload", "timestamp'2024-01-15 01:02:03.000004' AS ingested_at",
+        "'r' AS run_id", "timestamp'2024-01-15' AS window_end")
+    pl.write_landed(requests, str(tmp_path / "landing"))
+    files = list((tmp_path / "landing").glob("part-*"))
+    assert len(files) == 4 and all(f.suffix == ".lz4" and f.stat().st_size < 1000 for f in files)
+    landed = pl.read_landed(spark, str(tmp_path / "landing"), pl.LANDED_READINGS)
+    assert sorted(landed.collect()) == sorted(requests.collect())
