@@ -240,27 +240,25 @@ def forecast_batches_of(lineitem: DataFrame) -> DataFrame:
     """
     start = _hours_after_epoch("(l_orderkey * 7 + l_linenumber) % 720")
 
-    def location(latitude: Column) -> Column:
-        times = [
-            F.date_format(F.timestamp_add("HOUR", F.lit(i), start), "yyyy-MM-dd'T'HH:mm") for i in range(3)
-        ]
-        times[2] = F.concat(times[2], F.lit(":00+00:00"))
-        return F.struct(
-            latitude.alias("latitude"),
-            F.struct(
-                F.array(*times).alias("time"),
-                F.array("l_quantity", "l_tax").alias("wind_speed_10m"),
-                F.array("l_discount", "l_discount", "l_discount", "l_discount").alias("precipitation"),
-                F.array("l_extendedprice", F.lit(None).cast("double"), "l_quantity").alias(
-                    "boundary_layer_height"
-                ),
-            ).alias("hourly"),
-        )
+    times = [F.date_format(F.timestamp_add("HOUR", F.lit(i), start), "yyyy-MM-dd'T'HH:mm") for i in range(3)]
+    times[2] = F.concat(times[2], F.lit(":00+00:00"))
+    hourly = F.struct(
+        F.array(*times).alias("time"),
+        F.array("l_quantity", "l_tax").alias("wind_speed_10m"),
+        F.array("l_discount", "l_discount", "l_discount", "l_discount").alias("precipitation"),
+        F.array("l_extendedprice", F.lit(None).cast("double"), "l_quantity").alias("boundary_layer_height"),
+    )
+    # The hours of both locations are the same text, written once.
+    hours = F.to_json(F.struct(hourly.alias("hourly"))).alias("hours")
+
+    def location(key: Column) -> Column:
+        latitude = F.concat(F.lit('"latitude":'), key.cast("double").cast("string"), F.lit(","))
+        return F.concat(F.lit("{"), F.coalesce(latitude, F.lit("")), F.substr("hours", F.lit(2)))
 
     first, second = F.col("l_suppkey"), F.col("l_partkey")
-    single = F.to_json(location(first.cast("double")))
-    pair = F.to_json(F.array(location(first.cast("double")), location(second.cast("double"))))
-    lacking = F.to_json(F.array(location(first.cast("double"))))
+    single = location(first)
+    pair = F.concat(F.lit("["), location(first), F.lit(","), location(second), F.lit("]"))
+    lacking = F.concat(F.lit("["), location(first), F.lit("]"))
 
     def station(key: Column, kind: str) -> Column:
         return F.struct(
@@ -270,7 +268,7 @@ def forecast_batches_of(lineitem: DataFrame) -> DataFrame:
         )
 
     line = F.col("l_linenumber")
-    return lineitem.select(
+    return lineitem.select("*", hours).select(
         F.when(line == 1, single).when(line == 7, lacking).otherwise(pair).alias("payload"),
         F.when(line == 1, F.array(station(first, "s"))).otherwise(
             F.array(station(first, "s"), station(second, "p"))

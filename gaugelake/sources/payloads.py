@@ -5,7 +5,7 @@ Time, run and window arguments are either values for the whole frame or columns
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
@@ -30,7 +30,6 @@ LANDED_FORECASTS = (
     "payload string, stations array<struct<station_id:string,latitude:double,longitude:double>>, "
     "ingested_at timestamp, run_id string"
 )
-
 # Requests in a landed file at most.
 LANDED_ROWS = 50_000
 
@@ -44,10 +43,10 @@ def _reading_page(payload: Column) -> Column:
     return F.from_json(payload, with_flag, {"columnNameOfCorruptRecord": _BROKEN})
 
 
-def reading_outcomes(payloads: DataFrame, run_id: str | Column) -> DataFrame:
-    """One row per request: an unreadable or missing answer is a failure."""
+def reading_outcomes(payloads: DataFrame, run_id: str | Column, answered: bool = False) -> DataFrame:
+    """One row per request: an unreadable or missing answer is a failure. ``answered``: there is known to be none."""
     page = _reading_page(F.col("payload"))
-    ok = F.col("payload").isNotNull() & page[_BROKEN].isNull()
+    ok = F.lit(True) if answered else F.col("payload").isNotNull() & page[_BROKEN].isNull()
     return payloads.select(_text(run_id).alias("run_id"), "openaq_sensor_id", ok.alias("ok"))
 
 
@@ -58,6 +57,7 @@ def reading_candidates(
     run_id: str | Column,
     window_end: Moment,
     enforce_complete_hours: bool = True,
+    unread: Observation | None = None,
 ) -> DataFrame:
     """Every reading of the pages with a ``reject_reason``, NULL for a good one.
 
@@ -65,7 +65,8 @@ def reading_candidates(
     are rejected too (``broken_page``). A sensor outside the worklist keeps its rows, with
     the reason ``unknown_sensor`` and no station. ``payloads`` has ``openaq_sensor_id`` and ``payload``; ``sensors`` is the worklist
     (station, location, sensor, pollutant, unit). Pages are opened before the lookup,
-    so a lookup that has to shuffle moves typed rows and no JSON.
+    so a lookup that has to shuffle moves typed rows and no JSON. ``unread`` observes the number of
+    failed requests.
     """
     pages = payloads.select(
         "openaq_sensor_id",
@@ -73,7 +74,11 @@ def reading_candidates(
         _text(run_id).alias("run_id"),
         moment(window_end, _INSTANT).alias("window_end"),
         _reading_page(F.col("payload")).alias("page"),
+        F.col("payload").isNull().alias("absent"),
     )
+    if unread is not None:
+        failed = F.col("absent") | F.col(f"page.{_BROKEN}").isNotNull()
+        pages = pages.observe(unread, F.count_if(failed).alias("unread"))
     items = pages.select(
         "openaq_sensor_id",
         "ingested_at",
@@ -128,9 +133,10 @@ def flatten_hourly_readings(
     run_id: str | Column,
     window_end: Moment,
     enforce_complete_hours: bool = True,
+    unread: Observation | None = None,
 ) -> DataFrame:
     """Pages of hourly readings to reading rows, without malformed and incomplete hours."""
-    rows = reading_candidates(payloads, sensors, ingested_at, run_id, window_end, enforce_complete_hours)
+    rows = reading_candidates(payloads, sensors, ingested_at, run_id, window_end, enforce_complete_hours, unread)
     return conform(rows.filter(F.col("reject_reason").isNull()), READINGS)
 
 
@@ -141,18 +147,20 @@ def _forecast_results(payload: Column) -> Column:
     return F.from_json(listed, FORECAST_BATCH)
 
 
-def forecast_outcomes(payloads: DataFrame, run_id: str | Column) -> DataFrame:
+def forecast_outcomes(payloads: DataFrame, run_id: str | Column, answered: bool = False) -> DataFrame:
     """One row per request: the batch was answered with readable JSON or not, and for which stations.
 
-    ``station_id`` is the array of the stations asked for.
+    ``station_id`` is the array of the stations asked for. ``answered``: all are known to be readable.
     """
-    ok = _forecast_results(F.col("payload")).isNotNull()
+    ok = F.lit(True) if answered else _forecast_results(F.col("payload")).isNotNull()
     return payloads.select(
         _text(run_id).alias("run_id"), ok.alias("ok"), F.col("stations.station_id").alias("station_id")
     )
 
 
-def forecast_candidates(payloads: DataFrame, ingested_at: Moment, run_id: str | Column) -> DataFrame:
+def forecast_candidates(
+    payloads: DataFrame, ingested_at: Moment, run_id: str | Column, unread: Observation | None = None
+) -> DataFrame:
     """Every forecast hour of the batches with a ``reject_reason``, NULL for a good one.
 
     ``payloads`` has ``payload`` and the requested ``stations`` in request order, an array
@@ -160,10 +168,11 @@ def forecast_candidates(payloads: DataFrame, ingested_at: Moment, run_id: str |
     that cannot be read (``malformed``) or has another number of results
     (``length_mismatch``) gives one rejected row; an hour whose time cannot be read is
     rejected as ``unreadable_time``. A value array shorter than the times, or absent, gives
-    NULLs; a longer one adds nothing.
+    NULLs; a longer one adds nothing. ``unread`` observes the number of batches that cannot be read.
     """
-    # The parsed results are used three times, so the optimizer leaves their projection alone, and the times
-    # are parsed as elements of their array: each JSON text and each time text is read once.
+    # The parsed results are used three times, so the optimizer leaves their projection alone: each JSON text is
+    # read once. A station meets its result, and a time its values, before they are opened: a row carries its own
+    # values and no array of them.
     results = F.col("results")
     fits = F.size(results) == F.size("stations")
     batches = payloads.select(
@@ -171,7 +180,10 @@ def forecast_candidates(payloads: DataFrame, ingested_at: Moment, run_id: str |
         moment(ingested_at, _INSTANT).alias("ingested_at"),
         _text(run_id).alias("run_id"),
         _forecast_results(F.col("payload")).alias("results"),
-    ).select(
+    )
+    if unread is not None:
+        batches = batches.observe(unread, F.count_if(results.isNull()).alias("unread"))
+    batches = batches.select(
         "stations",
         "ingested_at",
         "run_id",
@@ -179,33 +191,56 @@ def forecast_candidates(payloads: DataFrame, ingested_at: Moment, run_id: str |
         F.when(fits, results).alias("results"),
     )
     located = batches.select(
-        "stations", "ingested_at", "run_id", "why", F.posexplode_outer("results").alias("place", "result")
-    ).select(F.get("stations", F.col("place")).alias("station"), "ingested_at", "run_id", "why", "result.hourly")
-    full_times = F.transform(
-        "hourly.time", lambda t: F.when(F.length(t) == 16, F.concat(t, F.lit(":00+00:00"))).otherwise(t)
+        "ingested_at",
+        "run_id",
+        "why",
+        F.explode_outer(F.when(F.col("why").isNull(), F.arrays_zip("stations", "results"))).alias("pair"),
     )
-    times = F.transform(full_times, lambda t: F.struct(t.alias("text"), parse_utc(t).alias("valid_time")))
-    hours = located.select(
-        "station", "ingested_at", "run_id", "why", "hourly", F.posexplode_outer(times).alias("hour", "time")
-    ).filter(F.col("why").isNotNull() | F.col("hour").isNotNull())
+    # An absent array is an empty one. The longest array gives the number of hours, those after the last time are no rows.
+    none = F.array().cast("array<double>")
+    timed = located.select(
+        F.col("pair.stations").alias("station"),
+        "ingested_at",
+        "run_id",
+        "why",
+        F.col("pair.results.hourly.time").alias("time"),
+        F.size("pair.results.hourly.time").alias("times"),
+        *[F.coalesce(f"pair.results.hourly.{v}", none).alias(v) for v in FORECAST_VARIABLES],
+    )
+    hours = timed.select(
+        "station",
+        "ingested_at",
+        "run_id",
+        "why",
+        "times",
+        F.posexplode_outer(F.arrays_zip("time", *FORECAST_VARIABLES)).alias("hour", "at"),
+    ).filter(F.col("why").isNotNull() | (F.col("hour") < F.col("times")))
+    time = F.col("at.time")
+    short = F.length(time) == 16
+    # Z is UTC as +00:00 is, and is read in half the time. The optimizer carries no filter past a generator, so
+    # each time is read once.
+    read = parse_utc(F.when(short, F.concat(time, F.lit(":00Z"))).otherwise(time))
+    hours = hours.select("*", F.explode(F.array(read)).alias("valid_time"))
+    valid_time = F.col("valid_time")
+    text = F.when(short, F.concat(time, F.lit(":00+00:00"))).otherwise(time)
     return hours.select(
         F.col("station.station_id").alias("station_id"),
         "run_id",
         F.col("station.latitude").alias("latitude"),
         F.col("station.longitude").alias("longitude"),
-        F.col("time.valid_time").alias("valid_time"),
-        *[F.get(F.col(f"hourly.{v}"), F.col("hour")).alias(v) for v in FORECAST_VARIABLES],
+        "valid_time",
+        *[F.col(f"at.{v}").alias(v) for v in FORECAST_VARIABLES],
         "ingested_at",
-        F.concat(F.col("station.station_id"), F.lit("|"), F.col("time.text")).alias("dedup_key"),
-        F.when(F.col("why").isNotNull(), F.col("why"))
-        .when(F.col("time.valid_time").isNull(), "unreadable_time")
-        .alias("reject_reason"),
+        F.concat(F.col("station.station_id"), F.lit("|"), text).alias("dedup_key"),
+        F.when(F.col("why").isNotNull(), F.col("why")).when(valid_time.isNull(), "unreadable_time").alias("reject_reason"),
     )
 
 
-def flatten_forecast_batch(payloads: DataFrame, ingested_at: Moment, run_id: str | Column) -> DataFrame:
+def flatten_forecast_batch(
+    payloads: DataFrame, ingested_at: Moment, run_id: str | Column, unread: Observation | None = None
+) -> DataFrame:
     """Batches of parallel-array forecasts to one row per location and hour, without the rejected ones."""
-    rows = forecast_candidates(payloads, ingested_at, run_id)
+    rows = forecast_candidates(payloads, ingested_at, run_id, unread)
     return conform(rows.filter(F.col("reject_reason").isNull()), FORECASTS)
 
 

@@ -280,3 +280,14 @@ def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     assert len(files) == 4 and all(f.suffix == ".lz4" and f.stat().st_size < 1000 for f in files)
     landed = pl.read_landed(spark, str(tmp_path / "landing"), pl.LANDED_READINGS)
     assert sorted(landed.collect()) == sorted(requests.collect())
+
+
+
+def test_forecast_hours_carry_their_own_values_and_times_are_read_once(spark):
+    batches = spark.createDataFrame(
+        [('{"latitude":1.0,"hourly":{"time":["2024-01-15T10:00"],"cloud_cover":[1.0,2.0]}}',
+          [("s", 1.0, 2.0)], datetime(2024, 1, 15), "r")], pl.LANDED_FORECASTS)
+    rows = pl.flatten_forecast_batch(batches, F.col("ingested_at"), F.col("run_id"))
+    assert [(r.cloud_cover, r.temperature_2m, r.dedup_key) for r in rows.collect()] == [(1.0, None, "s|2024-01-15T10:00:00+00:00")]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "hourly#" not in plan and plan.count("as timestamp)") == 1
