@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gaugelake.functions.clock import moment
@@ -20,15 +20,15 @@ from gaugelake.sources.payloads import (
     reading_outcomes,
 )
 from gaugelake.sources.catalog import SwitchedTables
-from gaugelake.sources.tables import TableSpec, append, append_run_log, overwrite, read_table
+from gaugelake.sources.tables import TableSpec, append, append_run_log, observed, overwrite, read_table
 
 _INSTANT = RUN_LOG["run_started_at"].dataType
 
 
 def _run(
     spark: SparkSession,
-    rows: Callable[[], DataFrame],
-    outcomes: Callable[[], DataFrame],
+    rows: Callable[[Observation], DataFrame],
+    outcomes: Callable[[bool], DataFrame],
     target: TableSpec,
     run_log: TableSpec,
     run_id: str,
@@ -38,8 +38,11 @@ def _run(
     by_station: bool,
 ) -> dict:
     failure = written = None
+    unread, answered = Observation(), False
     try:
-        written = append(rows(), target)
+        written = append(rows(unread), target)
+        # Where the write met no unreadable answer, the accounting need not read the answers again.
+        answered = observed(unread).get("unread") == 0
     except Exception as problem:
         failure = f"{type(problem).__name__}: {problem}"
     if failure is None and written["rows"]:
@@ -66,7 +69,7 @@ def _run(
         ).first()
 
     try:
-        fetched = account(outcomes(), failure)
+        fetched = account(outcomes(answered), failure)
     except Exception as problem:
         # The payloads themselves cannot be read: the run is still logged.
         none = spark.createDataFrame([], f"run_id string, {unit} string, ok boolean")
@@ -92,8 +95,10 @@ def ingest_readings(
     window = (window_end - timedelta(hours=lookback_hours), window_end)
     return _run(
         spark,
-        lambda: flatten_hourly_readings(payloads, sensors, started, run_id, window_end, enforce_complete_hours),
-        lambda: reading_outcomes(payloads, run_id),
+        lambda unread: flatten_hourly_readings(
+            payloads, sensors, started, run_id, window_end, enforce_complete_hours, unread
+        ),
+        lambda answered: reading_outcomes(payloads, run_id, answered),
         target,
         run_log,
         run_id,
@@ -116,8 +121,8 @@ def ingest_forecasts(
     """Forecast run over landed batches; returns its run-log row."""
     return _run(
         spark,
-        lambda: flatten_forecast_batch(payloads, started, run_id),
-        lambda: forecast_outcomes(payloads, run_id),
+        lambda unread: flatten_forecast_batch(payloads, started, run_id, unread),
+        lambda answered: forecast_outcomes(payloads, run_id, answered),
         target,
         run_log,
         run_id,

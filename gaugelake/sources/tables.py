@@ -65,6 +65,14 @@ def _laid_out(df: DataFrame, table: TableSpec) -> DataFrame:
     return dated.hint("rebalance", F.col(PARTITION)).sortWithinPartitions(PARTITION, *table.cluster_by)
 
 
+def observed(seen: Observation) -> dict:
+    """Metrics of a finished write, none of them where Spark knew a frame to be empty and reports none."""
+    try:
+        return seen.get
+    except Py4JError:
+        return {}
+
+
 def _observed(seen: Observation, df: DataFrame, **when_empty) -> dict:
     """Metrics of a finished write. Spark reports none for a frame it knows to be empty."""
     try:

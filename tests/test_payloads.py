@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugelake.operators import catalogue as cat
+from gaugelake.plans import ingest
 from gaugelake.schemas import FORECASTS, READINGS, SENSORS, STATIONS
 from gaugelake.sources import payloads as pl
+from gaugelake.sources import tables
 
 END = datetime(2024, 1, 15, 10, tzinfo=UTC)
 INGESTED = datetime(2024, 1, 15, 10, 5, tzinfo=UTC)
@@ -268,6 +270,15 @@ def test_summary(spark):
         (p, 0) for p in ("pm25", "pm10", "o3", "no2", "so2")}
 
 
+def test_forecast_hours_carry_their_own_values_and_times_are_read_once(spark):
+    batches = spark.createDataFrame(
+        [('{"latitude":1.0,"hourly":{"time":["2024-01-15T10:00"],"cloud_cover":[1.0,2.0]}}',
+          [("s", 1.0, 2.0)], datetime(2024, 1, 15), "r")], pl.LANDED_FORECASTS)
+    rows = pl.flatten_forecast_batch(batches, F.col("ingested_at"), F.col("run_id"))
+    assert [(r.cloud_cover, r.temperature_2m, r.dedup_key) for r in rows.collect()] == [(1.0, None, "s|2024-01-15T10:00:00+00:00")]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "hourly#" not in plan and plan.count("as timestamp)") == 1
+
 
 def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(pl, "LANDED_ROWS", 3)
@@ -282,12 +293,16 @@ def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     assert sorted(landed.collect()) == sorted(requests.collect())
 
 
-
-def test_forecast_hours_carry_their_own_values_and_times_are_read_once(spark):
+@pytest.mark.parametrize("payload, failed", [('{"hourly":{"time":["2024-01-15T10:00"]}}', 0), ("no answer", 1)])
+def test_answers_are_read_again_only_where_one_is_unreadable(spark, tmp_path, monkeypatch, payload, failed):
+    asked = []
+    outcomes = ingest.forecast_outcomes
+    monkeypatch.setattr(ingest, "forecast_outcomes", lambda *args: asked.append(args[2]) or outcomes(*args))
+    good = '{"hourly":{"time":["2024-01-15T11:00"]}}'
     batches = spark.createDataFrame(
-        [('{"latitude":1.0,"hourly":{"time":["2024-01-15T10:00"],"cloud_cover":[1.0,2.0]}}',
-          [("s", 1.0, 2.0)], datetime(2024, 1, 15), "r")], pl.LANDED_FORECASTS)
-    rows = pl.flatten_forecast_batch(batches, F.col("ingested_at"), F.col("run_id"))
-    assert [(r.cloud_cover, r.temperature_2m, r.dedup_key) for r in rows.collect()] == [(1.0, None, "s|2024-01-15T10:00:00+00:00")]
-    plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    assert "hourly#" not in plan and plan.count("as timestamp)") == 1
+        [(p, [(s, 1.0, 2.0)], None, None) for p, s in ((good, "a"), (payload, "b"))], pl.LANDED_FORECASTS)
+    target, log = tables.forecasts_table(str(tmp_path / "f")), tables.run_log_table(str(tmp_path / "log"))
+    row = ingest.ingest_forecasts(spark, batches, target, log, "r", INGESTED)
+    assert asked == [not failed]
+    assert (row["records_written"], row["stations_polled"], row["stations_failed"]) == (2 - failed, 2, failed)
+    assert "json" not in outcomes(batches, "r", True)._jdf.queryExecution().optimizedPlan().toString()
