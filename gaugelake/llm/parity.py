@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from gaugelake.llm import arrays, blocks
 from gaugelake.llm.components import component_roots
-from gaugelake.llm.shared import Scratch
+from gaugelake.llm.shared import Scratch, small_batches
 
 _U64 = np.uint64
 _TILE = 400
@@ -353,7 +353,7 @@ def jaccard_components(
     component_id is the smallest doc_id of the component, null where no document in it has one.
     Repeated rows are copies of each other. An empty table gives empty results.
     """
-    scratch = Scratch(docs.sparkSession, "parity")
+    scratch = Scratch(small_batches(docs.sparkSession), "parity")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sketched = scratch.save(docs.mapInArrow(_sketch_rows(words, percent), _SKETCHED))
     members = sketched.filter("n_shingles > 0").select("doc_id", "node")

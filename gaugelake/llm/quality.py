@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugelake.llm import arrays
-from gaugelake.llm.shared import Scratch
+from gaugelake.llm.shared import Scratch, small_batches
 
 _ORDER = 4
 _PAD = "\x02"
@@ -357,7 +357,7 @@ def judge(docs: DataFrame, held_entries: int = _HELD_ENTRIES) -> DataFrame:
     and has perplexity null; rows without lang form one language. Repeated rows are judged alike.
     An empty table gives an empty result.
     """
-    scratch = Scratch(docs.sparkSession, "quality")
+    scratch = Scratch(small_batches(docs.sparkSession), "quality")
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),

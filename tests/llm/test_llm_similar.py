@@ -369,6 +369,19 @@ def test_a_large_benchmark_goes_in_slices(spark, monkeypatch):
     assert {(i, i, 1.0) for i in range(9)} <= set(once)
 
 
+@pytest.mark.parametrize("judged", [parity.keep_one, quality.judge])
+def test_texts_meet_python_in_small_batches(spark, judged):
+    def batch_bytes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 300) as text", "'en' as lang")
+    judged(docs.limit(10))
+    sizes = [row.n for row in docs.mapInArrow(batch_bytes, "n long").collect()]
+    assert sum(sizes) > 8_000_000 and max(sizes) < 3_000_000
+
+
 def test_empty_tables(spark):
     none, bench = T.frame(spark, []), spark.createDataFrame([], "item_id long, text string")
     out, links = parity.jaccard_components(none)
