@@ -13,26 +13,27 @@ planes.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugelake.llm import arrays
-from gaugelake.llm.shared import Scratch
+from gaugelake.llm.shared import Scratch, small_batches
 
 _MAGIC = b"GLWAVE01"
 _HEAD = struct.Struct("<9q")
 _BLOCK = 512  # bits between entries of the rank directory
 _END_ID = 2
 _SHARD_BYTES = 16 * 1024 * 1024
-_TEXT_BYTES = 3 * 1024 * 1024  # of a shard encoded at a time
+_TEXT_BYTES = 3 * 1024 * 1024  # of a shard encoded at a time, in slices of a third
 #: Offsets of this many shards (a few MB) may be broadcast; more are joined by a shuffle.
 _BROADCAST_SHARDS = 200_000
 
@@ -52,12 +53,14 @@ class WaveletMatrix:
         planes, zeros, ranks = [], [], []
         ids = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         for bit in range(bits - 1, -1, -1):
-            ones = ((ids >> bit) & 1).astype(bool)
-            plane = np.packbits(ones, bitorder="little")
+            plane = np.packbits(((ids >> bit) & 1).astype(np.uint8), bitorder="little")
             planes.append(plane)
             ranks.append(_directory(plane))
-            ids = np.concatenate([ids[~ones], ids[ones]])
-            zeros.append(len(ids) - int(np.count_nonzero(ones)))
+            ones = pa.Array.from_buffers(pa.bool_(), len(ids), [None, pa.py_buffer(plane)])
+            held = pa.array(ids)
+            first = np.asarray(held.filter(pc.invert(ones)))
+            ids = np.concatenate([first, np.asarray(held.filter(ones))])
+            zeros.append(len(first))
         return cls(planes, np.array(zeros, np.int64), ranks, len(ids))
 
     def decode(self) -> np.ndarray:
@@ -190,10 +193,11 @@ class Pieces:
         self.numbers: dict[str, int] = {}
         self.ids, self.ends = array("I", [_END_ID]), array("q", [1])
 
-    def add(self, piece: str, ids: list[int]) -> None:
-        self.numbers[piece] = len(self.ends)
+    def add(self, piece: str, ids: list[int]) -> int:
+        self.numbers[piece] = number = len(self.ends)
         self.ids.extend(ids)
         self.ends.append(len(self.ids))
+        return number
 
 
 def _gathered(values: np.ndarray, firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -203,6 +207,20 @@ def _gathered(values: np.ndarray, firsts: np.ndarray, sizes: np.ndarray) -> np.n
     return values[np.repeat(firsts - (ends - sizes), sizes) + np.arange(total)]
 
 
+def _binary(edges: np.ndarray, raw: np.ndarray) -> pa.LargeBinaryArray:
+    """The values that lie one behind the other between the edges."""
+    buffers = [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(raw)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, buffers)
+
+
+# Bytes of plain words: ASCII in lower case, and letters, digits and others apart.
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_LETTER, _DIGIT = 1, 2
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[ord("a") : ord("z") + 1] = _KINDS[0x80:] = _LETTER
+_KINDS[ord("0") : ord("9") + 1] = _DIGIT
+
+
 class WordTokenizer:
     """Encodes texts with a word-level tokenizer of the library, each distinct piece of a word once.
 
@@ -212,9 +230,6 @@ class WordTokenizer:
     words go through the whole library. Words and pieces are told apart by their bytes.
     """
 
-    # Fixed value: the tokenizer's own pattern, its letters and digits narrowed to those of plain words.
-    _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|\n|[^a-z0-9\xdf-\xf6\xf8-\xff\n]+")
-
     def __init__(self, path: str, pieces: Pieces | None = None):
         from tokenizers import Tokenizer
 
@@ -235,26 +250,54 @@ class WordTokenizer:
         sums = np.concatenate([[0], np.cumsum(odd)])
         return sums[ends] == sums[np.concatenate([[0], ends[:-1]])]
 
-    def _piece(self, piece: str) -> None:
+    def _piece(self, piece: str) -> int:
         text = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-        self.pieces.add(piece, [t.id for t in self.model.tokenize(text)])
+        return self.pieces.add(piece, [t.id for t in self.model.tokenize(text)])
+
+    @staticmethod
+    def _cut(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of plain words in lower case, and where the tokenizer's pieces start: a run of letters, a digit,
+        a run of others, and before these an ending behind an apostrophe ('s 't 'm 'd 're 've 'll)."""
+        low = _LOWER[raw]
+        upper = np.flatnonzero((raw[:-1] == 0xC3) & (raw[1:] < 0x9F)) + 1
+        low[upper] += 0x20
+        kind = _KINDS[low]
+        first = kind == _DIGIT
+        first[1:] |= kind[1:] != kind[:-1]
+        first[starts] = True
+        heads = np.flatnonzero(first & (low == ord("'")))
+        if len(heads):
+            # Behind the last byte stand two that end nothing; a start of a word ends the one before.
+            after, begins = np.append(low, [0, 0]), np.zeros(len(low) + 2, bool)
+            begins[starts] = begins[len(low) :] = True
+            one, two = after[heads + 1], after[heads + 2]
+            inside = ~begins[heads + 1]
+            short = inside & np.isin(one, np.frombuffer(b"stmd", np.uint8))
+            pair = (((one == ord("r")) | (one == ord("v"))) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+            long = inside & ~begins[heads + 2] & pair
+            first[heads[short | long] + 1] = False
+            behind = np.concatenate([heads[short] + 2, heads[long] + 3])
+            first[behind[behind < len(low)]] = True
+        return low, np.flatnonzero(first)
 
     def _words(self, words: pa.Array, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct words one behind the other, and the size of each."""
         numbers = self.pieces.numbers
         plain = self._plain(raw, ends)
-        text = words.cast(pa.large_string())
-        found = self._PIECES.findall("\n".join(text.filter(pa.array(plain)).to_pylist()).lower())
-        numbers["\n"] = -1
-        held = list(map(numbers.get, found))
-        for i, number in enumerate(held):
+        lengths = np.diff(ends, prepend=0)
+        if not plain.all():
+            raw, lengths = raw[np.repeat(plain, lengths)], lengths[plain]
+        starts = np.cumsum(lengths) - lengths
+        low, cuts = self._cut(raw, starts) if len(raw) else (raw, starts)
+        coded = _binary(np.append(cuts, len(low)), low).dictionary_encode()
+        held = coded.dictionary.cast(pa.large_string()).to_pylist()
+        at = list(map(numbers.get, held))
+        for i, number in enumerate(at):
             if number is None:
-                if (number := numbers.get(found[i])) is None:
-                    self._piece(found[i])
-                    number = numbers[found[i]]
-                held[i] = number
-        of_plain = np.array(held, np.int64)
-        cuts = np.concatenate([[-1], np.flatnonzero(of_plain < 0), [len(found)]])
+                at[i] = self._piece(held[i])
+        of_plain = np.array(at, np.int64)[coded.indices.to_numpy()]
+        places = np.searchsorted(cuts, np.append(starts, len(low)))
+        text = words.cast(pa.large_string())
         others = text.filter(pa.array(~plain)).to_pylist()
         for word in set(others).difference(numbers):
             self.pieces.add(word, self.library.encode(word, add_special_tokens=False).ids)
@@ -264,7 +307,7 @@ class WordTokenizer:
         firsts, sizes = np.empty(len(words), np.int64), np.ones(len(words), np.int64)
         firsts[~plain] = len(of_plain) + np.arange(len(at))
         if plain.any():
-            firsts[plain], sizes[plain] = cuts[:-1] + 1, np.diff(cuts) - 1
+            firsts[plain], sizes[plain] = places[:-1], np.diff(places)
         every = _gathered(every, firsts, sizes)
         ids, stops = np.frombuffer(self.pieces.ids, np.uint32), np.frombuffer(self.pieces.ends, np.int64)
         widths = stops[every] - stops[every - 1]
@@ -281,10 +324,7 @@ class WordTokenizer:
         lengths = ends - starts
         inside = ~arrays.SPACES[raw]
         edges = np.concatenate([[0], np.cumsum(lengths)])
-        words = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(raw[inside])]
-        )
-        coded = words.dictionary_encode()
+        coded = _binary(edges, raw[inside]).dictionary_encode()
         distinct, of = coded.dictionary, coded.indices.to_numpy()
         data, places = arrays.text_buffer(distinct.cast(pa.large_string()))
         ids, sizes = self._words(distinct, data, places[1:]) if len(distinct) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
@@ -308,19 +348,32 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path, kept)
 
 
+def _gathered_texts(batches) -> Iterator[pa.Table]:
+    """The rows of a shard, so many at a time that words repeat, however small the batches are."""
+    held, size = [], 0
+    for piece in arrays.pieces(batches, _TEXT_BYTES // 3):
+        held.append(piece)
+        size += int(arrays.text_buffer(piece.column("text"))[1][-1])
+        if size >= _TEXT_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _shards(path: str, bits: int):
     def rows(batches):
         kind = np.uint16 if bits <= 16 else np.uint32
         doc_ids, encoded, ends, total, tokenizer, shard = [], [], [], 0, None, None
-        for batch in arrays.pieces(batches, _TEXT_BYTES):
-            shard = batch.column("shard")[0].as_py() if shard is None else shard
+        for texts in _gathered_texts(batches):
+            shard = texts.column("shard")[0].as_py() if shard is None else shard
             tokenizer = tokenizer or _tokenizer(path)
-            ids, stops = tokenizer.encode(batch.column("text"))
-            doc_ids += batch.column("doc_id").to_pylist()
+            ids, stops = tokenizer.encode(texts.column("text"))
+            doc_ids += texts.column("doc_id").to_pylist()
             encoded.append(ids.astype(kind))
             ends.append(stops + total)
             total += len(ids)
-            del batch, ids, stops  # not held while the matrix is built
+            del texts, ids, stops  # not held while the matrix is built
         if doc_ids:
             ids = np.concatenate(encoded)
             encoded.clear()
@@ -348,7 +401,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, bits: int =
     ``tokenizer_path`` names a file of the tokenizers library that every executor has; ids must
     fit in ``bits`` bits, and no token may cross white space.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // _SHARD_BYTES))
     ordered = (

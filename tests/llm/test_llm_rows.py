@@ -54,6 +54,23 @@ def test_words_encode_like_whole_texts(library, some):
     assert ids.tolist() == sum(want, []) and ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="''stmdrelvaZ19.,-\xc9\xdf\xe9\xff\u03c3 <|", max_size=25), max_size=4))
+def test_endings_digits_and_capitals_are_cut_like_the_library_cuts_them(library, some):
+    ids, _ = wavelet.WordTokenizer(queries.TOKENIZER).encode(pa.array(some, pa.string()))
+    assert ids.tolist() == sum(([*library.encode(t, add_special_tokens=False).ids, 2] for t in some), [])
+
+
+def test_small_batches_of_a_shard_are_encoded_together(monkeypatch):
+    sizes, encode = [], wavelet.WordTokenizer.encode
+    monkeypatch.setattr(wavelet.WordTokenizer, "encode", lambda self, x: sizes.append(len(x)) or encode(self, x))
+    batch = pa.RecordBatch.from_pydict(
+        {"shard": pa.array([7] * 50, pa.int32()), "doc_id": range(50), "text": ["some words that come again "] * 50}
+    )
+    rows = list(wavelet._shards(queries.TOKENIZER, 16)([batch] * 4))
+    assert sizes == [200] and rows[0].column("n_documents").to_pylist() == [200]
+
+
 def test_words_are_told_apart_by_their_bytes(library):
     word = "a"
     for _ in range(10):
