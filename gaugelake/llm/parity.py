@@ -40,6 +40,8 @@ from gaugelake.llm.shared import Scratch, small_batches
 _U64 = np.uint64
 _TILE = 400
 _PAIRS = 250_000  # pairs of rows a task holds at a time
+_EVERY = 1 << 40
+_NEAREST = 4  # pairs of a row in a tile that are verified first
 _ALL_WORDS = 32
 _EMPTY_STEPS = 2
 _PIECE = 512 * 1024  # bytes of text hashed at a time
@@ -227,32 +229,34 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, words: int,
     )
 
 
-def _close(bits: list[bytes], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs of rows have bit sketches no further apart than a linked pair's can be."""
+def _close(
+    bits: list[bytes], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of rows have bit sketches no further apart than a linked pair's can be, and how far all are."""
     words = np.array([len(x) // 8 for x in bits])
     place, matrix = np.zeros(len(bits), np.int64), {}
     for w in np.unique(words).tolist():
         own = np.flatnonzero(words == w)
         matrix[w] = np.frombuffer(b"".join(bits[i] for i in own), "<u8").reshape(-1, w)
         place[own] = np.arange(len(own))
-    keep = np.zeros(len(left), bool)
+    far = np.zeros(len(left), np.int64)
     limit = (sizes[left] + sizes[right]) * (100 - percent) // (100 + percent)
     kinds = words[left] * (1 << 32) + words[right]
     for kind in np.unique(kinds).tolist():
         v, w = kind >> 32, kind & 0xFFFFFFFF
         at = np.flatnonzero(kinds == kind)
         for part in np.array_split(at, -(-len(at) * max(v, w) // 1_000_000)):
-            apart = distances(matrix[v][place[left[part]]], matrix[w][place[right[part]]])
-            keep[part] = apart <= limit[part]
-    return keep
+            far[part] = distances(matrix[v][place[left[part]]], matrix[w][place[right[part]]])
+    return far <= limit, far
 
 
-def _tile_pairs(percent: int, across: bool):
+def _tile_pairs(percent: int, across: bool, each: int):
     """Pairs within tiles: of different components if ``across``, close enough by size and sketch.
 
     Rows come sorted by tile; the last tile of a batch waits for the next batch. A tile on the
     diagonal pairs all its rows, another one those of its two sides. Tiles are paired some at a
-    time, as many as have a bounded number of pairs.
+    time, as many as have a bounded number of pairs. A row's ``each`` closest pairs are given; a pair
+    of nulls tells that there are others.
     """
 
     def parts(rows: pa.Table, starts: np.ndarray):
@@ -284,9 +288,17 @@ def _tile_pairs(percent: int, across: bool):
         one = np.ones(len(order), bool)  # a pair that shares several words is compared once
         one[1:] = (both[:, order[1:]] != both[:, order[:-1]]).any(axis=0)
         i, j, both = i[order[one]], j[order[one]], both[:, order[one]]
+        left_out = []
         if len(i):
-            both = both[:, _close(rows.column("bits").to_pylist(), size, i, j, percent)]
-        return pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], names=["a", "b"])
+            close, far = _close(rows.column("bits").to_pylist(), size, i, j, percent)
+            both, far = both[:, close], far[close]
+            order = np.lexsort((far, both[0]))
+            first_of = np.searchsorted(both[0][order], both[0][order])
+            near = order[np.arange(len(order)) - first_of < each]
+            left_out = [None] * (len(near) < len(order))
+            both = both[:, near]
+        a, b = (pa.array([*x.tolist(), *left_out], pa.int64()) for x in both)
+        return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     def pairs(batches):
         kept = None
@@ -308,8 +320,9 @@ def _tile_pairs(percent: int, across: bool):
     return pairs
 
 
-def _tiled(members: DataFrame, sketches: DataFrame, percent: int, across: bool) -> DataFrame:
-    """Pairs within each word's sketches, compared in tiles of bounded size."""
+def _tiled(members: DataFrame, sketches: DataFrame, percent: int, across: bool, each: int) -> DataFrame:
+    """Pairs within each word's sketches, compared in tiles of bounded size: of each row the closest, and a pair
+    of nulls if there are others."""
     by_word = members.groupBy("word").agg(F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("h"))
     by_word = by_word.filter("l <> h" if across else "n > 1").select(
         "word", F.ceil(F.col("n") / _TILE).cast("int").alias("parts")
@@ -333,7 +346,7 @@ def _tiled(members: DataFrame, sketches: DataFrame, percent: int, across: bool)
     return (
         spread.repartition(*tile)
         .sortWithinPartitions(*tile)
-        .mapInArrow(_tile_pairs(percent, across), "a long, b long")
+        .mapInArrow(_tile_pairs(percent, across, each), "a long, b long")
         .distinct()
     )
 
@@ -390,12 +403,21 @@ def jaccard_components(
     links = scratch.save(_verified(scratch.save(stars), docs, members, words, percent))
     roots = component_roots(links, scratch)
 
-    labelled = shared.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root", "n_shingles")
+    # The closest pairs first: what they link needs no other pair. Those left out are looked at again, more of a
+    # row each time, until none is.
     sketches = first.select("node", "n_shingles", "bits").dropDuplicates(["node"])
-    rest = scratch.save(_tiled(labelled, sketches, percent, not every_link).join(links, ["a", "b"], "left_anti"))
-    more = scratch.save(_verified(rest, docs, members, words, percent))
-    links = links.unionByName(more)
-    roots = component_roots(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
+    seen, each = links, _EVERY if every_link else _NEAREST
+    while True:
+        labelled = shared.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root", "n_shingles")
+        tiled = _tiled(labelled, sketches, percent, not every_link, each)
+        rest = scratch.save(tiled.join(seen, ["a", "b"], "left_anti"))
+        pairs = rest.filter("a is not null")
+        more = scratch.save(_verified(pairs, docs, members, words, percent))
+        links = links.unionByName(more)
+        roots = component_roots(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
+        if rest.filter("a is null").isEmpty():
+            break
+        seen, each = seen.unionByName(pairs), 8 * each
 
     nodes = sketched.select("doc_id", "n_shingles", "node").join(roots, "node", "left")
     nodes = nodes.withColumn("part", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")))

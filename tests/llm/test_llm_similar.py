@@ -382,6 +382,26 @@ def test_texts_meet_python_in_small_batches(spark, judged):
     assert sum(sizes) > 8_000_000 and max(sizes) < 3_000_000
 
 
+def test_a_tile_gives_the_closest_pairs_of_a_row_first():
+    n = 300
+    bits = parity.bit_sketch(np.arange(100, dtype=np.uint64)).tobytes()
+    same = {c: pa.array([0] * n, pa.int64()) for c in ("word", "first", "second", "side")}
+    own = {c: pa.array(range(n), pa.int64()) for c in ("node", "label")}
+    tile = pa.RecordBatch.from_pydict(same | own | {"n_shingles": pa.array([100] * n, pa.int64()), "bits": [bits] * n})
+    few = pa.Table.from_batches(list(parity._tile_pairs(80, True, 4)([tile]))).to_pylist()
+    assert len(few) < 5 * n and {"a": None, "b": None} in few
+    every = pa.Table.from_batches(list(parity._tile_pairs(80, True, n)([tile]))).to_pylist()
+    assert len(every) == n * (n - 1) // 2 and {"a": None, "b": None} not in every
+
+
+def test_pairs_left_out_are_looked_at_again(spark, monkeypatch):
+    docs = T.frame(spark, _near_copies())
+    once = sorted(tuple(r) for r in parity.jaccard_components(docs, 3, 80)[0].select("doc_id", "component_id").collect())
+    monkeypatch.setattr(parity, "_NEAREST", 1)
+    again = sorted(tuple(r) for r in parity.jaccard_components(docs, 3, 80)[0].select("doc_id", "component_id").collect())
+    assert again == once
+
+
 def test_empty_tables(spark):
     none, bench = T.frame(spark, []), spark.createDataFrame([], "item_id long, text string")
     out, links = parity.jaccard_components(none)
