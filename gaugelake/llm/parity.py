@@ -18,9 +18,10 @@ This is exact, and unrelated short sets meet about as rarely as long ones. Sketc
 difference in a word of its own, and its hashes to leave the remaining word empty, which 32
 random choices do with a probability below 1e-13, no more than what equal 64-bit hashes risk anyway.
 
-Pairs are not spread within a group: each word's sketches are first verified against one hub.
-Only sketches that share a word and are still in different components are compared pair by
-pair, by their Hamming distance, in tiles of bounded size, and verified in turn.
+Pairs are not spread within a group: each word's sketches are first compared with one hub, by the
+Hamming distance of the bits, and near ones verified. The sketches of all words with one hub make a
+group, in which those outside the hub's component are compared with all others, pair by pair, in
+tiles of bounded size, and near ones of different components verified in turn.
 """
 
 from __future__ import annotations
@@ -38,10 +39,11 @@ from gaugelake.llm.components import component_roots
 from gaugelake.llm.shared import Scratch, small_batches
 
 _U64 = np.uint64
-_TILE = 400
+_TILE = 2000
 _PAIRS = 250_000  # pairs of rows a task holds at a time
 _EVERY = 1 << 40
 _NEAREST = 4  # pairs of a row in a tile that are verified first
+_MORE = 64  # times as many the next time
 _ALL_WORDS = 32
 _EMPTY_STEPS = 2
 _PIECE = 512 * 1024  # bytes of text hashed at a time
@@ -250,13 +252,52 @@ def _close(
     return far <= limit, far
 
 
+def _near_rows(percent: int):
+    def rows(batches):
+        for batch in batches:
+            size = np.concatenate([np.asarray(batch.column(c)) for c in ("size_a", "size_b")])
+            left = np.arange(batch.num_rows)
+            bits = batch.column("bits_a").to_pylist() + batch.column("bits_b").to_pylist()
+            keep, _ = _close(bits, size, left, left + batch.num_rows, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return rows
+
+
+def _near(stars: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a hub and a node that are close enough by size and sketch."""
+    a, b = (
+        sketches.select(F.col("node").alias(x), F.col("n_shingles").alias(f"size_{x}"), F.col("bits").alias(f"bits_{x}"))
+        for x in ("a", "b")
+    )
+    sized = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
+    return (
+        stars.select(F.col("hub").alias("a"), F.col("node").alias("b"))
+        .join(a, "a")
+        .join(b, "b")
+        .filter(sized)
+        .mapInArrow(_near_rows(percent), "a long, b long")
+    )
+
+
+def _nearest(pairs: np.ndarray, each: int) -> tuple[np.ndarray, list[int]]:
+    """Of pairs (node, node, distance, word) each once, the ``each`` closest of every first node; the words of the others."""
+    low, high, far, _ = pairs
+    pairs = pairs[:, np.lexsort((high, far, low))]
+    one = np.ones(pairs.shape[1], bool)
+    one[1:] = (pairs[:2, 1:] != pairs[:2, :-1]).any(axis=0)
+    pairs = pairs[:, one]
+    near = np.arange(pairs.shape[1]) - np.searchsorted(pairs[0], pairs[0]) < each
+    return pairs[:, near], np.unique(pairs[3, ~near]).tolist()
+
+
 def _tile_pairs(percent: int, across: bool, each: int):
     """Pairs within tiles: of different components if ``across``, close enough by size and sketch.
 
     Rows come sorted by tile; the last tile of a batch waits for the next batch. A tile on the
     diagonal pairs all its rows, another one those of its two sides. Tiles are paired some at a
     time, as many as have a bounded number of pairs. A row's ``each`` closest pairs are given; a pair
-    of nulls tells that there are others.
+    of nulls tells that there are others, and rows without a name in b the words of their tiles.
     """
 
     def parts(rows: pa.Table, starts: np.ndarray):
@@ -268,13 +309,14 @@ def _tile_pairs(percent: int, across: bool, each: int):
             yield found(rows.slice(int(starts[a]), int(ends[b - 1] - starts[a])), starts[a:b] - starts[a])
 
     def found(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
-        first, second, side, node, size, label = (
+        word, first, second, side, node, size, label = (
             np.asarray(rows.column(c).combine_chunks())
-            for c in ("first", "second", "side", "node", "n_shingles", "label")
+            for c in ("word", "first", "second", "side", "node", "n_shingles", "label")
         )
         ends = np.repeat(np.append(starts[1:], len(node)), np.diff(np.append(starts, len(node))))
-        lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for step in range(1, int((ends - np.arange(len(node))).max(initial=0))):
+        bits, steps = rows.column("bits").to_pylist(), int((ends - np.arange(len(node))).max(initial=0))
+        lefts, rights, held, near, left_out = [], [], 0, np.zeros((4, 0), np.int64), set()
+        for step in range(1, steps):
             i = np.flatnonzero(np.arange(len(node)) + step < ends)
             j = i + step
             fit = (first[i] == second[i]) | (side[i] != side[j])
@@ -282,22 +324,18 @@ def _tile_pairs(percent: int, across: bool, each: int):
             fit &= (node[i] != node[j]) & ((label[i] != label[j]) | (not across))
             lefts.append(i[fit])
             rights.append(j[fit])
-        i, j = np.concatenate(lefts), np.concatenate(rights)
-        both = np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])])
-        order = np.lexsort(both)
-        one = np.ones(len(order), bool)  # a pair that shares several words is compared once
-        one[1:] = (both[:, order[1:]] != both[:, order[:-1]]).any(axis=0)
-        i, j, both = i[order[one]], j[order[one]], both[:, order[one]]
-        left_out = []
-        if len(i):
-            close, far = _close(rows.column("bits").to_pylist(), size, i, j, percent)
-            both, far = both[:, close], far[close]
-            order = np.lexsort((far, both[0]))
-            first_of = np.searchsorted(both[0][order], both[0][order])
-            near = order[np.arange(len(order)) - first_of < each]
-            left_out = [None] * (len(near) < len(order))
-            both = both[:, near]
-        a, b = (pa.array([*x.tolist(), *left_out], pa.int64()) for x in both)
+            held += len(lefts[-1])
+            if held and (held > _PAIRS or step == steps - 1):
+                i, j = np.concatenate(lefts), np.concatenate(rights)
+                close, far = _close(bits, size, i, j, percent)
+                i, j = i[close], j[close]
+                pairs = np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), far[close], word[i]])
+                near, others = _nearest(np.concatenate([near, pairs], axis=1), each)
+                left_out.update(others)
+                lefts, rights, held = [], [], 0
+        others = [None, *sorted(left_out)] if left_out else []
+        a = pa.array([*near[0].tolist(), *[None] * len(others)], pa.int64())
+        b = pa.array([*near[1].tolist(), *others], pa.int64())
         return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     def pairs(batches):
@@ -320,20 +358,36 @@ def _tile_pairs(percent: int, across: bool, each: int):
     return pairs
 
 
-def _tiled(members: DataFrame, sketches: DataFrame, percent: int, across: bool, each: int) -> DataFrame:
-    """Pairs within each word's sketches, compared in tiles of bounded size: of each row the closest, and a pair
-    of nulls if there are others."""
-    by_word = members.groupBy("word").agg(F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("h"))
-    by_word = by_word.filter("l <> h" if across else "n > 1").select(
-        "word", F.ceil(F.col("n") / _TILE).cast("int").alias("parts")
+def _tiled(groups: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int, across: bool, each: int) -> DataFrame:
+    """Pairs within each hub's sketches, compared in tiles of bounded size: of each row the closest; rows without a
+    name in b the hubs that have others, and are nulls if there are any.
+
+    If ``across``, sketches in the hub's component meet those outside it alone. Sides of those outside are
+    numbered first. For the tiles the hub is the word that their sketches share.
+    """
+    labels = roots.select("node", F.col("root").alias("label"))
+    members = (
+        groups.join(labels, "node", "left")
+        .join(labels.select(F.col("node").alias("hub"), F.col("label").alias("main")), "hub", "left")
+        .select("hub", "node", F.coalesce("label", "node").alias("label"), F.coalesce("main", "hub").alias("main"))
+        .select("hub", "node", "label", ((F.col("label") == F.col("main")) & F.lit(across)).alias("inside"))
+    )
+    sides = (
+        members.groupBy("hub")
+        .agg(F.count_if(~F.col("inside")).alias("out"), F.count_if("inside").alias("in"))
+        .filter("out > 0")
+        .select("hub", *[F.ceil(F.col(c) / _TILE).cast("int").alias(c) for c in ("out", "in")])
     )
-    side = F.pmod(F.xxhash64("node", "word"), F.col("parts")).cast("int")
+    own = F.xxhash64("node")
+    side = F.when(F.col("inside"), F.col("out") + F.pmod(own, F.col("in"))).otherwise(F.pmod(own, F.col("out")))
+    others = F.when(F.col("inside"), F.col("out")).otherwise(F.col("out") + F.col("in"))
+    tile = ["word", "first", "second"]
     spread = (
-        members.join(by_word, "word")
-        .withColumn("side", side)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        members.join(sides, "hub")
+        .select("hub", "node", "label", side.cast("int").alias("side"), others.alias("others"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
         .select(
-            "word",
+            F.col("hub").alias("word"),
             F.least("side", "other").alias("first"),
             F.greatest("side", "other").alias("second"),
             "side",
@@ -342,7 +396,6 @@ def _tiled(members: DataFrame, sketches: DataFrame, percent: int, across: bool,
         )
         .join(sketches, "node")
     )
-    tile = ["word", "first", "second"]
     return (
         spread.repartition(*tile)
         .sortWithinPartitions(*tile)
@@ -392,32 +445,28 @@ def jaccard_components(
     got = blocks.ask(base, lambda t, _: blocks.count_requests(_Words(t).keys, n)[2], blocks.repeated, 1)
     shared = scratch.save(blocks.finish(base, got, repeated_words, "word long, node long, n_shingles long"))
 
-    hubs = shared.groupBy("word").agg(F.min_by(F.struct("node", "n_shingles"), "node").alias("hub"))
-    near = F.least("n_shingles", "hub.n_shingles") * 100 >= F.greatest("n_shingles", "hub.n_shingles") * percent
-    stars = (
-        shared.join(hubs, "word")
-        .filter((F.col("node") != F.col("hub.node")) & near)
-        .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
-    links = scratch.save(_verified(scratch.save(stars), docs, members, words, percent))
+    # Words of one hub make one group: near copies share many words, and meet once.
+    hubs = shared.groupBy("word").agg(F.min("node").alias("hub"))
+    groups = scratch.save(shared.join(hubs, "word").select("hub", "node").distinct())
+    sketches = first.select("node", "n_shingles", "bits").dropDuplicates(["node"])
+    stars = scratch.save(_near(groups.filter("node <> hub"), sketches, percent))
+    links = scratch.save(_verified(stars, docs, members, words, percent))
     roots = component_roots(links, scratch)
 
-    # The closest pairs first: what they link needs no other pair. Those left out are looked at again, more of a
-    # row each time, until none is.
-    sketches = first.select("node", "n_shingles", "bits").dropDuplicates(["node"])
-    seen, each = links, _EVERY if every_link else _NEAREST
+    # The closest pairs first: what they link needs no other pair. Groups with pairs left out are looked at again,
+    # more of a row each time, until there is none.
+    seen, each = stars, _EVERY if every_link else _NEAREST
     while True:
-        labelled = shared.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root", "n_shingles")
-        tiled = _tiled(labelled, sketches, percent, not every_link, each)
+        tiled = _tiled(groups, roots, sketches, percent, not every_link, each)
         rest = scratch.save(tiled.join(seen, ["a", "b"], "left_anti"))
         pairs = rest.filter("a is not null")
         more = scratch.save(_verified(pairs, docs, members, words, percent))
         links = links.unionByName(more)
         roots = component_roots(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
-        if rest.filter("a is null").isEmpty():
+        if rest.filter("b is null").isEmpty():
             break
-        seen, each = seen.unionByName(pairs), 8 * each
+        left_out = rest.filter("a is null and b is not null").select(F.col("b").alias("hub"))
+        groups, seen, each = groups.join(left_out, "hub", "left_semi"), seen.unionByName(pairs), _MORE * each
 
     nodes = sketched.select("doc_id", "n_shingles", "node").join(roots, "node", "left")
     nodes = nodes.withColumn("part", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")))

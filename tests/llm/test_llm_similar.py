@@ -408,3 +408,47 @@ def test_empty_tables(spark):
     assert out.count() == links.count() == parity.keep_one(none).count() == 0
     assert quality.judge(none).count() == quality.keep_good(none).count() == 0
     assert decontaminate.contaminated(none, bench).count() == decontaminate.drop_contaminated(T.frame(spark), bench).count() - len(T.corpus()) == 0
+
+
+def test_far_pairs_are_not_verified_and_settled_groups_not_looked_at_again(spark, monkeypatch):
+    """Of 40 texts with a shared beginning and 24 near copies, only pairs that may be linked bring their sets, and
+    a further round takes the groups with pairs left out alone."""
+    start = " ".join(f"s{i}" for i in range(60))
+    rows = [(i, start + "".join(f" o{i}_{j}" for j in range(100)), "en", "s") for i in range(40)] + _near_copies()
+    verified, tiled, sent, looked = parity._verified, parity._tiled, [], []
+
+    def counted(pairs, *others):
+        sent.append(pairs.count())
+        return verified(pairs, *others)
+
+    def held(members, *others):
+        looked.append(members.count())
+        return tiled(members, *others)
+
+    monkeypatch.setattr(parity, "_verified", counted)
+    monkeypatch.setattr(parity, "_tiled", held)
+    monkeypatch.setattr(parity, "_NEAREST", 1)
+    out, _ = parity.jaccard_components(T.frame(spark, rows), 3, 80)
+    sets = _sets(rows, 3)
+    may = sum(
+        100 * len(sets[i] & sets[j]) >= 60 * len(sets[i] | sets[j]) for i in range(len(rows)) for j in range(i)
+    )
+    assert 0 < sum(sent) <= may
+    assert len(looked) > 1 and looked[1] < looked[0]
+    kept = {r.doc_id for r in out.collect() if r.doc_id == r.component_id}
+    assert kept >= set(range(40))
+
+
+def test_a_large_tile_holds_few_pairs_at_a_time(monkeypatch):
+    """Compared in parts, a tile gives each row's closest pairs as if compared at once, and the word of rows with others."""
+    rng, n = np.random.default_rng(5), 90
+    sets = [np.unique(rng.integers(0, 130, 100)).astype(np.uint64) for _ in range(n)]
+    same = {c: pa.array([0] * n, pa.int64()) for c in ("first", "second", "side")} | {"word": pa.array([7] * n, pa.int64())}
+    own = {c: pa.array(range(n), pa.int64()) for c in ("node", "label")}
+    sizes, bits = pa.array([len(s) for s in sets], pa.int64()), [parity.bit_sketch(s).tobytes() for s in sets]
+    tile = pa.RecordBatch.from_pydict(same | own | {"n_shingles": sizes, "bits": bits})
+    once = pa.Table.from_batches(list(parity._tile_pairs(50, True, 3)([tile]))).to_pylist()
+    monkeypatch.setattr(parity, "_PAIRS", 200)
+    parts = pa.Table.from_batches(list(parity._tile_pairs(50, True, 3)([tile]))).to_pylist()
+    assert parts == once and {"a": None, "b": 7} in once
+    assert max(Counter(r["a"] for r in once if r["a"] is not None).values()) == 3
