@@ -50,24 +50,15 @@ def reading_outcomes(payloads: DataFrame, run_id: str | Column, answered: bool =
     return payloads.select(_text(run_id).alias("run_id"), "openaq_sensor_id", ok.alias("ok"))
 
 
-def reading_candidates(
+def _judged_readings(
     payloads: DataFrame,
-    sensors: DataFrame,
     ingested_at: Moment,
     run_id: str | Column,
     window_end: Moment,
-    enforce_complete_hours: bool = True,
-    unread: Observation | None = None,
+    enforce_complete_hours: bool,
+    unread: Observation | None,
 ) -> DataFrame:
-    """Every reading of the pages with a ``reject_reason``, NULL for a good one.
-
-    A page that does not fit the schema counts as a failed request, so its readable items
-    are rejected too (``broken_page``). A sensor outside the worklist keeps its rows, with
-    the reason ``unknown_sensor`` and no station. ``payloads`` has ``openaq_sensor_id`` and ``payload``; ``sensors`` is the worklist
-    (station, location, sensor, pollutant, unit). Pages are opened before the lookup,
-    so a lookup that has to shuffle moves typed rows and no JSON. ``unread`` observes the number of
-    failed requests.
-    """
+    """Every reading of the pages with what its page alone says against it, before its sensor is looked up."""
     pages = payloads.select(
         "openaq_sensor_id",
         moment(ingested_at, _INSTANT).alias("ingested_at"),
@@ -87,7 +78,12 @@ def reading_candidates(
         F.col(f"page.{_BROKEN}").isNotNull().alias("broken"),
         F.explode("page.results").alias("item"),
     )
-    typed = items.select(
+    # The optimizer carries no filter past a generator, so each time is read once, also where rows are filtered by it.
+    times = F.struct(
+        parse_utc(F.col("item.period.datetimeFrom.utc")).alias("start"),
+        parse_utc(F.col("item.period.datetimeTo.utc")).alias("end"),
+    )
+    typed = items.select("*", F.explode(F.array(times)).alias("times")).select(
         "openaq_sensor_id",
         "ingested_at",
         "run_id",
@@ -95,9 +91,9 @@ def reading_candidates(
         "broken",
         F.col("item.value").alias("value"),
         F.col("item.period.datetimeFrom.utc").alias("from_text"),
-        parse_utc(F.col("item.period.datetimeFrom.utc")).alias("period_from_utc"),
+        F.col("times.start").alias("period_from_utc"),
         F.col("item.period.datetimeTo.utc").alias("to_text"),
-        parse_utc(F.col("item.period.datetimeTo.utc")).alias("period_to_utc"),
+        F.col("times.end").alias("period_to_utc"),
         F.col("item.period.datetimeFrom.local").alias("period_from_local"),
         F.col("item.period.label").alias("period_label"),
         F.col("item.period.interval").alias("period_interval"),
@@ -110,14 +106,36 @@ def reading_candidates(
     reason = F.when(F.col("broken"), "broken_page").when(malformed, "malformed").when(unreadable, "unreadable_time")
     if enforce_complete_hours:
         reason = reason.when(F.col("period_to_utc") > F.col("window_end"), "incomplete_hour")
-    judged = typed.select(
+    return typed.select(
         "*",
         F.concat(F.col("openaq_sensor_id").cast("string"), F.lit("|"), F.col("from_text")).alias("dedup_key"),
         reason.alias("reject_reason"),
     ).drop("window_end", "from_text", "to_text", "broken")
-    lookup = sensors.select(
-        "openaq_sensor_id", "station_id", "openaq_location_id", "pollutant", "unit", F.lit(True).alias("known")
-    )
+
+
+_WORKLIST = ("openaq_sensor_id", "station_id", "openaq_location_id", "pollutant", "unit")
+
+
+def reading_candidates(
+    payloads: DataFrame,
+    sensors: DataFrame,
+    ingested_at: Moment,
+    run_id: str | Column,
+    window_end: Moment,
+    enforce_complete_hours: bool = True,
+    unread: Observation | None = None,
+) -> DataFrame:
+    """Every reading of the pages with a ``reject_reason``, NULL for a good one.
+
+    A page that does not fit the schema counts as a failed request, so its readable items
+    are rejected too (``broken_page``). A sensor outside the worklist keeps its rows, with
+    the reason ``unknown_sensor`` and no station. ``payloads`` has ``openaq_sensor_id`` and ``payload``; ``sensors`` is the worklist
+    (station, location, sensor, pollutant, unit). Pages are opened before the lookup,
+    so a lookup that has to shuffle moves typed rows and no JSON. ``unread`` observes the number of
+    failed requests.
+    """
+    judged = _judged_readings(payloads, ingested_at, run_id, window_end, enforce_complete_hours, unread)
+    lookup = sensors.select(*_WORKLIST, F.lit(True).alias("known"))
     unknown = F.when(F.col("known").isNull(), "unknown_sensor")
     return (
         judged.join(lookup, "openaq_sensor_id", "left")
@@ -135,9 +153,13 @@ def flatten_hourly_readings(
     enforce_complete_hours: bool = True,
     unread: Observation | None = None,
 ) -> DataFrame:
-    """Pages of hourly readings to reading rows, without malformed and incomplete hours."""
-    rows = reading_candidates(payloads, sensors, ingested_at, run_id, window_end, enforce_complete_hours, unread)
-    return conform(rows.filter(F.col("reject_reason").isNull()), READINGS)
+    """Pages of hourly readings to reading rows, without malformed and incomplete hours.
+
+    These are the :func:`reading_candidates` without a reason; what the page already rejects never meets the lookup.
+    """
+    judged = _judged_readings(payloads, ingested_at, run_id, window_end, enforce_complete_hours, unread)
+    good = judged.filter(F.col("reject_reason").isNull())
+    return conform(good.join(sensors.select(*_WORKLIST), "openaq_sensor_id"), READINGS)
 
 
 def _forecast_results(payload: Column) -> Column:

@@ -112,6 +112,30 @@ def append(df: DataFrame, table: TableSpec, batch: str | None = None) -> dict:
     return found | {"days": [*found["days"], *([None] if found["undated"] else [])]}
 
 
+def append_once(df: DataFrame, table: TableSpec, batch: str) -> list[date | None]:
+    """Append a named batch unless it is in ``table`` as a whole; returns its dates as :func:`append` gives them.
+
+    A batch is recorded beside the rows when all of them are in place. One that broke off before has no record
+    and replaces what it left.
+    """
+    spark, record = df.sparkSession, f"{table.path}/_{BATCH}/{batch}"
+    known = _recorded(spark, record)
+    if known is None:
+        known = append(df, table, batch)["days"]
+        days = F.array(*[F.lit(day) for day in known]).cast("array<date>")
+        spark.range(1, numPartitions=1).select(days.alias("days")).write.mode("overwrite").parquet(record)
+    return known
+
+
+def _recorded(spark: SparkSession, record: str) -> list[date | None] | None:
+    """Dates of a batch that was recorded. A record that broke off is a folder without a row."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(record)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    row = spark.read.schema("days array<date>").parquet(record).first()
+    return row and row["days"]
+
+
 def overwrite(df: DataFrame, path: str) -> int:
     """Full refresh of an unpartitioned table; returns its row count."""
     seen = Observation()

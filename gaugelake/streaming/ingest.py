@@ -22,14 +22,19 @@ from gaugelake.sources.payloads import (
     flatten_forecast_batch,
     flatten_hourly_readings,
 )
-from gaugelake.sources.tables import PARTITION, TableSpec, append, read_table
+from gaugelake.sources.tables import PARTITION, TableSpec, append, append_once, read_table
 
 
 FILES_PER_BATCH = 1_000
 
 
-def _landed(spark: SparkSession, landing: str, schema: str, files_per_batch: int) -> DataFrame:
-    """``files_per_batch`` bounds a micro-batch, also when a backlog is worked off."""
+def landed_stream(
+    spark: SparkSession, landing: str, schema: str, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """Landed requests (``LANDED_READINGS`` or ``LANDED_FORECASTS``) as they arrive.
+
+    ``files_per_batch`` bounds a micro-batch, also when a backlog is worked off.
+    """
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing)
 
 
@@ -41,7 +46,7 @@ def reading_stream(
     files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Reading rows from a folder of landed JSON lines, as they arrive."""
-    landed = _landed(spark, landing, LANDED_READINGS, files_per_batch)
+    landed = landed_stream(spark, landing, LANDED_READINGS, files_per_batch)
     return flatten_hourly_readings(
         landed,
         sensors,
@@ -54,7 +59,7 @@ def reading_stream(
 
 def forecast_stream(spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Forecast rows from a folder of landed JSON lines, as they arrive."""
-    landed = _landed(spark, landing, LANDED_FORECASTS, files_per_batch)
+    landed = landed_stream(spark, landing, LANDED_FORECASTS, files_per_batch)
     return flatten_forecast_batch(landed, F.col("ingested_at"), F.col("run_id"))
 
 
@@ -93,22 +98,27 @@ def start_ingest(
     checkpoint: str,
     latest: TableSpec | None = None,
     dedup: Callable[[DataFrame], DataFrame] | None = None,
+    typed: Callable[[DataFrame], DataFrame] | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Append each micro-batch to ``raw`` and refresh the touched dates of ``latest``.
 
     By default all landed files are taken and the query ends. The touched dates, None for rows
-    without a time, are observed while the batch is written. A batch that is repeated after a failure
-    replaces itself in a ``raw`` table laid out by batch; in any other its rows are appended again, which
-    dedup resolves.
+    without a time, are observed while the batch is written. A batch that is repeated after a failure is
+    not appended again to a ``raw`` table laid out by batch if it is there as a whole, else it replaces what is there of
+    it; in any other table its rows are appended again, which dedup resolves.
+
+    ``typed`` makes the rows of ``raw`` from a micro-batch of ``rows``. Spark runs the shuffles of a stream's own plan
+    before a micro-batch is handed over; those of ``typed`` run only if its rows are appended.
     """
     stream: Future[str] = Future()
 
     def write(batch: DataFrame, number: int) -> None:
         # The id of a query is kept in its checkpoint, so a restarted stream repeats the name of its batch
         # and a stream of another checkpoint never takes it.
-        name = f"{stream.result()}-{number}" if raw.by_batch else None
-        days = append(batch, raw, name)["days"]
+        name = f"{stream.result()}-{number}"
+        made = batch if typed is None else typed(batch)
+        days = append_once(made, raw, name) if raw.by_batch else append(made, raw)["days"]
         if latest is not None:
             refresh_latest(batch.sparkSession, raw, latest, days, dedup)
 

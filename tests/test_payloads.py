@@ -306,3 +306,12 @@ def test_answers_are_read_again_only_where_one_is_unreadable(spark, tmp_path, mo
     assert asked == [not failed]
     assert (row["records_written"], row["stations_polled"], row["stations_failed"]) == (2 - failed, 2, failed)
     assert "json" not in outcomes(batches, "r", True)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rejected_readings_never_meet_the_lookup(spark):
+    page = pages(spark, json.dumps({"results": [HOUR, hour(value=None), hour(period__datetimeTo=LATE)]}))
+    rows = pl.flatten_hourly_readings(page, worklist(spark), INGESTED, "r", END)
+    assert [r.dedup_key for r in rows.collect()] == ["77|2024-01-15T08:00:00Z"]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Filter CASE WHEN broken")  # the filter is below the join
+    assert plan.count("datetimeFrom.utc as timestamp)") == plan.count("datetimeTo.utc as timestamp)") == 1

@@ -74,3 +74,46 @@ def test_stream_broken_after_its_append(spark, tmp_path, by_batch, times):
     arriving = spark.readStream.schema(READINGS).parquet(source)
     streams.start_ingest(arriving, raw, str(tmp_path / "other")).awaitTermination()
     assert tables.read_table(spark, raw).count() == 3 * times + 3
+
+
+def test_a_whole_batch_is_not_appended_again(spark, tmp_path, monkeypatch):
+    source = str(tmp_path / "source")
+    undated = rows(2)[0] | {"period_from_utc": None}
+    fx.frame(spark, [*rows(0, 30), undated], READINGS).write.parquet(source)
+    raw, latest = (tables.readings_table(str(tmp_path / name), name == "raw") for name in ("raw", "latest"))
+    appended, append = [], tables.append
+
+    def counted(df, table, batch=None):
+        found = append(df, table, batch)
+        appended.append(batch)
+        if len(appended) == 1:
+            raise RuntimeError("before it was recorded")
+        return found
+
+    def ingest(dedup):
+        arriving = spark.readStream.schema(READINGS).parquet(source)
+        streams.start_ingest(arriving, raw, str(tmp_path / "cp"), latest, dedup).awaitTermination()
+
+    def broken(_):
+        raise RuntimeError("half-way")
+
+    monkeypatch.setattr(tables, "append", counted)
+    monkeypatch.setattr(streams, "append", counted)
+    for _ in range(3):  # without a record, then twice with it
+        with pytest.raises(StreamingQueryException):
+            ingest(broken)
+    ingest(streams.newest_readings)
+    assert len(appended) == 2 and len(set(appended)) == 1
+    for table in (raw, latest):
+        found = tables.read_table(spark, table, keep_date=True).collect()
+        assert sorted(r.value for r in found) == [0.0, 2.0, 30.0] and sum(r[tables.PARTITION] is None for r in found) == 1
+
+
+def test_a_record_that_broke_off_counts_for_nothing(spark, tmp_path):
+    table = tables.readings_table(str(tmp_path / "t"), by_batch=True)
+    (tmp_path / "t" / f"_{tables.BATCH}" / "a-0").mkdir(parents=True)
+    df = fx.frame(spark, rows(0, 30), READINGS)
+    days = tables.append_once(df, table, "a-0")
+    assert len(days) == 2 and sorted(tables.append_once(df, table, "a-0")) == sorted(days)
+    assert tables.append_once(df.limit(0), table, "a-1") == tables.append_once(df.limit(0), table, "a-1") == []
+    assert sorted(r.value for r in tables.read_table(spark, table).collect()) == [0.0, 30.0]
